@@ -84,3 +84,96 @@ def sites_table(part: DataFrame) -> DataFrame:
                     F.lower(F.regexp_replace("p_brand", "#", "-")).alias("source"),
                     F.col("p_brand").alias("merchant"),
                     F.lit("us").alias("country")))
+
+
+# ------------------------------------------------------------------ F2 feeds
+
+FEED_PAGE_ITEMS = 50  # items per feed document (a paginated feed)
+
+FEED_MAPPING = {
+    "external_id": "seo.discernProductId",
+    "product_id": "seo.discernProductId",
+    "title": "name",
+    "description": ["detail.description", "detail.longDescription", "seo.jsonLd.description",
+                    "description"],
+    "gender": ["sectionName", "section", "familyName"],
+    "price": "price",
+    "currency": "'USD'",
+    "country": "'w'",
+    "image_url": ["try_element_at(xmedia, 1).extraInfo.deliveryUrl", "try_element_at(xmedia, 1).url"],
+    "_xmedia_urls": ["transform(xmedia, m -> m.extraInfo.deliveryUrl)", "transform(xmedia, m -> m.url)",
+                     "transform(xmedia, m -> m.path)"],
+    "seo_keyword": "seo.keyword",
+    "seo_product_id": "id",
+    "product_url": None,
+    "brand": "'Shop'",
+    "availability": "availability",
+}
+
+
+def feed_item(r: DataFrame):
+    """An F1 row rendered as a feed item (R2 shape)."""
+    return F.struct(
+        F.struct(F.col("external_id").alias("discernProductId"),
+                 F.col("seo_keyword").alias("keyword")).alias("seo"),
+        F.col("k").cast("string").alias("id"),
+        F.col("title").alias("name"),
+        F.col("description").alias("description"),
+        F.col("gender").alias("sectionName"),
+        F.col("price_text").alias("price"),
+        F.when(F.col("image_url").isNotNull(),
+               F.array(F.struct(F.col("image_url").alias("url")))).alias("xmedia"),
+        F.col("size_list").alias("sizes"),
+    )
+
+
+def feeds(raw: DataFrame) -> DataFrame:
+    """feed documents (endpoint_pos, endpoint, page, payload).
+
+    Items of one endpoint are paged FEED_PAGE_ITEMS at a time, so a document
+    never holds more than that many items whatever the table size. Layout
+    by ``endpoint_pos % 4``: groups/elements/components, groups/elements,
+    products, malformed text.
+    """
+    page = F.floor(F.col("item_pos") / FEED_PAGE_ITEMS).cast("bigint")
+    grouped = (raw.withColumn("page", page)
+               .groupBy("endpoint_pos", "endpoint", "page")
+               .agg(F.sort_array(F.collect_list(F.struct("item_pos", feed_item(raw).alias("it"))))
+                    .alias("_l")))
+    items = F.transform("_l", lambda x: x["it"])
+    pos = F.col("endpoint_pos") % 4
+    payload = (
+        F.when(pos == 0, F.to_json(F.struct(F.array(F.struct(F.array(F.struct(
+            items.alias("commercialComponents"))).alias("elements"))).alias("productGroups"))))
+        .when(pos == 1, F.to_json(F.struct(F.array(F.struct(items.alias("elements")))
+                                           .alias("productGroups"))))
+        .when(pos == 2, F.to_json(F.struct(items.alias("products"))))
+        .otherwise(F.lit("{bad"))
+    )
+    return grouped.select("endpoint_pos", "endpoint", "page", payload.alias("payload"))
+
+
+CATEGORY_TEMPLATE = SHOP + "/category/{id}/products?ajax=true"
+CATEGORY_DOC_ITEMS = 50
+
+
+def category_docs(part: DataFrame) -> DataFrame:
+    """Category JSON documents from ``part``: URL strings, objects with an http
+    url, objects with only an id; every fifth document nests its ids only."""
+    k = F.col("p_partkey")
+    doc = F.floor(k / CATEGORY_DOC_ITEMS).cast("bigint")
+    ks = k.cast("string")
+    frag = (F.when(doc % 5 == 4, F.concat(F.lit('{"name":"n","children":[{"id":'), ks, F.lit("}]}")))
+            .when(k % 3 == 0, F.concat(F.lit(f'"{SHOP}/c/'), ks, F.lit('"')))
+            .when(k % 3 == 1, F.concat(F.lit(f'{{"url":"{SHOP}/u/'), ks, F.lit('","id":"'), ks, F.lit('"}')))
+            .otherwise(F.concat(F.lit('{"id":'), ks, F.lit(',"url":"ftp://x/'), ks, F.lit('"}'))))
+    grouped = (part.select(doc.alias("doc"), k.alias("k"), frag.alias("frag"))
+               .groupBy("doc").agg(F.sort_array(F.collect_list(F.struct("k", "frag"))).alias("_l")))
+    body = F.array_join(F.transform("_l", lambda x: x["frag"]), ",")
+    return grouped.select("doc", F.concat(F.lit('{"items":['), body, F.lit("]}")).alias("payload"))
+
+
+def page_rows(raw: DataFrame) -> DataFrame:
+    """Products of category pages, keyed by the endpoint without its query string."""
+    return raw.select(F.substring_index("endpoint", "?", 1).alias("page_key"),
+                      F.col("k").cast("string").alias("item_id"), "external_id")

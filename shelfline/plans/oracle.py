@@ -22,3 +22,189 @@ SELECT coalesce(source, 'unknown') AS source, count(*) AS n_products FROM catalo
 ORACLE["to_product_row"] = E1 + f"SELECT {PRODUCT_COLS} FROM products"
 ORACLE["price_gate"] = E1 + f"SELECT {PRODUCT_COLS} FROM gated"
 ORACLE["dedup_first"] = E1 + f"SELECT {PRODUCT_COLS} FROM catalog"
+
+from shelfline import constants as K  # noqa: E402
+from shelfline.plans import sqlfrag as S  # noqa: E402
+
+RAW = with_ctes(RAW_PRODUCTS)
+DEF = with_ctes(RAW_PRODUCTS, SITE_DEFAULTS)
+PRODK = with_ctes(RAW_PRODUCTS, SITE_DEFAULTS, PRODUCT_ROWS.replace("endpoint_pos, item_pos\n  FROM prod_base", "endpoint_pos, item_pos, k\n  FROM prod_base"))
+
+ORACLE["format_price"] = RAW + f"""
+SELECT k, price_text, currency, {S.format_price_text(strip('price_text'), 'currency')} AS price FROM raw_products"""
+
+ORACLE["format_sale"] = RAW + f""",
+s1 AS (SELECT k, currency, CASE WHEN k % 2 = 0 THEN price_text END AS sale,
+  CASE WHEN k % 3 = 0 THEN '' ELSE ' 9,99 ' END AS sale_price FROM raw_products),
+s2 AS (SELECT k, currency, coalesce(CASE WHEN {truthy('sale')} THEN sale END,
+  CASE WHEN {truthy('sale_price')} THEN sale_price END) AS picked FROM s1)
+SELECT k, CASE WHEN picked IS NOT NULL THEN {S.format_price_text(strip('picked'), 'currency')} END AS sale FROM s2"""
+
+_AV = S.list_lit(["In Stock", " sold out ", "preorder", "AVAILABLE", None, "weird", "out-of-stock", ""])
+ORACLE["normalize_availability"] = RAW + f""",
+a AS (SELECT k, ({_AV})[k % 8 + 1] AS availability,
+  CASE WHEN k % 5 = 0 THEN k % 2 = 0 END AS flag FROM raw_products)
+SELECT k, CASE WHEN flag IS NOT NULL THEN CASE WHEN flag THEN 'in_stock' ELSE 'out_of_stock' END
+  ELSE {S.map_case(f"lower({strip('availability')})", K.AVAILABILITY, 'unknown')} END AS availability FROM a"""
+
+ORACLE["product_id"] = DEF + f"""
+SELECT k, CASE WHEN {truthy('ext_id')} THEN sha256(source || ':' || ext_id)
+  WHEN {truthy('product_url')} THEN sha256(source || ':' || product_url) ELSE 'unknown' END AS id
+FROM defaults"""
+
+ORACLE["clean_title"] = RAW + f"SELECT k, {S.py_or('title', q(K.DEFAULT_TITLE))} AS title FROM raw_products"
+ORACLE["clean_description"] = RAW + f"""
+SELECT k, nullif({strip("coalesce(description, '')")}, '') AS description FROM raw_products"""
+
+_MEDIA_C = S.ordered_distinct_list(
+    "list_filter(list_transform(media, lambda x: " + strip("x") + "), lambda x: x IS NOT NULL AND x <> '')")
+ORACLE["image_gallery"] = RAW + f""",
+m AS (SELECT k, image_url, CASE WHEN k % 4 <> 0 THEN [image_url, ' ' || product_url || ' ', image_url, ''] END AS media FROM raw_products),
+mc AS (SELECT k, image_url, {_MEDIA_C} AS mc FROM m)
+SELECT k,
+  CASE WHEN coalesce(len(mc), 0) > 0 THEN CASE WHEN {truthy('image_url')} THEN image_url ELSE mc[1] END ELSE image_url END AS image_url,
+  CASE WHEN coalesce(len(mc), 0) > 1 THEN array_to_string(mc[2:], '|') END AS additional_images
+FROM mc"""
+
+ORACLE["normalize_gender"] = RAW + f"SELECT k, {S.gender('gender')} AS gender FROM raw_products"
+ORACLE["normalize_size"] = RAW + f"SELECT k, {S.size_from_list('size_list')} AS size FROM raw_products"
+ORACLE["build_product_url"] = PRODK + "SELECT k, product_url FROM products"
+ORACLE["build_metadata"] = PRODK + "SELECT k, metadata_text FROM products"
+
+def _part(x, prefix=""):
+    return f"CASE WHEN {truthy(x)} THEN {q(prefix) + ' || ' if prefix else ''}{x} END"
+
+ORACLE["build_info_text"] = PRODK + f"""
+SELECT k, coalesce(nullif({strip("concat_ws(' ', " + ', '.join([_part('title'), _part('description'), _part('category'), _part('brand'), _part('size', 'Size: '), _part('gender'), _part('price', 'Price: '), _part('sale', 'Sale: '), 'metadata_text']) + ")")}, ''),
+  CASE WHEN {truthy('title')} THEN title END, 'product') AS info_text FROM products"""
+
+ORACLE["category_lookup"] = RAW + f"SELECT k, {S.category('endpoint')} AS category FROM raw_products"
+
+ORACLE["format_for_db"] = DEF + f"""
+SELECT sha256(source || ':' || product_url) AS id, source, product_url, image_url, title, brand, gender,
+  price_text AS price, false AS second_hand,
+  CASE WHEN {truthy('description')} THEN description END AS description, country AS meta_country
+FROM defaults
+WHERE {truthy('source')} AND {truthy('product_url')} AND {truthy('image_url')} AND {truthy('title')} AND {truthy('price_text')}"""
+
+ORACLE["is_allowed_image_url"] = RAW + f"SELECT k, {S.is_allowed_image('image_url')} AS allowed FROM raw_products"
+
+_CAND = """CASE k % 6 WHEN 0 THEN image_url
+  WHEN 1 THEN 'https://static.zara.net/photos/' || CAST(k AS VARCHAR) || '.jpg'
+  WHEN 2 THEN 'https://static.zara.net/photos///2024/V/0/1/p/' || lpad(CAST(k AS VARCHAR), 60, '0') || '-e1.jpg?w={width}&h={width}'
+  WHEN 3 THEN 'https://cdn.example/v/' || CAST(k AS VARCHAR) || '/video.mp4'
+  WHEN 4 THEN 'cdn.example//img//' || CAST(k AS VARCHAR) || '//a.JSON'
+  ELSE '  //cdn.example/i/' || CAST(k AS VARCHAR) || '-s.png ' END"""
+
+ORACLE["is_embeddable_image_url"] = RAW + f""",
+c AS (SELECT k, {_CAND} AS url FROM raw_products),
+s AS (SELECT k, url, {strip('url')} AS s FROM c)
+SELECT k, url, ({truthy('s')} AND NOT starts_with(s, 'data:')
+  AND NOT {S.contains_any('lower(s)', K.VIDEO_MARKERS)} AND NOT {S.contains_any('lower(s)', K.NON_IMAGE_EXTENSIONS)}
+  AND NOT (contains(lower(s), 'zara') AND length(s) < 80)) AS embeddable FROM s"""
+
+ORACLE["clean_image_url"] = RAW + f""",
+c AS (SELECT k, {_CAND} AS url FROM raw_products),
+s1 AS (SELECT k, {strip('url')} AS s FROM c),
+s2 AS (SELECT k, CASE WHEN starts_with(s, '//') THEN 'https:' || s ELSE s END AS s FROM s1),
+s3 AS (SELECT k, CASE WHEN contains(s, '//') AND NOT starts_with(s, 'http')
+  THEN split_part(s, '//', 1) || '//' || regexp_replace(regexp_replace(substr(s, strpos(s, '//') + 2), '/+', '/', 'g'), '^/|/$', '', 'g')
+  ELSE s END AS s FROM s2)
+SELECT k, CASE WHEN strpos(s, '{{width}}') > 0 THEN substr(s, 1, strpos(s, '{{width}}') - 1) || '800' || substr(s, strpos(s, '{{width}}') + 7) ELSE s END AS clean_url FROM s3"""
+
+ORACLE["pick_image_url"] = RAW + f""",
+c AS (SELECT k, image_url, 'https://img.example/' || CAST(k AS VARCHAR) || CASE WHEN k % 2 = 0 THEN '-s.jpg' ELSE '.jpg' END AS alt_url FROM raw_products)
+SELECT k, CASE WHEN image_url IS NOT NULL AND NOT starts_with(image_url, 'data:') AND {S.is_allowed_image('image_url')} THEN image_url
+  WHEN {S.is_allowed_image('alt_url')} THEN alt_url END AS picked FROM c"""
+
+ORACLE["required_fields_gate"] = DEF + f"""
+SELECT k FROM defaults WHERE {truthy('source')} AND {truthy('product_url')} AND {truthy('image_url')} AND {truthy('title')} AND {truthy('price_text')}"""
+
+ORACLE["limit_per_site"] = PRODK + f"""
+SELECT k, source, id FROM products WHERE {truthy('price')}
+QUALIFY row_number() OVER (PARTITION BY source ORDER BY endpoint_pos, item_pos) <= 5"""
+
+ORACLE["dedup_stats"] = E1 + """
+SELECT count(*) AS input_rows, count(DISTINCT id) AS unique_rows, count(*) - count(DISTINCT id) AS removed FROM gated"""
+
+ORACLE["dedup_last"] = """
+SELECT user_id, event_id, ts, event_type, value FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1"""
+
+ORACLE["read_products"] = E1 + "SELECT id, title, brand FROM catalog WHERE source = 'src1'"
+ORACLE["product_count"] = E1 + "SELECT count(*) AS n_products FROM catalog"
+ORACLE["product_count_source"] = E1 + "SELECT count(*) AS n_products FROM catalog WHERE source = 'src2'"
+ORACLE["site_totals"] = E1 + "SELECT brand, count(*) AS imported FROM catalog GROUP BY ROLLUP (brand)"
+ORACLE["sample_products"] = E1 + """
+SELECT id, substring(title, 1, 40) AS title_short, brand FROM catalog ORDER BY id LIMIT 3"""
+ORACLE["recent_products"] = """
+SELECT o_orderkey AS id, o_orderstatus AS source, CAST(o_orderdate AS VARCHAR) AS created_at
+FROM orders WHERE o_orderstatus = 'F' ORDER BY o_orderdate DESC, o_orderkey LIMIT 10"""
+ORACLE["select_sites"] = """
+SELECT DISTINCT p_brand AS brand, lower(replace(p_brand, '#', '-')) AS source FROM part
+WHERE lower(p_brand) IN ('brand#13', 'brand#22', 'brand#45')"""
+ORACLE["apply_site_defaults"] = DEF + """
+SELECT k, merchant, source, country, ext_id AS external_id, product_url_template FROM defaults"""
+
+# ------------------------------------------------------------------ feeds
+from shelfline.plans.fixtures import SHOP, CATEGORY_TEMPLATE  # noqa: E402
+
+FEEDS = RAW + f""",
+fi AS (SELECT *, CAST(floor(item_pos / 50) AS BIGINT) AS page,
+  row_number() OVER (PARTITION BY endpoint_pos, endpoint, CAST(floor(item_pos / 50) AS BIGINT) ORDER BY item_pos) - 1 AS doc_pos
+  FROM raw_products),
+items AS (SELECT * FROM fi WHERE endpoint_pos % 4 <> 3),
+mapped AS (SELECT endpoint_pos, endpoint, page, doc_pos AS item_pos, external_id, external_id AS product_id,
+  title, description, gender, price_text AS price, 'USD' AS currency, 'w' AS country,
+  CASE WHEN image_url IS NOT NULL AND NOT starts_with(image_url, 'data:') AND {S.is_allowed_image('image_url')} THEN image_url END AS image_url,
+  CASE WHEN {truthy(strip('image_url'))} THEN image_url END AS xmedia_urls,
+  seo_keyword, CAST(k AS VARCHAR) AS seo_product_id, CAST(NULL AS VARCHAR) AS product_url, 'Shop' AS brand, k
+  FROM items),
+usable AS (SELECT * FROM mapped WHERE {truthy('external_id')} AND {truthy('image_url')})
+"""
+
+ORACLE["read_feed_items"] = FEEDS + """
+SELECT endpoint_pos, endpoint, page, doc_pos AS item_pos, CAST(k AS VARCHAR) AS item_id, title AS name FROM items"""
+ORACLE["map_fields"] = FEEDS + """
+SELECT endpoint_pos, page, item_pos, external_id, product_id, title, description, gender, price, currency, country,
+  image_url, xmedia_urls, seo_keyword, seo_product_id, product_url, brand FROM mapped"""
+ORACLE["with_provenance"] = FEEDS + """
+SELECT endpoint_pos, page, doc_pos AS item_pos, 'api' AS meta_source, endpoint AS meta_endpoint FROM items"""
+ORACLE["has_identifier"] = FEEDS + f"""
+SELECT endpoint_pos, page, item_pos, external_id FROM mapped WHERE {truthy('external_id')}"""
+ORACLE["has_required_image"] = FEEDS + "SELECT endpoint_pos, page, item_pos, external_id, image_url FROM usable"
+ORACLE["union_batches"] = FEEDS + "SELECT endpoint_pos, page, item_pos, external_id FROM usable"
+ORACLE["ingest_stats"] = FEEDS + f"""
+SELECT endpoint, count(*) AS matched, count_if({truthy('external_id')}) AS with_id,
+  count_if({truthy('external_id')} AND {truthy('image_url')}) AS with_image FROM mapped GROUP BY endpoint"""
+ORACLE["fallback_to_pages"] = FEEDS + """,
+ok AS (SELECT DISTINCT endpoint_pos, endpoint FROM usable),
+docs AS (SELECT DISTINCT endpoint_pos, endpoint FROM raw_products),
+failing_keys AS (SELECT DISTINCT split_part(endpoint, '?', 1) AS page_key FROM docs d
+  WHERE NOT EXISTS (SELECT 1 FROM ok o WHERE o.endpoint_pos = d.endpoint_pos AND o.endpoint = d.endpoint))
+SELECT 'feed' AS origin, seo_product_id AS item_id, external_id FROM usable
+UNION ALL
+SELECT 'page' AS origin, CAST(k AS VARCHAR) AS item_id, external_id FROM raw_products
+WHERE split_part(endpoint, '?', 1) IN (SELECT page_key FROM failing_keys)"""
+
+_TPL = lambda x: f"replace({q(CATEGORY_TEMPLATE)}, '{{id}}', CAST({x} AS VARCHAR))"
+CATDOCS = f"""WITH c AS (SELECT p_partkey AS k, CAST(floor(p_partkey / 50) AS BIGINT) AS doc FROM part),
+cp AS (SELECT k, doc, row_number() OVER (PARTITION BY doc ORDER BY k) - 1 AS pos FROM c)"""
+ORACLE["category_endpoints"] = CATDOCS + f""",
+u AS (SELECT doc, CASE WHEN doc % 5 = 4 THEN 1 ELSE 0 END AS branch, pos,
+  CASE WHEN doc % 5 = 4 THEN {_TPL('k')}
+       WHEN k % 3 = 0 THEN '{SHOP}/c/' || CAST(k AS VARCHAR)
+       WHEN k % 3 = 1 THEN '{SHOP}/u/' || CAST(k AS VARCHAR)
+       ELSE {_TPL('k')} END AS url FROM cp)
+SELECT url, doc, branch, pos FROM u
+QUALIFY row_number() OVER (PARTITION BY url ORDER BY doc, branch, pos) = 1"""
+ORACLE["category_ids_recursive"] = CATDOCS + f""",
+w AS (SELECT doc, k FROM cp WHERE doc % 5 = 4 OR k % 3 <> 0)
+SELECT doc, row_number() OVER (PARTITION BY doc ORDER BY k) - 1 AS pos, {_TPL('k')} AS url FROM w"""
+ORACLE["resolve_endpoints"] = RAW + f""",
+cand AS (SELECT source AS site, 'static' AS kind, 0 AS rk, k AS pos, endpoint AS url FROM raw_products
+  UNION ALL SELECT source, 'json', 1, k, '{SHOP}/j/' || CAST(k % 24 AS VARCHAR) FROM raw_products WHERE k % 3 <> 0
+  UNION ALL SELECT source, 'html', 2, k, '{SHOP}/h/' || CAST(k % 24 AS VARCHAR) FROM raw_products WHERE k % 3 = 2),
+best AS (SELECT site, max(rk) AS rk FROM cand GROUP BY site),
+chosen AS (SELECT c.* FROM cand c JOIN best b ON c.site = b.site AND c.rk = b.rk)
+SELECT site, kind, url, min(pos) AS pos FROM chosen GROUP BY site, kind, url"""

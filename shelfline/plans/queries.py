@@ -75,3 +75,353 @@ def q_price_gate(spark, sf):
 @query("dedup_first")
 def q_dedup_first(spark, sf):
     return flat_products(catalog(spark, sf))
+
+
+# ------------------------------------------------------ scalar normalisers
+
+def _k(spark, sf):
+    return raw(spark, sf)
+
+
+@query("format_price")
+def q_format_price(spark, sf):
+    r = _k(spark, sf)
+    return N.with_price_text(r, "price_text", "currency").select("k", "price_text", "currency", "price")
+
+
+@query("format_sale")
+def q_format_sale(spark, sf):
+    r = _k(spark, sf)
+    k = F.col("k")
+    r = r.select("k", "currency",
+                 F.when(k % 2 == 0, F.col("price_text")).alias("sale"),
+                 F.when(k % 3 == 0, F.lit("")).otherwise(F.lit(" 9,99 ")).alias("sale_price"))
+    return r.select("k", N.format_sale("sale", "currency", "sale_price").alias("sale"))
+
+
+AVAIL_CYCLE = ["In Stock", " sold out ", "preorder", "AVAILABLE", None, "weird", "out-of-stock", ""]
+
+
+@query("normalize_availability")
+def q_normalize_availability(spark, sf):
+    r = _k(spark, sf)
+    k = F.col("k")
+    r = r.select("k", FX._cycle(k, AVAIL_CYCLE).alias("availability"),
+                 F.when(k % 5 == 0, k % 2 == 0).alias("in_stock_flag"))
+    return r.select("k", N.normalize_availability("availability", "in_stock_flag").alias("availability"))
+
+
+@query("product_id")
+def q_product_id(spark, sf):
+    r = site_rows(spark, sf)
+    return r.select("k", N.product_id("source", "external_id", None, "product_url").alias("id"))
+
+
+@query("clean_title")
+def q_clean_title(spark, sf):
+    return _k(spark, sf).select("k", N.clean_title("title").alias("title"))
+
+
+@query("clean_description")
+def q_clean_description(spark, sf):
+    return _k(spark, sf).select("k", N.clean_description("description").alias("description"))
+
+
+def _media(r):
+    k = F.col("k")
+    arr = F.array(F.col("image_url"), F.concat(F.lit(" "), F.col("product_url"), F.lit(" ")),
+                  F.col("image_url"), F.lit(""))
+    return F.when(k % 4 != 0, arr)
+
+
+@query("image_gallery")
+def q_image_gallery(spark, sf):
+    r = _k(spark, sf).withColumn("_xmedia_urls", _media(None))
+    main, extra = N.image_gallery("_xmedia_urls", "image_url")
+    return r.select("k", main.alias("image_url"), F.array_join(extra, "|").alias("additional_images"))
+
+
+@query("normalize_gender")
+def q_normalize_gender(spark, sf):
+    return _k(spark, sf).select("k", N.normalize_gender("gender").alias("gender"))
+
+
+@query("normalize_size")
+def q_normalize_size(spark, sf):
+    return _k(spark, sf).select("k", N.normalize_size(None, "size_list").alias("size"))
+
+
+def _products_k(spark, sf):
+    return RW.to_product_row(site_rows(spark, sf), keep=["k", "endpoint_pos", "item_pos"])
+
+
+@query("build_product_url")
+def q_build_product_url(spark, sf):
+    return _products_k(spark, sf).select("k", "product_url")
+
+
+@query("build_metadata")
+def q_build_metadata(spark, sf):
+    return _products_k(spark, sf).select("k", N.metadata_text("metadata").alias("metadata_text"))
+
+
+@query("build_info_text")
+def q_build_info_text(spark, sf):
+    return RW.with_info_text(_products_k(spark, sf)).select("k", "info_text")
+
+
+@query("category_lookup")
+def q_category_lookup(spark, sf):
+    from shelfline.operators.maintain import categories_table, category_lookup
+    r = _k(spark, sf).select("k", "endpoint")
+    return category_lookup(r, categories_table(spark)).select("k", "category")
+
+
+@query("format_for_db")
+def q_format_for_db(spark, sf):
+    r = site_rows(spark, sf).withColumn("price", F.col("price_text"))
+    out = RW.format_for_db(r.drop("price_text"))
+    return out.select("id", "source", "product_url", "image_url", "title", "brand", "gender",
+                      "price", "second_hand", "description",
+                      F.col("metadata")["country"].alias("meta_country"))
+
+
+@query("is_allowed_image_url")
+def q_is_allowed_image_url(spark, sf):
+    return _k(spark, sf).select("k", N.is_allowed_image_url("image_url").alias("allowed"))
+
+
+def _image_candidates(r):
+    k = F.col("k")
+    ks = k.cast("string")
+    return None, F.when(k % 6 == 0, F.col("image_url")) \
+        .when(k % 6 == 1, F.concat(F.lit("https://static.zara.net/photos/"), ks, F.lit(".jpg"))) \
+        .when(k % 6 == 2, F.concat(F.lit("https://static.zara.net/photos///2024/V/0/1/p/"),
+                                   F.lpad(ks, 60, "0"), F.lit("-e1.jpg?w={width}&h={width}"))) \
+        .when(k % 6 == 3, F.concat(F.lit("https://cdn.example/v/"), ks, F.lit("/video.mp4"))) \
+        .when(k % 6 == 4, F.concat(F.lit("cdn.example//img//"), ks, F.lit("//a.JSON"))) \
+        .otherwise(F.concat(F.lit("  //cdn.example/i/"), ks, F.lit("-s.png ")))
+
+
+@query("is_embeddable_image_url")
+def q_is_embeddable_image_url(spark, sf):
+    r = _k(spark, sf)
+    cand = _image_candidates(r)[1]
+    return r.select("k", cand.alias("url")).select("k", "url",
+                                                   N.is_embeddable_image_url("url").alias("embeddable"))
+
+
+@query("clean_image_url")
+def q_clean_image_url(spark, sf):
+    r = _k(spark, sf)
+    cand = _image_candidates(r)[1]
+    return r.select("k", cand.alias("url")).select("k", N.clean_image_url("url").alias("clean_url"))
+
+
+@query("pick_image_url")
+def q_pick_image_url(spark, sf):
+    r = _k(spark, sf)
+    k = F.col("k")
+    r = r.select("k", "image_url",
+                 F.concat(F.lit("https://img.example/"), k.cast("string"),
+                          F.when(k % 2 == 0, F.lit("-s.jpg")).otherwise(F.lit(".jpg"))).alias("alt_url"),
+                 F.lit("data:image/gif;base64,R0").alias("placeholder"))
+    return RW.pick_image(r, ["image_url", "alt_url", "placeholder"], "picked").select("k", "picked")
+
+
+@query("required_fields_gate")
+def q_required_fields_gate(spark, sf):
+    r = site_rows(spark, sf).withColumn("price", F.col("price_text"))
+    return RW.required_fields_gate(r).select("k")
+
+
+# --------------------------------------------------------- de-dup, limits
+
+@query("limit_per_site")
+def q_limit_per_site(spark, sf):
+    p = RW.price_gate(_products_k(spark, sf))
+    out = D.limit_per_site(p, 5, site="source", order=["endpoint_pos", "item_pos"])
+    return out.select("k", "source", "id")
+
+
+@query("dedup_stats")
+def q_dedup_stats(spark, sf):
+    return D.dedup_stats(RW.price_gate(product_rows(spark, sf)), "id")
+
+
+@query("dedup_last")
+def q_dedup_last(spark, sf):
+    ev = FX.table(spark, sf, "events")
+    return D.dedup_last(ev.select("user_id", "event_id", "ts", "event_type", "value"),
+                        "user_id", ["ts", "event_id"])
+
+
+# ------------------------------------------------------------------- reads
+
+@query("read_products")
+def q_read_products(spark, sf):
+    return R.read_products(catalog(spark, sf, ["source", "title", "brand"]),
+                           ["id", "title", "brand"], source="src1")
+
+
+@query("product_count")
+def q_product_count(spark, sf):
+    return R.product_count(catalog(spark, sf, ["source"]))
+
+
+@query("product_count_source")
+def q_product_count_source(spark, sf):
+    return R.product_count(catalog(spark, sf, ["source"]), source="src2")
+
+
+@query("site_totals")
+def q_site_totals(spark, sf):
+    return R.site_totals(catalog(spark, sf, ["brand"]), "brand")
+
+
+@query("sample_products")
+def q_sample_products(spark, sf):
+    return R.sample_products(catalog(spark, sf, ["title", "brand"]), 3)
+
+
+@query("recent_products")
+def q_recent_products(spark, sf):
+    o = FX.table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("source"),
+        F.col("o_orderdate").alias("created_at"))
+    return R.recent_products(o, source="F", k=10).select(
+        "id", "source", F.col("created_at").cast("string").alias("created_at"))
+
+
+@query("select_sites")
+def q_select_sites(spark, sf):
+    from shelfline.sources.feeds import select_sites
+    sites = FX.sites_table(FX.table(spark, sf, "part"))
+    return select_sites(sites, "Brand#13, brand#22 ,BRAND#45").select("brand", "source")
+
+
+@query("apply_site_defaults")
+def q_apply_site_defaults(spark, sf):
+    r = site_rows(spark, sf)
+    return r.select("k", "merchant", "source", "country", "external_id", "product_url_template")
+
+
+# ------------------------------------------------------------------ feeds
+
+def _feeds(spark, sf):
+    return FX.feeds(raw(spark, sf))
+
+
+def _items(spark, sf):
+    from shelfline.sources.feeds import read_feed_items
+    return read_feed_items(_feeds(spark, sf))
+
+
+def _mapped(spark, sf):
+    from shelfline.sources.feeds import map_fields
+    return map_fields(_items(spark, sf), FX.FEED_MAPPING,
+                      keep=["endpoint_pos", "endpoint", "page", "item_pos"])
+
+
+def _usable(spark, sf):
+    from shelfline.sources.feeds import has_identifier, has_required_image
+    return has_required_image(has_identifier(_mapped(spark, sf)), FX.FEED_MAPPING)
+
+
+@query("read_feed_items")
+def q_read_feed_items(spark, sf):
+    return _items(spark, sf).select("endpoint_pos", "endpoint", "page", "item_pos",
+                                    F.col("item.id").alias("item_id"), F.col("item.name").alias("name"))
+
+
+@query("map_fields")
+def q_map_fields(spark, sf):
+    m = _mapped(spark, sf)
+    return m.select("endpoint_pos", "page", "item_pos", "external_id", "product_id", "title",
+                    "description", "gender", "price", "currency", "country", "image_url",
+                    F.array_join("_xmedia_urls", "|").alias("xmedia_urls"), "seo_keyword",
+                    "seo_product_id", "product_url", "brand")
+
+
+@query("with_provenance")
+def q_with_provenance(spark, sf):
+    from shelfline.sources.feeds import with_provenance
+    p = with_provenance(_items(spark, sf))
+    return p.select("endpoint_pos", "page", "item_pos", F.col("_meta.source").alias("meta_source"),
+                    F.col("_meta.endpoint").alias("meta_endpoint"))
+
+
+@query("has_identifier")
+def q_has_identifier(spark, sf):
+    from shelfline.sources.feeds import has_identifier
+    return has_identifier(_mapped(spark, sf)).select("endpoint_pos", "page", "item_pos", "external_id")
+
+
+@query("has_required_image")
+def q_has_required_image(spark, sf):
+    return _usable(spark, sf).select("endpoint_pos", "page", "item_pos", "external_id", "image_url")
+
+
+@query("ingest_stats")
+def q_ingest_stats(spark, sf):
+    from shelfline.sources.feeds import ingest_stats
+    return ingest_stats(_mapped(spark, sf), "endpoint", FX.FEED_MAPPING)
+
+
+@query("union_batches")
+def q_union_batches(spark, sf):
+    from shelfline.sources.feeds import (read_feed_items, map_fields, has_identifier,
+                                         has_required_image, union_batches)
+    docs = _feeds(spark, sf)
+    parts = []
+    for cond in (F.col("endpoint_pos") < 12, F.col("endpoint_pos") >= 12):
+        items = read_feed_items(docs.filter(cond))
+        m = map_fields(items, FX.FEED_MAPPING, keep=["endpoint_pos", "endpoint", "page", "item_pos"])
+        parts.append(has_required_image(has_identifier(m), FX.FEED_MAPPING))
+    return union_batches(*parts).select("endpoint_pos", "page", "item_pos", "external_id")
+
+
+@query("fallback_to_pages")
+def q_fallback_to_pages(spark, sf):
+    from shelfline.sources.feeds import fallback_to_pages
+    r = raw(spark, sf)
+    feed_products = _usable(spark, sf).select(
+        "endpoint_pos", "endpoint", F.lit("feed").alias("origin"),
+        F.col("seo_product_id").alias("item_id"), "external_id")
+    pages = FX.page_rows(r).withColumn("origin", F.lit("page"))
+    out = fallback_to_pages(FX.feeds(r), feed_products, pages)
+    return out.select("origin", "item_id", "external_id")
+
+
+@query("category_endpoints")
+def q_category_endpoints(spark, sf):
+    from shelfline.sources.feeds import category_endpoints
+    docs = FX.category_docs(FX.table(spark, sf, "part"))
+    return category_endpoints(docs, FX.CATEGORY_TEMPLATE)
+
+
+@query("category_ids_recursive")
+def q_category_ids_recursive(spark, sf):
+    from shelfline.sources.feeds import category_ids_recursive
+    docs = FX.category_docs(FX.table(spark, sf, "part"))
+    return category_ids_recursive(docs, FX.CATEGORY_TEMPLATE).select("doc", "pos", "url")
+
+
+def endpoint_candidates(r):
+    k = F.col("k")
+    static = r.select(F.col("source").alias("site"), F.lit("static").alias("kind"),
+                      k.alias("pos"), F.col("endpoint").alias("url"))
+    js = r.filter(k % 3 != 0).select(F.col("source").alias("site"), F.lit("json").alias("kind"),
+                                     k.alias("pos"),
+                                     F.concat(F.lit(FX.SHOP + "/j/"), (k % 24).cast("string")).alias("url"))
+    html = r.filter(k % 3 == 2).select(F.col("source").alias("site"), F.lit("html").alias("kind"),
+                                       k.alias("pos"),
+                                       F.concat(F.lit(FX.SHOP + "/h/"), (k % 24).cast("string")).alias("url"))
+    return static.unionByName(js).unionByName(html)
+
+
+@query("resolve_endpoints")
+def q_resolve_endpoints(spark, sf):
+    from shelfline.sources.feeds import resolve_endpoints
+    chosen = resolve_endpoints(endpoint_candidates(raw(spark, sf)))
+    return D.ordered_distinct(chosen, "url", ["pos"], group=["site", "kind"])
