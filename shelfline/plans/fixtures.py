@@ -6,7 +6,7 @@ table; nothing is sampled or capped.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfline import constants as K
@@ -177,3 +177,142 @@ def page_rows(raw: DataFrame) -> DataFrame:
     """Products of category pages, keyed by the endpoint without its query string."""
     return raw.select(F.substring_index("endpoint", "?", 1).alias("page_key"),
                       F.col("k").cast("string").alias("item_id"), "external_id")
+
+
+# --------------------------------------------------- F3 table maintenance
+
+def maintenance_target(part: DataFrame) -> DataFrame:
+    """Target table: part rows with k % 4 <> 0."""
+    k = F.col("p_partkey")
+    return part.filter(k % 4 != 0).select(
+        F.concat(F.lit("P"), k.cast("string")).alias("id"),
+        F.concat(F.lit("src"), (k % 3).cast("string")).alias("source"),
+        F.col("p_name").alias("title"),
+        F.concat(F.col("p_size").cast("string"), F.lit("USD")).alias("price"),
+        F.array(F.col("p_size").cast("float"), F.col("p_retailprice").cast("float")).alias("image_embedding"),
+    )
+
+
+def maintenance_batch(part: DataFrame) -> DataFrame:
+    """Batch: even k, changed price, no title, a new image_url column, some null
+    vectors, and a legacy ``embedding`` column the upsert must not write."""
+    k = F.col("p_partkey")
+    vec = F.array((F.col("p_size") + 1).cast("float"), F.col("p_retailprice").cast("float"))
+    return part.filter(k % 2 == 0).select(
+        F.concat(F.lit("P"), k.cast("string")).alias("id"),
+        F.concat(F.lit("src"), (k % 3).cast("string")).alias("source"),
+        F.concat((F.col("p_size") + 1).cast("string"), F.lit("USD")).alias("price"),
+        F.concat(F.lit("https://img.example/"), k.cast("string"), F.lit("-e1.jpg")).alias("image_url"),
+        F.when(k % 6 != 0, vec).alias("image_embedding"),
+        vec.alias("embedding"),
+    )
+
+
+# ------------------------------------------------------- F4 card pages
+
+CARDS_PER_PAGE = 20
+
+
+def _cents(c):
+    return (F.col(c) * 100).cast("bigint")
+
+
+def card_pages(part: DataFrame) -> DataFrame:
+    """Category pages with product cards and an embedded JSON product list.
+
+    One page per CARDS_PER_PAGE parts (bounded page size). Cards vary the id
+    source (data attribute, test id, wishlist test id, link handle), the image
+    (root-relative and disallowed, asset-relative, protocol-relative) and the
+    title (empty for every ninth).
+    """
+    k = F.col("p_partkey")
+    ks = k.cast("string")
+    cents = _cents("p_retailprice")
+    price = F.concat(F.lit("$"), (cents / 100).cast("bigint").cast("string"), F.lit("."),
+                     F.lpad((cents % 100).cast("string"), 2, "0"))
+    id_attrs = (F.when(k % 5 == 0, F.concat(F.lit(' data-testid="plp-productCard-'), ks, F.lit('-select"')))
+                .when(k % 5 == 1, F.concat(F.lit(' data-testid="plp-productCard-Wishlist-'), ks, F.lit('"')))
+                .when(k % 5 == 2, F.lit(""))
+                .otherwise(F.concat(F.lit(' data-product-id="'), ks, F.lit('"'))))
+    img = (F.when(k % 7 == 0, F.concat(F.lit("/assets/"), ks, F.lit(".jpg")))
+           .when(k % 7 == 1, F.concat(F.lit("assets/"), ks, F.lit("-s.jpg")))
+           .otherwise(F.concat(F.lit("//img.example/"), ks, F.lit("-e1.jpg"))))
+    title = F.when(k % 9 == 0, F.lit("")).otherwise(F.col("p_name"))
+    card = F.concat(F.lit('<div class="card"'), id_attrs, F.lit('><a href="/products/handle-'), ks,
+                    F.lit('?v=1">'), title, F.lit('</a><img src="'), img,
+                    F.lit('"><span class="price">'), price, F.lit("</span></div>"))
+    emb = F.concat(F.lit('{"id":"'), ks, F.lit('","name":"Emb '), F.col("p_name"),
+                   F.lit('","description":"'), F.col("p_type"), F.lit('","sizes":[{"price":"'),
+                   cents.cast("string"), F.lit('"}]}'))
+    page = F.floor(k / CARDS_PER_PAGE).cast("bigint")
+    g = (part.select(page.alias("page_id"), k.alias("k"), card.alias("card"), emb.alias("emb"))
+         .groupBy("page_id").agg(F.sort_array(F.collect_list(F.struct("k", "card", "emb"))).alias("_l")))
+    cards = F.array_join(F.transform("_l", lambda x: x["card"]), "")
+    embs = F.array_join(F.transform("_l", lambda x: x["emb"]), ",")
+    html = F.concat(F.lit('<html><body><script type="application/json">{"products":['), embs,
+                    F.lit("]}</script>"), cards, F.lit("</body></html>"))
+    return g.select("page_id", F.concat(F.lit(SHOP + "/cards/"), F.col("page_id").cast("string")).alias("url"),
+                    html.alias("html"))
+
+
+# ------------------------------------------------------------ F5 sitemaps
+
+SITEMAP_ROOT = "https://sitemaps.example/root.xml"
+SITEMAP_LEAF_PAGES = 50
+
+
+def _xml_escape(c):
+    return F.replace(c, F.lit("&"), F.lit("&amp;"))
+
+
+def sitemaps(pages: DataFrame) -> DataFrame:
+    """root -> 2 indexes -> leaves (per host, SITEMAP_LEAF_PAGES pages each).
+
+    Index 0 also lists the root (a cycle) and a malformed document; index 1
+    lists its first leaf twice; every first leaf of a host lists a deeper
+    sitemap that must not be reached; every tenth page adds an image:loc.
+    """
+    host = F.regexp_extract("url", r"://([^/?#]+)", 1)
+    leaf_no = F.floor(F.col("page_id") / SITEMAP_LEAF_PAGES).cast("bigint")
+    p = pages.select("page_id", "url", host.alias("host"), leaf_no.alias("leaf_no"))
+    entry = F.concat(F.lit("<url><loc>"), _xml_escape(F.col("url")), F.lit("</loc>"),
+                     F.when(F.col("page_id") % 10 == 0,
+                            F.concat(F.lit("<image:image><image:loc>https://"), F.col("host"),
+                                     F.lit("/img/"), F.col("page_id").cast("string"),
+                                     F.lit(".jpg</image:loc></image:image>"))).otherwise(F.lit("")),
+                     F.lit("</url>"))
+    leaf_url = F.concat(F.lit("https://"), F.col("host"), F.lit("/sitemap-"),
+                        F.col("leaf_no").cast("string"), F.lit(".xml"))
+    leaves = (p.withColumn("entry", entry)
+              .groupBy("host", "leaf_no")
+              .agg(F.sort_array(F.collect_list(F.struct("page_id", "entry"))).alias("_l")))
+    first_leaf = F.col("leaf_no") == F.min("leaf_no").over(Window.partitionBy("host"))
+    deep = F.when(first_leaf, F.concat(F.lit("<url><loc>https://"), F.col("host"),
+                                       F.lit("/deep.xml</loc></url>"))).otherwise(F.lit(""))
+    leaf_docs = leaves.select(
+        "host", "leaf_no", leaf_url.alias("url"),
+        F.concat(F.lit('<?xml version="1.0"?><urlset xmlns:image="http://img">'),
+                 F.array_join(F.transform("_l", lambda x: x["entry"]), ""), deep,
+                 F.lit("</urlset>")).alias("xml"))
+    deep_docs = p.select("host").distinct().select(
+        F.concat(F.lit("https://"), F.col("host"), F.lit("/deep.xml")).alias("url"),
+        F.concat(F.lit("<urlset><url><loc>https://"), F.col("host"),
+                 F.lit("/never-reached</loc></url></urlset>")).alias("xml"))
+    idx = (leaf_docs.select((F.length("host") % 2).alias("ix"), "host", "leaf_no", "url")
+           .groupBy("ix").agg(F.sort_array(F.collect_list(F.struct("host", "leaf_no", "url"))).alias("_l")))
+    sm = lambda u: F.concat(F.lit("<sitemap><loc>"), u, F.lit("</loc></sitemap>"))
+    extra = (F.when(F.col("ix") == 0, F.concat(sm(F.lit(SITEMAP_ROOT)),
+                                               sm(F.lit("https://sitemaps.example/broken.xml"))))
+             .otherwise(sm(F.col("_l")[0]["url"])))
+    index_docs = idx.select(
+        F.concat(F.lit("https://sitemaps.example/index-"), F.col("ix").cast("string"), F.lit(".xml")).alias("url"),
+        F.concat(F.lit("<sitemapindex>"), F.array_join(F.transform("_l", lambda x: sm(x["url"])), ""),
+                 extra, F.lit("</sitemapindex>")).alias("xml"))
+    spark = pages.sparkSession
+    fixed = spark.createDataFrame([
+        (SITEMAP_ROOT, "<sitemapindex><sitemap><loc>https://sitemaps.example/index-0.xml</loc></sitemap>"
+                       "<sitemap><loc>https://sitemaps.example/index-1.xml</loc></sitemap></sitemapindex>"),
+        ("https://sitemaps.example/broken.xml",
+         "<urlset><url><loc>https://broken.example/a</loc></url><url><loc>https://broken.example/b"),
+    ], "url string, xml string")
+    return fixed.unionByName(index_docs).unionByName(leaf_docs.select("url", "xml")).unionByName(deep_docs)

@@ -208,3 +208,171 @@ cand AS (SELECT source AS site, 'static' AS kind, 0 AS rk, k AS pos, endpoint AS
 best AS (SELECT site, max(rk) AS rk FROM cand GROUP BY site),
 chosen AS (SELECT c.* FROM cand c JOIN best b ON c.site = b.site AND c.rk = b.rk)
 SELECT site, kind, url, min(pos) AS pos FROM chosen GROUP BY site, kind, url"""
+
+# ------------------------------------------------------ table maintenance
+MAINT = """WITH t AS (SELECT 'P' || CAST(p_partkey AS VARCHAR) AS id, 'src' || CAST(p_partkey % 3 AS VARCHAR) AS source,
+    p_name AS title, CAST(p_size AS VARCHAR) || 'USD' AS price, CAST(NULL AS VARCHAR) AS image_url,
+    [CAST(p_size AS FLOAT), CAST(p_retailprice AS FLOAT)] AS image_embedding
+  FROM part WHERE p_partkey % 4 <> 0),
+b AS (SELECT 'P' || CAST(p_partkey AS VARCHAR) AS id, 'src' || CAST(p_partkey % 3 AS VARCHAR) AS source,
+    CAST(p_size + 1 AS VARCHAR) || 'USD' AS price, 'https://img.example/' || CAST(p_partkey AS VARCHAR) || '-e1.jpg' AS image_url,
+    CASE WHEN p_partkey % 6 <> 0 THEN [CAST(p_size + 1 AS FLOAT), CAST(p_retailprice AS FLOAT)] END AS image_embedding
+  FROM part WHERE p_partkey % 2 = 0),
+u AS (SELECT * FROM t WHERE id NOT IN (SELECT id FROM b)
+  UNION ALL SELECT b.id, b.source, t.title, b.price, b.image_url, b.image_embedding FROM b LEFT JOIN t ON b.id = t.id)
+"""
+_VEC = ("CASE WHEN image_embedding IS NOT NULL THEN len(image_embedding) END AS emb_dim, "
+        "CAST(image_embedding[1] AS DOUBLE) AS emb_first")
+ORACLE["upsert_products"] = MAINT + f"SELECT id, source, title, price, image_url, {_VEC} FROM u"
+ORACLE["prune_missing"] = MAINT + f"""SELECT id, source, title, price, image_url, {_VEC} FROM u
+WHERE source <> 'src1' OR id IN (SELECT id FROM b)"""
+ORACLE["pending_embeddings"] = MAINT + """SELECT id, image_url FROM b
+WHERE id NOT IN (SELECT id FROM t) AND image_embedding IS NULL"""
+ORACLE["align_columns"] = """
+SELECT 'P' || CAST(p_partkey AS VARCHAR) AS id, 'src' || CAST(p_partkey % 3 AS VARCHAR) AS source,
+  CAST(p_size + 1 AS VARCHAR) || 'USD' AS price, CAST(NULL AS VARCHAR) AS title, CAST(NULL AS VARCHAR) AS image_url
+FROM part WHERE p_partkey % 2 = 0
+UNION ALL
+SELECT 'P' || CAST(p_partkey AS VARCHAR), NULL, NULL, p_name, 'https://img.example/' || CAST(p_partkey AS VARCHAR) || '-s.jpg'
+FROM part WHERE p_partkey % 2 = 1"""
+ORACLE["reset_vector_column"] = """
+SELECT vec_id, label, (embedding IS NULL OR len(embedding) <> 768) AS reset FROM embeddings"""
+
+# -------------------------------------------------------------- page jobs
+from shelfline.plans.queries import PAGE_FIELDS, SCAN_PATTERN, HTML_TEMPLATE, HTML_ID_REGEX  # noqa: E402
+from shelfline.plans.fixtures import SITEMAP_ROOT  # noqa: E402
+
+
+def _rx(r: str) -> str:
+    return q(r)
+
+
+ORACLE["page_fields"] = f"""
+SELECT page_id, url,
+  coalesce({S.node_text(f"regexp_extract(html, {_rx(PAGE_FIELDS['title'])}, 1)")}, '') AS title,
+  coalesce({S.node_text(f"regexp_extract(html, {_rx(PAGE_FIELDS['description'])}, 1)")}, '') AS description,
+  '' AS price,
+  CASE WHEN {S.is_allowed_image(f"regexp_extract(html, {_rx(PAGE_FIELDS['image_url'])}, 1)")}
+       THEN regexp_extract(html, {_rx(PAGE_FIELDS['image_url'])}, 1) ELSE '' END AS image_url
+FROM pages"""
+
+ANCHORS = r"""WITH tags AS (SELECT page_id, url, unnest(regexp_extract_all(html, '<a\s[^>]*>', 0)) AS tag,
+  generate_subscripts(regexp_extract_all(html, '<a\s[^>]*>', 0), 1) - 1 AS pos FROM pages),
+h AS (SELECT page_id, url, pos, """ + f"""coalesce({S.attr('tag', 'href')}, {S.attr('tag', 'data-href')}, {S.attr('tag', 'data-url')}) AS href,
+  {S.attr('tag', 'href')} AS href_only FROM tags),
+links AS (SELECT page_id, pos, {S.resolve_url(S.unescape('href'), 'url')} AS link FROM h
+  WHERE href IS NOT NULL AND {S.is_http(S.resolve_url(S.unescape('href'), 'url'))})
+"""
+ORACLE["page_links"] = ANCHORS + "SELECT page_id, pos, link FROM links"
+ORACLE["resolve_url"] = ANCHORS + f"SELECT page_id, pos, href_only AS href, {S.resolve_url('href_only', 'url')} AS resolved FROM h"
+ORACLE["ordered_distinct"] = ANCHORS + """SELECT link, page_id, pos FROM links
+QUALIFY row_number() OVER (PARTITION BY link ORDER BY page_id, pos) = 1"""
+
+_JL = r"regexp_extract_all(html, '(?is)<script[^>]*application/ld\+json[^>]*>(.*?)</script>', 1)"
+ORACLE["jsonld_urls"] = f"""WITH b AS (SELECT page_id, url, flatten(list_transform({_JL},
+  lambda b: regexp_extract_all(b, '"url"\\s*:\\s*"([^"]*)"', 1))) AS found FROM pages),
+u AS (SELECT page_id, url, unnest(found) AS u, generate_subscripts(found, 1) - 1 AS pos FROM b)
+SELECT page_id, pos, {S.resolve_url('u', 'url')} AS link FROM u"""
+
+_ATTR_RX = f"""(?:href|data-href|data-url)=["']([^"']*{SCAN_PATTERN}[^"']*)"""
+_TEXT_RX = f"""https?://[^\\s"']*{SCAN_PATTERN}[^\\s"']*"""
+SCAN = f"""scan_a AS (SELECT page_id, url, unnest(regexp_extract_all(html, {q(_ATTR_RX)}, 1)) AS u,
+  generate_subscripts(regexp_extract_all(html, {q(_ATTR_RX)}, 1), 1) - 1 AS pos FROM pages),
+scan_t AS (SELECT page_id, unnest(regexp_extract_all(html, {q(_TEXT_RX)}, 0)) AS link,
+  generate_subscripts(regexp_extract_all(html, {q(_TEXT_RX)}, 0), 1) - 1 AS pos FROM pages),
+scan AS (SELECT page_id, 0 AS branch, pos, {S.resolve_url('u', 'url')} AS link FROM scan_a
+  UNION ALL SELECT page_id, 1 AS branch, pos, link FROM scan_t)
+"""
+ORACLE["product_url_scan"] = "WITH " + SCAN + "SELECT page_id, branch, pos, link FROM scan"
+ORACLE["category_links"] = ANCHORS + "," + SCAN + """,
+allp AS (SELECT page_id, 0 AS src, 0 AS branch, pos, link FROM links
+  UNION ALL SELECT page_id, 2 AS src, branch, pos, link FROM scan)
+SELECT page_id, link, src, branch, pos FROM allp
+QUALIFY row_number() OVER (PARTITION BY page_id, link ORDER BY src, branch, pos) = 1"""
+
+_CID = (f"coalesce(nullif(regexp_extract(split_part(url, '#', 1), '[?&]page=([^&#]*)', 1), ''), "
+        f"nullif(regexp_extract(url, {q(HTML_ID_REGEX)}, 1), ''))")
+ORACLE["html_endpoints"] = f"""WITH own AS (SELECT page_id, {_CID} AS cid FROM pages),
+e AS (SELECT page_id, 1 AS src, 0 AS pos, replace({q(HTML_TEMPLATE)}, '{{category_id}}', cid) AS endpoint
+  FROM own WHERE cid IS NOT NULL)
+SELECT endpoint, page_id, src, pos FROM e WHERE starts_with(endpoint, 'http')
+QUALIFY row_number() OVER (PARTITION BY endpoint ORDER BY page_id, src, pos) = 1"""
+
+ORACLE["append_query_flag"] = f"SELECT page_id, {S.append_flag('url')} AS endpoint FROM pages"
+ORACLE["url_contains_any"] = """SELECT page_id, url FROM pages
+WHERE coalesce(contains(url, '/en/'), false) OR coalesce(contains(url, '.html'), false)"""
+ORACLE["take_until_empty_page"] = """WITH c AS (SELECT page_id, regexp_extract(url, '://([^/?#]+)', 1) AS site,
+  page_id % 12 AS page, len(regexp_extract_all(html, 'href="/[A-Z]', 0)) AS n_items FROM pages),
+s AS (SELECT site, min(page) AS stop FROM c WHERE n_items = 0 GROUP BY site)
+SELECT c.page_id, c.site, c.page, c.n_items FROM c LEFT JOIN s ON c.site = s.site
+WHERE c.page <= 10 AND (s.stop IS NULL OR c.page < s.stop)"""
+
+ORACLE["parse_price_number"] = """SELECT doc_id,
+  CAST(nullif(regexp_extract(text, '(\\d+(?:\\.\\d{2})?)', 1), '') AS DOUBLE) AS price FROM documents"""
+
+# Card pages restated from part (no HTML detour).
+CARDS = f"""WITH c AS (SELECT p_partkey AS k, CAST(floor(p_partkey / 20) AS BIGINT) AS page_id,
+  row_number() OVER (PARTITION BY CAST(floor(p_partkey / 20) AS BIGINT) ORDER BY p_partkey) - 1 AS card_pos,
+  p_name, p_type, CAST(p_retailprice * 100 AS BIGINT) AS cents FROM part),
+cards AS (SELECT page_id, card_pos, k, p_name, p_type, cents,
+  CASE k % 5 WHEN 0 THEN CAST(k AS VARCHAR) WHEN 1 THEN 'plp-productCard-Wishlist-' || CAST(k AS VARCHAR)
+    WHEN 2 THEN 'handle-' || CAST(k AS VARCHAR) ELSE CAST(k AS VARCHAR) END AS card_id,
+  '{SHOP}/products/handle-' || CAST(k AS VARCHAR) || '?v=1' AS product_url,
+  CASE WHEN k % 7 = 0 THEN NULL WHEN k % 7 = 1 THEN '{SHOP}/cards/assets/' || CAST(k AS VARCHAR) || '-s.jpg'
+    ELSE 'https://img.example/' || CAST(k AS VARCHAR) || '-e1.jpg' END AS image_url,
+  CAST(CAST(cents // 100 AS VARCHAR) || '.' || lpad(CAST(cents % 100 AS VARCHAR), 2, '0') AS DOUBLE) AS price,
+  CASE WHEN k % 9 = 0 THEN NULL ELSE p_name END AS title FROM c)
+"""
+ORACLE["extract_cards"] = CARDS + """SELECT page_id, card_pos, card_id, product_url, image_url, price,
+  coalesce(title, 'Product ' || card_id) AS title FROM cards WHERE image_url IS NOT NULL"""
+ORACLE["embedded_products"] = CARDS + """SELECT page_id, card_pos AS emb_pos, CAST(k AS VARCHAR) AS product_id,
+  'Emb ' || p_name AS title, p_type AS description, CAST(CAST(cents AS DOUBLE) / 100 AS VARCHAR) AS price,
+  CAST(NULL AS VARCHAR) AS image_url FROM cards"""
+ORACLE["match_cards_to_embedded"] = CARDS + """SELECT page_id, card_pos, card_id,
+  coalesce(title, CASE WHEN k % 5 IN (0, 3, 4) THEN 'Emb ' || p_name END) AS title,
+  CASE WHEN k % 5 IN (0, 3, 4) THEN p_type END AS description, price, image_url
+FROM cards WHERE image_url IS NOT NULL"""
+
+CARD_INPUTS = f"""WITH ci AS (SELECT p_partkey AS k,
+  CASE p_partkey % 4 WHEN 0 THEN '{SHOP}/products/handle-' || CAST(p_partkey AS VARCHAR) || '?v=1'
+    WHEN 1 THEN '{SHOP}/a/products/x/products/h' || CAST(p_partkey AS VARCHAR) || '/more'
+    WHEN 2 THEN '{SHOP}/products/' ELSE '{SHOP}/item/' || CAST(p_partkey AS VARCHAR) END AS url,
+  CASE p_partkey % 3 WHEN 0 THEN 'plp-productCard-' || CAST(p_partkey AS VARCHAR) || '-select'
+    WHEN 1 THEN 'plp-productCard-Wishlist-' || CAST(p_partkey AS VARCHAR) ELSE 'tile-' || CAST(p_partkey AS VARCHAR) END AS testid,
+  CASE p_partkey % 6 WHEN 0 THEN '//cdn.example/' || CAST(p_partkey AS VARCHAR) || '-e1.jpg'
+    WHEN 1 THEN '/img/' || CAST(p_partkey AS VARCHAR) || '-s.jpg'
+    WHEN 2 THEN 'assets/' || CAST(p_partkey AS VARCHAR) || '-ult21.jpg'
+    WHEN 3 THEN 'https://cdn.example/' || CAST(p_partkey AS VARCHAR) || '.jpg'
+    WHEN 4 THEN 'img/' || CAST(p_partkey AS VARCHAR) || '-e1.jpg'
+    ELSE '/x/' || CAST(p_partkey AS VARCHAR) || '-s.png' END AS src,
+  CASE p_partkey % 3 WHEN 0 THEN 'https://www.shop.example/cz/en/women/dresses'
+    WHEN 1 THEN 'https://www.shop.example/en_us/list' ELSE 'https://www.shop.example/c/list' END AS page_url
+  FROM part)
+"""
+_HANDLE = "split_part(split_part(string_split(url, '/products/')[-1], '?', 1), '/', 1)"
+ORACLE["product_handle"] = CARD_INPUTS + f"""SELECT k, CASE WHEN contains(url, '/products/') THEN nullif({_HANDLE}, '') END AS handle FROM ci"""
+ORACLE["card_product_id"] = CARD_INPUTS + """SELECT k, CASE WHEN contains(testid, 'productCard') AND NOT contains(testid, 'Wishlist')
+  THEN coalesce(nullif(regexp_extract(testid, 'productCard-(\\d+)', 1), ''), testid) ELSE testid END AS card_id FROM ci"""
+_BASE = ("CASE WHEN contains(page_url, '/cz/en/') THEN split_part(page_url, '/cz/en/', 1) "
+         "WHEN contains(page_url, '/en_us/') THEN split_part(page_url, '/en_us/', 1) "
+         "ELSE regexp_extract(page_url, '^(.*)/', 1) END")
+ORACLE["absolutize_image_url"] = CARD_INPUTS + f""", a AS (SELECT k, CASE WHEN starts_with(src, '//') THEN 'https:' || src
+  WHEN starts_with(src, '/') THEN {S.origin(_BASE)} || src
+  WHEN starts_with(src, 'assets/') THEN ({_BASE}) || '/' || src
+  WHEN starts_with(src, 'http') THEN src ELSE '' END AS full_url FROM ci)
+SELECT k, CASE WHEN {S.is_allowed_image('full_url')} THEN full_url ELSE '' END AS image_url FROM a"""
+
+# The BFS result restated from the fixture's structure: pages and image locs of
+# the leaves, all at depth 2 (root -> index -> leaf); deeper sitemaps are not
+# reached and the malformed document contributes nothing.
+ORACLE["expand_sitemaps"] = """WITH p AS (SELECT page_id, url, regexp_extract(url, '://([^/?#]+)', 1) AS host,
+  CAST(floor(page_id / 50) AS BIGINT) AS leaf_no FROM pages),
+leaves AS (SELECT DISTINCT host, leaf_no, length(host) % 2 AS ix FROM p),
+leaf_pos AS (SELECT host, leaf_no, ix, row_number() OVER (PARTITION BY ix ORDER BY host, leaf_no) - 1 AS lpos FROM leaves),
+pp AS (SELECT p.*, row_number() OVER (PARTITION BY host, leaf_no ORDER BY page_id) - 1 AS i,
+  coalesce(sum(CASE WHEN page_id % 10 = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY host, leaf_no ORDER BY page_id
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS imgs_before FROM p),
+res AS (SELECT url, [0, ix, lpos, i + imgs_before] AS ord FROM pp JOIN leaf_pos USING (host, leaf_no)
+  UNION ALL SELECT 'https://' || host || '/img/' || CAST(page_id AS VARCHAR) || '.jpg', [0, ix, lpos, i + imgs_before + 1]
+  FROM pp JOIN leaf_pos USING (host, leaf_no) WHERE page_id % 10 = 0)
+SELECT url, 2 AS depth, array_to_string(min(ord), '.') AS ord FROM res GROUP BY url"""

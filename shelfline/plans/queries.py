@@ -425,3 +425,236 @@ def q_resolve_endpoints(spark, sf):
     from shelfline.sources.feeds import resolve_endpoints
     chosen = resolve_endpoints(endpoint_candidates(raw(spark, sf)))
     return D.ordered_distinct(chosen, "url", ["pos"], group=["site", "kind"])
+
+
+# ------------------------------------------------------ table maintenance
+
+def _vec_cols(df, c="image_embedding"):
+    return [F.when(F.col(c).isNotNull(), F.size(c)).alias("emb_dim"),
+            F.element_at(c, 1).cast("double").alias("emb_first")]
+
+
+def _upserted(spark, sf):
+    from shelfline.operators.maintain import upsert_products
+    part = FX.table(spark, sf, "part")
+    return upsert_products(FX.maintenance_target(part), FX.maintenance_batch(part))
+
+
+@query("upsert_products")
+def q_upsert_products(spark, sf):
+    return _upserted(spark, sf).select("id", "source", "title", "price", "image_url",
+                                       *_vec_cols(None))
+
+
+@query("prune_missing")
+def q_prune_missing(spark, sf):
+    from shelfline.operators.maintain import prune_missing
+    part = FX.table(spark, sf, "part")
+    pruned = prune_missing(_upserted(spark, sf), FX.maintenance_batch(part).select("id"), "src1")
+    return pruned.select("id", "source", "title", "price", "image_url", *_vec_cols(None))
+
+
+@query("pending_embeddings")
+def q_pending_embeddings(spark, sf):
+    from shelfline.operators.maintain import pending_embeddings
+    part = FX.table(spark, sf, "part")
+    return pending_embeddings(FX.maintenance_target(part), FX.maintenance_batch(part))
+
+
+@query("align_columns")
+def q_align_columns(spark, sf):
+    from shelfline.operators.maintain import align_columns
+    part = FX.table(spark, sf, "part")
+    a = FX.maintenance_batch(part).select("id", "source", "price", "embedding")
+    k = F.col("p_partkey")
+    b = part.filter(k % 2 == 1).select(F.concat(F.lit("P"), k.cast("string")).alias("id"),
+                                       F.col("p_name").alias("title"),
+                                       F.concat(F.lit("https://img.example/"), k.cast("string"),
+                                                F.lit("-s.jpg")).alias("image_url"))
+    return align_columns(a, b)
+
+
+@query("reset_vector_column")
+def q_reset_vector_column(spark, sf):
+    from shelfline.operators.maintain import reset_vector_column
+    e = FX.table(spark, sf, "embeddings")
+    out = reset_vector_column(e, "embedding", 768, keep_matching=True)
+    return out.select("vec_id", "label", F.col("embedding").isNull().alias("reset"))
+
+
+# ------------------------------------------------------------- page jobs
+
+PAGE_FIELDS = {
+    "title": r"(?is)<title\b[^>]*>(.*?)</title>",
+    "description": r"(?is)<h1\b[^>]*>(.*?)</h1>",
+    "price": None,
+    "image_url": r"""(?is)<img\s[^>]*src\s*=\s*["']([^"']*)["']""",
+}
+SCAN_PATTERN = "[A-Z]"
+HTML_TEMPLATE = FX.SHOP + "/category/{category_id}/products"
+HTML_ID_REGEX = r"/(?:en|fr|de|es)/(\d+)"
+
+
+def _pages(spark, sf):
+    return FX.table(spark, sf, "pages")
+
+
+@query("page_fields")
+def q_page_fields(spark, sf):
+    from shelfline.sources.pages import page_fields
+    return page_fields(_pages(spark, sf), PAGE_FIELDS)
+
+
+@query("page_links")
+def q_page_links(spark, sf):
+    from shelfline.sources.pages import page_links
+    return page_links(_pages(spark, sf))
+
+
+@query("jsonld_urls")
+def q_jsonld_urls(spark, sf):
+    from shelfline.sources.pages import jsonld_urls
+    return jsonld_urls(_pages(spark, sf))
+
+
+@query("product_url_scan")
+def q_product_url_scan(spark, sf):
+    from shelfline.sources.pages import product_url_scan
+    return product_url_scan(_pages(spark, sf), SCAN_PATTERN)
+
+
+@query("category_links")
+def q_category_links(spark, sf):
+    from shelfline.sources.pages import category_links
+    return category_links(_pages(spark, sf), SCAN_PATTERN)
+
+
+@query("html_endpoints")
+def q_html_endpoints(spark, sf):
+    from shelfline.sources.pages import html_endpoints
+    return html_endpoints(_pages(spark, sf), HTML_TEMPLATE, HTML_ID_REGEX, "page")
+
+
+@query("resolve_url")
+def q_resolve_url(spark, sf):
+    from shelfline.functions.urls import resolve_url
+    from shelfline.sources.pages import ANCHOR, _attr
+    p = _pages(spark, sf)
+    tags = p.select("page_id", "url", F.posexplode(F.regexp_extract_all("html", F.lit(ANCHOR), 0))
+                    .alias("pos", "tag"))
+    href = _attr(F.col("tag"), "href")
+    return tags.select("page_id", "pos", href.alias("href"),
+                       resolve_url(href, F.col("url")).alias("resolved"))
+
+
+@query("append_query_flag")
+def q_append_query_flag(spark, sf):
+    from shelfline.functions.urls import append_query_flag
+    return _pages(spark, sf).select("page_id", append_query_flag("url").alias("endpoint"))
+
+
+@query("ordered_distinct")
+def q_ordered_distinct(spark, sf):
+    from shelfline.sources.pages import page_links
+    return D.ordered_distinct(page_links(_pages(spark, sf)), "link", ["page_id", "pos"])
+
+
+@query("url_contains_any")
+def q_url_contains_any(spark, sf):
+    from shelfline.sources.pages import url_contains_any
+    return url_contains_any(_pages(spark, sf), ["/en/", ".html", ""]).select("page_id", "url")
+
+
+def page_card_counts(pages):
+    host = F.regexp_extract("url", r"://([^/?#]+)", 1)
+    n = F.size(F.regexp_extract_all("html", F.lit(r'href="/[A-Z]'), 0))
+    return pages.select("page_id", host.alias("site"), (F.col("page_id") % 12).alias("page"),
+                        n.alias("n_items"))
+
+
+@query("take_until_empty_page")
+def q_take_until_empty_page(spark, sf):
+    return D.take_until_empty_page(page_card_counts(_pages(spark, sf)), "site", "page", "n_items", 10)
+
+
+def _card_pages(spark, sf):
+    return FX.card_pages(FX.table(spark, sf, "part"))
+
+
+@query("extract_cards")
+def q_extract_cards(spark, sf):
+    from shelfline.sources.pages import extract_cards
+    return extract_cards(_card_pages(spark, sf))
+
+
+@query("embedded_products")
+def q_embedded_products(spark, sf):
+    from shelfline.sources.pages import embedded_products
+    return embedded_products(_card_pages(spark, sf))
+
+
+@query("match_cards_to_embedded")
+def q_match_cards_to_embedded(spark, sf):
+    from shelfline.operators.maintain import match_cards_to_embedded
+    from shelfline.sources.pages import extract_cards, embedded_products
+    pages = _card_pages(spark, sf)
+    cards = extract_cards(pages, title_prefix=None)
+    out = match_cards_to_embedded(cards, embedded_products(pages),
+                                  ("title", "description", "price", "image_url"))
+    return out.select("page_id", "card_pos", "card_id", "title", "description",
+                      F.col("price").cast("double").alias("price"), "image_url")
+
+
+def _card_inputs(spark, sf):
+    k = F.col("p_partkey")
+    ks = k.cast("string")
+    return FX.table(spark, sf, "part").select(
+        k.alias("k"),
+        F.when(k % 4 == 0, F.concat(F.lit(FX.SHOP + "/products/handle-"), ks, F.lit("?v=1")))
+         .when(k % 4 == 1, F.concat(F.lit(FX.SHOP + "/a/products/x/products/h"), ks, F.lit("/more")))
+         .when(k % 4 == 2, F.lit(FX.SHOP + "/products/"))
+         .otherwise(F.concat(F.lit(FX.SHOP + "/item/"), ks)).alias("url"),
+        F.when(k % 3 == 0, F.concat(F.lit("plp-productCard-"), ks, F.lit("-select")))
+         .when(k % 3 == 1, F.concat(F.lit("plp-productCard-Wishlist-"), ks))
+         .otherwise(F.concat(F.lit("tile-"), ks)).alias("testid"),
+        F.when(k % 6 == 0, F.concat(F.lit("//cdn.example/"), ks, F.lit("-e1.jpg")))
+         .when(k % 6 == 1, F.concat(F.lit("/img/"), ks, F.lit("-s.jpg")))
+         .when(k % 6 == 2, F.concat(F.lit("assets/"), ks, F.lit("-ult21.jpg")))
+         .when(k % 6 == 3, F.concat(F.lit("https://cdn.example/"), ks, F.lit(".jpg")))
+         .when(k % 6 == 4, F.concat(F.lit("img/"), ks, F.lit("-e1.jpg")))
+         .otherwise(F.concat(F.lit("/x/"), ks, F.lit("-s.png"))).alias("src"),
+        F.when(k % 3 == 0, F.lit("https://www.shop.example/cz/en/women/dresses"))
+         .when(k % 3 == 1, F.lit("https://www.shop.example/en_us/list"))
+         .otherwise(F.lit("https://www.shop.example/c/list")).alias("page_url"))
+
+
+@query("product_handle")
+def q_product_handle(spark, sf):
+    from shelfline.functions.urls import product_handle
+    return _card_inputs(spark, sf).select("k", product_handle("url").alias("handle"))
+
+
+@query("card_product_id")
+def q_card_product_id(spark, sf):
+    from shelfline.functions.urls import card_product_id
+    return _card_inputs(spark, sf).select("k", card_product_id("testid").alias("card_id"))
+
+
+@query("absolutize_image_url")
+def q_absolutize_image_url(spark, sf):
+    from shelfline.functions.urls import absolutize_image_url
+    return _card_inputs(spark, sf).select("k", absolutize_image_url("src", "page_url").alias("image_url"))
+
+
+@query("parse_price_number")
+def q_parse_price_number(spark, sf):
+    d = FX.table(spark, sf, "documents")
+    return d.select("doc_id", N.parse_price_number("text").alias("price"))
+
+
+@query("expand_sitemaps")
+def q_expand_sitemaps(spark, sf):
+    from shelfline.sources.sitemaps import expand_sitemaps
+    sm = FX.sitemaps(_pages(spark, sf))
+    out = expand_sitemaps(spark, sm, [FX.SITEMAP_ROOT])
+    return out.select("url", "depth", F.array_join(F.col("ord").cast("array<string>"), ".").alias("ord"))

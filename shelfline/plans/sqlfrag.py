@@ -150,3 +150,54 @@ products AS (
 
 def with_ctes(*ctes: str) -> str:
     return "WITH " + ",".join(ctes)
+
+
+# ------------------------------------------------------------ URLs / HTML
+
+ORIGIN_RX = "^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)"
+
+
+def origin(p: str) -> str:
+    return f"regexp_extract({p}, '{ORIGIN_RX}', 1)"
+
+
+def directory(p: str) -> str:
+    u = f"split_part(split_part({p}, '?', 1), '#', 1)"
+    d = f"regexp_extract(substr({u}, length({origin(u)}) + 1), '^(.*/)', 1)"
+    return f"({origin(u)} || CASE WHEN {d} = '' THEN '/' ELSE {d} END)"
+
+
+def resolve_url(h: str, p: str) -> str:
+    scheme = f"regexp_extract({p}, '^([A-Za-z][A-Za-z0-9+.-]*):', 1)"
+    return (f"(CASE WHEN NOT {truthy(h)} THEN {p} "
+            f"WHEN regexp_matches({h}, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN {h} "
+            f"WHEN starts_with({h}, '//') THEN {scheme} || ':' || {h} "
+            f"WHEN starts_with({h}, '/') THEN {origin(p)} || {h} "
+            f"WHEN starts_with({h}, '?') THEN split_part(split_part({p}, '?', 1), '#', 1) || {h} "
+            f"WHEN starts_with({h}, '#') THEN split_part({p}, '#', 1) || {h} "
+            f"ELSE {directory(p)} || {h} END)")
+
+
+def unescape(x: str) -> str:
+    for a, b in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&#x27;", "'"),
+                 ("&nbsp;", " ")):
+        x = f"replace({x}, {q(a)}, {q(b)})"
+    return f"replace({x}, '&amp;', '&')"
+
+
+def node_text(inner: str) -> str:
+    pieces = f"list_transform(string_split_regex({inner}, '<[^>]*>'), lambda x: {strip('x')})"
+    return unescape(f"array_to_string({pieces}, '')")
+
+
+def attr(tag: str, name: str) -> str:
+    return f"""nullif(regexp_extract({tag}, '\\s{name}\\s*=\\s*["'']([^"'']*)["'']', 1), '')"""
+
+
+def is_http(x: str) -> str:
+    return f"coalesce(starts_with({x}, 'http'), false)"
+
+
+def append_flag(u: str) -> str:
+    return (f"(CASE WHEN contains({u}, 'ajax=true') THEN {u} "
+            f"ELSE {u} || CASE WHEN contains({u}, '?') THEN '&' ELSE '?' END || 'ajax=true' END)")
