@@ -316,3 +316,22 @@ def sitemaps(pages: DataFrame) -> DataFrame:
          "<urlset><url><loc>https://broken.example/a</loc></url><url><loc>https://broken.example/b"),
     ], "url string, xml string")
     return fixed.unionByName(index_docs).unionByName(leaf_docs.select("url", "xml")).unionByName(deep_docs)
+
+
+# ----------------------------------------------------------- F7 streaming
+
+def events_with_gaps(events: DataFrame) -> DataFrame:
+    """Events where a null ``value`` stands for a missing vector (event_id % 5 = 0)."""
+    return events.select("user_id", "event_id", "ts", "event_type",
+                         F.when(F.col("event_id") % 5 != 0, F.col("value")).alias("value"))
+
+
+def write_arrivals(events: DataFrame, folder: str, batches: int = 4) -> None:
+    """Append the events to ``folder`` in ``batches`` event-id ranges, one write
+    each, so a file stream sees them arrive in order."""
+    max_id = events.agg(F.max("event_id")).first()[0]
+    if max_id is None:
+        return
+    chunk = F.floor(F.col("event_id") * batches / (max_id + 1))
+    for b in range(batches):
+        events.filter(chunk == b).write.mode("append").parquet(folder)

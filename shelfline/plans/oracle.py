@@ -376,3 +376,35 @@ res AS (SELECT url, [0, ix, lpos, i + imgs_before] AS ord FROM pp JOIN leaf_pos
   UNION ALL SELECT 'https://' || host || '/img/' || CAST(page_id AS VARCHAR) || '.jpg', [0, ix, lpos, i + imgs_before + 1]
   FROM pp JOIN leaf_pos USING (host, leaf_no) WHERE page_id % 10 = 0)
 SELECT url, 2 AS depth, array_to_string(min(ord), '.') AS ord FROM res GROUP BY url"""
+
+# ----------------------------------------------------------------- vectors
+ORACLE["valid_vectors"] = """WITH b AS (SELECT vec_id, CASE WHEN vec_id % 50 = 0 THEN NULL
+  WHEN vec_id % 50 = 1 THEN CAST([] AS FLOAT[]) WHEN vec_id % 50 = 2 THEN embedding[1:63] ELSE embedding END AS v FROM embeddings)
+SELECT vec_id, CASE WHEN v IS NOT NULL AND len(v) = 64 THEN 64 END AS dim FROM b"""
+ORACLE["cosine_topk"] = """WITH e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+x AS (SELECT label, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM e),
+c AS (SELECT label, i, avg(x) AS m FROM x GROUP BY label, i),
+qs AS (SELECT CAST(label AS BIGINT) AS query_id, list(m ORDER BY i) AS qv FROM c GROUP BY label),
+s AS (SELECT qs.query_id, e.vec_id, list_cosine_similarity(qs.qv, e.v) AS score FROM qs CROSS JOIN e),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, vec_id, round(score, 5) AS score, rank FROM r WHERE rank <= 5"""
+
+# --------------------------------------------------------------- streaming
+ORACLE["stream_upsert"] = """SELECT user_id, event_id, ts, event_type,
+  CASE WHEN event_id % 5 <> 0 THEN value END AS value FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1"""
+
+# ------------------------------------------------------------- E1 pipeline
+_TEMPLATE = S.SITE["product_url_template"]
+ORACLE["feed_run"] = FEEDS + f""",
+fp AS (SELECT *, {strip('price')} AS price_s FROM usable),
+prod AS (SELECT sha256('scraper:' || external_id) AS id, 'scraper' AS source,
+  {S.py_or('title', q(K.DEFAULT_TITLE))} AS title,
+  nullif({strip("coalesce(description, '')")}, '') AS description, 'Shop' AS brand, image_url,
+  CASE WHEN {truthy('seo_keyword')} THEN replace(replace(replace({q(_TEMPLATE)}, '{{keyword}}', seo_keyword),
+    '{{id}}', seo_product_id), '{{discern_id}}', external_id) END AS product_url,
+  false AS second_hand, {S.format_price_text('price_s', "'USD'")} AS price, CAST(NULL AS VARCHAR) AS sale,
+  {S.gender('gender')} AS gender, {S.category('endpoint')} AS category, CAST(NULL AS VARCHAR) AS size,
+  'merchant_name: Shop country: w' AS metadata_text, endpoint_pos, page, item_pos FROM fp)
+SELECT {PRODUCT_COLS} FROM prod WHERE {truthy('price')}
+QUALIFY row_number() OVER (PARTITION BY id ORDER BY endpoint_pos, page, item_pos) = 1"""

@@ -658,3 +658,93 @@ def q_expand_sitemaps(spark, sf):
     sm = FX.sitemaps(_pages(spark, sf))
     out = expand_sitemaps(spark, sm, [FX.SITEMAP_ROOT])
     return out.select("url", "depth", F.array_join(F.col("ord").cast("array<string>"), ".").alias("ord"))
+
+
+# ----------------------------------------------------------------- vectors
+
+TOPK = 5
+
+
+def _embeddings(spark, sf):
+    return FX.table(spark, sf, "embeddings")
+
+
+@query("valid_vectors")
+def q_valid_vectors(spark, sf):
+    from shelfline.operators.vectors import valid_vectors
+    e = _embeddings(spark, sf)
+    k = F.col("vec_id")
+    bad = (F.when(k % 50 == 0, F.lit(None).cast("array<float>"))
+           .when(k % 50 == 1, F.array().cast("array<float>"))
+           .when(k % 50 == 2, F.slice("embedding", 1, 63))
+           .otherwise(F.col("embedding")))
+    out = valid_vectors(e.select("vec_id", bad.alias("embedding")), "embedding", 64)
+    return out.select("vec_id", F.when(F.col("embedding").isNotNull(), F.size("embedding")).alias("dim"))
+
+
+@query("cosine_topk")
+def q_cosine_topk(spark, sf):
+    from shelfline.operators.vectors import cosine_topk, label_centroids
+    e = _embeddings(spark, sf)
+    out = cosine_topk(e, label_centroids(e), TOPK, id_col="vec_id", vec_col="embedding")
+    return out.select("query_id", "vec_id", F.round("score", 5).alias("score"), "rank")
+
+
+@query("ivf_topk")
+def q_ivf_topk(spark, sf):
+    from shelfline.operators.vectors import build_ivf_index, ivf_topk, label_centroids
+    from shelfline.session import shared_dir
+    e = _embeddings(spark, sf)
+    path = shared_dir(spark, "ivf-index")
+    cents = build_ivf_index(e.select("vec_id", "embedding"), path, "embedding", lists=20)
+    index = spark.read.parquet(path)
+    out = ivf_topk(index, cents, label_centroids(e), TOPK, nprobe=4, id_col="vec_id")
+    return out.select("query_id", "vec_id", F.round("score", 5).alias("score"), "rank")
+
+
+@query("embed_column")
+def q_embed_column(spark, sf):
+    from shelfline.operators.vectors import embed_column, hashing_encoder_factory
+    d = FX.table(spark, sf, "documents").select("doc_id", "text")
+    out = embed_column(d, "text", hashing_encoder_factory(768), "embedding", 768)
+    return out.select("doc_id", F.when(F.col("embedding").isNotNull(), F.size("embedding")).alias("dim"))
+
+
+# --------------------------------------------------------------- streaming
+
+def _run_stream(spark, sf, with_pending=False):
+    from shelfline.session import shared_dir
+    from shelfline.streaming.upsert import stream_upsert
+    ev = FX.events_with_gaps(FX.table(spark, sf, "events"))
+    base = shared_dir(spark, "stream")
+    FX.write_arrivals(ev, f"{base}/arrivals")
+    table = stream_upsert(spark, f"{base}/arrivals", ev.schema, f"{base}/table", f"{base}/ckpt",
+                          "user_id", ["ts", "event_id"],
+                          pending_dir=f"{base}/pending" if with_pending else None,
+                          vector="value" if with_pending else None, max_files_per_trigger=8)
+    return table, base
+
+
+@query("stream_upsert")
+def q_stream_upsert(spark, sf):
+    table, _ = _run_stream(spark, sf)
+    return table.read()
+
+
+@query("stream_pending_embeddings")
+def q_stream_pending_embeddings(spark, sf):
+    from shelfline.streaming.upsert import read_pending
+    _, base = _run_stream(spark, sf, with_pending=True)
+    return read_pending(spark, f"{base}/pending").select("user_id", "event_id", "epoch")
+
+
+# ------------------------------------------------------------- E1 pipeline
+
+FEED_SITE = {k: v for k, v in FX.SITE.items() if k != "source"}
+
+
+@query("feed_run")
+def q_feed_run(spark, sf):
+    from shelfline.plans.catalog import feed_products
+    out = feed_products(_feeds(spark, sf), FEED_SITE, FX.FEED_MAPPING)
+    return flat_products(out)
