@@ -37,16 +37,17 @@ def embed_column(df: DataFrame, column: str, encoder_factory: Callable[[], Calla
         encode = encoder_factory()
         for s in batches:
             texts = s.fillna("").astype(str)
-            keep = texts.str.strip() != ""
-            result = pd.Series([None] * len(s), index=s.index, dtype=object)
-            if keep.any():
+            keep = np.flatnonzero((texts.str.strip() != "").to_numpy())
+            vals = [None] * len(s)
+            if len(keep):
                 try:
-                    vecs = np.asarray(encode(texts[keep].tolist()), dtype=np.float32)
-                    if vecs.ndim == 2 and vecs.shape[1] == dim:
-                        result[keep] = list(vecs)
+                    vecs = np.asarray(encode([texts.iloc[j] for j in keep]), dtype=np.float32)
                 except Exception:  # noqa: BLE001 - a failed batch leaves nulls
-                    pass
-            yield result
+                    vecs = None
+                if vecs is not None and vecs.ndim == 2 and vecs.shape == (len(keep), dim):
+                    for j, v in zip(keep, vecs):
+                        vals[j] = v
+            yield pd.Series(vals, dtype=object)
 
     return df.withColumn(out, _embed(F.col(column)))
 
