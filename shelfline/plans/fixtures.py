@@ -335,3 +335,21 @@ def write_arrivals(events: DataFrame, folder: str, batches: int = 4) -> None:
     chunk = F.floor(F.col("event_id") * batches / (max_id + 1))
     for b in range(batches):
         events.filter(chunk == b).write.mode("append").parquet(folder)
+
+
+def price_payloads(part: DataFrame) -> DataFrame:
+    """JSON price values of every kind: integer (minor units when >= 1000),
+    decimal, currency object, list of price objects, text."""
+    k = F.col("p_partkey")
+    size = F.col("p_size").cast("string")
+    retail = F.col("p_retailprice").cast("string")
+    minor = (F.col("p_size") * 100 + k % 100).cast("string")
+    price = (F.when(k % 5 == 0, minor)
+             .when(k % 5 == 1, retail)
+             .when(k % 5 == 2, F.concat(F.lit('{"USD":'), size, F.lit(',"CZK":'), retail,
+                                        F.lit(',"bd":1,"PLN":null}')))
+             .when(k % 5 == 3, F.concat(F.lit('[{"price":'), size, F.lit(',"currency":"usd"},{"price":0,"amount":'),
+                                        (k % 7).cast("string"), F.lit(',"curr":"czk"},{"value":"x"}]')))
+             .otherwise(F.concat(F.lit('"'), size, F.lit(',5"'))))
+    return part.select(k.alias("k"), F.concat(F.lit('{"price":'), price, F.lit("}")).alias("payload"),
+                       F.when(k % 11 == 0, F.lit(None).cast("string")).otherwise(F.lit("USD")).alias("currency"))

@@ -408,3 +408,15 @@ prod AS (SELECT sha256('scraper:' || external_id) AS id, 'scraper' AS source,
   'merchant_name: Shop country: w' AS metadata_text, endpoint_pos, page, item_pos FROM fp)
 SELECT {PRODUCT_COLS} FROM prod WHERE {truthy('price')}
 QUALIFY row_number() OVER (PARTITION BY id ORDER BY endpoint_pos, page, item_pos) = 1"""
+
+# Polymorphic prices restated from part (Python float printing: shortest repr, '.0' dropped).
+_F = lambda x: f"regexp_replace(CAST(CAST({x} AS DOUBLE) AS VARCHAR), '\\.0$', '')"
+ORACLE["format_price_variants"] = f"""WITH p AS (SELECT p_partkey AS k, p_size, p_retailprice,
+  p_size * 100 + p_partkey % 100 AS minor, CASE WHEN p_partkey % 11 = 0 THEN NULL ELSE 'USD' END AS cur FROM part)
+SELECT k, CASE k % 5
+  WHEN 0 THEN CASE WHEN cur IS NOT NULL THEN {_F('CASE WHEN minor >= 1000 THEN minor / 100.0 ELSE minor END')} || cur END
+  WHEN 1 THEN CASE WHEN cur IS NOT NULL THEN {_F('p_retailprice')} || cur END
+  WHEN 2 THEN {_F('p_size')} || 'USD,' || {_F('p_retailprice')} || 'CZK'
+  WHEN 3 THEN CASE WHEN p_size <> 0 THEN {_F('p_size')} || 'USD,' ELSE '' END || CAST(k % 7 AS VARCHAR) || 'CZK'
+  ELSE CASE WHEN cur IS NOT NULL THEN CAST(p_size AS VARCHAR) || '.5' || cur ELSE CAST(p_size AS VARCHAR) || ',5' END
+  END AS price FROM p"""

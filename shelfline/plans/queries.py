@@ -748,3 +748,12 @@ def q_feed_run(spark, sf):
     from shelfline.plans.catalog import feed_products
     out = feed_products(_feeds(spark, sf), FEED_SITE, FX.FEED_MAPPING)
     return flat_products(out)
+
+
+@query("format_price_variants")
+def q_format_price_variants(spark, sf):
+    from shelfline.sources.feeds import price_alternates
+    p = price_alternates(FX.price_payloads(FX.table(spark, sf, "part")), "payload")
+    price = N.format_price(text=F.col("price_text"), num=F.col("price_num"), is_int=F.col("price_is_int"),
+                           price_map=F.col("price_map"), price_list=F.col("price_list"), currency=F.col("currency"))
+    return p.select("k", price.alias("price"))

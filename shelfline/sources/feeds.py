@@ -250,3 +250,31 @@ def fallback_to_pages(feed_docs: DataFrame, feed_products: DataFrame, page_rows:
     keys = failing.select(U.without_query(endpoint).alias(page_key)).distinct()
     taken = page_rows.join(keys, page_key, "left_semi")
     return feed_products.unionByName(taken, allowMissingColumns=True)
+
+
+PRICE_LIST_SCHEMA = ("array<struct<price:string,value:string,amount:string,currency:string,"
+                     "curr:string,code:string>>")
+
+
+def price_alternates(df: DataFrame, payload: str, field: str = "price", prefix: str = "price") -> DataFrame:
+    """Split a polymorphic JSON field into typed alternates (one non-null per row).
+
+    The JSON type comes from a variant (``BIGINT`` vs ``DECIMAL``/``DOUBLE``
+    decides the minor-unit rule); objects and lists are re-read from the raw
+    JSON text so object keys keep their insertion order.
+    """
+    v = F.from_json(F.col(payload), f"struct<{field}: variant>")[field]
+    raw = F.from_json(F.col(payload), f"struct<{field}: string>")[field]
+    kind = F.schema_of_variant(v)
+    staged = df.withColumn("_pk", kind).withColumn("_pv", v).withColumn("_pr", raw)
+    return staged.select(
+        *df.columns,
+        F.when(F.col("_pk") == "STRING", F.expr("variant_get(_pv, '$', 'string')")).alias(f"{prefix}_text"),
+        F.when(F.col("_pk").rlike(r"^(BIGINT|INT|SMALLINT|TINYINT|DECIMAL|DOUBLE|FLOAT)"),
+               F.expr("variant_get(_pv, '$', 'double')")).alias(f"{prefix}_num"),
+        F.col("_pk").rlike(r"^(BIGINT|INT|SMALLINT|TINYINT)$").alias(f"{prefix}_is_int"),
+        F.when(F.col("_pk").startswith("OBJECT"), F.from_json(F.col("_pr"), "map<string,string>"))
+         .alias(f"{prefix}_map"),
+        F.when(F.col("_pk").startswith("ARRAY"), F.from_json(F.col("_pr"), PRICE_LIST_SCHEMA))
+         .alias(f"{prefix}_list"),
+    )
