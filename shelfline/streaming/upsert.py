@@ -1,11 +1,11 @@
 """Structured Streaming: keep the products table current as batches arrive.
 
 ``readStream`` over a folder of arriving Parquet files -> ``foreachBatch``:
-each micro-batch is de-duplicated (newest per key), merged into the table
-(newest wins across batches) and committed as snapshot ``epoch_id``. The
-query's checkpoint makes the epoch ids stable across restarts, and the
-merge reads only snapshots older than its own epoch, so a replayed epoch
-rewrites the same snapshot from the same input.
+each micro-batch is de-duplicated (newest per key) and merged into a
+bucket-partitioned table (newest wins across batches). Only the buckets the
+micro-batch touches are rewritten, so the work per batch follows the batch,
+not the table. The query's checkpoint keeps epoch ids stable across
+restarts and the merge is idempotent, so a replayed epoch is harmless.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfline.operators.dedup import dedup_last
-from shelfline.sources.table import SnapshotTable
+from shelfline.sources.table import BucketedTable
 
 
 def merge_newest(current: DataFrame | None, batch: DataFrame, key, order) -> DataFrame:
@@ -34,23 +34,24 @@ def newly_inserted_without_vector(current: DataFrame | None, batch: DataFrame, k
 
 def stream_upsert(spark: SparkSession, source_dir: str, schema: T.StructType, table_dir: str,
                   checkpoint_dir: str, key: str, order, pending_dir: str | None = None,
-                  vector: str | None = None, max_files_per_trigger: int | None = None) -> SnapshotTable:
+                  vector: str | None = None, max_files_per_trigger: int | None = None,
+                  buckets: int = 64) -> BucketedTable:
     """Run the stream over everything available now, then stop.
 
     With ``pending_dir`` and ``vector`` set, every epoch also writes the rows
     it inserts without a vector to ``pending_dir/epoch=<id>`` (the embedding
-    queue), before the merge.
+    queue), computed against the table before the merge.
     """
-    table = SnapshotTable(spark, table_dir)
+    table = BucketedTable(spark, table_dir, key, buckets)
     order = list(order) if not isinstance(order, str) else [order]
 
     def handle(batch: DataFrame, epoch_id: int) -> None:
         deduped = dedup_last(batch, key, order)
-        current = table.read(before=epoch_id)
         if pending_dir and vector:
+            current = table.read()
             pend = newly_inserted_without_vector(current, deduped, key, vector)
             pend.write.mode("overwrite").parquet(f"{pending_dir.rstrip('/')}/epoch={epoch_id}")
-        table.commit(merge_newest(current, deduped, key, order), epoch_id)
+        table.merge(deduped, lambda cur, b: merge_newest(cur, b, key, order), epoch_id)
 
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
