@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from shelfline import constants as K
 from shelfline.functions.text import strip
+from shelfline.session import ensure_checkpoint_dir
 from shelfline.sources.pages import unescape_entities
 
 LOC = r"<(?:[A-Za-z0-9_.-]+:)?loc>([^<]*)</(?:[A-Za-z0-9_.-]+:)?loc>"
@@ -35,6 +36,8 @@ def expand_sitemaps(spark, sitemaps: DataFrame, roots: list[str] | DataFrame,
     ``.xml`` locs are followed, other locs are results. Returns (url, depth,
     ord): each URL once, with the BFS position where it was first found.
     """
+    if checkpoint:
+        ensure_checkpoint_dir(spark)
     if isinstance(roots, list):
         frontier = spark.createDataFrame([(u, [i]) for i, u in enumerate(roots)],
                                          "url string, ord array<int>")
