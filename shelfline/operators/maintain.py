@@ -40,10 +40,6 @@ def category_lookup(df: DataFrame, categories: DataFrame, endpoint: str = "endpo
             .drop("_cid", "_cname"))
 
 
-def _batch_side(batch_ids: DataFrame, max_rows: int) -> DataFrame:
-    return F.broadcast(batch_ids) if bounded_rows(batch_ids, max_rows) else batch_ids
-
-
 def upsert_products(target: DataFrame, batch: DataFrame, key: str = "id",
                     drop=("embedding",), order=None,
                     max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
@@ -58,14 +54,16 @@ def upsert_products(target: DataFrame, batch: DataFrame, key: str = "id",
         batch = dedup_first(batch, key, order).drop(*order)
     batch = batch.drop(*[c for c in drop if c in batch.columns])
     cols = list(dict.fromkeys(target.columns + [c for c in batch.columns if c not in target.columns]))
-    ids = batch.select(key).distinct()
-    side = _batch_side(ids, max_broadcast_rows)
+    # Semi/anti joins ignore duplicate ids, so the batch ids need no distinct.
+    ids = batch.select(key)
+    small = bounded_rows(ids, max_broadcast_rows)
+    side = F.broadcast(ids) if small else ids
     kept = target.join(side, key, "left_anti")
     lacking = [c for c in target.columns if c not in batch.columns and c != key]
     if lacking:
+        # Old values of the updated rows only: at most one row per batch id.
         old = target.join(side, key, "left_semi").select(key, *lacking)
-        updated = batch.join(old if not bounded_rows(ids, max_broadcast_rows) else F.broadcast(old),
-                             key, "left")
+        updated = batch.join(F.broadcast(old) if small else old, key, "left")
     else:
         updated = batch
     for c in cols:
@@ -80,15 +78,20 @@ def prune_missing(target: DataFrame, current_ids: DataFrame, source: str, key: s
                   max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Delete rows of ``source`` whose id is not in ``current_ids``.
 
-    An empty id set deletes nothing; other sources are untouched.
+    An empty id set deletes nothing; other sources are untouched. With a
+    bounded id set this is one pass over the target (a broadcast left join
+    and a filter); otherwise only the source's rows meet the shuffled ids.
     """
-    ids = current_ids.select(key).distinct()
+    ids = current_ids.select(key)
     if ids.limit(1).count() == 0:
         return target
-    side = _batch_side(ids, max_broadcast_rows)
+    other = (F.col("source") != source) | F.col("source").isNull()
+    if bounded_rows(ids, max_broadcast_rows):
+        flagged = F.broadcast(ids.withColumn("_seen", F.lit(True)).dropDuplicates([key]))
+        joined = target.join(flagged, key, "left")
+        return joined.filter(other | F.col("_seen").isNotNull()).select(*target.columns)
     in_source = target.filter(F.col("source") == source)
-    others = target.filter((F.col("source") != source) | F.col("source").isNull())
-    return others.unionByName(in_source.join(side, key, "left_semi"))
+    return target.filter(other).unionByName(in_source.join(ids, key, "left_semi"))
 
 
 def pending_embeddings(target: DataFrame, batch: DataFrame, key: str = "id",

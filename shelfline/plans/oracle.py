@@ -420,3 +420,7 @@ SELECT k, CASE k % 5
   WHEN 3 THEN CASE WHEN p_size <> 0 THEN {_F('p_size')} || 'USD,' ELSE '' END || CAST(k % 7 AS VARCHAR) || 'CZK'
   ELSE CASE WHEN cur IS NOT NULL THEN CAST(p_size AS VARCHAR) || '.5' || cur ELSE CAST(p_size AS VARCHAR) || ',5' END
   END AS price FROM p"""
+
+ORACLE["dedup_first_url_key"] = PRODK + f"""SELECT source || ':' || coalesce(product_url, 'None') AS url_key, k, id
+FROM products WHERE {truthy('price')}
+QUALIFY row_number() OVER (PARTITION BY source || ':' || coalesce(product_url, 'None') ORDER BY endpoint_pos, item_pos) = 1"""

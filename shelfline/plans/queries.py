@@ -757,3 +757,13 @@ def q_format_price_variants(spark, sf):
     price = N.format_price(text=F.col("price_text"), num=F.col("price_num"), is_int=F.col("price_is_int"),
                            price_map=F.col("price_map"), price_list=F.col("price_list"), currency=F.col("currency"))
     return p.select("k", price.alias("price"))
+
+
+@query("dedup_first_url_key")
+def q_dedup_first_url_key(spark, sf):
+    """First row per ``source:product_url`` (the alternate key; a null URL prints 'None')."""
+    rows = RW.price_gate(_products_k(spark, sf))
+    rows = rows.withColumn("url_key", RW.product_key_text(rows))
+    out = D.dedup_first(rows.select("url_key", "k", "id", "source", "product_url",
+                                    "endpoint_pos", "item_pos"), "url_key", ["endpoint_pos", "item_pos"])
+    return out.select("url_key", "k", "id")
