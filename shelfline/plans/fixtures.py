@@ -259,6 +259,7 @@ def card_pages(part: DataFrame) -> DataFrame:
 
 SITEMAP_ROOT = "https://sitemaps.example/root.xml"
 SITEMAP_LEAF_PAGES = 50
+SITEMAP_INDEX_RANGES = 50
 
 
 def _xml_escape(c):
@@ -266,8 +267,10 @@ def _xml_escape(c):
 
 
 def sitemaps(pages: DataFrame) -> DataFrame:
-    """root -> 2 indexes -> leaves (per host, SITEMAP_LEAF_PAGES pages each).
+    """root -> indexes -> leaves (per host, SITEMAP_LEAF_PAGES pages each).
 
+    Every document holds a bounded number of entries except the root, which
+    lists one index per SITEMAP_INDEX_RANGES x SITEMAP_LEAF_PAGES pages.
     Index 0 also lists the root (a cycle) and a malformed document; index 1
     lists its first leaf twice; every first leaf of a host lists a deeper
     sitemap that must not be reached; every tenth page adds an image:loc.
@@ -298,24 +301,32 @@ def sitemaps(pages: DataFrame) -> DataFrame:
         F.concat(F.lit("https://"), F.col("host"), F.lit("/deep.xml")).alias("url"),
         F.concat(F.lit("<urlset><url><loc>https://"), F.col("host"),
                  F.lit("/never-reached</loc></url></urlset>")).alias("xml"))
-    idx = (leaf_docs.select((F.length("host") % 2).alias("ix"), "host", "leaf_no", "url")
+    # Index docs: leaf ranges of SITEMAP_INDEX_RANGES leaf numbers, split by host
+    # parity, so one index lists at most SITEMAP_INDEX_RANGES x SITEMAP_LEAF_PAGES leaves.
+    ix = (F.floor(F.col("leaf_no") / SITEMAP_INDEX_RANGES) * 2 + F.length("host") % 2).cast("bigint")
+    idx = (leaf_docs.select(ix.alias("ix"), "host", "leaf_no", "url")
            .groupBy("ix").agg(F.sort_array(F.collect_list(F.struct("host", "leaf_no", "url"))).alias("_l")))
     sm = lambda u: F.concat(F.lit("<sitemap><loc>"), u, F.lit("</loc></sitemap>"))
     extra = (F.when(F.col("ix") == 0, F.concat(sm(F.lit(SITEMAP_ROOT)),
                                                sm(F.lit("https://sitemaps.example/broken.xml"))))
-             .otherwise(sm(F.col("_l")[0]["url"])))
+             .when(F.col("ix") == 1, sm(F.col("_l")[0]["url"]))
+             .otherwise(F.lit("")))
+    index_url = F.concat(F.lit("https://sitemaps.example/index-"), F.col("ix").cast("string"), F.lit(".xml"))
     index_docs = idx.select(
-        F.concat(F.lit("https://sitemaps.example/index-"), F.col("ix").cast("string"), F.lit(".xml")).alias("url"),
+        "ix", index_url.alias("url"),
         F.concat(F.lit("<sitemapindex>"), F.array_join(F.transform("_l", lambda x: sm(x["url"])), ""),
                  extra, F.lit("</sitemapindex>")).alias("xml"))
+    root = (index_docs.agg(F.sort_array(F.collect_list(F.struct("ix", "url"))).alias("_l"))
+            .select(F.lit(SITEMAP_ROOT).alias("url"),
+                    F.concat(F.lit("<sitemapindex>"), F.array_join(F.transform("_l", lambda x: sm(x["url"])), ""),
+                             F.lit("</sitemapindex>")).alias("xml")))
     spark = pages.sparkSession
-    fixed = spark.createDataFrame([
-        (SITEMAP_ROOT, "<sitemapindex><sitemap><loc>https://sitemaps.example/index-0.xml</loc></sitemap>"
-                       "<sitemap><loc>https://sitemaps.example/index-1.xml</loc></sitemap></sitemapindex>"),
+    broken = spark.createDataFrame([
         ("https://sitemaps.example/broken.xml",
          "<urlset><url><loc>https://broken.example/a</loc></url><url><loc>https://broken.example/b"),
     ], "url string, xml string")
-    return fixed.unionByName(index_docs).unionByName(leaf_docs.select("url", "xml")).unionByName(deep_docs)
+    return (root.unionByName(broken).unionByName(index_docs.select("url", "xml"))
+            .unionByName(leaf_docs.select("url", "xml")).unionByName(deep_docs))
 
 
 # ----------------------------------------------------------- F7 streaming

@@ -367,13 +367,14 @@ SELECT k, CASE WHEN {S.is_allowed_image('full_url')} THEN full_url ELSE '' END A
 # reached and the malformed document contributes nothing.
 ORACLE["expand_sitemaps"] = """WITH p AS (SELECT page_id, url, regexp_extract(url, '://([^/?#]+)', 1) AS host,
   CAST(floor(page_id / 50) AS BIGINT) AS leaf_no FROM pages),
-leaves AS (SELECT DISTINCT host, leaf_no, length(host) % 2 AS ix FROM p),
-leaf_pos AS (SELECT host, leaf_no, ix, row_number() OVER (PARTITION BY ix ORDER BY host, leaf_no) - 1 AS lpos FROM leaves),
+leaves AS (SELECT DISTINCT host, leaf_no, CAST(floor(leaf_no / 50) AS BIGINT) * 2 + length(host) % 2 AS ix FROM p),
+leaf_pos AS (SELECT host, leaf_no, ix, dense_rank() OVER (ORDER BY ix) - 1 AS rpos,
+  row_number() OVER (PARTITION BY ix ORDER BY host, leaf_no) - 1 AS lpos FROM leaves),
 pp AS (SELECT p.*, row_number() OVER (PARTITION BY host, leaf_no ORDER BY page_id) - 1 AS i,
   coalesce(sum(CASE WHEN page_id % 10 = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY host, leaf_no ORDER BY page_id
     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS imgs_before FROM p),
-res AS (SELECT url, [0, ix, lpos, i + imgs_before] AS ord FROM pp JOIN leaf_pos USING (host, leaf_no)
-  UNION ALL SELECT 'https://' || host || '/img/' || CAST(page_id AS VARCHAR) || '.jpg', [0, ix, lpos, i + imgs_before + 1]
+res AS (SELECT url, [0, rpos, lpos, i + imgs_before] AS ord FROM pp JOIN leaf_pos USING (host, leaf_no)
+  UNION ALL SELECT 'https://' || host || '/img/' || CAST(page_id AS VARCHAR) || '.jpg', [0, rpos, lpos, i + imgs_before + 1]
   FROM pp JOIN leaf_pos USING (host, leaf_no) WHERE page_id % 10 = 0)
 SELECT url, 2 AS depth, array_to_string(min(ord), '.') AS ord FROM res GROUP BY url"""
 
