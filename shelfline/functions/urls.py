@@ -87,14 +87,19 @@ def card_product_id(testid) -> Column:
 
 def absolutize_image_url(src, page_url) -> Column:
     """Make an image src absolute against the category page; '' unless allowed."""
+    full = absolute_image_src(src, page_url)
+    return F.when(is_allowed_image_url(full), full).otherwise(F.lit(""))
+
+
+def absolute_image_src(src, page_url) -> Column:
+    """The absolute form of an image src ('' for unsupported forms), unfiltered."""
     s, p = F.coalesce(col(src), F.lit("")), col(page_url)
     base = (F.when(p.contains("/cz/en/"), F.substring_index(p, "/cz/en/", 1))
             .when(p.contains("/en_us/"), F.substring_index(p, "/en_us/", 1))
             .otherwise(F.regexp_extract(p, r"^(.*)/", 1)))
     relative = (F.when(s.startswith("/"), F.concat(origin(base), s))
                 .otherwise(F.concat(base, F.lit("/"), s)))
-    full = (F.when(s.startswith("//"), F.concat(F.lit("https:"), s))
+    return (F.when(s.startswith("//"), F.concat(F.lit("https:"), s))
             .when(s.startswith("assets/") | s.startswith("/"), relative)
             .when(s.startswith("http"), s)
             .otherwise(F.lit("")))
-    return F.when(is_allowed_image_url(full), full).otherwise(F.lit(""))

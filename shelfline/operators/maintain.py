@@ -16,7 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfline import constants as K
-from shelfline.functions import normalize as N
+from shelfline.functions import normalize as N  # noqa: F401
+from shelfline.functions.text import truthy
 from shelfline.operators.joins import bounded_rows, maybe_broadcast, BROADCAST_MAX_ROWS
 
 
@@ -124,20 +125,16 @@ def match_cards_to_embedded(cards: DataFrame, embedded: DataFrame,
                             fields=("title", "description", "price", "image_url")) -> DataFrame:
     """Fill card fields from the first embedded product with the same id.
 
-    Equi-join on (page_id, product id); the first match per card is a
-    ``min_by`` over the embedded product position, then ``coalesce`` fills
-    only absent fields.
+    The first embedded product per (page_id, product_id) is a ``min_by`` over
+    its position (partially aggregated, so a repeated id costs nothing extra);
+    the cards then take it with one left equi-join and fill only the fields
+    they lack.
     """
-    emb = embedded.select(F.col("page_id").alias("_pg"), F.col("product_id").alias("_pid"),
-                          F.col("emb_pos"), *[F.col(f).alias(f"_e_{f}") for f in fields])
-    joined = cards.join(emb, (cards["page_id"] == emb["_pg"]) & (cards["card_id"] == emb["_pid"]),
-                        "left")
-    first = (joined.groupBy("page_id", "card_pos")
-             .agg(F.min_by(F.struct(*[F.col(f"_e_{f}") for f in fields]), F.col("emb_pos"))
-                  .alias("_m")))
-    out = cards.join(first, ["page_id", "card_pos"], "left")
+    first = (embedded.groupBy(F.col("page_id"), F.col("product_id").alias("card_id"))
+             .agg(F.min_by(F.struct(*[F.col(f).cast("string").alias(f"_e_{f}") for f in fields]),
+                           F.col("emb_pos")).alias("_m")))
+    out = cards.join(first, ["page_id", "card_id"], "left")
     for f in fields:
-        base = F.col(f) if f in cards.columns else F.lit(None).cast("string")
-        fill = F.col(f"_m._e_{f}").cast("string")
-        out = out.withColumn(f, F.when(N.truthy(base.cast("string")), base.cast("string")).otherwise(fill))
+        base = F.col(f).cast("string") if f in cards.columns else F.lit(None).cast("string")
+        out = out.withColumn(f, F.when(truthy(base), base).otherwise(F.col(f"_m._e_{f}")))
     return out.drop("_m")

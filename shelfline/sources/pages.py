@@ -190,21 +190,30 @@ def extract_cards(pages: DataFrame, container: str = CARD, url: str = "url",
     """
     cards = pages.select("page_id", url, F.posexplode(F.regexp_extract_all(F.col(html), F.lit(container), 0))
                          .alias("card_pos", "frag"))
-    open_tag = F.regexp_extract(F.col("frag"), r"^<div[^>]*>", 0)
-    href = F.coalesce(_attr(F.col("frag"), "href"), _attr(F.col("frag"), ":href"))
-    product_url = F.when(href.isNotNull(), U.resolve_url(href, F.col(url)))
-    testid = _attr(open_tag, "data-testid")
-    card_id = F.coalesce(_attr(open_tag, "data-product-id"),
-                         F.when(testid.isNotNull(), U.card_product_id(testid)),
-                         U.product_handle(product_url))
-    img_src = F.coalesce(_attr(F.regexp_extract(F.col("frag"), r"<img\s[^>]*>", 0), "src"),
-                         _attr(F.regexp_extract(F.col("frag"), r"<img\s[^>]*>", 0), "data-src"))
-    image = U.absolutize_image_url(img_src, F.col(url))
-    price_text = node_text(F.regexp_extract(F.col("frag"), r'(?is)<span class="price"[^>]*>(.*?)</span>', 1))
-    title = F.nullif(node_text(F.regexp_extract(F.col("frag"), r"(?is)<a\s[^>]*>(.*?)</a>", 1)), F.lit(""))
-    out = cards.select("page_id", "card_pos", card_id.alias("card_id"), product_url.alias("product_url"),
-                       image.alias("image_url"), N.parse_price_number(price_text).alias("price"),
-                       title.alias("title"))
+    # Staged projections: every regex over the fragment runs once per card.
+    tags = cards.select(
+        "page_id", url, "card_pos",
+        F.regexp_extract(F.col("frag"), r"^<div[^>]*>", 0).alias("_open"),
+        F.coalesce(_attr(F.col("frag"), "href"), _attr(F.col("frag"), ":href")).alias("_href"),
+        F.regexp_extract(F.col("frag"), r"<img\s[^>]*>", 0).alias("_img"),
+        F.regexp_extract(F.col("frag"), r'(?is)<span class="price"[^>]*>(.*?)</span>', 1).alias("_price"),
+        F.regexp_extract(F.col("frag"), r"(?is)<a\s[^>]*>(.*?)</a>", 1).alias("_title"))
+    attrs = tags.select(
+        "page_id", url, "card_pos", "_price", "_title",
+        _attr(F.col("_open"), "data-product-id").alias("_pid"),
+        _attr(F.col("_open"), "data-testid").alias("_testid"),
+        F.when(F.col("_href").isNotNull(), U.resolve_url(F.col("_href"), F.col(url))).alias("product_url"),
+        F.coalesce(_attr(F.col("_img"), "src"), _attr(F.col("_img"), "data-src")).alias("_src"))
+    card_id = F.coalesce(F.col("_pid"),
+                         F.when(F.col("_testid").isNotNull(), U.card_product_id(F.col("_testid"))),
+                         U.product_handle(F.col("product_url")))
+    out = attrs.select("page_id", "card_pos", card_id.alias("card_id"), "product_url",
+                       U.absolute_image_src(F.col("_src"), F.col(url)).alias("_full"),
+                       N.parse_price_number(node_text(F.col("_price"))).alias("price"),
+                       F.nullif(node_text(F.col("_title")), F.lit("")).alias("title"))
+    out = out.withColumn("image_url", F.when(N.is_allowed_image_url("_full"), F.col("_full"))
+                         .otherwise(F.lit(""))).drop("_full")
+    out = out.select("page_id", "card_pos", "card_id", "product_url", "image_url", "price", "title")
     out = out.filter(truthy("card_id") & truthy("image_url"))
     if title_prefix is None:
         return out
@@ -220,25 +229,31 @@ EMBEDDED_PRODUCT = ("array<struct<id:string,productId:string,product_id:string,s
 def embedded_products(pages: DataFrame, html: str = "html", max_scripts: int = 5) -> DataFrame:
     """Products inside JSON scripts of a page.
 
-    Scripts longer than 100 characters typed ``application/json`` (else those
-    mentioning product/item) are considered, the first ``max_scripts`` of
-    them; an optional ``x =`` prefix and ``;`` are cut. Products are read
+    Scripts typed ``application/json`` (or, on pages without any, scripts
+    mentioning product/item) whose text is longer than 100 characters are
+    considered, the first ``max_scripts`` of them; an optional ``x =`` prefix and ``;`` are cut. Products are read
     from the first non-empty list among the fixed keys.
     """
-    scripts = pages.select("page_id", F.posexplode(F.regexp_extract_all(F.col(html), F.lit(SCRIPT), 0))
-                           .alias("spos", "tag"))
-    attrs = F.regexp_extract(F.col("tag"), r"(?is)^<script([^>]*)>", 1)
-    body = strip(F.regexp_extract(F.col("tag"), r"(?is)^<script[^>]*>(.*)</script>$", 1))
-    is_json = F.lower(attrs).contains("application/json")
-    mentions = F.lower(body).contains("product") | F.lower(body).contains("item")
-    s = scripts.select("page_id", "spos", body.alias("body"), is_json.alias("is_json"),
-                       mentions.alias("mentions"))
-    s = s.filter(F.length("body") > 100)
-    any_json = s.groupBy("page_id").agg(F.max(F.col("is_json").cast("int")).alias("_has_json"))
-    s = s.join(any_json, "page_id").filter(
-        F.when(F.col("_has_json") == 1, F.col("is_json")).otherwise(F.col("mentions")))
-    s = s.withColumn("_rank", F.row_number().over(Window.partitionBy("page_id").orderBy("spos")))
-    s = s.filter(F.col("_rank") <= max_scripts)
+    # All scripts of a page live in one row, so choosing them is array work
+    # inside that row: no shuffle, no window.
+    def attrs(t):
+        return F.lower(F.regexp_extract(t, r"(?is)^<script([^>]*)>", 1))
+
+    def body(t):
+        return strip(F.regexp_extract(t, r"(?is)^<script[^>]*>(.*)</script>$", 1))
+
+    def mentions(t):
+        b = F.lower(body(t))
+        return b.contains("product") | b.contains("item")
+
+    # JSON-typed scripts win if the page has any; the length rule applies after.
+    tags = F.regexp_extract_all(F.col(html), F.lit(SCRIPT), 0)
+    has_json = F.exists(tags, lambda t: attrs(t).contains("application/json"))
+    chosen_tags = F.filter(tags, lambda t: F.when(has_json, attrs(t).contains("application/json"))
+                           .otherwise(mentions(t)) & (F.length(body(t)) > 100))
+    picked = pages.select("page_id", F.slice(chosen_tags, 1, max_scripts).alias("_tags"))
+    s = picked.select("page_id", F.posexplode("_tags").alias("spos", "tag"))
+    s = s.select("page_id", "spos", body(F.col("tag")).alias("body"))
     cleaned = F.when(F.col("body").rlike(r"^[^{]{0,50}="),
                      F.regexp_replace(F.regexp_replace("body", r"^[^=]*=\s*", ""), r";\s*$", "")) \
         .otherwise(F.col("body"))
