@@ -3,7 +3,9 @@
 Each level is a join of the frontier with the sitemap documents, an explode
 of their ``<loc>`` values, and an anti-join against URLs already seen. The
 loop runs at most ``max_nested`` times on the driver (a constant, not a
-data-sized loop); each level is checkpointed so lineage stays short.
+data-sized loop); each level's frontier is written once as a Parquet table
+in the shared checkpoint folder and read back, so lineage stays short and a
+lost executor never forces earlier levels to be recomputed.
 """
 
 from __future__ import annotations
@@ -13,7 +15,7 @@ from pyspark.sql import functions as F
 
 from shelfline import constants as K
 from shelfline.functions.text import strip
-from shelfline.session import ensure_checkpoint_dir
+from shelfline.session import shared_dir
 from shelfline.sources.pages import unescape_entities
 
 LOC = r"<(?:[A-Za-z0-9_.-]+:)?loc>([^<]*)</(?:[A-Za-z0-9_.-]+:)?loc>"
@@ -36,8 +38,7 @@ def expand_sitemaps(spark, sitemaps: DataFrame, roots: list[str] | DataFrame,
     ``.xml`` locs are followed, other locs are results. Returns (url, depth,
     ord): each URL once, with the BFS position where it was first found.
     """
-    if checkpoint:
-        ensure_checkpoint_dir(spark)
+    base = shared_dir(spark, "sitemap-bfs") if checkpoint else None
     if isinstance(roots, list):
         frontier = spark.createDataFrame([(u, [i]) for i, u in enumerate(roots)],
                                          "url string, ord array<int>")
@@ -56,8 +57,9 @@ def expand_sitemaps(spark, sitemaps: DataFrame, roots: list[str] | DataFrame,
         results = found if results is None else results.unionByName(found)
         nxt = (locs.filter(is_xml).groupBy(F.col("loc").alias("url")).agg(F.min("ord").alias("ord"))
                .join(seen, "url", "left_anti"))
-        if checkpoint:
-            nxt = nxt.checkpoint()
+        if base is not None:
+            nxt.write.mode("overwrite").parquet(f"{base}/level-{depth + 1}")
+            nxt = spark.read.parquet(f"{base}/level-{depth + 1}")
         seen = seen.unionByName(nxt.select("url"))
         frontier = nxt
     first = results.groupBy("url").agg(F.min(F.struct("depth", "ord")).alias("_f"))
