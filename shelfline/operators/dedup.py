@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfline.operators.joins import maybe_broadcast
+
 
 def _as_list(x):
     return [x] if isinstance(x, str) else list(x)
@@ -76,6 +78,7 @@ def take_until_empty_page(pages: DataFrame, site: str = "site", page: str = "pag
     """
     stop = (pages.filter(F.col(n_items) == 0).groupBy(site)
             .agg(F.min(page).alias("_stop")))
-    out = pages.join(stop, site, "left")
+    # One row per site: broadcast when proven small, else AQE splits a hot site.
+    out = pages.join(maybe_broadcast(stop), site, "left")
     keep = (F.col(page) <= max_page) & (F.col("_stop").isNull() | (F.col(page) < F.col("_stop")))
     return out.filter(keep).drop("_stop")

@@ -120,8 +120,8 @@ SELECT k, CASE WHEN image_url IS NOT NULL AND NOT starts_with(image_url, 'data:'
 ORACLE["required_fields_gate"] = DEF + f"""
 SELECT k FROM defaults WHERE {truthy('source')} AND {truthy('product_url')} AND {truthy('image_url')} AND {truthy('title')} AND {truthy('price_text')}"""
 
-ORACLE["limit_per_site"] = PRODK + f"""
-SELECT k, source, id FROM products WHERE {truthy('price')}
+ORACLE["limit_per_site"] = PRODK + """
+SELECT k, source, id, price FROM products
 QUALIFY row_number() OVER (PARTITION BY source ORDER BY endpoint_pos, item_pos) <= 5"""
 
 ORACLE["dedup_stats"] = E1 + """

@@ -239,9 +239,9 @@ def q_required_fields_gate(spark, sf):
 
 @query("limit_per_site")
 def q_limit_per_site(spark, sf):
-    p = RW.price_gate(_products_k(spark, sf))
-    out = D.limit_per_site(p, 5, site="source", order=["endpoint_pos", "item_pos"])
-    return out.select("k", "source", "id")
+    """First 5 products per site in arrival order, before the price gate and de-dup."""
+    out = D.limit_per_site(_products_k(spark, sf), 5, site="source", order=["endpoint_pos", "item_pos"])
+    return out.select("k", "source", "id", "price")
 
 
 @query("dedup_stats")

@@ -16,6 +16,7 @@ from shelfline.functions import normalize as N
 from shelfline.functions.text import truthy, strip
 from shelfline.functions import urls as U
 from shelfline.operators.dedup import ordered_distinct
+from shelfline.operators.joins import maybe_broadcast
 
 # Item fields the feed layouts carry (all optional).
 ITEM_SCHEMA = T.StructType([
@@ -193,7 +194,7 @@ def resolve_endpoints(endpoints: DataFrame, site: str = "site", kind: str = "kin
     rank_map = F.create_map(*[x for i, r in enumerate(ranks) for x in (F.lit(r), F.lit(i))])
     ranked = endpoints.withColumn("_rank", F.element_at(rank_map, F.col(kind)))
     best = ranked.groupBy(site).agg(F.max("_rank").alias("_rank"))
-    return ranked.join(best, [site, "_rank"], "left_semi").drop("_rank")
+    return ranked.join(maybe_broadcast(best), [site, "_rank"], "left_semi").drop("_rank")
 
 
 def category_endpoints(categories: DataFrame, template: str, payload: str = "payload",
