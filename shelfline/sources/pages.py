@@ -87,29 +87,57 @@ def jsonld_urls(pages: DataFrame, url: str = "url", html: str = "html") -> DataF
     return out.select("page_id", "pos", U.resolve_url(F.col("u"), F.col(url)).alias("link"))
 
 
+def _tagged(arr, **tags):
+    """Wrap each element of ``arr`` as struct(tags..., pos, raw)."""
+    return F.transform(arr, lambda x, i: F.struct(*[F.lit(v).alias(k) for k, v in tags.items()],
+                                                  i.alias("pos"), x.alias("raw")))
+
+
 def product_url_scan(pages: DataFrame, pattern: str = r"c0p\d+", url: str = "url",
                      html: str = "html") -> DataFrame:
     """URLs matching ``pattern`` in href/data-* attributes (resolved) and as
-    absolute URLs in raw text. ``branch`` 0 = attributes, 1 = text."""
+    absolute URLs in raw text. ``branch`` 0 = attributes, 1 = text. One scan."""
     attr_rx = rf"""(?:href|data-href|data-url)=["']([^"']*{pattern}[^"']*)"""
     text_rx = rf"""https?://[^\s"']*{pattern}[^\s"']*"""
-    a = pages.select("page_id", url, F.posexplode(F.regexp_extract_all(F.col(html), F.lit(attr_rx), 1))
-                     .alias("pos", "u"))
-    a = a.select("page_id", F.lit(0).alias("branch"), "pos",
-                 U.resolve_url(F.col("u"), F.col(url)).alias("link"))
-    t = pages.select("page_id", F.posexplode(F.regexp_extract_all(F.col(html), F.lit(text_rx), 0))
-                     .alias("pos", "link"))
-    t = t.select("page_id", F.lit(1).alias("branch"), "pos", "link")
-    return a.unionByName(t)
+    h = F.col(html)
+    cands = F.concat(_tagged(F.regexp_extract_all(h, F.lit(attr_rx), 1), branch=0),
+                     _tagged(F.regexp_extract_all(h, F.lit(text_rx), 0), branch=1))
+    c = pages.select("page_id", url, F.explode(cands).alias("c")).select("page_id", url, "c.*")
+    link = F.when(F.col("branch") == 1, F.col("raw")).otherwise(U.resolve_url(F.col("raw"), F.col(url)))
+    return c.select("page_id", "branch", "pos", link.alias("link"))
+
+
+JSONLD_BLOCK = r"(?is)<script[^>]*application/ld\+json[^>]*>(.*?)</script>"
+JSON_URL = r'"url"\s*:\s*"([^"]*)"'
+
 
+def category_links(pages: DataFrame, pattern: str = r"c0p\d+", url: str = "url",
+                   html: str = "html") -> DataFrame:
+    """Anchors, then ld+json URLs, then the pattern scan; ordered distinct per page.
 
-def category_links(pages: DataFrame, pattern: str = r"c0p\d+") -> DataFrame:
-    """Anchors, then ld+json URLs, then the pattern scan; ordered distinct per page."""
-    a = page_links(pages).select("page_id", F.lit(0).alias("src"), F.lit(0).alias("branch"), "pos", "link")
-    j = jsonld_urls(pages).select("page_id", F.lit(1).alias("src"), F.lit(0).alias("branch"), "pos", "link")
-    s = product_url_scan(pages, pattern).select("page_id", F.lit(2).alias("src"), "branch", "pos", "link")
-    return ordered_distinct(a.unionByName(j).unionByName(s), "link", ["src", "branch", "pos"],
-                            group=["page_id"])
+    One scan of ``html``: every raw candidate of a page is tagged (source,
+    branch, position) into one array and exploded once; resolving runs after
+    the explode as plain column expressions.
+    """
+    h = F.col(html)
+    attr_rx = rf"""(?:href|data-href|data-url)=["']([^"']*{pattern}[^"']*)"""
+    text_rx = rf"""https?://[^\s"']*{pattern}[^\s"']*"""
+    jsonld = F.flatten(F.transform(F.regexp_extract_all(h, F.lit(JSONLD_BLOCK), 1),
+                                   lambda b: F.regexp_extract_all(b, F.lit(JSON_URL), 1)))
+    cands = F.concat(_tagged(F.regexp_extract_all(h, F.lit(ANCHOR), 0), src=0, branch=0),
+                     _tagged(jsonld, src=1, branch=0),
+                     _tagged(F.regexp_extract_all(h, F.lit(attr_rx), 1), src=2, branch=0),
+                     _tagged(F.regexp_extract_all(h, F.lit(text_rx), 0), src=2, branch=1))
+    c = pages.select("page_id", url, F.explode(cands).alias("c")).select("page_id", url, "c.*")
+    href = F.coalesce(_attr(F.col("raw"), "href"), _attr(F.col("raw"), "data-href"),
+                      _attr(F.col("raw"), "data-url"))
+    staged = c.select("page_id", url, "src", "branch", "pos", "raw",
+                      F.when(F.col("src") == 0, unescape_entities(href)).otherwise(F.col("raw")).alias("_t"))
+    link = F.when((F.col("src") == 2) & (F.col("branch") == 1), F.col("raw")) \
+        .otherwise(U.resolve_url(F.col("_t"), F.col(url)))
+    out = staged.select("page_id", "src", "branch", "pos", "_t", link.alias("link"))
+    out = out.filter((F.col("src") != 0) | (F.col("_t").isNotNull() & U.is_http("link"))).drop("_t")
+    return ordered_distinct(out, "link", ["src", "branch", "pos"], group=["page_id"])
 
 
 def html_endpoints(pages: DataFrame, template: str, id_regex: str | None = None,
@@ -121,46 +149,45 @@ def html_endpoints(pages: DataFrame, template: str, id_regex: str | None = None,
     the fixed patterns; the id of the page URL itself (query parameter first,
     then regex; no ajax flag added); the ids of its anchors. Every endpoint
     but the page-URL one gets ``ajax=true``; only http results are kept.
-    Returns (url, page_id, src, pos) with the first position of each URL.
+    One scan of ``html``: all candidates are tagged into one array per page
+    and exploded once. Returns (endpoint, page_id, src, pos), each endpoint
+    with its first position.
     """
     def fill(cid: Column) -> Column:
         return F.replace(F.lit(template), F.lit("{category_id}"), cid)
 
-    parts = []
-    for i, rx in enumerate(K.HTML_CATEGORY_ID_PATTERNS):
-        ids = pages.select("page_id", F.posexplode(F.regexp_extract_all(F.col(html), F.lit(rx), 1))
-                           .alias("pos", "cid"))
-        parts.append(ids.select("page_id", F.lit(0).alias("src"),
-                                (F.lit(i * 1_000_000) + F.col("pos")).alias("pos"),
-                                U.append_query_flag(fill(F.col("cid"))).alias("endpoint")))
-
     def id_of(u: Column) -> Column:
         cid = U.query_param(u, query_param) if query_param else F.lit(None).cast("string")
         if id_regex:
             cid = F.coalesce(cid, F.nullif(F.regexp_extract(u, id_regex, 1), F.lit("")))
         return cid
 
-    own = pages.select("page_id", F.lit(1).alias("src"), F.lit(0).alias("pos"),
-                       id_of(F.col(url)).alias("cid"))
-    parts.append(own.filter(F.col("cid").isNotNull())
-                 .select("page_id", "src", "pos", fill(F.col("cid")).alias("endpoint")))
-    tags = pages.select("page_id", F.posexplode(F.regexp_extract_all(F.col(html), F.lit(ANCHOR), 0))
-                        .alias("pos", "tag"))
-    href = _attr(F.col("tag"), "href")
-    anchors = tags.select("page_id", "pos", href.alias("href")).filter(truthy("href"))
+    def ids_of_pattern(i: int, rx: str) -> Column:
+        offset = F.lit(i * 1_000_000)
+        return F.transform(F.regexp_extract_all(h, F.lit(rx), 1),
+                           lambda x, j: F.struct(F.lit(0).alias("src"), (offset + j).alias("pos"),
+                                                 x.alias("raw")))
+
+    h = F.col(html)
+    pattern_ids = F.concat(*[ids_of_pattern(i, rx) for i, rx in enumerate(K.HTML_CATEGORY_ID_PATTERNS)])
+    own = F.array(F.struct(F.lit(1).alias("src"), F.lit(0).alias("pos"), id_of(F.col(url)).alias("raw")))
+    anchors = _tagged(F.regexp_extract_all(h, F.lit(ANCHOR), 0), src=2)
+    c = (pages.select("page_id", F.explode(F.concat(pattern_ids, own, anchors)).alias("c"))
+         .select("page_id", "c.*"))
+    staged = c.withColumn("_href", F.when(F.col("src") == 2, _attr(F.col("raw"), "href")))
+    staged = staged.withColumn("cid", F.when(F.col("src") == 2, id_of(F.col("_href"))).otherwise(F.col("raw")))
+    keep = (F.col("src") != 2) | truthy("_href")
     if link_filter:
-        anchors = anchors.filter(F.col("href").contains(link_filter))
-    anchors = anchors.withColumn("cid", id_of(F.col("href")))
+        keep = keep & ((F.col("src") != 2) | F.col("_href").contains(link_filter))
     if "{category_id}" in template:
-        anchors = anchors.filter(F.col("cid").isNotNull())
-    parts.append(anchors.select("page_id", F.lit(2).alias("src"), "pos",
-                                U.append_query_flag(fill(F.coalesce(F.col("cid"), F.lit(""))))
-                                .alias("endpoint")))
-    allp = parts[0]
-    for p in parts[1:]:
-        allp = allp.unionByName(p)
-    allp = allp.filter(U.is_http("endpoint"))
-    return ordered_distinct(allp, "endpoint", ["page_id", "src", "pos"])
+        keep = keep & F.col("cid").isNotNull()
+    else:
+        keep = keep & ((F.col("src") == 2) | F.col("cid").isNotNull())
+    endpoint = (F.when(F.col("src") == 1, fill(F.col("cid")))
+                .otherwise(U.append_query_flag(fill(F.coalesce(F.col("cid"), F.lit(""))))))
+    out = staged.filter(keep).select("page_id", "src", "pos", endpoint.alias("endpoint"))
+    out = out.filter(U.is_http("endpoint"))
+    return ordered_distinct(out, "endpoint", ["page_id", "src", "pos"])
 
 
 def url_contains_any(df: DataFrame, needles, column: str = "url") -> DataFrame:
