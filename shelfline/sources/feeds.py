@@ -202,30 +202,39 @@ def category_endpoints(categories: DataFrame, template: str, payload: str = "pay
     """Category JSON -> endpoint URLs, per document, in item order.
 
     An item that is an http URL is kept; else its ``url`` if http; else its id
-    in the template. Documents that yield nothing fall back to every digit
-    ``id`` at any depth of the document (``category_ids_recursive``).
+    in the template. A document that yields nothing falls back to every digit
+    ``id`` at any depth of the document (``category_ids_recursive``). The
+    choice is made per document with array functions, so the documents are
+    read once and exploded once.
     """
-    items = categories.select(doc, F.posexplode(F.from_json(
-        F.get_json_object(F.col(payload), "$.items"), "array<string>")).alias("pos", "raw"))
-    obj = F.from_json(F.col("raw"), f"struct<{url_path}: string, {id_path}: string>")
-    is_obj = F.col("raw").startswith("{")
-    url = F.when(is_obj, obj[url_path])
-    cid = F.when(is_obj, obj[id_path])
-    picked = (F.when(~is_obj & U.is_http("raw"), F.col("raw"))
-              .when(U.is_http(url), url)
-              .when(cid.isNotNull(), F.replace(F.lit(template), F.lit("{id}"), cid)))
-    direct = items.select(doc, "pos", picked.alias("url")).filter(F.col("url").isNotNull())
-    empty_docs = categories.select(doc, payload).join(direct.select(doc).distinct(), doc, "left_anti")
-    fallback = category_ids_recursive(empty_docs, template, payload, doc)
-    both = direct.select(doc, F.lit(0).alias("branch"), "pos", "url") \
-        .unionByName(fallback.select(doc, F.lit(1).alias("branch"), "pos", "url"))
+    def picked(raw):
+        obj = F.from_json(raw, f"struct<{url_path}: string, {id_path}: string>")
+        is_obj = raw.startswith("{")
+        url = F.when(is_obj, obj[url_path])
+        cid = F.when(is_obj, obj[id_path])
+        return (F.when(~is_obj & U.is_http(raw), raw)
+                .when(U.is_http(url), url)
+                .when(cid.isNotNull(), F.replace(F.lit(template), F.lit("{id}"), cid)))
+
+    items = F.from_json(F.get_json_object(F.col(payload), "$.items"), "array<string>")
+    direct = F.filter(F.transform(items, lambda raw, i: F.struct(F.lit(0).alias("branch"), i.alias("pos"),
+                                                                 picked(raw).alias("url"))),
+                      lambda x: x["url"].isNotNull())
+    fallback = F.transform(F.regexp_extract_all(F.col(payload), F.lit(RECURSIVE_ID), 1),
+                           lambda cid, i: F.struct(F.lit(1).alias("branch"), i.alias("pos"),
+                                                   F.replace(F.lit(template), F.lit("{id}"), cid).alias("url")))
+    chosen = F.when(F.coalesce(F.size(direct), F.lit(0)) > 0, direct).otherwise(fallback)
+    both = categories.select(doc, F.explode(chosen).alias("c")).select(doc, "c.*")
     return ordered_distinct(both, "url", [doc, "branch", "pos"], group=[])
 
 
+RECURSIVE_ID = r'"id"\s*:\s*"?\s*([0-9]+)\s*"?\s*[,}]'
+
+
 def category_ids_recursive(docs: DataFrame, template: str, payload: str = "payload",
                            doc: str = "doc") -> DataFrame:
     """Every all-digit ``id`` anywhere in the JSON text, first-seen order, templated."""
-    ids = F.regexp_extract_all(F.col(payload), F.lit(r'"id"\s*:\s*"?\s*([0-9]+)\s*"?\s*[,}]'), 1)
+    ids = F.regexp_extract_all(F.col(payload), F.lit(RECURSIVE_ID), 1)
     out = docs.select(doc, F.posexplode(ids).alias("pos", "cid"))
     return out.select(doc, "pos", F.replace(F.lit(template), F.lit("{id}"), F.col("cid")).alias("url"))
 
