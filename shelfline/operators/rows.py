@@ -47,19 +47,19 @@ def apply_site_defaults(raw: DataFrame, site=None, sites: DataFrame | None = Non
         val = {k: F.lit(v) for k, v in (site or {}).items()}
     none = F.lit(None).cast("string")
     merchant = val.get("merchant", val.get("brand", none))
-    out = df
+    get = lambda c: _get(df, c)
+    new = {}
     if "merchant" not in raw.columns:
-        out = out.withColumn("merchant", merchant)
+        new["merchant"] = merchant
     if "source" not in raw.columns:
-        out = out.withColumn("source", val.get("source", F.lit("scraper")))
+        new["source"] = val.get("source", F.lit("scraper"))
     if "country" in val:
-        out = out.withColumn("country", F.when(truthy(_get(out, "country")), _get(out, "country"))
-                             .otherwise(val["country"]))
-    ext = py_or(_get(out, "external_id"), _get(out, "product_id"), _get(out, "product_url"))
-    out = out.withColumn("external_id", F.when(truthy(_get(out, "external_id")),
-                                               _get(out, "external_id")).otherwise(ext))
+        new["country"] = F.when(truthy(get("country")), get("country")).otherwise(val["country"])
+    ext = py_or(get("external_id"), get("product_id"), get("product_url"))
+    new["external_id"] = F.when(truthy(get("external_id")), get("external_id")).otherwise(ext)
     if "product_url_template" in val:
-        out = out.withColumn("product_url_template", val["product_url_template"])
+        new["product_url_template"] = val["product_url_template"]
+    out = df.withColumns(new)
     if sites is not None:
         out = out.drop(*[f"_site_{c}" for c in sites.columns if c != on])
     return out

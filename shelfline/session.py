@@ -15,11 +15,17 @@ from pyspark.sql import SparkSession
 
 
 def get_spark(app: str = "shelfline", master: str | None = None,
-              shuffle_partitions: int | None = None) -> SparkSession:
-    """Build (or reuse) a session with AQE on and a UTC clock."""
+              shuffle_partitions: int | None = None, driver_memory: str | None = None) -> SparkSession:
+    """Build (or reuse) a session with AQE on and a UTC clock.
+
+    ``driver_memory`` matters only in local mode (the driver is the executor)
+    and only before the JVM starts.
+    """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
+    if driver_memory:
+        builder = builder.config("spark.driver.memory", driver_memory)
     cpus = os.cpu_count() or 8
     builder = (
         builder

@@ -93,12 +93,16 @@ def read_feed_items(feeds: DataFrame, paths=None, schema: T.StructType | None =
     return picked.select(*keep, F.posexplode("_items").alias("item_pos", "item"))
 
 
-def _expr_type(df: DataFrame, e: str) -> T.DataType:
-    return df.select(F.expr(e)).schema.fields[0].dataType
+def _expr_types(df: DataFrame, exprs) -> dict:
+    """Types of Spark SQL expressions over ``df``, resolved with one analysis."""
+    exprs = list(dict.fromkeys(exprs))
+    if not exprs:
+        return {}
+    schema = df.select(*[F.expr(e).alias(f"_t{i}") for i, e in enumerate(exprs)]).schema
+    return {e: schema.fields[i].dataType for i, e in enumerate(exprs)}
 
 
-def _as_string_array(df: DataFrame, e: str):
-    t = _expr_type(df, e)
+def _as_string_array(t: T.DataType, e: str):
     c = F.expr(e)
     if isinstance(t, T.ArrayType):
         if isinstance(t.elementType, T.ArrayType):
@@ -118,6 +122,15 @@ def map_fields(items: DataFrame, mapping: dict, keep=(), image_field: str = "ima
     distinct values; an empty result is null.
     """
     base = items.select(*keep, "item.*") if "item" in items.columns else items
+    needs_type = []
+    for dest, spec in mapping.items():
+        if isinstance(spec, (list, tuple)):
+            specs = [x for x in spec if x is not None and x.strip()]
+            if dest in merge_fields:
+                needs_type += specs
+            elif dest != image_field and len(specs) > 1:
+                needs_type.append(specs[0])
+    types = _expr_types(base, needs_type)
     cols = []
     for dest, spec in mapping.items():
         if spec is None or (isinstance(spec, str) and not spec.strip()):
@@ -126,7 +139,7 @@ def map_fields(items: DataFrame, mapping: dict, keep=(), image_field: str = "ima
         specs = [s for s in ([spec] if isinstance(spec, str) else list(spec))
                  if s is not None and s.strip()]
         if dest in merge_fields:
-            merged = F.concat(*[F.coalesce(_as_string_array(base, s), F.array().cast("array<string>"))
+            merged = F.concat(*[F.coalesce(_as_string_array(types[s], s), F.array().cast("array<string>"))
                                 for s in specs])
             kept = F.array_distinct(F.filter(merged, lambda u: truthy(strip(u))))
             cols.append(F.when(F.size(kept) > 0, kept).alias(dest))
@@ -136,7 +149,7 @@ def map_fields(items: DataFrame, mapping: dict, keep=(), image_field: str = "ima
         elif len(specs) == 1:
             cols.append(F.expr(specs[0]).alias(dest))
         else:
-            t = _expr_type(base, specs[0])
+            t = types[specs[0]]
             cols.append(F.coalesce(*[F.expr(s).cast(t) for s in specs]).alias(dest))
     return base.select(*keep, *cols)
 
