@@ -43,3 +43,17 @@ def feed_run(feeds: DataFrame, site: dict, mapping: dict, table: DataFrame | Non
     if sync:
         out = prune_missing(out, products.select("id"), site.get("source", "scraper"))
     return out
+
+
+def maintain_products(table, products: DataFrame, source: str, sync: bool = False,
+                      change_id: int = 0) -> None:
+    """Persist a run into a ``BucketedTable`` scoped by ``source``.
+
+    The upsert rewrites only the (source, bucket) partitions the products
+    fall in; with ``sync`` the prune rewrites only ``source``'s partitions.
+    An empty run prunes nothing.
+    """
+    table.merge(products, lambda cur, b: b if cur is None else upsert_products(cur, b), change_id)
+    if sync:
+        ids = products.select("id")
+        table.replace_scope(source, lambda rows: prune_missing(rows, ids, source), change_id + 1)

@@ -397,18 +397,26 @@ QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC)
 
 # ------------------------------------------------------------- E1 pipeline
 _TEMPLATE = S.SITE["product_url_template"]
-ORACLE["feed_run"] = FEEDS + f""",
+
+
+def feed_products_ctes(source: str) -> str:
+    """CTEs fp, prod, feed_products over the FEEDS chain for a site source."""
+    return f""",
 fp AS (SELECT *, {strip('price')} AS price_s FROM usable),
-prod AS (SELECT sha256('scraper:' || external_id) AS id, 'scraper' AS source,
+prod AS (SELECT sha256({q(source + ':')} || external_id) AS id, {q(source)} AS source,
   {S.py_or('title', q(K.DEFAULT_TITLE))} AS title,
   nullif({strip("coalesce(description, '')")}, '') AS description, 'Shop' AS brand, image_url,
   CASE WHEN {truthy('seo_keyword')} THEN replace(replace(replace({q(_TEMPLATE)}, '{{keyword}}', seo_keyword),
     '{{id}}', seo_product_id), '{{discern_id}}', external_id) END AS product_url,
   false AS second_hand, {S.format_price_text('price_s', "'USD'")} AS price, CAST(NULL AS VARCHAR) AS sale,
   {S.gender('gender')} AS gender, {S.category('endpoint')} AS category, CAST(NULL AS VARCHAR) AS size,
-  'merchant_name: Shop country: w' AS metadata_text, endpoint_pos, page, item_pos FROM fp)
-SELECT {PRODUCT_COLS} FROM prod WHERE {truthy('price')}
-QUALIFY row_number() OVER (PARTITION BY id ORDER BY endpoint_pos, page, item_pos) = 1"""
+  'merchant_name: Shop country: w' AS metadata_text, endpoint_pos, page, item_pos FROM fp),
+feed_products AS (SELECT * FROM prod WHERE {truthy('price')}
+  QUALIFY row_number() OVER (PARTITION BY id ORDER BY endpoint_pos, page, item_pos) = 1)
+"""
+
+
+ORACLE["feed_run"] = FEEDS + feed_products_ctes("scraper") + f"SELECT {PRODUCT_COLS} FROM feed_products"
 
 # Polymorphic prices restated from part (Python float printing: shortest repr, '.0' dropped).
 _F = lambda x: f"regexp_replace(CAST(CAST({x} AS DOUBLE) AS VARCHAR), '\\.0$', '')"
@@ -425,3 +433,12 @@ SELECT k, CASE k % 5
 ORACLE["dedup_first_url_key"] = PRODK + f"""SELECT source || ':' || coalesce(product_url, 'None') AS url_key, k, id
 FROM products WHERE {truthy('price')}
 QUALIFY row_number() OVER (PARTITION BY source || ':' || coalesce(product_url, 'None') ORDER BY endpoint_pos, item_pos) = 1"""
+
+
+# The F1 catalog, then a src1 feed run upserted with sync: src1 keeps only the run's rows.
+_E1_HEAD = with_ctes(RAW_PRODUCTS, SITE_DEFAULTS, PRODUCT_ROWS)
+_E1_TAIL = E1[len(_E1_HEAD):]
+_FEEDS_TAIL = FEEDS[len(RAW):]
+ORACLE["feed_run_sync"] = (_E1_HEAD + _E1_TAIL.rstrip() + _FEEDS_TAIL.rstrip() + feed_products_ctes("src1")
+                           + f"SELECT {PRODUCT_COLS} FROM catalog WHERE source <> 'src1' "
+                           + f"UNION ALL SELECT {PRODUCT_COLS} FROM feed_products")

@@ -767,3 +767,17 @@ def q_dedup_first_url_key(spark, sf):
     out = D.dedup_first(rows.select("url_key", "k", "id", "source", "product_url",
                                     "endpoint_pos", "item_pos"), "url_key", ["endpoint_pos", "item_pos"])
     return out.select("url_key", "k", "id")
+
+
+@query("feed_run_sync")
+def q_feed_run_sync(spark, sf):
+    """A feed run for source 'src1' with sync, applied to the F1 catalog table."""
+    from shelfline.plans.catalog import feed_products, maintain_products
+    from shelfline.session import shared_dir
+    from shelfline.sources.table import BucketedTable
+    table = BucketedTable(spark, shared_dir(spark, "products"), "id", buckets=16, scope="source")
+    initial = catalog(spark, sf).drop("endpoint_pos", "item_pos")
+    maintain_products(table, initial, "src1", sync=False, change_id=0)
+    run = feed_products(_feeds(spark, sf), dict(FEED_SITE, source="src1"), FX.FEED_MAPPING)
+    maintain_products(table, run.drop("endpoint_pos", "page", "item_pos"), "src1", sync=True, change_id=1)
+    return flat_products(table.read())

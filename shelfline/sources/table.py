@@ -55,20 +55,25 @@ class SnapshotTable:
 
 
 class BucketedTable:
-    """A table partitioned by ``bucket = pmod(xxhash64(key), buckets)``.
+    """A table partitioned by ``[scope,] bucket`` with ``bucket = pmod(xxhash64(key), buckets)``.
 
-    A change rewrites only the buckets its rows hash to: the merged rows of
-    those buckets are first written to a per-change staging folder (so the
+    A change rewrites only the partitions its rows fall in: the merged rows of
+    those partitions are first written to a per-change staging folder (so the
     table is never read and overwritten by the same job), then swapped in
-    with dynamic partition overwrite. Merges are idempotent, so replaying a
-    change after a failure between the two steps gives the same table.
+    with dynamic partition overwrite; touched partitions left empty are
+    removed. Merges are idempotent, so replaying a change after a failure
+    between the steps gives the same table. ``scope`` (e.g. ``source``) must
+    be determined by the key, which holds for ids hashed from the source.
     """
 
-    def __init__(self, spark: SparkSession, path: str, key: str, buckets: int = 64):
+    def __init__(self, spark: SparkSession, path: str, key: str, buckets: int = 64,
+                 scope: str | None = None):
         self.spark = spark
         self.path = path.rstrip("/")
         self.key = key
         self.buckets = buckets
+        self.scope = scope
+        self.parts = ([scope] if scope else []) + ["bucket"]
 
     def bucket_of(self):
         from pyspark.sql import functions as F
@@ -81,22 +86,56 @@ class BucketedTable:
     def read(self) -> DataFrame | None:
         if not self.exists():
             return None
-        return self.spark.read.parquet(self.path).drop("bucket")
+        return self._scan().drop("bucket")
 
-    def merge(self, batch: DataFrame, merge_fn, change_id: int) -> None:
-        """Replace the touched buckets with ``merge_fn(current_rows_or_None, batch)``."""
+    def _scan(self) -> DataFrame:
+        # Partitions written by different changes may carry different columns.
+        return self.spark.read.option("mergeSchema", "true").parquet(self.path)
+
+    def _partition_filter(self, touched):
         from pyspark.sql import functions as F
+        cond = F.lit(False)
+        for t in touched:
+            c = F.lit(True)
+            for name, v in zip(self.parts, t):
+                c = c & (F.col(name).isNull() if v is None else (F.col(name) == F.lit(v)))
+            cond = cond | c
+        return cond
+
+    def _rewrite(self, touched, merged: DataFrame, change_id: int) -> None:
+        """Replace exactly the ``touched`` partitions with ``merged`` rows."""
+        staged = merged.withColumn("bucket", self.bucket_of())
+        staging = f"{self.path}__staging/change={change_id}"
+        staged.write.mode("overwrite").partitionBy(*self.parts).parquet(staging)
+        written = {tuple(r) for r in self.spark.read.parquet(staging)
+                   .select(*self.parts).distinct().collect()}  # bounded: <= touched partitions
+        if written:
+            (self.spark.read.parquet(staging).write.mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic").partitionBy(*self.parts).parquet(self.path))
+        fs, _, jvm = _fs(self.spark, self.path)
+        escape = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+        for t in set(touched) - written:  # partitions the change emptied
+            sub = "/".join(f"{n}={'__HIVE_DEFAULT_PARTITION__' if v is None else escape(str(v))}"
+                           for n, v in zip(self.parts, t))
+            fs.delete(jvm.org.apache.hadoop.fs.Path(f"{self.path}/{sub}"), True)
+
+    def merge(self, batch: DataFrame, merge_fn, change_id: int) -> None:
+        """Replace the touched partitions with ``merge_fn(current_rows_or_None, batch)``."""
         keyed = batch.withColumn("bucket", self.bucket_of())
-        touched = sorted(r[0] for r in keyed.select("bucket").distinct().collect())  # <= buckets ints
+        touched = [tuple(r) for r in keyed.select(*self.parts).distinct().collect()]  # bounded
         if not touched:
             return
-        current = None
+        cur_rows = None
         if self.exists():
-            current = (self.spark.read.parquet(self.path)
-                       .filter(F.col("bucket").isin(touched)))
-        cur_rows = current.drop("bucket") if current is not None else None
-        merged = merge_fn(cur_rows, batch).withColumn("bucket", self.bucket_of())
-        staging = f"{self.path}__staging/change={change_id}"
-        merged.write.mode("overwrite").partitionBy("bucket").parquet(staging)
-        (self.spark.read.parquet(staging).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(self.path))
+            cur_rows = self._scan().filter(self._partition_filter(touched)).drop("bucket")
+        self._rewrite(touched, merge_fn(cur_rows, batch), change_id)
+
+    def replace_scope(self, value, fn, change_id: int) -> None:
+        """Rewrite every partition of one scope value with ``fn(rows_of_that_scope)``."""
+        from pyspark.sql import functions as F
+        if not self.exists():
+            return
+        rows = self._scan().filter(F.col(self.scope) == F.lit(value))
+        touched = [tuple(r) for r in rows.select(*self.parts).distinct().collect()]  # bounded
+        if touched:
+            self._rewrite(touched, fn(rows.drop("bucket")), change_id)

@@ -67,3 +67,19 @@ def test_dedup_first_matches_python_and_is_idempotent(spark, data):
 def test_ordered_distinct_first_positions(spark):
     df = spark.createDataFrame([("x", 3), ("y", 1), ("x", 0), ("y", 7)], "url string, pos int")
     assert rows(ordered_distinct(df, "url", ["pos"])) == [("x", 0), ("y", 1)]
+
+
+def test_bucketed_maintenance(spark, tmp_path):
+    from shelfline.plans.catalog import maintain_products
+    from shelfline.sources.table import BucketedTable
+    schema = "id string, source string, title string, price string"
+    t = BucketedTable(spark, str(tmp_path / "t"), "id", buckets=4, scope="source")
+    maintain_products(t, spark.createDataFrame(
+        [("a", "s1", "A", "1"), ("b", "s1", "B", "2"), ("c", "s2", "C", "3"), ("d", "s1", "D", "4")], schema), "s1")
+    run = spark.createDataFrame([("a", "s1", "A2", "9")], schema)
+    maintain_products(t, run, "s1", sync=True, change_id=1)
+    assert rows(t.read().select("id", "source", "title", "price")) == [("a", "s1", "A2", "9"), ("c", "s2", "C", "3")]
+    maintain_products(t, run, "s1", sync=True, change_id=1)  # replay of the same change
+    assert rows(t.read().select("id", "source", "title", "price")) == [("a", "s1", "A2", "9"), ("c", "s2", "C", "3")]
+    maintain_products(t, spark.createDataFrame([], schema), "s1", sync=True, change_id=3)  # empty run
+    assert t.read().count() == 2
