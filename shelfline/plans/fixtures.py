@@ -337,15 +337,15 @@ def events_with_gaps(events: DataFrame) -> DataFrame:
                          F.when(F.col("event_id") % 5 != 0, F.col("value")).alias("value"))
 
 
-def write_arrivals(events: DataFrame, folder: str, batches: int = 4) -> None:
-    """Append the events to ``folder`` in ``batches`` event-id ranges, one write
+def write_arrivals(rows: DataFrame, folder: str, batches: int = 4, order: str = "event_id") -> None:
+    """Append ``rows`` to ``folder`` in ``batches`` ranges of ``order``, one write
     each, so a file stream sees them arrive in order."""
-    max_id = events.agg(F.max("event_id")).first()[0]
-    if max_id is None:
+    top = rows.agg(F.max(order)).first()[0]  # one scalar
+    if top is None:
         return
-    chunk = F.floor(F.col("event_id") * batches / (max_id + 1))
+    chunk = F.floor(F.col(order) * batches / (top + 1))
     for b in range(batches):
-        events.filter(chunk == b).write.mode("append").parquet(folder)
+        rows.filter(chunk == b).write.mode("append").parquet(folder)
 
 
 def price_payloads(part: DataFrame) -> DataFrame:

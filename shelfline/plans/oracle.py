@@ -442,3 +442,5 @@ _FEEDS_TAIL = FEEDS[len(RAW):]
 ORACLE["feed_run_sync"] = (_E1_HEAD + _E1_TAIL.rstrip() + _FEEDS_TAIL.rstrip() + feed_products_ctes("src1")
                            + f"SELECT {PRODUCT_COLS} FROM catalog WHERE source <> 'src1' "
                            + f"UNION ALL SELECT {PRODUCT_COLS} FROM feed_products")
+
+ORACLE["stream_feed_run"] = ORACLE["feed_run"]

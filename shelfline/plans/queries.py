@@ -781,3 +781,16 @@ def q_feed_run_sync(spark, sf):
     run = feed_products(_feeds(spark, sf), dict(FEED_SITE, source="src1"), FX.FEED_MAPPING)
     maintain_products(table, run.drop("endpoint_pos", "page", "item_pos"), "src1", sync=True, change_id=1)
     return flat_products(table.read())
+
+
+@query("stream_feed_run")
+def q_stream_feed_run(spark, sf):
+    """Feed documents streamed in four arrival batches; equals the batch feed run."""
+    from shelfline.session import shared_dir
+    from shelfline.streaming.upsert import stream_feed_run
+    docs = _feeds(spark, sf)
+    base = shared_dir(spark, "feed-stream")
+    FX.write_arrivals(docs, f"{base}/arrivals", 4, order="endpoint_pos")
+    table = stream_feed_run(spark, f"{base}/arrivals", docs.schema, f"{base}/table", f"{base}/ckpt",
+                            FEED_SITE, FX.FEED_MAPPING, buckets=16, max_files_per_trigger=4)
+    return flat_products(table.read())

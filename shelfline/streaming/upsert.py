@@ -67,3 +67,35 @@ def stream_upsert(spark: SparkSession, source_dir: str, schema: T.StructType, ta
 
 def read_pending(spark: SparkSession, pending_dir: str) -> DataFrame:
     return spark.read.parquet(pending_dir)
+
+
+def stream_feed_run(spark: SparkSession, feed_dir: str, schema: T.StructType, table_dir: str,
+                    checkpoint_dir: str, site: dict, mapping: dict, buckets: int = 64,
+                    max_files_per_trigger: int | None = None) -> BucketedTable:
+    """Feed documents arriving as files -> product rows -> the products table.
+
+    Each micro-batch runs the feed pipeline (items, field map, gates, site
+    defaults, product rows, price gate, first row per id) and merges into a
+    table partitioned by (source, bucket), keeping the arrival order columns
+    so the first row per id in arrival order wins across micro-batches too:
+    the streamed table equals the batch run over the same documents.
+    """
+    from shelfline.plans.catalog import ORDER, feed_products
+    from shelfline.operators.dedup import dedup_first
+
+    table = BucketedTable(spark, table_dir, "id", buckets, scope="source")
+
+    def merge_first(cur, b):
+        both = b if cur is None else cur.unionByName(b.select(*cur.columns))
+        return dedup_first(both, "id", ORDER)
+
+    def handle(batch: DataFrame, epoch_id: int) -> None:
+        table.merge(feed_products(batch, site, mapping), merge_first, epoch_id)
+
+    reader = spark.readStream.schema(schema)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    q = (reader.parquet(feed_dir).writeStream.foreachBatch(handle)
+         .option("checkpointLocation", checkpoint_dir).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return table
