@@ -127,7 +127,8 @@ def _partial_topk(corpus: DataFrame, q_ids, q_mat, k: int, id_col: str, vec_col:
 
 def _final_topk(partial: DataFrame, k: int, id_col: str) -> DataFrame:
     w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col(id_col).asc())
-    return partial.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+    ranked = partial.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+    return ranked.withColumn("rank", F.col("rank").cast("bigint"))
 
 
 def _query_blocks(queries: DataFrame, query_id: str, query_vec: str):

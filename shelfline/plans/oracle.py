@@ -175,8 +175,8 @@ SELECT endpoint_pos, page, item_pos, external_id FROM mapped WHERE {truthy('exte
 ORACLE["has_required_image"] = FEEDS + "SELECT endpoint_pos, page, item_pos, external_id, image_url FROM usable"
 ORACLE["union_batches"] = FEEDS + "SELECT endpoint_pos, page, item_pos, external_id FROM usable"
 ORACLE["ingest_stats"] = FEEDS + f"""
-SELECT endpoint, count(*) AS matched, count_if({truthy('external_id')}) AS with_id,
-  count_if({truthy('external_id')} AND {truthy('image_url')}) AS with_image FROM mapped GROUP BY endpoint"""
+SELECT endpoint, count(*) AS matched, CAST(count_if({truthy('external_id')}) AS BIGINT) AS with_id,
+  CAST(count_if({truthy('external_id')} AND {truthy('image_url')}) AS BIGINT) AS with_image FROM mapped GROUP BY endpoint"""
 ORACLE["fallback_to_pages"] = FEEDS + """,
 ok AS (SELECT DISTINCT endpoint_pos, endpoint FROM usable),
 docs AS (SELECT DISTINCT endpoint_pos, endpoint FROM raw_products),
@@ -293,7 +293,7 @@ QUALIFY row_number() OVER (PARTITION BY page_id, link ORDER BY src, branch, pos)
 _CID = (f"coalesce(nullif(regexp_extract(split_part(url, '#', 1), '[?&]page=([^&#]*)', 1), ''), "
         f"nullif(regexp_extract(url, {q(HTML_ID_REGEX)}, 1), ''))")
 ORACLE["html_endpoints"] = f"""WITH own AS (SELECT page_id, {_CID} AS cid FROM pages),
-e AS (SELECT page_id, 1 AS src, 0 AS pos, replace({q(HTML_TEMPLATE)}, '{{category_id}}', cid) AS endpoint
+e AS (SELECT page_id, 1 AS src, CAST(0 AS BIGINT) AS pos, replace({q(HTML_TEMPLATE)}, '{{category_id}}', cid) AS endpoint
   FROM own WHERE cid IS NOT NULL)
 SELECT endpoint, page_id, src, pos FROM e WHERE starts_with(endpoint, 'http')
 QUALIFY row_number() OVER (PARTITION BY endpoint ORDER BY page_id, src, pos) = 1"""

@@ -430,7 +430,7 @@ def q_resolve_endpoints(spark, sf):
 # ------------------------------------------------------ table maintenance
 
 def _vec_cols(df, c="image_embedding"):
-    return [F.when(F.col(c).isNotNull(), F.size(c)).alias("emb_dim"),
+    return [F.when(F.col(c).isNotNull(), F.size(c)).cast("bigint").alias("emb_dim"),
             F.element_at(c, 1).cast("double").alias("emb_first")]
 
 
@@ -543,7 +543,7 @@ def q_resolve_url(spark, sf):
     tags = p.select("page_id", "url", F.posexplode(F.regexp_extract_all("html", F.lit(ANCHOR), 0))
                     .alias("pos", "tag"))
     href = _attr(F.col("tag"), "href")
-    return tags.select("page_id", "pos", href.alias("href"),
+    return tags.select("page_id", F.col("pos").cast("bigint").alias("pos"), href.alias("href"),
                        resolve_url(href, F.col("url")).alias("resolved"))
 
 
@@ -567,7 +567,7 @@ def q_url_contains_any(spark, sf):
 
 def page_card_counts(pages):
     host = F.regexp_extract("url", r"://([^/?#]+)", 1)
-    n = F.size(F.regexp_extract_all("html", F.lit(r'href="/[A-Z]'), 0))
+    n = F.size(F.regexp_extract_all("html", F.lit(r'href="/[A-Z]'), 0)).cast("bigint")
     return pages.select("page_id", host.alias("site"), (F.col("page_id") % 12).alias("page"),
                         n.alias("n_items"))
 

@@ -90,7 +90,8 @@ def read_feed_items(feeds: DataFrame, paths=None, schema: T.StructType | None =
     staged = staged.select(*keep, "_d.*")
     chosen = F.coalesce(*[F.when(F.size(c) > 0, c) for c in cands])
     picked = staged.select(*keep, chosen.alias("_items"))
-    return picked.select(*keep, F.posexplode("_items").alias("item_pos", "item"))
+    out = picked.select(*keep, F.posexplode("_items").alias("item_pos", "item"))
+    return out.withColumn("item_pos", F.col("item_pos").cast("bigint"))
 
 
 def _expr_types(df: DataFrame, exprs) -> dict:
@@ -237,7 +238,8 @@ def category_endpoints(categories: DataFrame, template: str, payload: str = "pay
                            lambda cid, i: F.struct(F.lit(1).alias("branch"), i.alias("pos"),
                                                    F.replace(F.lit(template), F.lit("{id}"), cid).alias("url")))
     chosen = F.when(F.coalesce(F.size(direct), F.lit(0)) > 0, direct).otherwise(fallback)
-    both = categories.select(doc, F.explode(chosen).alias("c")).select(doc, "c.*")
+    both = (categories.select(doc, F.explode(chosen).alias("c")).select(doc, "c.*")
+            .withColumn("pos", F.col("pos").cast("bigint")))
     return ordered_distinct(both, "url", [doc, "branch", "pos"], group=[])
 
 
@@ -248,7 +250,7 @@ def category_ids_recursive(docs: DataFrame, template: str, payload: str = "paylo
                            doc: str = "doc") -> DataFrame:
     """Every all-digit ``id`` anywhere in the JSON text, first-seen order, templated."""
     ids = F.regexp_extract_all(F.col(payload), F.lit(RECURSIVE_ID), 1)
-    out = docs.select(doc, F.posexplode(ids).alias("pos", "cid"))
+    out = docs.select(doc, F.posexplode(ids).alias("pos", "cid")).withColumn("pos", F.col("pos").cast("bigint"))
     return out.select(doc, "pos", F.replace(F.lit(template), F.lit("{id}"), F.col("cid")).alias("url"))
 
 

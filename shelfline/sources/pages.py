@@ -72,8 +72,8 @@ def page_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
                         .alias("pos", "tag"))
     href = F.coalesce(_attr(F.col("tag"), "href"), _attr(F.col("tag"), "data-href"),
                       _attr(F.col("tag"), "data-url"))
-    out = tags.select("page_id", "pos", U.resolve_url(unescape_entities(href), F.col(url)).alias("link"),
-                      href.alias("_h"))
+    out = tags.select("page_id", F.col("pos").cast("bigint").alias("pos"),
+                      U.resolve_url(unescape_entities(href), F.col(url)).alias("link"), href.alias("_h"))
     return out.filter(F.col("_h").isNotNull() & U.is_http("link")).drop("_h")
 
 
@@ -84,13 +84,14 @@ def jsonld_urls(pages: DataFrame, url: str = "url", html: str = "html") -> DataF
     found = F.flatten(F.transform(blocks, lambda b: F.regexp_extract_all(
         b, F.lit(r'"url"\s*:\s*"([^"]*)"'), 1)))
     out = pages.select("page_id", url, F.posexplode(found).alias("pos", "u"))
-    return out.select("page_id", "pos", U.resolve_url(F.col("u"), F.col(url)).alias("link"))
+    return out.select("page_id", F.col("pos").cast("bigint").alias("pos"),
+                      U.resolve_url(F.col("u"), F.col(url)).alias("link"))
 
 
 def _tagged(arr, **tags):
     """Wrap each element of ``arr`` as struct(tags..., pos, raw)."""
     return F.transform(arr, lambda x, i: F.struct(*[F.lit(v).alias(k) for k, v in tags.items()],
-                                                  i.alias("pos"), x.alias("raw")))
+                                                  i.cast("bigint").alias("pos"), x.alias("raw")))
 
 
 def product_url_scan(pages: DataFrame, pattern: str = r"c0p\d+", url: str = "url",
@@ -163,14 +164,15 @@ def html_endpoints(pages: DataFrame, template: str, id_regex: str | None = None,
         return cid
 
     def ids_of_pattern(i: int, rx: str) -> Column:
-        offset = F.lit(i * 1_000_000)
+        offset = F.lit(i * 1_000_000).cast("bigint")
         return F.transform(F.regexp_extract_all(h, F.lit(rx), 1),
                            lambda x, j: F.struct(F.lit(0).alias("src"), (offset + j).alias("pos"),
                                                  x.alias("raw")))
 
     h = F.col(html)
     pattern_ids = F.concat(*[ids_of_pattern(i, rx) for i, rx in enumerate(K.HTML_CATEGORY_ID_PATTERNS)])
-    own = F.array(F.struct(F.lit(1).alias("src"), F.lit(0).alias("pos"), id_of(F.col(url)).alias("raw")))
+    own = F.array(F.struct(F.lit(1).alias("src"), F.lit(0).cast("bigint").alias("pos"),
+                           id_of(F.col(url)).alias("raw")))
     anchors = _tagged(F.regexp_extract_all(h, F.lit(ANCHOR), 0), src=2)
     c = (pages.select("page_id", F.explode(F.concat(pattern_ids, own, anchors)).alias("c"))
          .select("page_id", "c.*"))
@@ -219,7 +221,7 @@ def extract_cards(pages: DataFrame, container: str = CARD, url: str = "url",
                          .alias("card_pos", "frag"))
     # Staged projections: every regex over the fragment runs once per card.
     tags = cards.select(
-        "page_id", url, "card_pos",
+        "page_id", url, F.col("card_pos").cast("bigint").alias("card_pos"),
         F.regexp_extract(F.col("frag"), r"^<div[^>]*>", 0).alias("_open"),
         F.coalesce(_attr(F.col("frag"), "href"), _attr(F.col("frag"), ":href")).alias("_href"),
         F.regexp_extract(F.col("frag"), r"<img\s[^>]*>", 0).alias("_img"),
@@ -293,7 +295,7 @@ def embedded_products(pages: DataFrame, html: str = "html", max_scripts: int = 5
                        F.expr("try_cast(p.price AS double)"),
                        N.parse_price_number(p["price"]))
     return prods.select(
-        "page_id", (F.col("spos") * 100000 + F.col("ppos")).alias("emb_pos"),
+        "page_id", (F.col("spos").cast("bigint") * 100000 + F.col("ppos")).alias("emb_pos"),
         pid.alias("product_id"),
         F.coalesce(p["name"], p["title"], p["productName"], p["nameEn"]).alias("title"),
         p["description"].alias("description"),
