@@ -16,7 +16,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfline import constants as K
-from shelfline.functions import normalize as N  # noqa: F401
 from shelfline.functions.text import truthy
 from shelfline.operators.joins import bounded_rows, maybe_broadcast, BROADCAST_MAX_ROWS
 

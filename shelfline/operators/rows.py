@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from shelfline import constants as K
 from shelfline.functions import normalize as N
-from shelfline.functions.text import truthy, py_or, first_truthy, strip
+from shelfline.functions.text import truthy, py_or, strip
 from shelfline.operators.joins import maybe_broadcast
 
 PRODUCT_COLUMNS = ["id", "source", "title", "description", "brand", "image_url",
@@ -211,5 +211,5 @@ def ensure_columns(df: DataFrame, columns: dict) -> DataFrame:
 
 
 __all__ = ["apply_site_defaults", "to_product_row", "with_info_text", "price_gate",
-           "required_fields_gate", "format_for_db", "pick_image", "first_truthy",
-           "PRODUCT_COLUMNS", "ensure_columns", "product_key_text"]
+           "required_fields_gate", "format_for_db", "pick_image", "PRODUCT_COLUMNS",
+           "ensure_columns", "product_key_text"]

@@ -9,7 +9,6 @@ table is given, the joins against the batch ids.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from shelfline.operators import dedup as D
 from shelfline.operators import rows as RW

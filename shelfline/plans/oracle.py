@@ -240,7 +240,6 @@ SELECT vec_id, label, (embedding IS NULL OR len(embedding) <> 768) AS reset FROM
 
 # -------------------------------------------------------------- page jobs
 from shelfline.plans.queries import PAGE_FIELDS, SCAN_PATTERN, HTML_TEMPLATE, HTML_ID_REGEX  # noqa: E402
-from shelfline.plans.fixtures import SITEMAP_ROOT  # noqa: E402
 
 
 def _rx(r: str) -> str:

@@ -7,7 +7,7 @@ engines.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfline.functions import normalize as N
@@ -127,7 +127,7 @@ def q_clean_description(spark, sf):
     return _k(spark, sf).select("k", N.clean_description("description").alias("description"))
 
 
-def _media(r):
+def _media():
     k = F.col("k")
     arr = F.array(F.col("image_url"), F.concat(F.lit(" "), F.col("product_url"), F.lit(" ")),
                   F.col("image_url"), F.lit(""))
@@ -136,7 +136,7 @@ def _media(r):
 
 @query("image_gallery")
 def q_image_gallery(spark, sf):
-    r = _k(spark, sf).withColumn("_xmedia_urls", _media(None))
+    r = _k(spark, sf).withColumn("_xmedia_urls", _media())
     main, extra = N.image_gallery("_xmedia_urls", "image_url")
     return r.select("k", main.alias("image_url"), F.array_join(extra, "|").alias("additional_images"))
 
@@ -191,10 +191,12 @@ def q_is_allowed_image_url(spark, sf):
     return _k(spark, sf).select("k", N.is_allowed_image_url("image_url").alias("allowed"))
 
 
-def _image_candidates(r):
+def _image_candidates():
+    """Image URLs covering every rule: short marked host, long one with {width},
+    video, non-image extension, protocol-relative with padding."""
     k = F.col("k")
     ks = k.cast("string")
-    return None, F.when(k % 6 == 0, F.col("image_url")) \
+    return F.when(k % 6 == 0, F.col("image_url")) \
         .when(k % 6 == 1, F.concat(F.lit("https://static.zara.net/photos/"), ks, F.lit(".jpg"))) \
         .when(k % 6 == 2, F.concat(F.lit("https://static.zara.net/photos///2024/V/0/1/p/"),
                                    F.lpad(ks, 60, "0"), F.lit("-e1.jpg?w={width}&h={width}"))) \
@@ -206,16 +208,14 @@ def _image_candidates(r):
 @query("is_embeddable_image_url")
 def q_is_embeddable_image_url(spark, sf):
     r = _k(spark, sf)
-    cand = _image_candidates(r)[1]
-    return r.select("k", cand.alias("url")).select("k", "url",
+    return r.select("k", _image_candidates().alias("url")).select("k", "url",
                                                    N.is_embeddable_image_url("url").alias("embeddable"))
 
 
 @query("clean_image_url")
 def q_clean_image_url(spark, sf):
     r = _k(spark, sf)
-    cand = _image_candidates(r)[1]
-    return r.select("k", cand.alias("url")).select("k", N.clean_image_url("url").alias("clean_url"))
+    return r.select("k", _image_candidates().alias("url")).select("k", N.clean_image_url("url").alias("clean_url"))
 
 
 @query("pick_image_url")

@@ -273,7 +273,7 @@ def fallback_to_pages(feed_docs: DataFrame, feed_products: DataFrame, page_rows:
     failing = feed_docs.select("endpoint_pos", endpoint).join(ok_docs, ["endpoint_pos", endpoint],
                                                               "left_anti")
     keys = failing.select(U.without_query(endpoint).alias(page_key)).distinct()
-    taken = page_rows.join(keys, page_key, "left_semi")
+    taken = page_rows.join(maybe_broadcast(keys), page_key, "left_semi")
     return feed_products.unionByName(taken, allowMissingColumns=True)
 
 
