@@ -107,3 +107,12 @@ def test_urls(spark):
     assert one(spark, U.card_product_id("t"), [("plp-productCard-6806189605066-select",),
                                                 ("plp-productCard-Wishlist-1",)], "t string") == [
         "6806189605066", "plp-productCard-Wishlist-1"]
+
+
+def test_pick_image_strict_and_lenient(spark):
+    df = spark.createDataFrame([("data:a", "https://i/x.jpg"), ("data:a", "https://i/x-e1.jpg"), (None, None)],
+                               "a string, b string")
+    strict = [r[0] for r in df.select(N.pick_image_url(["a", "b"])).collect()]
+    lenient = [r[0] for r in df.select(N.pick_image_url(["a", "b"], strict=False)).collect()]
+    assert strict == [None, "https://i/x-e1.jpg", None]
+    assert lenient == ["https://i/x.jpg", "https://i/x-e1.jpg", None]

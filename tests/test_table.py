@@ -83,3 +83,13 @@ def test_bucketed_maintenance(spark, tmp_path):
     assert rows(t.read().select("id", "source", "title", "price")) == [("a", "s1", "A2", "9"), ("c", "s2", "C", "3")]
     maintain_products(t, spark.createDataFrame([], schema), "s1", sync=True, change_id=3)  # empty run
     assert t.read().count() == 2
+
+
+def test_snapshot_table_versions(spark, tmp_path):
+    from shelfline.sources.table import SnapshotTable
+    t = SnapshotTable(spark, str(tmp_path / "snap"))
+    assert t.read() is None
+    t.commit(spark.createDataFrame([("a", 1)], "id string, v int"), 1)
+    t.commit(spark.createDataFrame([("a", 2)], "id string, v int"), 2)
+    assert t.versions() == [1, 2]
+    assert t.read().first().v == 2 and t.read(before=2).first().v == 1
