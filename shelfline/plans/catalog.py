@@ -30,12 +30,34 @@ def feed_products(feeds: DataFrame, site: dict, mapping: dict) -> DataFrame:
     return D.dedup_first(RW.price_gate(rows), "id", order)
 
 
+def embed_products(products: DataFrame, text_encoder_factory=None, image_encoder_factory=None,
+                   dim: int = 768) -> DataFrame:
+    """Add ``info_embedding`` (encoder over ``build_info_text``) and
+    ``image_embedding`` (encoder over the cleaned image URL, only for URLs
+    that can be embedded). Runs after gate and de-dup, so each product is
+    encoded once; a failed or wrong-width vector is null and the row kept."""
+    from pyspark.sql import functions as F
+    from shelfline.functions import normalize as N
+    from shelfline.operators.vectors import embed_column
+    out = products
+    if text_encoder_factory is not None:
+        out = RW.with_info_text(out, "_info")
+        out = embed_column(out, "_info", text_encoder_factory, "info_embedding", dim).drop("_info")
+    if image_encoder_factory is not None:
+        out = out.withColumn("_img", F.when(N.is_embeddable_image_url("image_url"),
+                                            N.clean_image_url("image_url")))
+        out = embed_column(out, "_img", image_encoder_factory, "image_embedding", dim).drop("_img")
+    return out
+
+
 def feed_run(feeds: DataFrame, site: dict, mapping: dict, table: DataFrame | None = None,
-             sync: bool = False, dry_run: bool = False) -> DataFrame:
-    """The whole run: products, then upsert into ``table`` and (``sync``) prune
-    the site's source. ``dry_run`` returns the products without touching the
-    table (and, unlike the original, never prunes)."""
+             sync: bool = False, dry_run: bool = False, text_encoder_factory=None,
+             image_encoder_factory=None, dim: int = 768) -> DataFrame:
+    """The whole run: products, optional embeddings, then upsert into ``table``
+    and (``sync``) prune the site's source. ``dry_run`` returns the products
+    without touching the table (and, unlike the original, never prunes)."""
     products = feed_products(feeds, site, mapping).drop(*ORDER)
+    products = embed_products(products, text_encoder_factory, image_encoder_factory, dim)
     if dry_run or table is None:
         return products
     out = upsert_products(table, products)

@@ -84,3 +84,17 @@ def test_fallback_to_pages(spark):
                                   "page_key string, origin string, item_id string")
     got = sorted((r.origin, r.item_id) for r in FD.fallback_to_pages(feed_docs, products, pages).collect())
     assert got == [("feed", "p1"), ("page", "q1")]
+
+
+def test_feed_run_embeds_after_gate_and_dedup(spark):
+    from shelfline.operators.vectors import hashing_encoder_factory
+    from shelfline.plans.catalog import feed_run
+    docs_ = spark.createDataFrame([(2, 0, "https://s/category/2419032/products", '{"products":[' + ITEM + "," + ITEM + "]}")],
+                                  "endpoint_pos int, page long, endpoint string, payload string")
+    mapping = {"external_id": "seo.discernProductId", "title": "name", "price": "'12,50'",
+               "currency": "'USD'", "image_url": ["try_element_at(xmedia, 2).url"]}
+    out = feed_run(docs_, {"merchant": "M", "source": "s"}, mapping,
+                   text_encoder_factory=hashing_encoder_factory(16),
+                   image_encoder_factory=hashing_encoder_factory(16), dim=16).collect()
+    assert len(out) == 1 and out[0].price == "12.50USD" and out[0].category == "coats"
+    assert len(out[0].info_embedding) == 16 and len(out[0].image_embedding) == 16
