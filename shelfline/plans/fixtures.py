@@ -241,15 +241,18 @@ def card_pages(part: DataFrame) -> DataFrame:
     card = F.concat(F.lit('<div class="card"'), id_attrs, F.lit('><a href="/products/handle-'), ks,
                     F.lit('?v=1">'), title, F.lit('</a><img src="'), img,
                     F.lit('"><span class="price">'), price, F.lit("</span></div>"))
+    ld = F.concat(F.lit('{"position":'), ks, F.lit(',"item":{"url":"/products/handle-'), ks, F.lit('"}}'))
     emb = F.concat(F.lit('{"id":"'), ks, F.lit('","name":"Emb '), F.col("p_name"),
                    F.lit('","description":"'), F.col("p_type"), F.lit('","sizes":[{"price":"'),
                    cents.cast("string"), F.lit('"}]}'))
     page = F.floor(k / CARDS_PER_PAGE).cast("bigint")
-    g = (part.select(page.alias("page_id"), k.alias("k"), card.alias("card"), emb.alias("emb"))
-         .groupBy("page_id").agg(F.sort_array(F.collect_list(F.struct("k", "card", "emb"))).alias("_l")))
+    g = (part.select(page.alias("page_id"), k.alias("k"), card.alias("card"), emb.alias("emb"), ld.alias("ld"))
+         .groupBy("page_id").agg(F.sort_array(F.collect_list(F.struct("k", "card", "emb", "ld"))).alias("_l")))
     cards = F.array_join(F.transform("_l", lambda x: x["card"]), "")
     embs = F.array_join(F.transform("_l", lambda x: x["emb"]), ",")
-    html = F.concat(F.lit('<html><body><script type="application/json">{"products":['), embs,
+    lds = F.array_join(F.transform("_l", lambda x: x["ld"]), ",")
+    html = F.concat(F.lit('<html><head><script type="application/ld+json">{"@type":"ItemList","itemListElement":['),
+                    lds, F.lit(']}</script></head><body><script type="application/json">{"products":['), embs,
                     F.lit("]}</script>"), cards, F.lit("</body></html>"))
     return g.select("page_id", F.concat(F.lit(SHOP + "/cards/"), F.col("page_id").cast("string")).alias("url"),
                     html.alias("html"))

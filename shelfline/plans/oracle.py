@@ -443,3 +443,6 @@ ORACLE["feed_run_sync"] = (_E1_HEAD + _E1_TAIL.rstrip() + _FEEDS_TAIL.rstrip() +
                            + f"UNION ALL SELECT {PRODUCT_COLS} FROM feed_products")
 
 ORACLE["stream_feed_run"] = ORACLE["feed_run"]
+
+ORACLE["jsonld_urls_cards"] = CARDS + f"""SELECT page_id, card_pos AS pos,
+  '{SHOP}/products/handle-' || CAST(k AS VARCHAR) AS link FROM cards"""

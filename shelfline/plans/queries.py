@@ -794,3 +794,10 @@ def q_stream_feed_run(spark, sf):
     table = stream_feed_run(spark, f"{base}/arrivals", docs.schema, f"{base}/table", f"{base}/ckpt",
                             FEED_SITE, FX.FEED_MAPPING, buckets=16, max_files_per_trigger=4)
     return flat_products(table.read())
+
+
+@query("jsonld_urls_cards")
+def q_jsonld_urls_cards(spark, sf):
+    """ld+json item-list URLs on the card pages derived from ``part``."""
+    from shelfline.sources.pages import jsonld_urls
+    return jsonld_urls(_card_pages(spark, sf))
