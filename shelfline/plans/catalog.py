@@ -9,10 +9,12 @@ table is given, the joins against the batch ids.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from shelfline.operators import dedup as D
 from shelfline.operators import rows as RW
 from shelfline.operators.maintain import upsert_products, prune_missing
+from shelfline.operators.reads import site_totals
 from shelfline.sources import feeds as FD
 
 ORDER = ["endpoint_pos", "page", "item_pos"]
@@ -78,3 +80,41 @@ def maintain_products(table, products: DataFrame, source: str, sync: bool = Fals
     if sync:
         ids = products.select("id")
         table.replace_scope(source, lambda rows: prune_missing(rows, ids, source), change_id + 1)
+
+
+def run_sites(feeds: DataFrame, sites: DataFrame, mapping: dict, requested: str = "all",
+              limit: int = 0, table=None, sync: bool = False, dry_run: bool = False,
+              change_id: int = 0):
+    """Run the feed pipeline for the requested sites at once.
+
+    ``feeds`` carries a ``site`` column naming its site's ``brand``; ``sites``
+    is the config table (brand, source, merchant, country,
+    product_url_template, ...). The first ``limit`` items per site are kept
+    before the price gate and de-dup (0 = all). With a ``table``
+    (``BucketedTable`` scoped by source) the products are upserted and, with
+    ``sync``, each site's source is pruned to its current ids; ``dry_run``
+    writes nothing. Returns (products, site_totals).
+    """
+    from shelfline.sources.feeds import select_sites
+    chosen = select_sites(sites, requested).withColumnRenamed("brand", "site")
+    feeds = feeds.join(chosen.select("site"), "site", "left_semi")
+    keep = [c for c in ("site", "endpoint_pos", "endpoint", "page") if c in feeds.columns] + ["item_pos"]
+    mapped = FD.map_fields(FD.read_feed_items(feeds), mapping, keep=keep)
+    usable = FD.has_required_image(FD.has_identifier(mapped), mapping)
+    raw = RW.apply_site_defaults(usable, sites=chosen, on="site")
+    order = [c for c in ORDER if c in raw.columns]
+    if limit:
+        raw = D.limit_per_site(raw, limit, site="site", order=order)
+    rows = RW.to_product_row(raw, keep=["site"] + order)
+    products = D.dedup_first(RW.price_gate(rows), "id", order).drop(*order)
+    totals = site_totals(products, "site")
+    if table is not None and not dry_run:
+        out = products.drop("site")
+        table.merge(out, lambda cur, b: b if cur is None else upsert_products(cur, b), change_id)
+        if sync:
+            # One prune per source of the chosen sites (a bounded config list).
+            for (src,) in chosen.select("source").distinct().collect():
+                ids = out.filter(F.col("source") == src).select("id")
+                table.replace_scope(src, lambda rows, ids=ids, src=src: prune_missing(rows, ids, src),
+                                    change_id + 1)
+    return products, totals

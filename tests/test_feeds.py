@@ -98,3 +98,30 @@ def test_feed_run_embeds_after_gate_and_dedup(spark):
                    image_encoder_factory=hashing_encoder_factory(16), dim=16).collect()
     assert len(out) == 1 and out[0].price == "12.50USD" and out[0].category == "coats"
     assert len(out[0].info_embedding) == 16 and len(out[0].image_embedding) == 16
+
+
+def test_run_sites_limit_sync_totals(spark, tmp_path):
+    from shelfline.plans.catalog import run_sites
+    from shelfline.sources.table import BucketedTable
+
+    def item(i, site):
+        return ('{"id":"%d","name":"N%d","price":"%d,5","seo":{"discernProductId":"%s%d"},'
+                '"xmedia":[{"url":"https://i/%d-e1.jpg"}]}' % (i, i, i, site, i, i))
+
+    feeds = spark.createDataFrame([
+        ("A", 0, 0, "https://a/category/2419032/p", '{"products":[' + ",".join(item(i, "a") for i in range(4)) + "]}"),
+        ("B", 0, 0, "https://b/x", '{"products":[' + ",".join(item(i, "b") for i in range(3)) + "]}"),
+        ("C", 0, 0, "https://c/x", '{"products":[' + item(9, "c") + "]}"),
+    ], "site string, endpoint_pos int, page long, endpoint string, payload string")
+    sites = spark.createDataFrame([("A", "sa", "MA", "us"), ("B", "sb", "MB", "de"), ("C", "sc", "MC", "fr")],
+                                  "brand string, source string, merchant string, country string")
+    mapping = {"external_id": "seo.discernProductId", "title": "name", "price": "price",
+               "currency": "'USD'", "image_url": ["try_element_at(xmedia, 1).url"]}
+    table = BucketedTable(spark, str(tmp_path / "t"), "id", buckets=4, scope="source")
+    products, totals = run_sites(feeds, sites, mapping, "a, B", limit=2, table=table, sync=True)
+    assert sorted((r.site or "", r.imported) for r in totals.collect()) == [("", 4), ("A", 2), ("B", 2)]
+    assert sorted(r.source for r in table.read().collect()) == ["sa", "sa", "sb", "sb"]
+    got = {r.title: (r.price, r.category) for r in products.collect() if r.site == "A"}
+    assert got == {"N0": ("0.5USD", "coats"), "N1": ("1.5USD", "coats")}
+    _, totals = run_sites(feeds, sites, mapping, "B", limit=1, table=table, sync=True, change_id=5)
+    assert sorted(r.source for r in table.read().collect()) == ["sa", "sa", "sb"]
