@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A dimension side above this many rows is joined by shuffle instead.
+# A side above this many rows is joined by shuffle instead. Narrow sides (ids,
+# small dimensions) use the first bound; sides carrying arbitrary table columns
+# (which may hold vectors or long text) use the second.
 BROADCAST_MAX_ROWS = 1_000_000
+BROADCAST_MAX_WIDE_ROWS = 50_000
 
 
 def bounded_rows(df: DataFrame, max_rows: int) -> bool:

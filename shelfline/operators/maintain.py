@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 
 from shelfline import constants as K
 from shelfline.functions.text import truthy
-from shelfline.operators.joins import bounded_rows, maybe_broadcast, BROADCAST_MAX_ROWS
+from shelfline.operators.joins import (bounded_rows, maybe_broadcast, BROADCAST_MAX_ROWS,
+                                      BROADCAST_MAX_WIDE_ROWS)
 
 
 def categories_table(spark) -> DataFrame:
@@ -61,9 +62,11 @@ def upsert_products(target: DataFrame, batch: DataFrame, key: str = "id",
     kept = target.join(side, key, "left_anti")
     lacking = [c for c in target.columns if c not in batch.columns and c != key]
     if lacking:
-        # Old values of the updated rows only: at most one row per batch id.
+        # Old values of the updated rows only: at most one row per batch id,
+        # but as wide as the columns the batch lacks, hence the tighter bound.
         old = target.join(side, key, "left_semi").select(key, *lacking)
-        updated = batch.join(F.broadcast(old) if small else old, key, "left")
+        wide_small = small and bounded_rows(ids, min(max_broadcast_rows, BROADCAST_MAX_WIDE_ROWS))
+        updated = batch.join(F.broadcast(old) if wide_small else old, key, "left")
     else:
         updated = batch
     for c in cols:
