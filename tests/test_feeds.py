@@ -125,3 +125,10 @@ def test_run_sites_limit_sync_totals(spark, tmp_path):
     assert got == {"N0": ("0.5USD", "coats"), "N1": ("1.5USD", "coats")}
     _, totals = run_sites(feeds, sites, mapping, "B", limit=1, table=table, sync=True, change_id=5)
     assert sorted(r.source for r in table.read().collect()) == ["sa", "sa", "sb"]
+
+
+def test_html_endpoints_path_placeholder(spark):
+    pages = spark.createDataFrame([(1, "https://s.example/list", '<a href="/women/dresses">x</a>')],
+                                  "page_id long, url string, html string")
+    got = [r.endpoint for r in html_endpoints(pages, "https://api.example{path}/products").collect()]
+    assert got == ["https://api.example/women/dresses/products?ajax=true"]
