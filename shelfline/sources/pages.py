@@ -154,8 +154,9 @@ def html_endpoints(pages: DataFrame, template: str, id_regex: str | None = None,
     and exploded once. Returns (endpoint, page_id, src, pos), each endpoint
     with its first position.
     """
-    def fill(cid: Column) -> Column:
-        return F.replace(F.lit(template), F.lit("{category_id}"), cid)
+    def fill(cid: Column, path: Column) -> Column:
+        filled = F.replace(F.lit(template), F.lit("{category_id}"), cid)
+        return F.replace(filled, F.lit("{path}"), F.coalesce(path, F.lit("")))
 
     def id_of(u: Column) -> Column:
         cid = U.query_param(u, query_param) if query_param else F.lit(None).cast("string")
@@ -174,8 +175,8 @@ def html_endpoints(pages: DataFrame, template: str, id_regex: str | None = None,
     own = F.array(F.struct(F.lit(1).alias("src"), F.lit(0).cast("bigint").alias("pos"),
                            id_of(F.col(url)).alias("raw")))
     anchors = _tagged(F.regexp_extract_all(h, F.lit(ANCHOR), 0), src=2)
-    c = (pages.select("page_id", F.explode(F.concat(pattern_ids, own, anchors)).alias("c"))
-         .select("page_id", "c.*"))
+    c = (pages.select("page_id", url, F.explode(F.concat(pattern_ids, own, anchors)).alias("c"))
+         .select("page_id", url, "c.*"))
     staged = c.withColumn("_href", F.when(F.col("src") == 2, _attr(F.col("raw"), "href")))
     staged = staged.withColumn("cid", F.when(F.col("src") == 2, id_of(F.col("_href"))).otherwise(F.col("raw")))
     keep = (F.col("src") != 2) | truthy("_href")
@@ -185,8 +186,10 @@ def html_endpoints(pages: DataFrame, template: str, id_regex: str | None = None,
         keep = keep & F.col("cid").isNotNull()
     else:
         keep = keep & ((F.col("src") == 2) | F.col("cid").isNotNull())
-    endpoint = (F.when(F.col("src") == 1, fill(F.col("cid")))
-                .otherwise(U.append_query_flag(fill(F.coalesce(F.col("cid"), F.lit(""))))))
+    # {path} is the anchor's href, or the page URL for ids found on the page.
+    path = F.when(F.col("src") == 2, F.col("_href")).otherwise(F.col(url))
+    endpoint = (F.when(F.col("src") == 1, fill(F.col("cid"), path))
+                .otherwise(U.append_query_flag(fill(F.coalesce(F.col("cid"), F.lit("")), path))))
     out = staged.filter(keep).select("page_id", "src", "pos", endpoint.alias("endpoint"))
     out = out.filter(U.is_http("endpoint"))
     return ordered_distinct(out, "endpoint", ["page_id", "src", "pos"])
