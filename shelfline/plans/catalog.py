@@ -68,15 +68,27 @@ def feed_run(feeds: DataFrame, site: dict, mapping: dict, table: DataFrame | Non
     return out
 
 
+def stamp(cur: DataFrame | None, batch: DataFrame, run_ts) -> DataFrame:
+    """Upsert with timestamps: ``last_seen`` = this run for every batch row;
+    ``created_at`` kept from the table for updates, this run for inserts."""
+    b = batch.drop("created_at").withColumn("last_seen", F.lit(run_ts).cast("timestamp"))
+    merged = b.withColumn("created_at", F.lit(None).cast("timestamp")) if cur is None else upsert_products(cur, b)
+    return merged.withColumn("created_at", F.coalesce(F.col("created_at"), F.lit(run_ts).cast("timestamp")))
+
+
 def maintain_products(table, products: DataFrame, source: str, sync: bool = False,
-                      change_id: int = 0) -> None:
+                      change_id: int = 0, run_ts=None) -> None:
     """Persist a run into a ``BucketedTable`` scoped by ``source``.
 
     The upsert rewrites only the (source, bucket) partitions the products
     fall in; with ``sync`` the prune rewrites only ``source``'s partitions.
-    An empty run prunes nothing.
+    An empty run prunes nothing. ``run_ts`` (default: now, fixed once per
+    call so a replay writes the same values) stamps ``last_seen`` and the
+    ``created_at`` of inserted rows.
     """
-    table.merge(products, lambda cur, b: b if cur is None else upsert_products(cur, b), change_id)
+    import datetime as _dt
+    run_ts = run_ts or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+    table.merge(products, lambda cur, b: stamp(cur, b, run_ts), change_id)
     if sync:
         ids = products.select("id")
         table.replace_scope(source, lambda rows: prune_missing(rows, ids, source), change_id + 1)
@@ -109,8 +121,10 @@ def run_sites(feeds: DataFrame, sites: DataFrame, mapping: dict, requested: str
     products = D.dedup_first(RW.price_gate(rows), "id", order).drop(*order)
     totals = site_totals(products, "site")
     if table is not None and not dry_run:
+        import datetime as _dt
+        run_ts = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
         out = products.drop("site")
-        table.merge(out, lambda cur, b: b if cur is None else upsert_products(cur, b), change_id)
+        table.merge(out, lambda cur, b: stamp(cur, b, run_ts), change_id)
         if sync:
             # One prune per source of the chosen sites (a bounded config list).
             for (src,) in chosen.select("source").distinct().collect():

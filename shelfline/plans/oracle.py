@@ -446,3 +446,10 @@ ORACLE["stream_feed_run"] = ORACLE["feed_run"]
 
 ORACLE["jsonld_urls_cards"] = CARDS + f"""SELECT page_id, card_pos AS pos,
   '{SHOP}/products/handle-' || CAST(k AS VARCHAR) AS link FROM cards"""
+
+_SYNC = (_E1_HEAD + _E1_TAIL.rstrip() + _FEEDS_TAIL.rstrip() + feed_products_ctes("src1"))
+ORACLE["read_products_table"] = _SYNC + "SELECT id, title, brand FROM catalog WHERE source = 'src2'"
+ORACLE["recent_products_table"] = _SYNC + """,
+stamped AS (SELECT id, title, CASE WHEN id IN (SELECT id FROM catalog) THEN '2024-01-01 00:00:00'
+  ELSE '2024-02-01 00:00:00' END AS created_at FROM feed_products)
+SELECT id, title, created_at FROM stamped ORDER BY created_at DESC, id LIMIT 10"""

@@ -769,18 +769,42 @@ def q_dedup_first_url_key(spark, sf):
     return out.select("url_key", "k", "id")
 
 
-@query("feed_run_sync")
-def q_feed_run_sync(spark, sf):
-    """A feed run for source 'src1' with sync, applied to the F1 catalog table."""
+RUN_1, RUN_2 = "2024-01-01 00:00:00", "2024-02-01 00:00:00"
+
+
+def synced_table(spark, sf):
+    """The F1 catalog persisted (run 1), then a src1 feed run with sync (run 2)."""
+    import datetime as dt
     from shelfline.plans.catalog import feed_products, maintain_products
     from shelfline.session import shared_dir
     from shelfline.sources.table import BucketedTable
     table = BucketedTable(spark, shared_dir(spark, "products"), "id", buckets=16, scope="source")
     initial = catalog(spark, sf).drop("endpoint_pos", "item_pos")
-    maintain_products(table, initial, "src1", sync=False, change_id=0)
+    maintain_products(table, initial, "src1", sync=False, change_id=0,
+                      run_ts=dt.datetime.fromisoformat(RUN_1))
     run = feed_products(_feeds(spark, sf), dict(FEED_SITE, source="src1"), FX.FEED_MAPPING)
-    maintain_products(table, run.drop("endpoint_pos", "page", "item_pos"), "src1", sync=True, change_id=1)
-    return flat_products(table.read())
+    maintain_products(table, run.drop("endpoint_pos", "page", "item_pos"), "src1", sync=True, change_id=1,
+                      run_ts=dt.datetime.fromisoformat(RUN_2))
+    return table
+
+
+@query("feed_run_sync")
+def q_feed_run_sync(spark, sf):
+    """A feed run for source 'src1' with sync, applied to the F1 catalog table."""
+    return flat_products(synced_table(spark, sf).read())
+
+
+@query("read_products_table")
+def q_read_products_table(spark, sf):
+    """Source filter over the persisted table: prunes to the source's partitions."""
+    return R.read_products(synced_table(spark, sf).read(), ["id", "title", "brand"], source="src2")
+
+
+@query("recent_products_table")
+def q_recent_products_table(spark, sf):
+    """Newest 10 rows of source src1 by created_at (inserted by run 2 first)."""
+    out = R.recent_products(synced_table(spark, sf).read(), source="src1", k=10)
+    return out.select("id", "title", F.col("created_at").cast("string").alias("created_at"))
 
 
 @query("stream_feed_run")

@@ -73,11 +73,18 @@ def test_bucketed_maintenance(spark, tmp_path):
     from shelfline.plans.catalog import maintain_products
     from shelfline.sources.table import BucketedTable
     schema = "id string, source string, title string, price string"
+    import datetime as dt
     t = BucketedTable(spark, str(tmp_path / "t"), "id", buckets=4, scope="source")
+    t0, t1 = dt.datetime(2024, 1, 1), dt.datetime(2024, 2, 1)
     maintain_products(t, spark.createDataFrame(
-        [("a", "s1", "A", "1"), ("b", "s1", "B", "2"), ("c", "s2", "C", "3"), ("d", "s1", "D", "4")], schema), "s1")
+        [("a", "s1", "A", "1"), ("b", "s1", "B", "2"), ("c", "s2", "C", "3"), ("d", "s1", "D", "4")], schema), "s1",
+        run_ts=t0)
+    run = spark.createDataFrame([("a", "s1", "A2", "9"), ("e", "s1", "E", "5")], schema)
+    maintain_products(t, run, "s1", change_id=1, run_ts=t1)
+    stamps = {r.id: (r.created_at, r.last_seen) for r in t.read().collect()}
+    assert stamps["a"] == (t0, t1) and stamps["e"] == (t1, t1) and stamps["c"] == (t0, t0)
     run = spark.createDataFrame([("a", "s1", "A2", "9")], schema)
-    maintain_products(t, run, "s1", sync=True, change_id=1)
+    maintain_products(t, run, "s1", sync=True, change_id=1, run_ts=t1)
     assert rows(t.read().select("id", "source", "title", "price")) == [("a", "s1", "A2", "9"), ("c", "s2", "C", "3")]
     maintain_products(t, run, "s1", sync=True, change_id=1)  # replay of the same change
     assert rows(t.read().select("id", "source", "title", "price")) == [("a", "s1", "A2", "9"), ("c", "s2", "C", "3")]
