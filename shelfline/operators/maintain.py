@@ -97,11 +97,25 @@ def prune_missing(target: DataFrame, current_ids: DataFrame, source: str, key: s
     return target.filter(other).unionByName(in_source.join(ids, key, "left_semi"))
 
 
+def inserted_rows(target: DataFrame, batch: DataFrame, key: str = "id",
+                  max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Batch rows whose key the target does not have.
+
+    With a bounded batch, the target's keys meet the broadcast batch ids in a
+    semi-join (the target is streamed, never shuffled) and the batch is then
+    anti-joined with those few matches; otherwise a plain anti-join.
+    """
+    ids = batch.select(key)
+    if bounded_rows(ids, max_broadcast_rows):
+        present = target.select(key).join(F.broadcast(ids), key, "left_semi")
+        return batch.join(F.broadcast(present), key, "left_anti")
+    return batch.join(target.select(key), key, "left_anti")
+
+
 def pending_embeddings(target: DataFrame, batch: DataFrame, key: str = "id",
                        vector: str = "image_embedding", image: str = "image_url") -> DataFrame:
     """Rows the batch inserts (not in target) that carry no vector: (id, image_url)."""
-    inserted = batch.join(target.select(key), key, "left_anti")
-    return inserted.filter(F.col(vector).isNull()).select(key, image)
+    return inserted_rows(target, batch, key).filter(F.col(vector).isNull()).select(key, image)
 
 
 def align_columns(*batches: DataFrame, drop=("embedding",)) -> DataFrame:

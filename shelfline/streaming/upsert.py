@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfline.operators.dedup import dedup_last
+from shelfline.operators.maintain import inserted_rows
 from shelfline.sources.table import BucketedTable
 
 
@@ -27,7 +28,7 @@ def merge_newest(current: DataFrame | None, batch: DataFrame, key, order) -> Dat
 def newly_inserted_without_vector(current: DataFrame | None, batch: DataFrame, key: str,
                                   vector: str, image: str | None = None) -> DataFrame:
     """Rows whose key the table did not have and that carry no vector."""
-    fresh = batch if current is None else batch.join(current.select(key), key, "left_anti")
+    fresh = batch if current is None else inserted_rows(current, batch, key)
     cols = [key] + ([image] if image else []) + ([c for c in batch.columns if c not in (key, image)])
     return fresh.filter(F.col(vector).isNull()).select(*cols)
 
