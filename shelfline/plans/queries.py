@@ -721,7 +721,8 @@ def _run_stream(spark, sf, with_pending=False):
     table = stream_upsert(spark, f"{base}/arrivals", ev.schema, f"{base}/table", f"{base}/ckpt",
                           "user_id", ["ts", "event_id"],
                           pending_dir=f"{base}/pending" if with_pending else None,
-                          vector="value" if with_pending else None, max_files_per_trigger=8)
+                          vector="value" if with_pending else None, max_files_per_trigger=8,
+                          buckets=16)
     return table, base
 
 
