@@ -20,6 +20,7 @@ from shelfline import constants as K
 from shelfline.operators.joins import bounded_rows
 
 MAX_QUERY_BLOCK = 4096  # query vectors broadcast at once
+SIM_CELLS = 1 << 22  # rows x queries scored at once per task (32 MB of doubles)
 
 
 # ------------------------------------------------------------- embedding
@@ -97,27 +98,29 @@ def _partial_topk(corpus: DataFrame, q_ids, q_mat, k: int, id_col: str, vec_col:
     def score(batches):
         qi, qm = q_ids_b.value, q_mat_b.value
         probes = q_cells_b.value if q_cells_b is not None else None
-        for pdf in batches:
-            pdf = pdf[pdf[vec_col].notna()]
-            if pdf.empty:
-                continue
-            vecs = np.vstack(pdf[vec_col].to_numpy()).astype(np.float64)
-            ids = pdf[id_col].to_numpy()
-            sims = _normalise(vecs) @ qm.T  # rows x queries
-            if probes is not None:
-                cells = pdf[cell_col].to_numpy()
-                mask = np.stack([np.isin(cells, probes[j]) for j in range(len(qi))], axis=1)
-                sims = np.where(mask, sims, -np.inf)
-            kk = min(k, sims.shape[0])
-            top = np.argpartition(-sims, kk - 1, axis=0)[:kk]  # kk x queries
-            rows = []
-            for j in range(len(qi)):
-                sel = top[:, j]
-                s = sims[sel, j]
-                good = np.isfinite(s)
-                rows.append(pd.DataFrame({"query_id": qi[j], id_col: ids[sel][good], "score": s[good]}))
-            if rows:
-                yield pd.concat(rows, ignore_index=True)
+        step = max(1, SIM_CELLS // max(1, len(qi)))
+        for batch in batches:
+            batch = batch[batch[vec_col].notna()]
+            # Score the batch in row chunks so the similarity block stays bounded.
+            for start in range(0, len(batch), step):
+                pdf = batch.iloc[start:start + step]
+                vecs = np.vstack(pdf[vec_col].to_numpy()).astype(np.float64)
+                ids = pdf[id_col].to_numpy()
+                sims = _normalise(vecs) @ qm.T  # rows x queries
+                if probes is not None:
+                    cells = pdf[cell_col].to_numpy()
+                    mask = np.stack([np.isin(cells, probes[j]) for j in range(len(qi))], axis=1)
+                    sims = np.where(mask, sims, -np.inf)
+                kk = min(k, sims.shape[0])
+                top = np.argpartition(-sims, kk - 1, axis=0)[:kk]  # kk x queries
+                rows = []
+                for j in range(len(qi)):
+                    sel = top[:, j]
+                    s = sims[sel, j]
+                    good = np.isfinite(s)
+                    rows.append(pd.DataFrame({"query_id": qi[j], id_col: ids[sel][good], "score": s[good]}))
+                if rows:
+                    yield pd.concat(rows, ignore_index=True)
 
     id_type = corpus.schema[id_col].dataType.simpleString()
     q_type = "bigint" if np.issubdtype(np.asarray(q_ids).dtype, np.integer) else "string"
