@@ -112,13 +112,13 @@ def _partial_topk(corpus: DataFrame, q_ids, q_mat, k: int, id_col: str, vec_col:
                     mask = np.stack([np.isin(cells, probes[j]) for j in range(len(qi))], axis=1)
                     sims = np.where(mask, sims, -np.inf)
                 kk = min(k, sims.shape[0])
-                top = np.argpartition(-sims, kk - 1, axis=0)[:kk]  # kk x queries
+                # k-th best score per query; every row at or above it is kept, so
+                # rows tied with the k-th are never dropped arbitrarily.
+                kth = np.partition(sims, sims.shape[0] - kk, axis=0)[sims.shape[0] - kk]
                 rows = []
                 for j in range(len(qi)):
-                    sel = top[:, j]
-                    s = sims[sel, j]
-                    good = np.isfinite(s)
-                    rows.append(pd.DataFrame({"query_id": qi[j], id_col: ids[sel][good], "score": s[good]}))
+                    sel = np.flatnonzero((sims[:, j] >= kth[j]) & np.isfinite(sims[:, j]))
+                    rows.append(pd.DataFrame({"query_id": qi[j], id_col: ids[sel], "score": sims[sel, j]}))
                 if rows:
                     yield pd.concat(rows, ignore_index=True)
 

@@ -49,3 +49,11 @@ def test_valid_vectors_and_embed(spark):
     assert len(out[0].e) == 32 and out[1].e is None and out[2].e is None
     bad = V.embed_column(t, "text", V.hashing_encoder_factory(16), "e", 32).orderBy("id").collect()
     assert all(r.e is None for r in bad)
+
+
+def test_ties_at_the_kth_score_keep_smallest_ids(spark):
+    rows = [(i, [1.0, 0.0]) for i in range(10, 0, -1)] + [(100, [0.0, 1.0])]
+    df = spark.createDataFrame(rows, "id long, embedding array<float>").repartition(3)
+    q = spark.createDataFrame([(0, [1.0, 0.0])], "query_id long, query_vec array<double>")
+    got = [r.id for r in V.cosine_topk(df, q, 3).orderBy("rank").collect()]
+    assert got == [1, 2, 3]
