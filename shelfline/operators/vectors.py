@@ -62,9 +62,13 @@ def hashing_encoder_factory(dim: int = K.EMBEDDING_DIM, seed: int = 7):
         def encode(texts):
             out = np.zeros((len(texts), dim), dtype=np.float32)
             for i, t in enumerate(texts):
-                for tok in t.lower().split():
-                    h = xxhash.xxh64_intdigest(tok, seed=seed)
-                    out[i, h % dim] += 1.0 if (h >> 63) == 0 else -1.0
+                toks = t.lower().split()
+                if not toks:
+                    continue
+                h = np.fromiter((xxhash.xxh64_intdigest(x, seed=seed) for x in toks),
+                                dtype=np.uint64, count=len(toks))
+                sign = np.where((h >> np.uint64(63)) == 0, 1.0, -1.0)
+                out[i] = np.bincount((h % np.uint64(dim)).astype(np.int64), weights=sign, minlength=dim)
             norms = np.linalg.norm(out, axis=1, keepdims=True)
             return out / np.where(norms == 0, 1.0, norms)
         return encode
