@@ -213,3 +213,13 @@ def ensure_columns(df: DataFrame, columns: dict) -> DataFrame:
 __all__ = ["apply_site_defaults", "to_product_row", "with_info_text", "price_gate",
            "required_fields_gate", "format_for_db", "pick_image", "PRODUCT_COLUMNS",
            "ensure_columns", "product_key_text"]
+
+
+def render_for_sink(products: DataFrame) -> DataFrame:
+    """Text forms a relational sink stores: ``additional_images`` and
+    ``metadata`` as JSON text (compact separators), everything else as is."""
+    out = products
+    for c in ("additional_images", "metadata"):
+        if c in out.columns:
+            out = out.withColumn(c, F.when(F.col(c).isNotNull(), F.to_json(F.col(c))))
+    return out
