@@ -55,6 +55,8 @@ def expand_sitemaps(spark, sitemaps: DataFrame, roots: list[str] | DataFrame,
         is_xml = F.col("loc").endswith(".xml")
         found = locs.filter(~is_xml).select(F.col("loc").alias("url"), F.lit(depth).alias("depth"), "ord")
         results = found if results is None else results.unionByName(found)
+        if depth == max_nested - 1:
+            break  # the next frontier would never be fetched
         nxt = (locs.filter(is_xml).groupBy(F.col("loc").alias("url")).agg(F.min("ord").alias("ord"))
                .join(seen, "url", "left_anti"))
         if base is not None:
