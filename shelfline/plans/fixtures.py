@@ -16,8 +16,19 @@ GENDER_CYCLE = ["WOMAN", "Man", " girls ", "KID", "unisex", "female", "Ornament"
 SHOP = "https://shop.example"
 
 
+MIN_SCAN_PARTITIONS = "shelfline.scan.minPartitions"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A given table. With ``shelfline.scan.minPartitions`` set, an input that
+    scans into fewer partitions (one Parquet row group is one task) is spread
+    round-robin so CPU-heavy projections use every core; large inputs already
+    have more splits and are left alone."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    want = int(spark.conf.get(MIN_SCAN_PARTITIONS, "0") or 0)
+    if want and df.rdd.getNumPartitions() < want:
+        df = df.repartition(want)
+    return df
 
 
 def _cycle(k, values):

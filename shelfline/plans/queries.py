@@ -715,7 +715,9 @@ def q_embed_column(spark, sf):
 def _run_stream(spark, sf, with_pending=False):
     from shelfline.session import shared_dir
     from shelfline.streaming.upsert import stream_upsert
-    ev = FX.events_with_gaps(FX.table(spark, sf, "events"))
+    # Arrival files are written from the table as scanned (no spreading), so
+    # each arrival batch stays a few files.
+    ev = FX.events_with_gaps(spark.read.parquet(f"{sf.rstrip('/')}/events.parquet"))
     base = shared_dir(spark, "stream")
     FX.write_arrivals(ev, f"{base}/arrivals")
     table = stream_upsert(spark, f"{base}/arrivals", ev.schema, f"{base}/table", f"{base}/ckpt",
