@@ -322,3 +322,28 @@ def pick_image_url(candidates, strict: bool = True) -> Column:
     if strict:
         return first
     return F.coalesce(first, col(candidates[-1]).cast("string"))
+
+
+def alternates_truthy(prefix: str) -> Column:
+    """Python truthiness of a typed-alternate value (0, '', {} and [] are falsy)."""
+    t, n = F.col(f"{prefix}_text"), F.col(f"{prefix}_num")
+    m, lst = F.col(f"{prefix}_map"), F.col(f"{prefix}_list")
+    return (truthy(t) | (n.isNotNull() & (n != 0))
+            | F.coalesce(F.size(m) > 0, F.lit(False)) | F.coalesce(F.size(lst) > 0, F.lit(False)))
+
+
+def format_price_alternates(prefix: str, currency) -> Column:
+    return format_price(text=F.col(f"{prefix}_text"), num=F.col(f"{prefix}_num"),
+                        is_int=F.col(f"{prefix}_is_int"), price_map=F.col(f"{prefix}_map"),
+                        price_list=F.col(f"{prefix}_list"), currency=currency)
+
+
+def format_sale_alternates(prefixes, currency) -> Column:
+    """First truthy of several polymorphic sale fields, formatted; none -> null."""
+    chosen = F.when(alternates_truthy(prefixes[0]), format_price_alternates(prefixes[0], currency))
+    for p in prefixes[1:]:
+        earlier = F.lit(False)
+        for q in prefixes[:prefixes.index(p)]:
+            earlier = earlier | alternates_truthy(q)
+        chosen = F.when(~earlier & alternates_truthy(p), format_price_alternates(p, currency)).otherwise(chosen)
+    return chosen

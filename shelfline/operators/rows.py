@@ -70,7 +70,8 @@ def to_product_row(raw: DataFrame, keep: list[str] | None = None,
     """RAW -> PRODUCT in one projection.
 
     Price inputs: ``price`` (text) or the typed alternates ``price_text``,
-    ``price_num``/``price_is_int``, ``price_map``, ``price_list``. Sizes: ``size``
+    ``price_num``/``price_is_int``, ``price_map``, ``price_list``; sale inputs:
+    ``sale``/``sale_price``/``salePrice`` as text, or their typed alternates. Sizes: ``size``
     (text) and/or ``size_list`` (array). Media: ``_xmedia_urls``.
     ``keep`` carries extra columns (e.g. the arrival order) through.
     """
@@ -101,10 +102,15 @@ def to_product_row(raw: DataFrame, keep: list[str] | None = None,
         branches.append(N.format_price_list("price_list"))
     price = (F.coalesce(*branches) if len(branches) > 1 else
              branches[0] if branches else F.lit(None).cast("string"))
+    typed_sales = [c for c in ("sale", "sale_price", "salePrice") if f"{c}_text" in raw.columns]
     sale_cols = [c for c in ("sale", "sale_price", "salePrice") if c in raw.columns]
-    sale = (N.format_sale(*[F.col(c) for c in sale_cols[:1]], currency,
-                          *[F.col(c) for c in sale_cols[1:]])
-            if sale_cols else F.lit(None).cast("string"))
+    if typed_sales:  # polymorphic sale fields split by price_alternates
+        sale = N.format_sale_alternates(typed_sales, currency)
+    elif sale_cols:
+        sale = N.format_sale(*[F.col(c) for c in sale_cols[:1]], currency,
+                             *[F.col(c) for c in sale_cols[1:]])
+    else:
+        sale = F.lit(None).cast("string")
     size = N.normalize_size(_opt(raw, "size"), _opt(raw, "size_list"))
     if categories is None:
         category = N.category_of_endpoint(g("endpoint"))

@@ -378,3 +378,18 @@ def price_payloads(part: DataFrame) -> DataFrame:
              .otherwise(F.concat(F.lit('"'), size, F.lit(',5"'))))
     return part.select(k.alias("k"), F.concat(F.lit('{"price":'), price, F.lit("}")).alias("payload"),
                        F.when(k % 11 == 0, F.lit(None).cast("string")).otherwise(F.lit("USD")).alias("currency"))
+
+
+def sale_payloads(part: DataFrame) -> DataFrame:
+    """Sale fields of every kind; falsy ones (0, '', {}, []) must be skipped."""
+    k = F.col("p_partkey")
+    size = F.col("p_size").cast("string")
+    sale = (F.when(k % 6 == 0, F.lit("0")).when(k % 6 == 1, F.lit('""'))
+            .when(k % 6 == 2, F.concat(F.lit('{"EUR":'), size, F.lit("}")))
+            .when(k % 6 == 3, F.lit("[]")).when(k % 6 == 4, (F.col("p_size") * 100).cast("string"))
+            .otherwise(F.lit("null")))
+    sale_price = F.when(k % 4 == 0, F.concat(F.lit('"'), size, F.lit(',99"'))).otherwise(F.lit("{}"))
+    payload = F.concat(F.lit('{"sale":'), sale, F.lit(',"sale_price":'), sale_price,
+                       F.lit(',"salePrice":[{"price":'), size, F.lit(',"currency":"czk"}]}'))
+    return part.select(k.alias("k"), payload.alias("payload"),
+                       F.when(k % 11 == 0, F.lit(None).cast("string")).otherwise(F.lit("USD")).alias("currency"))

@@ -453,3 +453,14 @@ ORACLE["recent_products_table"] = _SYNC + """,
 stamped AS (SELECT id, title, CASE WHEN id IN (SELECT id FROM catalog) THEN '2024-01-01 00:00:00'
   ELSE '2024-02-01 00:00:00' END AS created_at FROM feed_products)
 SELECT id, title, created_at FROM stamped ORDER BY created_at DESC, id LIMIT 10"""
+
+ORACLE["format_sale_variants"] = f"""WITH p AS (SELECT p_partkey AS k, p_size,
+  CASE WHEN p_partkey % 11 = 0 THEN NULL ELSE 'USD' END AS cur FROM part)
+SELECT k, CASE
+  WHEN k % 6 = 2 THEN {_F('p_size')} || 'EUR'
+  WHEN k % 6 = 4 AND p_size <> 0 THEN CASE WHEN cur IS NOT NULL THEN
+    {_F('CASE WHEN p_size * 100 >= 1000 THEN p_size * 100 / 100.0 ELSE p_size * 100 END')} || cur END
+  WHEN k % 4 = 0 THEN CASE WHEN cur IS NOT NULL THEN CAST(p_size AS VARCHAR) || '.99' || cur
+    ELSE CAST(p_size AS VARCHAR) || ',99' END
+  ELSE CASE WHEN p_size <> 0 THEN {_F('p_size')} || 'CZK' END
+  END AS sale FROM p"""

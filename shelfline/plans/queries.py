@@ -828,3 +828,14 @@ def q_jsonld_urls_cards(spark, sf):
     """ld+json item-list URLs on the card pages derived from ``part``."""
     from shelfline.sources.pages import jsonld_urls
     return jsonld_urls(_card_pages(spark, sf))
+
+
+@query("format_sale_variants")
+def q_format_sale_variants(spark, sf):
+    """First truthy of sale / sale_price / salePrice (any JSON kind), formatted."""
+    from shelfline.sources.feeds import price_alternates
+    p = FX.sale_payloads(FX.table(spark, sf, "part"))
+    for field in ("sale", "sale_price", "salePrice"):
+        p = price_alternates(p, "payload", field=field, prefix=field)
+    return p.select("k", N.format_sale_alternates(["sale", "sale_price", "salePrice"], F.col("currency"))
+                    .alias("sale"))
