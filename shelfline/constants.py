@@ -83,6 +83,7 @@ PRODUCT_URL_TEMPLATE_SUFFIX = "/{keyword}-p{id}.html?v1={discern_id}"
 
 # --- fixed values: defaults ------------------------------------------------
 DEFAULT_SOURCE = "zara"
+DEFAULT_SITE_SOURCE = "scraper"
 DEFAULT_TITLE = "Unknown title"
 FALLBACK_INFO_TEXT = "product"
 EMBEDDING_DIM = 768

@@ -52,7 +52,7 @@ def apply_site_defaults(raw: DataFrame, site=None, sites: DataFrame | None = Non
     if "merchant" not in raw.columns:
         new["merchant"] = merchant
     if "source" not in raw.columns:
-        new["source"] = val.get("source", F.lit("scraper"))
+        new["source"] = val.get("source", F.lit(K.DEFAULT_SITE_SOURCE))
     if "country" in val:
         new["country"] = F.when(truthy(get("country")), get("country")).otherwise(val["country"])
     ext = py_or(get("external_id"), get("product_id"), get("product_url"))

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfline import constants as K
 from shelfline.operators import dedup as D
 from shelfline.operators import rows as RW
 from shelfline.operators.maintain import upsert_products, prune_missing
@@ -64,7 +65,7 @@ def feed_run(feeds: DataFrame, site: dict, mapping: dict, table: DataFrame | Non
         return products
     out = upsert_products(table, products)
     if sync:
-        out = prune_missing(out, products.select("id"), site.get("source", "scraper"))
+        out = prune_missing(out, products.select("id"), site.get("source", K.DEFAULT_SITE_SOURCE))
     return out
 
 

@@ -82,7 +82,7 @@ def raw_products(part: DataFrame) -> DataFrame:
 SITE = {
     "brand": "Shop",
     "merchant": "Shop",
-    "source": "scraper",
+    "source": K.DEFAULT_SITE_SOURCE,
     "country": "us",
     "product_url_template": SHOP + K.PRODUCT_URL_TEMPLATE_SUFFIX,
 }

@@ -415,7 +415,7 @@ feed_products AS (SELECT * FROM prod WHERE {truthy('price')}
 """
 
 
-ORACLE["feed_run"] = FEEDS + feed_products_ctes("scraper") + f"SELECT {PRODUCT_COLS} FROM feed_products"
+ORACLE["feed_run"] = FEEDS + feed_products_ctes(K.DEFAULT_SITE_SOURCE) + f"SELECT {PRODUCT_COLS} FROM feed_products"
 
 # Polymorphic prices restated from part (Python float printing: shortest repr, '.0' dropped).
 _F = lambda x: f"regexp_replace(CAST(CAST({x} AS DOUBLE) AS VARCHAR), '\\.0$', '')"
