@@ -73,12 +73,7 @@ HTML_CATEGORY_ID_PATTERNS = [
     r"[?&]v2=(\d+)",
 ]
 
-# --- fixed values: feed layouts and product URL template ------------------
-ITEMS_PATHS = [
-    "productGroups[].elements[].commercialComponents[]",
-    "productGroups[].elements[]",
-    "products[]",
-]
+# --- fixed values: product URL template ------------------------------------
 PRODUCT_URL_TEMPLATE_SUFFIX = "/{keyword}-p{id}.html?v1={discern_id}"
 
 # --- fixed values: defaults ------------------------------------------------

@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfline import constants as K
 from shelfline.operators.joins import maybe_broadcast
 
 
@@ -70,7 +71,7 @@ def dedup_stats(df: DataFrame, key: str = "id") -> DataFrame:
 
 
 def take_until_empty_page(pages: DataFrame, site: str = "site", page: str = "page",
-                          n_items: str = "n_items", max_page: int = 10) -> DataFrame:
+                          n_items: str = "n_items", max_page: int = K.MAX_CATEGORY_PAGES) -> DataFrame:
     """Keep pages before the first page with no items, and at most ``max_page``.
 
     The first empty page per site is a grouped ``min``; joining it back is a
