@@ -82,7 +82,8 @@ def maintain_products(table, products: DataFrame, source: str, sync: bool = Fals
     """Persist a run into a ``BucketedTable`` scoped by ``source``.
 
     The upsert rewrites only the (source, bucket) partitions the products
-    fall in; with ``sync`` the prune rewrites only ``source``'s partitions.
+    fall in; with ``sync`` the prune rewrites only those of ``source``'s
+    partitions that actually lose rows.
     An empty run prunes nothing. ``run_ts`` (default: now, fixed once per
     call so a replay writes the same values) stamps ``last_seen`` and the
     ``created_at`` of inserted rows.
@@ -91,8 +92,7 @@ def maintain_products(table, products: DataFrame, source: str, sync: bool = Fals
     run_ts = run_ts or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
     table.merge(products, lambda cur, b: stamp(cur, b, run_ts), change_id)
     if sync:
-        ids = products.select("id")
-        table.replace_scope(source, lambda rows: prune_missing(rows, ids, source), change_id + 1)
+        table.delete_missing(source, products.select("id"), change_id + 1)
 
 
 def run_sites(feeds: DataFrame, sites: DataFrame, mapping: dict, requested: str = "all",
@@ -129,7 +129,5 @@ def run_sites(feeds: DataFrame, sites: DataFrame, mapping: dict, requested: str
         if sync:
             # One prune per source of the chosen sites (a bounded config list).
             for (src,) in chosen.select("source").distinct().collect():
-                ids = out.filter(F.col("source") == src).select("id")
-                table.replace_scope(src, lambda rows, ids=ids, src=src: prune_missing(rows, ids, src),
-                                    change_id + 1)
+                table.delete_missing(src, out.filter(F.col("source") == src).select("id"), change_id + 1)
     return products, totals

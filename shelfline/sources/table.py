@@ -107,13 +107,22 @@ class BucketedTable:
         staged = merged.withColumn("bucket", self.bucket_of())
         staging = f"{self.path}__staging/change={change_id}"
         staged.write.mode("overwrite").partitionBy(*self.parts).parquet(staging)
-        written = {tuple(r) for r in self.spark.read.parquet(staging)
-                   .select(*self.parts).distinct().collect()}  # bounded: <= touched partitions
+        fs, _, jvm = _fs(self.spark, self.path)
+        utils = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+        escape = utils.escapePathName
+        # Partitions the staging folder holds (listed, so an empty result is fine).
+        pattern = jvm.org.apache.hadoop.fs.Path(staging + "/" + "/".join(f"{p}=*" for p in self.parts))
+        written = set()
+        for st in fs.globStatus(pattern) or []:
+            segs = st.getPath().toString().rstrip("/").split("/")[-len(self.parts):]
+            vals = []
+            for p, seg in zip(self.parts, segs):
+                v = utils.unescapePathName(seg.split("=", 1)[1])
+                vals.append(None if v == "__HIVE_DEFAULT_PARTITION__" else (int(v) if p == "bucket" else v))
+            written.add(tuple(vals))
         if written:
             (self.spark.read.parquet(staging).write.mode("overwrite")
              .option("partitionOverwriteMode", "dynamic").partitionBy(*self.parts).parquet(self.path))
-        fs, _, jvm = _fs(self.spark, self.path)
-        escape = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
         for t in set(touched) - written:  # partitions the change emptied
             sub = "/".join(f"{n}={'__HIVE_DEFAULT_PARTITION__' if v is None else escape(str(v))}"
                            for n, v in zip(self.parts, t))
@@ -139,3 +148,28 @@ class BucketedTable:
         touched = [tuple(r) for r in rows.select(*self.parts).distinct().collect()]  # bounded
         if touched:
             self._rewrite(touched, fn(rows.drop("bucket")), change_id)
+
+    def delete_missing(self, value, keep_ids: DataFrame, change_id: int,
+                       max_broadcast_rows: int = 1_000_000) -> int:
+        """Delete rows of one scope value whose key is not in ``keep_ids``.
+
+        Only partitions that actually lose rows are rewritten: the doomed
+        buckets come from an id-only scan of the scope (column-pruned), anti
+        joined with the kept ids. An empty ``keep_ids`` deletes nothing.
+        Returns the number of partitions rewritten.
+        """
+        from pyspark.sql import functions as F
+        from shelfline.operators.joins import bounded_rows
+        if not self.exists() or keep_ids.limit(1).count() == 0:
+            return 0
+        ids = keep_ids.select(self.key)
+        side = F.broadcast(ids) if bounded_rows(ids, max_broadcast_rows) else ids
+        scoped = self._scan().filter(F.col(self.scope) == F.lit(value))
+        doomed = [tuple(r) for r in scoped.select(self.key, *self.parts).join(side, self.key, "left_anti")
+                  .select(*self.parts).distinct().collect()]  # bounded: <= buckets
+        if not doomed:
+            return 0
+        survivors = (self._scan().filter(self._partition_filter(doomed)).drop("bucket")
+                     .join(side, self.key, "left_semi"))
+        self._rewrite(doomed, survivors, change_id)
+        return len(doomed)

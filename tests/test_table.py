@@ -100,3 +100,15 @@ def test_snapshot_table_versions(spark, tmp_path):
     t.commit(spark.createDataFrame([("a", 2)], "id string, v int"), 2)
     assert t.versions() == [1, 2]
     assert t.read().first().v == 2 and t.read(before=2).first().v == 1
+
+
+def test_delete_missing_rewrites_only_losing_partitions(spark, tmp_path):
+    from shelfline.sources.table import BucketedTable
+    t = BucketedTable(spark, str(tmp_path / "t"), "id", buckets=8, scope="source")
+    rows_ = [(f"i{n}", "s") for n in range(40)]
+    t.merge(spark.createDataFrame(rows_, "id string, source string"), lambda cur, b: b, 0)
+    keep_all = spark.createDataFrame([(r[0],) for r in rows_], "id string")
+    assert t.delete_missing("s", keep_all, 1) == 0
+    keep = spark.createDataFrame([(r[0],) for r in rows_ if r[0] != "i7"], "id string")
+    assert t.delete_missing("s", keep, 2) == 1
+    assert t.read().count() == 39
