@@ -46,9 +46,11 @@ def upsert_products(target: DataFrame, batch: DataFrame, key: str = "id",
                     max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Insert-or-update by ``key``.
 
-    The batch is first reduced to one row per key (last wins, as a dict
-    would). Updated rows take *every* column the batch has, nulls included;
-    columns the batch lacks keep the target's value (null for inserts).
+    With ``order``, the batch is first reduced to its first row per key in
+    arrival order. Updated rows take *every* column the batch has, nulls
+    included; columns the batch lacks keep the target's value (null for
+    inserts). A bounded batch is broadcast and the target streamed, never
+    shuffled; an unbounded one meets the target in one full outer join.
     """
     if order:
         from shelfline.operators.dedup import dedup_first
@@ -58,7 +60,9 @@ def upsert_products(target: DataFrame, batch: DataFrame, key: str = "id",
     # Semi/anti joins ignore duplicate ids, so the batch ids need no distinct.
     ids = batch.select(key)
     small = bounded_rows(ids, max_broadcast_rows)
-    side = F.broadcast(ids) if small else ids
+    if not small:
+        return _upsert_full_outer(target, batch, key, cols)
+    side = F.broadcast(ids)
     kept = target.join(side, key, "left_anti")
     lacking = [c for c in target.columns if c not in batch.columns and c != key]
     if lacking:
@@ -77,6 +81,23 @@ def upsert_products(target: DataFrame, batch: DataFrame, key: str = "id",
     return kept.select(*cols).unionByName(updated.select(*cols))
 
 
+def _upsert_full_outer(target: DataFrame, batch: DataFrame, key: str, cols) -> DataFrame:
+    """Upsert as one full outer join on the key (one shuffle of each side)."""
+    b = batch.select(*[F.col(c).alias(f"_b_{c}") for c in batch.columns]).withColumn("_in_b", F.lit(True))
+    j = target.join(b, target[key] == b[f"_b_{key}"], "full_outer")
+    out = []
+    for c in cols:
+        if c == key:
+            e = F.coalesce(target[key], F.col(f"_b_{key}"))
+        elif c in batch.columns:
+            old = target[c] if c in target.columns else F.lit(None).cast(batch.schema[c].dataType)
+            e = F.when(F.col("_in_b").isNotNull(), F.col(f"_b_{c}")).otherwise(old)
+        else:
+            e = target[c]
+        out.append(e.alias(c))
+    return j.select(*out)
+
+
 def prune_missing(target: DataFrame, current_ids: DataFrame, source: str, key: str = "id",
                   max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Delete rows of ``source`` whose id is not in ``current_ids``.

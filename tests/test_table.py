@@ -112,3 +112,9 @@ def test_delete_missing_rewrites_only_losing_partitions(spark, tmp_path):
     keep = spark.createDataFrame([(r[0],) for r in rows_ if r[0] != "i7"], "id string")
     assert t.delete_missing("s", keep, 2) == 1
     assert t.read().count() == 39
+
+
+def test_upsert_unbounded_path_matches_broadcast_path(spark):
+    bounded = rows(upsert_products(target(spark), batch(spark)))
+    shuffled = rows(upsert_products(target(spark), batch(spark), max_broadcast_rows=0))
+    assert bounded == shuffled
