@@ -118,3 +118,9 @@ def test_upsert_unbounded_path_matches_broadcast_path(spark):
     bounded = rows(upsert_products(target(spark), batch(spark)))
     shuffled = rows(upsert_products(target(spark), batch(spark), max_broadcast_rows=0))
     assert bounded == shuffled
+
+
+def test_prune_unbounded_path_matches_broadcast_path(spark):
+    t = target(spark)
+    ids = spark.createDataFrame([("a",), ("a",)], "id string")
+    assert rows(prune_missing(t, ids, "s1")) == rows(prune_missing(t, ids, "s1", max_broadcast_rows=0))
