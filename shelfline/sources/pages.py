@@ -289,9 +289,12 @@ def embedded_products(pages: DataFrame, html: str = "html", max_scripts: int = 5
     cleaned = F.when(F.col("body").rlike(r"^[^{]{0,50}="),
                      F.regexp_replace(F.regexp_replace("body", r"^[^=]*=\s*", ""), r";\s*$", "")) \
         .otherwise(F.col("body"))
-    lists = [F.from_json(F.get_json_object(cleaned, f"$.{k}"), EMBEDDED_PRODUCT) for k in K.EMBEDDED_JSON_KEYS]
-    chosen = F.coalesce(*[F.when(F.size(x) > 0, x) for x in lists])
-    prods = s.select("page_id", "spos", F.posexplode(chosen).alias("ppos", "p"))
+    # One parse per script: every candidate list is a field of one struct.
+    doc_schema = "struct<" + ",".join(f"{k}:{EMBEDDED_PRODUCT}" for k in K.EMBEDDED_JSON_KEYS) + ">"
+    parsed = s.select("page_id", "spos", F.from_json(cleaned, doc_schema).alias("_doc"))
+    chosen = F.coalesce(*[F.when(F.size(F.col(f"_doc.{k}")) > 0, F.col(f"_doc.{k}"))
+                          for k in K.EMBEDDED_JSON_KEYS])
+    prods = parsed.select("page_id", "spos", F.posexplode(chosen).alias("ppos", "p"))
     p = F.col("p")
     pid = F.coalesce(p["id"], p["productId"], p["product_id"], p["sku"])
     price = F.coalesce(N.minor_units_price(F.try_element_at(p["sizes"], F.lit(1))["price"]),
