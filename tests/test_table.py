@@ -124,3 +124,25 @@ def test_prune_unbounded_path_matches_broadcast_path(spark):
     t = target(spark)
     ids = spark.createDataFrame([("a",), ("a",)], "id string")
     assert rows(prune_missing(t, ids, "s1")) == rows(prune_missing(t, ids, "s1", max_broadcast_rows=0))
+
+
+_ids = st.sampled_from([f"i{n}" for n in range(12)])
+_src = st.sampled_from(["s1", "s2", None])
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.tuples(_ids, _src, st.integers(0, 9)), min_size=1, max_size=15, unique_by=lambda t: t[0]),
+       st.lists(st.tuples(_ids, st.integers(0, 9)), max_size=10, unique_by=lambda t: t[0]))
+def test_properties_upsert_idempotent_and_prune_scoped(spark, table_rows, batch_rows):
+    t = spark.createDataFrame([(i, s, str(v)) for i, s, v in table_rows], "id string, source string, price string")
+    b = spark.createDataFrame([(i, "s1", str(v)) for i, v in batch_rows], "id string, source string, price string")
+    once = upsert_products(t, b)
+    assert rows(upsert_products(once, b)) == rows(once)
+    pruned = prune_missing(once, b.select("id"), "s1")
+    others = lambda df: rows(df.filter("source IS NULL OR source <> 's1'"))
+    assert others(pruned) == others(once)
+    kept_ids = {r.id for r in pruned.filter("source = 's1'").collect()}
+    if batch_rows:
+        assert kept_ids <= {i for i, _ in batch_rows}
+    else:
+        assert rows(pruned) == rows(once)
