@@ -90,6 +90,7 @@ def maintain_products(table, products: DataFrame, source: str, sync: bool = Fals
     """
     import datetime as _dt
     run_ts = run_ts or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+    products = table.stage(products, change_id)  # computed once, reused below
     table.merge(products, lambda cur, b: stamp(cur, b, run_ts), change_id)
     if sync:
         table.delete_missing(source, products.select("id"), change_id + 1)
@@ -124,7 +125,7 @@ def run_sites(feeds: DataFrame, sites: DataFrame, mapping: dict, requested: str
     if table is not None and not dry_run:
         import datetime as _dt
         run_ts = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-        out = products.drop("site")
+        out = table.stage(products.drop("site"), change_id)  # computed once, reused below
         table.merge(out, lambda cur, b: stamp(cur, b, run_ts), change_id)
         if sync:
             # One prune per source of the chosen sites (a bounded config list).

@@ -128,6 +128,13 @@ class BucketedTable:
                            for n, v in zip(self.parts, t))
             fs.delete(jvm.org.apache.hadoop.fs.Path(f"{self.path}/{sub}"), True)
 
+    def stage(self, df: DataFrame, change_id: int, name: str = "batch") -> DataFrame:
+        """Write ``df`` once to this change's staging folder and read it back, so
+        the checks and joins of a change reuse it instead of recomputing it."""
+        path = f"{self.path}__staging/change={change_id}-{name}"
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.parquet(path)
+
     def merge(self, batch: DataFrame, merge_fn, change_id: int) -> None:
         """Replace the touched partitions with ``merge_fn(current_rows_or_None, batch)``."""
         keyed = batch.withColumn("bucket", self.bucket_of())

@@ -47,7 +47,7 @@ def stream_upsert(spark: SparkSession, source_dir: str, schema: T.StructType, ta
     order = list(order) if not isinstance(order, str) else [order]
 
     def handle(batch: DataFrame, epoch_id: int) -> None:
-        deduped = dedup_last(batch, key, order)
+        deduped = table.stage(dedup_last(batch, key, order), epoch_id)
         if pending_dir and vector:
             current = table.read()
             pend = newly_inserted_without_vector(current, deduped, key, vector)
@@ -91,7 +91,8 @@ def stream_feed_run(spark: SparkSession, feed_dir: str, schema: T.StructType, ta
         return dedup_first(both, "id", ORDER)
 
     def handle(batch: DataFrame, epoch_id: int) -> None:
-        table.merge(feed_products(batch, site, mapping), merge_first, epoch_id)
+        products = table.stage(feed_products(batch, site, mapping), epoch_id)
+        table.merge(products, merge_first, epoch_id)
 
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
