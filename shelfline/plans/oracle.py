@@ -464,3 +464,14 @@ SELECT k, CASE
     ELSE CAST(p_size AS VARCHAR) || ',99' END
   ELSE CASE WHEN p_size <> 0 THEN {_F('p_size')} || 'CZK' END
   END AS sale FROM p"""
+
+ORACLE["run_sites"] = FEEDS + f""",
+with_site AS (SELECT *, 'Brand#' || CAST(endpoint_pos % 5 + 1 AS VARCHAR) AS site FROM usable),
+chosen AS (SELECT * FROM with_site WHERE lower(site) IN ('brand#1', 'brand#3', 'brand#5')
+  AND site IN (SELECT p_brand FROM part)),
+limited AS (SELECT * FROM chosen QUALIFY row_number() OVER (PARTITION BY site ORDER BY endpoint_pos, page, item_pos) <= 3),
+priced AS (SELECT site, sha256(lower(replace(site, '#', '-')) || ':' || external_id) AS id,
+  {S.format_price_text(strip('price'), "'USD'")} AS price, endpoint_pos, page, item_pos FROM limited),
+firsts AS (SELECT * FROM priced WHERE {truthy('price')}
+  QUALIFY row_number() OVER (PARTITION BY id ORDER BY endpoint_pos, page, item_pos) = 1)
+SELECT site, count(*) AS imported FROM firsts GROUP BY ROLLUP (site)"""

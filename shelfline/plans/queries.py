@@ -839,3 +839,16 @@ def q_format_sale_variants(spark, sf):
         p = price_alternates(p, "payload", field=field, prefix=field)
     return p.select("k", N.format_sale_alternates(["sale", "sale_price", "salePrice"], F.col("currency"))
                     .alias("sale"))
+
+
+@query("run_sites")
+def q_run_sites(spark, sf):
+    """Feed documents of several sites (brands of ``part``), three requested,
+    first 3 items per site, imported rows per site and in total."""
+    from shelfline.plans.catalog import run_sites
+    docs = _feeds(spark, sf)
+    digit = (F.col("endpoint_pos") % 5 + 1).cast("string")
+    docs = docs.withColumn("site", F.concat(F.lit("Brand#"), digit))
+    sites = FX.sites_table(FX.table(spark, sf, "part"))
+    _, totals = run_sites(docs, sites, FX.FEED_MAPPING, "Brand#1, brand#3 ,BRAND#5", limit=3)
+    return totals.select("site", "imported")
