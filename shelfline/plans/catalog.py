@@ -72,9 +72,13 @@ def feed_run(feeds: DataFrame, site: dict, mapping: dict, table: DataFrame | Non
 def stamp(cur: DataFrame | None, batch: DataFrame, run_ts) -> DataFrame:
     """Upsert with timestamps: ``last_seen`` = this run for every batch row;
     ``created_at`` kept from the table for updates, this run for inserts."""
-    b = batch.drop("created_at").withColumn("last_seen", F.lit(run_ts).cast("timestamp"))
-    merged = b.withColumn("created_at", F.lit(None).cast("timestamp")) if cur is None else upsert_products(cur, b)
-    return merged.withColumn("created_at", F.coalesce(F.col("created_at"), F.lit(run_ts).cast("timestamp")))
+    # Zone-free timestamps built from text, so no session or process time
+    # zone can shift them.
+    ts = F.lit(run_ts.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
+    b = batch.drop("created_at").withColumn("last_seen", ts)
+    merged = (b.withColumn("created_at", F.lit(None).cast("timestamp_ntz")) if cur is None
+              else upsert_products(cur, b))
+    return merged.withColumn("created_at", F.coalesce(F.col("created_at"), ts))
 
 
 def maintain_products(table, products: DataFrame, source: str, sync: bool = False,
