@@ -475,3 +475,5 @@ priced AS (SELECT site, sha256(lower(replace(site, '#', '-')) || ':' || external
 firsts AS (SELECT * FROM priced WHERE {truthy('price')}
   QUALIFY row_number() OVER (PARTITION BY id ORDER BY endpoint_pos, page, item_pos) = 1)
 SELECT site, count(*) AS imported FROM firsts GROUP BY ROLLUP (site)"""
+
+ORACLE["ivf_topk_all_cells"] = ORACLE["cosine_topk"]

@@ -852,3 +852,15 @@ def q_run_sites(spark, sf):
     sites = FX.sites_table(FX.table(spark, sf, "part"))
     _, totals = run_sites(docs, sites, FX.FEED_MAPPING, "Brand#1, brand#3 ,BRAND#5", limit=3)
     return totals.select("site", "imported")
+
+
+@query("ivf_topk_all_cells")
+def q_ivf_topk_all_cells(spark, sf):
+    """IVF search probing every cell: must equal the exact top-k."""
+    from shelfline.operators.vectors import build_ivf_index, ivf_topk, label_centroids
+    from shelfline.session import shared_dir
+    e = _embeddings(spark, sf)
+    path = shared_dir(spark, "ivf-index")
+    cents = build_ivf_index(e.select("vec_id", "embedding"), path, "embedding", lists=20)
+    out = ivf_topk(spark.read.parquet(path), cents, label_centroids(e), TOPK, nprobe=20, id_col="vec_id")
+    return out.select("query_id", "vec_id", F.round("score", 5).alias("score"), "rank")
