@@ -211,41 +211,76 @@ def url_contains_any(df: DataFrame, needles, column: str = "url") -> DataFrame:
 CARD = r'(?is)<div class="card"[^>]*>.*?</div>'
 
 
+def _spec_column(spec: str, frag: Column, open_tag: Column) -> Column:
+    """A card field spec: ``'literal'``, ``'a' + [data-x] + 'b'`` (literal parts
+    and attributes of the container tag; a missing attribute is ''), or a
+    regex whose group 1 is the field's inner HTML."""
+    s = spec.strip()
+    if " + " in s and "[data-" in s:
+        parts = []
+        for part in s.split(" + "):
+            part = part.strip()
+            if part.startswith("'") and part.endswith("'"):
+                parts.append(F.lit(part[1:-1]))
+            elif part.startswith("[") and part.endswith("]"):
+                parts.append(F.coalesce(_attr(open_tag, part[1:-1]), F.lit("")))
+        return F.concat(*parts)
+    if s.startswith("'") and s.endswith("'"):
+        return F.lit(s[1:-1])
+    return F.nullif(node_text(F.regexp_extract(frag, s, 1)), F.lit(""))
+
+
 def extract_cards(pages: DataFrame, container: str = CARD, url: str = "url",
-                  html: str = "html", title_prefix: str = "Product ") -> DataFrame:
+                  html: str = "html", title_prefix: str = "Product ",
+                  fields: dict | None = None) -> DataFrame:
     """Product containers on category pages -> card rows.
 
     id: ``data-product-id``, else a ``productCard-<n>`` testid, else the
     product handle of the link; url from the href; image made absolute and
     kept only if allowed; price = first number of the price element. Cards
     without id or allowed image are dropped; a missing title gets a default.
+    ``fields`` adds or overrides text fields by spec (see ``_spec_column``);
+    a ``product_url`` spec replaces the href, and its ``/products/`` handle
+    then fills a missing id.
     """
+    fields = dict(fields or {})
     cards = pages.select("page_id", url, F.posexplode(F.regexp_extract_all(F.col(html), F.lit(container), 0))
                          .alias("card_pos", "frag"))
     # Staged projections: every regex over the fragment runs once per card.
+    open_tag = F.regexp_extract(F.col("frag"), r"^<[a-zA-Z][^>]*>", 0)
+    extra = {name: _spec_column(spec, F.col("frag"), open_tag).alias(f"_f_{name}")
+             for name, spec in fields.items()}
     tags = cards.select(
-        "page_id", url, F.col("card_pos").cast("bigint").alias("card_pos"),
-        F.regexp_extract(F.col("frag"), r"^<div[^>]*>", 0).alias("_open"),
+        "page_id", url, F.col("card_pos").cast("bigint").alias("card_pos"), *extra.values(),
+        open_tag.alias("_open"),
         F.coalesce(_attr(F.col("frag"), "href"), _attr(F.col("frag"), ":href")).alias("_href"),
         F.regexp_extract(F.col("frag"), r"<img\s[^>]*>", 0).alias("_img"),
         F.regexp_extract(F.col("frag"), r'(?is)<span class="price"[^>]*>(.*?)</span>', 1).alias("_price"),
         F.regexp_extract(F.col("frag"), r"(?is)<a\s[^>]*>(.*?)</a>", 1).alias("_title"))
+    href_url = F.when(F.col("_href").isNotNull(), U.resolve_url(F.col("_href"), F.col(url)))
+    if "product_url" in fields:
+        href_url = F.col("_f_product_url")
     attrs = tags.select(
-        "page_id", url, "card_pos", "_price", "_title",
+        "page_id", url, "card_pos", "_price", "_title", *[f"_f_{n}" for n in fields],
         _attr(F.col("_open"), "data-product-id").alias("_pid"),
         _attr(F.col("_open"), "data-testid").alias("_testid"),
-        F.when(F.col("_href").isNotNull(), U.resolve_url(F.col("_href"), F.col(url))).alias("product_url"),
+        href_url.alias("product_url"),
         F.coalesce(_attr(F.col("_img"), "src"), _attr(F.col("_img"), "data-src")).alias("_src"))
     card_id = F.coalesce(F.col("_pid"),
                          F.when(F.col("_testid").isNotNull(), U.card_product_id(F.col("_testid"))),
                          U.product_handle(F.col("product_url")))
+    title = F.nullif(node_text(F.col("_title")), F.lit(""))
+    if "title" in fields:
+        title = F.col("_f_title")
+    others = [F.col(f"_f_{n}").alias(n) for n in fields if n not in ("product_url", "title")]
     out = attrs.select("page_id", "card_pos", card_id.alias("card_id"), "product_url",
                        U.absolute_image_src(F.col("_src"), F.col(url)).alias("_full"),
                        N.parse_price_number(node_text(F.col("_price"))).alias("price"),
-                       F.nullif(node_text(F.col("_title")), F.lit("")).alias("title"))
+                       title.alias("title"), *others)
     out = out.withColumn("image_url", F.when(N.is_allowed_image_url("_full"), F.col("_full"))
                          .otherwise(F.lit(""))).drop("_full")
-    out = out.select("page_id", "card_pos", "card_id", "product_url", "image_url", "price", "title")
+    out = out.select("page_id", "card_pos", "card_id", "product_url", "image_url", "price", "title",
+                     *[n for n in fields if n not in ("product_url", "title")])
     out = out.filter(truthy("card_id") & truthy("image_url"))
     if title_prefix is None:
         return out

@@ -53,3 +53,14 @@ def test_sitemaps(spark):
     ], "url string, xml string")
     got = {r.url: r.depth for r in expand_sitemaps(spark, sm, ["r.xml"], checkpoint=False).collect()}
     assert got == {"https://a/1?x=1&y=2": 1, "https://a/i.jpg": 1, "https://a/2": 2}
+
+
+def test_card_field_specs(spark):
+    html = ('<li class="card" data-code="77" data-testid="plp-productCard-77-select">'
+            '<img src="//img.example/77-e1.jpg"><h3>Coat</h3></li>')
+    pages = spark.createDataFrame([(1, "https://s.example/list", html)], "page_id long, url string, html string")
+    out = P.extract_cards(pages, container=r'(?is)<li class="card"[^>]*>.*?</li>', fields={
+        "product_url": "'https://s.example/products/p-' + [data-code] + '.html' + [data-missing]",
+        "brand": "'Shop'", "title": r"(?is)<h3>(.*?)</h3>"}).first()
+    assert out.product_url == "https://s.example/products/p-77.html"
+    assert (out.card_id, out.brand, out.title) == ("77", "Shop", "Coat")
