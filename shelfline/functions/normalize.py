@@ -64,7 +64,7 @@ def with_price_text(df, text, currency, out: str = "price"):
 
 def format_price_number(num, is_int, currency) -> Column:
     """Numeric price: integers of 1000 or more are minor units (divided by 100)."""
-    n = col(num).cast("double")
+    n = col(num).try_cast("double")
     scaled = F.when(F.coalesce(col(is_int), F.lit(False)) & (n >= 1000), n / 100).otherwise(n)
     return F.when(n.isNotNull() & truthy(currency), F.concat(num_text(scaled), col(currency)))
 
@@ -83,7 +83,7 @@ def format_price_map(price_map) -> Column:
 
 
 def _num_truthy(v) -> Column:
-    return truthy(v) & ~(is_numeric_text(v) & (v.cast("double") == 0))
+    return truthy(v) & ~(is_numeric_text(v) & (v.try_cast("double") == 0))
 
 
 def format_price_list(price_list) -> Column:
@@ -280,7 +280,7 @@ def parse_price_number(text) -> Column:
 
 def minor_units_price(value) -> Column:
     """Embedded ``sizes[0].price`` is in minor units."""
-    return col(value).cast("double") / 100
+    return col(value).try_cast("double") / 100
 
 
 # ---------------------------------------------------------------- image URLs

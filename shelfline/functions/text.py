@@ -61,9 +61,10 @@ def num_text(c) -> Column:
     Spark prints large doubles in E-notation; routing through a decimal keeps
     plain digits. Trailing zeros (and the dot) are then trimmed.
     """
-    s = F.col(c).cast("double") if isinstance(c, str) else c.cast("double")
-    dec = s.cast("decimal(38,18)").cast("string")
-    return F.regexp_replace(dec, r"\.?0+$", "")
+    s = F.col(c).try_cast("double") if isinstance(c, str) else c.try_cast("double")
+    dec = s.try_cast("decimal(38,18)").cast("string")
+    # Beyond 20 integer digits the decimal overflows: fall back to Spark's text.
+    return F.coalesce(F.regexp_replace(dec, r"\.?0+$", ""), s.cast("string"))
 
 
 def is_numeric_text(c) -> Column:
