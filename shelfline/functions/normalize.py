@@ -267,7 +267,8 @@ def image_gallery(media_urls=None, image_url=None, additional_images=None):
     media = F.array_distinct(F.filter(F.transform(col(media_urls), lambda x: strip(x)),
                                       lambda x: x.isNotNull() & (x != "")))
     has_media = F.coalesce(F.size(media), F.lit(0)) > 0
-    main = F.when(has_media, F.when(truthy(img), img).otherwise(media[0])).otherwise(img)
+    main = F.when(has_media, F.when(truthy(img), img).otherwise(F.try_element_at(media, F.lit(1)))) \
+        .otherwise(img)
     extra = F.when(has_media, F.when(F.size(media) > 1, F.slice(media, 2, F.size(media) - 1))) \
         .otherwise(F.when(F.size(add) > 0, add))
     return main, extra

@@ -431,7 +431,7 @@ def q_resolve_endpoints(spark, sf):
 
 def _vec_cols(df, c="image_embedding"):
     return [F.when(F.col(c).isNotNull(), F.size(c)).cast("bigint").alias("emb_dim"),
-            F.element_at(c, 1).cast("double").alias("emb_first")]
+            F.try_element_at(c, F.lit(1)).cast("double").alias("emb_first")]
 
 
 def _upserted(spark, sf):

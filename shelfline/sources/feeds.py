@@ -206,7 +206,7 @@ def resolve_endpoints(endpoints: DataFrame, site: str = "site", kind: str = "kin
     Rank is a grouped ``max`` joined back on (site, rank): one small row per site.
     """
     rank_map = F.create_map(*[x for i, r in enumerate(ranks) for x in (F.lit(r), F.lit(i))])
-    ranked = endpoints.withColumn("_rank", F.element_at(rank_map, F.col(kind)))
+    ranked = endpoints.withColumn("_rank", F.try_element_at(rank_map, F.col(kind)))
     best = ranked.groupBy(site).agg(F.max("_rank").alias("_rank"))
     return ranked.join(maybe_broadcast(best), [site, "_rank"], "left_semi").drop("_rank")
 
