@@ -62,7 +62,9 @@ def num_text(c) -> Column:
     plain digits. Trailing zeros (and the dot) are then trimmed.
     """
     s = F.col(c).try_cast("double") if isinstance(c, str) else c.try_cast("double")
-    dec = s.try_cast("decimal(38,18)").cast("string")
+    # format_number prints the decimal in plain digits (never 0E-18 or 1E-7)
+    # whatever the ANSI setting; the grouping commas are removed.
+    dec = F.regexp_replace(F.format_number(s.try_cast("decimal(38,18)"), 18), ",", "")
     # Beyond 20 integer digits the decimal overflows: fall back to Spark's text.
     return F.coalesce(F.regexp_replace(dec, r"\.?0+$", ""), s.cast("string"))
 
