@@ -66,9 +66,12 @@ def _attr(tag: Column, name: str) -> Column:
     return F.nullif(F.regexp_extract(tag, rf"""\s{name}\s*=\s*["']([^"']*)["']""", 1), F.lit(""))
 
 
-def page_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """Anchors' href (else data-href, else data-url), made absolute, http only."""
-    tags = pages.select("page_id", url, F.posexplode(F.regexp_extract_all(F.col(html), F.lit(ANCHOR), 0))
+def page_links(pages: DataFrame, url: str = "url", html: str = "html", anchor: str = ANCHOR) -> DataFrame:
+    """Anchors' href (else data-href, else data-url), made absolute, http only.
+
+    ``anchor`` is the regex of the opening tags to take (all ``<a>`` tags by
+    default; narrow it to select product links, e.g. by class)."""
+    tags = pages.select("page_id", url, F.posexplode(F.regexp_extract_all(F.col(html), F.lit(anchor), 0))
                         .alias("pos", "tag"))
     href = F.coalesce(_attr(F.col("tag"), "href"), _attr(F.col("tag"), "data-href"),
                       _attr(F.col("tag"), "data-url"))
@@ -113,7 +116,7 @@ JSON_URL = r'"url"\s*:\s*"([^"]*)"'
 
 
 def category_links(pages: DataFrame, pattern: str = r"c0p\d+", url: str = "url",
-                   html: str = "html") -> DataFrame:
+                   html: str = "html", anchor: str = ANCHOR) -> DataFrame:
     """Anchors, then ld+json URLs, then the pattern scan; ordered distinct per page.
 
     One scan of ``html``: every raw candidate of a page is tagged (source,
@@ -125,7 +128,7 @@ def category_links(pages: DataFrame, pattern: str = r"c0p\d+", url: str = "url",
     text_rx = rf"""https?://[^\s"']*{pattern}[^\s"']*"""
     jsonld = F.flatten(F.transform(F.regexp_extract_all(h, F.lit(JSONLD_BLOCK), 1),
                                    lambda b: F.regexp_extract_all(b, F.lit(JSON_URL), 1)))
-    cands = F.concat(_tagged(F.regexp_extract_all(h, F.lit(ANCHOR), 0), src=0, branch=0),
+    cands = F.concat(_tagged(F.regexp_extract_all(h, F.lit(anchor), 0), src=0, branch=0),
                      _tagged(jsonld, src=1, branch=0),
                      _tagged(F.regexp_extract_all(h, F.lit(attr_rx), 1), src=2, branch=0),
                      _tagged(F.regexp_extract_all(h, F.lit(text_rx), 0), src=2, branch=1))

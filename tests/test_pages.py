@@ -64,3 +64,11 @@ def test_card_field_specs(spark):
         "brand": "'Shop'", "title": r"(?is)<h3>(.*?)</h3>"}).first()
     assert out.product_url == "https://s.example/products/p-77.html"
     assert (out.card_id, out.brand, out.title) == ("77", "Shop", "Coat")
+
+
+def test_anchor_selection(spark):
+    html = '<a class="nav" href="/home">h</a><a class="product-link x" href="/p/1">p</a>'
+    pages = spark.createDataFrame([(1, "https://s.example/c", html)], "page_id long, url string, html string")
+    sel = r'<a\s[^>]*class="[^"]*product-link[^"]*"[^>]*>'
+    assert [r.link for r in P.page_links(pages, anchor=sel).collect()] == ["https://s.example/p/1"]
+    assert [r.link for r in P.category_links(pages, anchor=sel).collect()] == ["https://s.example/p/1"]
