@@ -35,9 +35,34 @@ def directory(url) -> Column:
     return F.concat(org, F.when(dir_path == "", F.lit("/")).otherwise(dir_path))
 
 
+def remove_dot_segments(url) -> Column:
+    """Collapse ``.`` and ``..`` path segments of an absolute URL (RFC 3986).
+
+    Only URLs whose path has dot segments are touched; the path is folded
+    segment by segment into a stack (``..`` pops, never above the root).
+    """
+    u = col(url)
+    org = origin(u)
+    rest = u.substr(F.length(org) + 1, F.length(u) + 1)
+    path = F.regexp_extract(rest, r"^([^?#]*)", 1)
+    tail = rest.substr(F.length(path) + 1, F.length(rest) + 1)
+    padded = F.regexp_replace(path, r"/(\.\.?)$", "/$1/")
+    stack = F.aggregate(
+        F.split(padded, "/"), F.array().cast("array<string>"),
+        lambda acc, s: F.when(s == ".", acc)
+        .when(s == "..", F.when(F.size(acc) > 1, F.slice(acc, 1, F.size(acc) - 1)).otherwise(acc))
+        .otherwise(F.concat(acc, F.array(s))))
+    has_dots = path.rlike(r"(^|/)\.\.?(/|$)")
+    return F.when((org != "") & has_dots, F.concat(org, F.array_join(stack, "/"), tail)).otherwise(u)
+
+
 def resolve_url(href, page_url) -> Column:
     """``urljoin(page_url, href)`` for absolute, ``//``, ``/root``, ``?``, ``#`` and
-    relative hrefs. Dot segments are not collapsed."""
+    relative hrefs, with ``.``/``..`` segments collapsed."""
+    return remove_dot_segments(_join(href, page_url))
+
+
+def _join(href, page_url) -> Column:
     h, p = col(href), col(page_url)
     scheme = F.regexp_extract(p, SCHEME, 1)
     return (
