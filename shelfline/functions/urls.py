@@ -58,8 +58,14 @@ def remove_dot_segments(url) -> Column:
 
 def resolve_url(href, page_url) -> Column:
     """``urljoin(page_url, href)`` for absolute, ``//``, ``/root``, ``?``, ``#`` and
-    relative hrefs, with ``.``/``..`` segments collapsed."""
-    return remove_dot_segments(_join(href, page_url))
+    relative hrefs, with ``.``/``..`` segments of the href collapsed (page
+    URLs are taken as already normalised). The dot test is a few plain
+    string checks on the short href, so hrefs without dot segments skip
+    that step entirely."""
+    h = col(href)
+    dots = (h.contains("./") | h.endswith("/.") | h.endswith("/..") | (h == ".") | (h == ".."))
+    joined = _join(href, page_url)
+    return F.when(F.coalesce(dots, F.lit(False)), remove_dot_segments(joined)).otherwise(joined)
 
 
 def _join(href, page_url) -> Column:
