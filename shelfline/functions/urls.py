@@ -62,10 +62,31 @@ def resolve_url(href, page_url) -> Column:
     URLs are taken as already normalised). The dot test is a few plain
     string checks on the short href, so hrefs without dot segments skip
     that step entirely."""
-    h = col(href)
-    dots = (h.contains("./") | h.endswith("/.") | h.endswith("/..") | (h == ".") | (h == ".."))
     joined = _join(href, page_url)
-    return F.when(F.coalesce(dots, F.lit(False)), remove_dot_segments(joined)).otherwise(joined)
+    only_dotted = F.when(has_dot_segments(href), joined)  # NULL short-circuits the fold
+    return F.coalesce(remove_dot_segments(only_dotted), joined)
+
+
+def has_dot_segments(href) -> Column:
+    """Plain string checks: can this href carry ``.``/``..`` segments?"""
+    h = col(href)
+    return F.coalesce(h.contains("./") | h.endswith("/.") | h.endswith("/..") | (h == ".") | (h == ".."),
+                      F.lit(False))
+
+
+def join_url(href, page_url) -> Column:
+    """``resolve_url`` without the dot-segment step (pair with ``finish_dot_segments``)."""
+    return _join(href, page_url)
+
+
+def finish_dot_segments(df, column: str, flag: str):
+    """Collapse dot segments of ``column`` on rows where ``flag`` is set, in a
+    projection of its own over the already computed column."""
+    # The fold sees NULL on unflagged rows and returns at once. It is not
+    # compiled code, so run this on a narrow frame (it copies its input row).
+    only_flagged = F.when(F.col(flag), F.col(column))
+    fixed = F.coalesce(remove_dot_segments(only_flagged), F.col(column))
+    return df.withColumn(column, fixed).drop(flag)
 
 
 def _join(href, page_url) -> Column:

@@ -75,9 +75,12 @@ def page_links(pages: DataFrame, url: str = "url", html: str = "html", anchor: s
                         .alias("pos", "tag"))
     href = F.coalesce(_attr(F.col("tag"), "href"), _attr(F.col("tag"), "data-href"),
                       _attr(F.col("tag"), "data-url"))
+    target = unescape_entities(href)
     out = tags.select("page_id", F.col("pos").cast("bigint").alias("pos"),
-                      U.resolve_url(unescape_entities(href), F.col(url)).alias("link"), href.alias("_h"))
-    return out.filter(F.col("_h").isNotNull() & U.is_http("link")).drop("_h")
+                      U.join_url(target, F.col(url)).alias("link"), href.alias("_h"),
+                      U.has_dot_segments(target).alias("_dots"))
+    out = out.filter(F.col("_h").isNotNull() & U.is_http("link")).drop("_h")
+    return U.finish_dot_segments(out, "link", "_dots")
 
 
 def jsonld_urls(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
@@ -87,8 +90,9 @@ def jsonld_urls(pages: DataFrame, url: str = "url", html: str = "html") -> DataF
     found = F.flatten(F.transform(blocks, lambda b: F.regexp_extract_all(
         b, F.lit(r'"url"\s*:\s*"([^"]*)"'), 1)))
     out = pages.select("page_id", url, F.posexplode(found).alias("pos", "u"))
-    return out.select("page_id", F.col("pos").cast("bigint").alias("pos"),
-                      U.resolve_url(F.col("u"), F.col(url)).alias("link"))
+    out = out.select("page_id", F.col("pos").cast("bigint").alias("pos"),
+                     U.join_url(F.col("u"), F.col(url)).alias("link"), U.has_dot_segments("u").alias("_dots"))
+    return U.finish_dot_segments(out, "link", "_dots")
 
 
 def _tagged(arr, **tags):
@@ -107,8 +111,10 @@ def product_url_scan(pages: DataFrame, pattern: str = r"c0p\d+", url: str = "url
     cands = F.concat(_tagged(F.regexp_extract_all(h, F.lit(attr_rx), 1), branch=0),
                      _tagged(F.regexp_extract_all(h, F.lit(text_rx), 0), branch=1))
     c = pages.select("page_id", url, F.explode(cands).alias("c")).select("page_id", url, "c.*")
-    link = F.when(F.col("branch") == 1, F.col("raw")).otherwise(U.resolve_url(F.col("raw"), F.col(url)))
-    return c.select("page_id", "branch", "pos", link.alias("link"))
+    link = F.when(F.col("branch") == 1, F.col("raw")).otherwise(U.join_url(F.col("raw"), F.col(url)))
+    dots = (F.col("branch") == 0) & U.has_dot_segments("raw")
+    out = c.select("page_id", "branch", "pos", link.alias("link"), dots.alias("_dots"))
+    return U.finish_dot_segments(out, "link", "_dots")
 
 
 JSONLD_BLOCK = r"(?is)<script[^>]*application/ld\+json[^>]*>(.*?)</script>"
@@ -137,10 +143,12 @@ def category_links(pages: DataFrame, pattern: str = r"c0p\d+", url: str = "url",
                       _attr(F.col("raw"), "data-url"))
     staged = c.select("page_id", url, "src", "branch", "pos", "raw",
                       F.when(F.col("src") == 0, unescape_entities(href)).otherwise(F.col("raw")).alias("_t"))
-    link = F.when((F.col("src") == 2) & (F.col("branch") == 1), F.col("raw")) \
-        .otherwise(U.resolve_url(F.col("_t"), F.col(url)))
-    out = staged.select("page_id", "src", "branch", "pos", "_t", link.alias("link"))
+    is_text = (F.col("src") == 2) & (F.col("branch") == 1)
+    link = F.when(is_text, F.col("raw")).otherwise(U.join_url(F.col("_t"), F.col(url)))
+    out = staged.select("page_id", "src", "branch", "pos", "_t", link.alias("link"),
+                        (~is_text & U.has_dot_segments("_t")).alias("_dots"))
     out = out.filter((F.col("src") != 0) | (F.col("_t").isNotNull() & U.is_http("link"))).drop("_t")
+    out = U.finish_dot_segments(out, "link", "_dots")
     return ordered_distinct(out, "link", ["src", "branch", "pos"], group=["page_id"])
 
 
@@ -260,7 +268,9 @@ def extract_cards(pages: DataFrame, container: str = CARD, url: str = "url",
         F.regexp_extract(F.col("frag"), r"<img\s[^>]*>", 0).alias("_img"),
         F.regexp_extract(F.col("frag"), r'(?is)<span class="price"[^>]*>(.*?)</span>', 1).alias("_price"),
         F.regexp_extract(F.col("frag"), r"(?is)<a\s[^>]*>(.*?)</a>", 1).alias("_title"))
-    href_url = F.when(F.col("_href").isNotNull(), U.resolve_url(F.col("_href"), F.col(url)))
+    # Card links are joined to the page URL without collapsing dot segments:
+    # this stage is close to the generated-method size limit.
+    href_url = F.when(F.col("_href").isNotNull(), U.join_url(F.col("_href"), F.col(url)))
     if "product_url" in fields:
         href_url = F.col("_f_product_url")
     attrs = tags.select(
