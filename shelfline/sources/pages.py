@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from shelfline import constants as K
 from shelfline.functions import normalize as N
 from shelfline.functions import urls as U
-from shelfline.functions.text import strip, truthy
+from shelfline.functions.text import strip, truthy, first_truthy
 from shelfline.operators.dedup import ordered_distinct
 
 ANCHOR = r"<a\s[^>]*>"
@@ -301,18 +301,47 @@ def extract_cards(pages: DataFrame, container: str = CARD, url: str = "url",
                                               F.concat(F.lit(title_prefix), F.col("card_id"))))
 
 
-EMBEDDED_PRODUCT = ("array<struct<id:string,productId:string,product_id:string,sku:string,name:string,"
-                    "title:string,productName:string,nameEn:string,description:string,"
-                    "price:string,image:string,imageUrl:string,sizes:array<struct<price:string>>>>")
-
-
-def embedded_products(pages: DataFrame, html: str = "html", max_scripts: int = 5) -> DataFrame:
+EMBEDDED_PRODUCT = (
+    "array<struct<id:string,productId:string,product_id:string,sku:string,name:string,title:string,"
+    "productName:string,nameEn:string,description:string,shortDescription:string,"
+    "longDescription:string,price:string,sizes:array<struct<price:string>>,"
+    "detail:struct<description:string,longDescription:string,shortDescription:string,"
+    "colors:array<struct<image:struct<url:string>>>,"
+    "xmedia:array<struct<xmediaItems:array<struct<medias:array<struct<url:string>>>>>>>,"
+    "image:string,imageUrl:string,img:string,mainImage:string,primaryImage:string,picture:string,"
+    "photo:string,images:array<string>,media:array<string>>>")
+IMAGE_OBJECT = "struct<url:string,src:string,large:string,medium:string>"
+PRICE_OBJECT = "struct<salePrice:string,currentPrice:string,price:string,value:string>"
+
+
+def embedded_image_src(src, page_url) -> Column:
+    """An embedded product's image made absolute ('' when unsupported): http
+    kept, ``//`` gets https, ``/x`` is appended to the page URL before
+    ``/cz/en/`` (else to the page URL without its last segment)."""
+    s, p = F.coalesce(src, F.lit("")), page_url
+    base = (F.when(p.contains("/cz/en/"), F.substring_index(p, "/cz/en/", 1))
+            .otherwise(F.regexp_extract(p, r"^(.*)/", 1)))
+    return (F.when(s.startswith("http"), s)
+            .when(s.startswith("//"), F.concat(F.lit("https:"), s))
+            .when(s.startswith("/"), F.concat(base, s))
+            .otherwise(F.lit("")))
+
+
+def embedded_products(pages: DataFrame, html: str = "html", max_scripts: int = 5,
+                      url: str = "url") -> DataFrame:
     """Products inside JSON scripts of a page.
 
     Scripts typed ``application/json`` (or, on pages without any, scripts
     mentioning product/item) whose text is longer than 100 characters are
-    considered, the first ``max_scripts`` of them; an optional ``x =`` prefix and ``;`` are cut. Products are read
-    from the first non-empty list among the fixed keys.
+    considered, the first ``max_scripts`` of them; an optional ``x =`` prefix
+    and ``;`` are cut. Products are read from the first non-empty list among
+    the fixed keys. Per product: the first truthy name; the detail
+    descriptions, else the top-level ones; the price from ``sizes[0]`` (minor
+    units), else a price object's sale/current/price/value, else a number,
+    else the first number in the text; the image from colour images, the
+    first media of the first media set, then the plain image fields and the
+    first of ``images``/``media`` (objects give url/src/large/medium), made
+    absolute and kept only if allowed.
     """
     # All scripts of a page live in one row, so choosing them is array work
     # inside that row: no shuffle, no window.
@@ -331,27 +360,56 @@ def embedded_products(pages: DataFrame, html: str = "html", max_scripts: int = 5
     has_json = F.exists(tags, lambda t: attrs(t).contains("application/json"))
     chosen_tags = F.filter(tags, lambda t: F.when(has_json, attrs(t).contains("application/json"))
                            .otherwise(mentions(t)) & (F.length(body(t)) > 100))
-    picked = pages.select("page_id", F.slice(chosen_tags, 1, max_scripts).alias("_tags"))
-    s = picked.select("page_id", F.posexplode("_tags").alias("spos", "tag"))
-    s = s.select("page_id", "spos", body(F.col("tag")).alias("body"))
+    picked = pages.select("page_id", url, F.slice(chosen_tags, 1, max_scripts).alias("_tags"))
+    s = picked.select("page_id", url, F.posexplode("_tags").alias("spos", "tag"))
+    s = s.select("page_id", url, "spos", body(F.col("tag")).alias("body"))
     cleaned = F.when(F.col("body").rlike(r"^[^{]{0,50}="),
                      F.regexp_replace(F.regexp_replace("body", r"^[^=]*=\s*", ""), r";\s*$", "")) \
         .otherwise(F.col("body"))
     # One parse per script: every candidate list is a field of one struct.
     doc_schema = "struct<" + ",".join(f"{k}:{EMBEDDED_PRODUCT}" for k in K.EMBEDDED_JSON_KEYS) + ">"
-    parsed = s.select("page_id", "spos", F.from_json(cleaned, doc_schema).alias("_doc"))
+    parsed = s.select("page_id", url, "spos", F.from_json(cleaned, doc_schema).alias("_doc"))
     chosen = F.coalesce(*[F.when(F.size(F.col(f"_doc.{k}")) > 0, F.col(f"_doc.{k}"))
                           for k in K.EMBEDDED_JSON_KEYS])
-    prods = parsed.select("page_id", "spos", F.posexplode(chosen).alias("ppos", "p"))
+    prods = parsed.select("page_id", url, "spos", F.posexplode(chosen).alias("ppos", "p"))
     p = F.col("p")
-    pid = F.coalesce(p["id"], p["productId"], p["product_id"], p["sku"])
+    d = p["detail"]
+    pid = first_truthy(p["id"], p["productId"], p["product_id"], p["sku"])
+    # Price: sizes[0] in minor units, else an object's first truthy number,
+    # else a number, else the first number in the text; zero counts as none.
+    raw_price = p["price"]
+    obj = F.from_json(raw_price, PRICE_OBJECT)
+    from_obj = F.coalesce(*[F.when(obj[k].try_cast("double") != 0, obj[k].try_cast("double"))
+                            for k in ("salePrice", "currentPrice", "price", "value")])
     price = F.coalesce(N.minor_units_price(F.try_element_at(p["sizes"], F.lit(1))["price"]),
-                       F.expr("try_cast(p.price AS double)"),
-                       N.parse_price_number(p["price"]))
+                       F.when(raw_price.startswith("{"), from_obj),
+                       F.when(~raw_price.startswith("{"),
+                              F.coalesce(raw_price.try_cast("double"), N.parse_price_number(raw_price))))
+    # Image: candidates in order, objects read as url/src/large/medium.
+    color_urls = F.transform(F.filter(d["colors"], lambda c: truthy(c["image"]["url"])),
+                             lambda c: c["image"]["url"])
+    first_set = F.try_element_at(F.filter(d["xmedia"], lambda m: F.size(m["xmediaItems"]) > 0), F.lit(1))
+    media_url = F.try_element_at(F.try_element_at(first_set["xmediaItems"], F.lit(1))["medias"],
+                                 F.lit(1))["url"]
+    plain = [p[c] for c in ("image", "imageUrl", "img", "mainImage", "primaryImage", "picture", "photo")]
+    plain += [F.try_element_at(p["images"], F.lit(1)), F.try_element_at(p["media"], F.lit(1))]
+    cands = F.concat(F.coalesce(color_urls, F.array().cast("array<string>")), F.array(media_url, *plain))
+
+    def as_url(c):
+        o = F.from_json(c, IMAGE_OBJECT)
+        return F.when(c.startswith("{"), first_truthy(o["url"], o["src"], o["large"], o["medium"])) \
+            .otherwise(c)
+
+    page = F.col(url)
+    resolved = F.transform(F.filter(cands, lambda c: truthy(c)),
+                           lambda c: embedded_image_src(as_url(c), page))
+    image = F.try_element_at(F.filter(resolved, lambda u: N.is_allowed_image_url(u)), F.lit(1))
     return prods.select(
         "page_id", (F.col("spos").cast("bigint") * 100000 + F.col("ppos")).alias("emb_pos"),
         pid.alias("product_id"),
-        F.coalesce(p["name"], p["title"], p["productName"], p["nameEn"]).alias("title"),
-        p["description"].alias("description"),
-        price.cast("string").alias("price"),
-        F.coalesce(p["image"], p["imageUrl"]).alias("image_url"))
+        first_truthy(p["name"], p["title"], p["productName"], p["nameEn"]).alias("title"),
+        F.coalesce(first_truthy(d["longDescription"], d["description"], d["shortDescription"]),
+                   first_truthy(p["description"], p["shortDescription"], p["longDescription"]))
+        .alias("description"),
+        F.when(price != 0, price).cast("string").alias("price"),
+        image.alias("image_url"))

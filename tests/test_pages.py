@@ -72,3 +72,17 @@ def test_anchor_selection(spark):
     sel = r'<a\s[^>]*class="[^"]*product-link[^"]*"[^>]*>'
     assert [r.link for r in P.page_links(pages, anchor=sel).collect()] == ["https://s.example/p/1"]
     assert [r.link for r in P.category_links(pages, anchor=sel).collect()] == ["https://s.example/p/1"]
+
+
+def test_embedded_product_shapes(spark):
+    prods = ('{"items":[{"productId":"5","title":"T","detail":{"longDescription":"L",'
+             '"colors":[{"image":{"url":"/img/5-s.jpg"}}]},"price":{"currentPrice":0,"value":19.5}},'
+             '{"sku":"6","nameEn":"N","price":"from $7.25","images":[{"src":"//cdn/6-e1.jpg"}]},'
+             '{"id":"7","name":"M","price":12,"detail":{"xmedia":[{"x":1},{"xmediaItems":[{"medias":[{"url":"https://m/7-ult21.png"}]}]}]}}]}')
+    html = '<script type="application/json">' + prods + '</script>'
+    pages = spark.createDataFrame([(1, "https://s.example/cz/en/list", html)], "page_id long, url string, html string")
+    got = {r.product_id: (r.title, r.description, r.price, r.image_url)
+           for r in P.embedded_products(pages).collect()}
+    assert got["5"] == ("T", "L", "19.5", "https://s.example/img/5-s.jpg")
+    assert got["6"] == ("N", None, "7.25", "https://cdn/6-e1.jpg")
+    assert got["7"] == ("M", None, "12.0", "https://m/7-ult21.png")
