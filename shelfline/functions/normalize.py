@@ -144,11 +144,8 @@ def product_id(source, external_id, product_id_col=None, product_url=None) -> Co
     ids = [external_id] + ([product_id_col] if product_id_col is not None else [])
     ext = first_truthy(*ids)
     url = col(product_url) if product_url is not None else F.lit(None).cast("string")
-    return (
-        F.when(ext.isNotNull(), F.sha2(F.concat_ws(":", src, ext), 256))
-        .when(truthy(url), F.sha2(F.concat_ws(":", src, url), 256))
-        .otherwise(F.lit("unknown"))
-    )
+    key = F.coalesce(ext, F.when(truthy(url), url))
+    return F.when(key.isNotNull(), F.sha2(F.concat_ws(":", src, key), 256)).otherwise(F.lit("unknown"))
 
 
 def clean_title(title) -> Column:
@@ -176,8 +173,11 @@ def normalize_size(size_text=None, size_items=None) -> Column:
     out = F.lit(None).cast("string")
     if size_items is not None:
         items = col(size_items)
-        cleaned = F.array_distinct(F.filter(F.transform(items, lambda x: strip(x)),
-                                            lambda x: x.isNotNull() & (x != "")))
+        # Strip every element without a lambda: join on a control character,
+        # trim around the separators, split back, drop blanks, keep first seen.
+        sep = "\u0000"
+        joined = F.regexp_replace(F.array_join(items, sep), r"(?U)\s*\u0000\s*", sep)
+        cleaned = F.array_distinct(F.array_remove(F.split(strip(joined), sep), ""))
         from_list = F.nullif(F.array_join(cleaned, ", "), F.lit(""))
         list_truthy = items.isNotNull() & (F.size(items) > 0)
     if size_text is not None:
@@ -206,10 +206,10 @@ def build_product_url(product_url, template, keyword, seo_product_id, raw_id, di
     disc = F.coalesce(col(discern), F.lit(""))
     full = F.replace(F.replace(F.replace(tmpl, F.lit("{keyword}"), kw), F.lit("{id}"), pid),
                      F.lit("{discern_id}"), disc)
-    kw_only = F.replace(tmpl, F.lit("{keyword}"), kw)
-    placeholder = r"\{[^{}]*\}"
-    filled = (F.when(~full.rlike(placeholder) & (full != ""), full)
-              .when(~kw_only.rlike(placeholder) & (kw_only != ""), kw_only))
+    # A keyword-only retry cannot succeed where the full fill failed (any other
+    # placeholder fails both), so a template with unknown placeholders gives
+    # no URL.
+    filled = F.when(~full.rlike(r"\{[^{}]*\}") & (full != ""), full)
     need = ~truthy(url) & truthy(tmpl) & truthy(kw)
     return F.when(need & filled.isNotNull(), filled).otherwise(url)
 
@@ -223,8 +223,10 @@ def build_metadata(merchant_name=None, country=None, original_currency=None) ->
             pairs += [F.lit(k), col(v).cast("string")]
     if not pairs:
         return F.lit(None).cast("map<string,string>")
-    m = F.map_filter(F.create_map(*pairs), lambda k, v: truthy(v))
-    return F.when(F.size(m) > 0, m)
+    entries = [F.when(truthy(pairs[i + 1]), F.struct(pairs[i].alias("key"), pairs[i + 1].alias("value")))
+               for i in range(0, len(pairs), 2)]
+    kept = F.array_compact(F.array(*entries))
+    return F.when(F.size(kept) > 0, F.map_from_entries(kept))
 
 
 def metadata_text(metadata) -> Column:
