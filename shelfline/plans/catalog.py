@@ -21,14 +21,21 @@ from shelfline.sources import feeds as FD
 ORDER = ["endpoint_pos", "page", "item_pos"]
 
 
-def feed_products(feeds: DataFrame, site: dict, mapping: dict) -> DataFrame:
-    """Feed documents -> de-duplicated product rows (arrival order kept)."""
+def feed_products(feeds: DataFrame, site: dict, mapping: dict, limit: int = 0) -> DataFrame:
+    """Feed documents -> de-duplicated product rows (arrival order kept).
+
+    ``limit`` keeps the first N items of the site before the price gate and
+    de-dup (0 = all); for one site that is a global first-N, planned as a
+    per-partition top-N merged once (TakeOrderedAndProject).
+    """
     keep = [c for c in ("endpoint_pos", "endpoint", "page") if c in feeds.columns] + ["item_pos"]
     items = FD.read_feed_items(feeds)
     mapped = FD.map_fields(items, mapping, keep=keep)
     usable = FD.has_required_image(FD.has_identifier(mapped), mapping)
     raw = RW.apply_site_defaults(usable, site=site)
     order = [c for c in ORDER if c in raw.columns]
+    if limit:
+        raw = raw.orderBy(*order).limit(limit)
     rows = RW.to_product_row(raw, keep=order)
     return D.dedup_first(RW.price_gate(rows), "id", order)
 
@@ -55,11 +62,11 @@ def embed_products(products: DataFrame, text_encoder_factory=None, image_encoder
 
 def feed_run(feeds: DataFrame, site: dict, mapping: dict, table: DataFrame | None = None,
              sync: bool = False, dry_run: bool = False, text_encoder_factory=None,
-             image_encoder_factory=None, dim: int = 768) -> DataFrame:
+             image_encoder_factory=None, dim: int = 768, limit: int = 0) -> DataFrame:
     """The whole run: products, optional embeddings, then upsert into ``table``
     and (``sync``) prune the site's source. ``dry_run`` returns the products
     without touching the table (and, unlike the original, never prunes)."""
-    products = feed_products(feeds, site, mapping).drop(*ORDER)
+    products = feed_products(feeds, site, mapping, limit).drop(*ORDER)
     products = embed_products(products, text_encoder_factory, image_encoder_factory, dim)
     if dry_run or table is None:
         return products

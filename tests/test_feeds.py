@@ -132,3 +132,16 @@ def test_html_endpoints_path_placeholder(spark):
                                   "page_id long, url string, html string")
     got = [r.endpoint for r in html_endpoints(pages, "https://api.example{path}/products").collect()]
     assert got == ["https://api.example/women/dresses/products?ajax=true"]
+
+
+def test_feed_run_limit_before_gate(spark):
+    from shelfline.plans.catalog import feed_products
+    items = ",".join('{"id":"%d","name":"N%d","price":"%s","seo":{"discernProductId":"E%d"},'
+                     '"xmedia":[{"url":"https://i/%d-e1.jpg"}]}' % (i, i, "free" if i == 0 else "5", i, i)
+                     for i in range(5)).replace('"price":"free"', '"price":" "')
+    docs_ = spark.createDataFrame([(0, 0, "https://s/x", '{"products":[' + items + "]}")],
+                                  "endpoint_pos int, page long, endpoint string, payload string")
+    mapping = {"external_id": "seo.discernProductId", "title": "name", "price": "price",
+               "currency": "'USD'", "image_url": ["try_element_at(xmedia, 1).url"]}
+    got = sorted(r.title for r in feed_products(docs_, {"source": "s"}, mapping, limit=2).collect())
+    assert got == ["N1"]  # the limit counts N0 before its blank price is gated out
