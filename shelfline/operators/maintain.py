@@ -6,8 +6,10 @@ Parquet has no MERGE, so an upsert produces a new snapshot:
         ∪ (batch rows, with columns the batch lacks taken from the target)
 
 Both halves are joins against the batch's ids. When the batch is proven
-small it is broadcast and the large target is never shuffled; otherwise
-the joins shuffle on ``id`` and AQE handles skew.
+small it is broadcast and the large target is never shuffled; otherwise the
+two halves come from one full outer join on ``id`` (one shuffle per side,
+AQE handles skew). Persisted tables apply these per partition through
+``shelfline.sources.table.BucketedTable``.
 """
 
 from __future__ import annotations

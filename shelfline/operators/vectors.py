@@ -2,8 +2,10 @@
 
 Scoring is a block product per corpus partition (numpy inside
 ``mapInPandas``) against a broadcast query block whose size is checked.
-Every partition keeps only its k best rows per query, so the final ranking
-window sees at most ``k x partitions`` rows per query regardless of skew.
+Rows are scored in bounded chunks and every chunk keeps only its k best
+rows per query (plus rows tied with the k-th), so the final ranking window
+sees about ``k x chunks`` rows per query regardless of skew, and a partial
+WindowGroupLimit trims them again before the exchange.
 """
 
 from __future__ import annotations
