@@ -95,9 +95,10 @@ def maintain_products(table, products: DataFrame, source: str, sync: bool = Fals
     The upsert rewrites only the (source, bucket) partitions the products
     fall in; with ``sync`` the prune rewrites only those of ``source``'s
     partitions that actually lose rows.
-    An empty run prunes nothing. ``run_ts`` (default: now, fixed once per
-    call so a replay writes the same values) stamps ``last_seen`` and the
-    ``created_at`` of inserted rows.
+    An empty run prunes nothing. ``run_ts`` stamps ``last_seen`` and the
+    ``created_at`` of inserted rows; it defaults to now, so pass the run's
+    own timestamp (e.g. its scheduled time) if a replayed run must write
+    identical stamps.
     """
     import datetime as _dt
     run_ts = run_ts or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
