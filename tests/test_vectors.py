@@ -57,3 +57,12 @@ def test_ties_at_the_kth_score_keep_smallest_ids(spark):
     q = spark.createDataFrame([(0, [1.0, 0.0])], "query_id long, query_vec array<double>")
     got = [r.id for r in V.cosine_topk(df, q, 3).orderBy("rank").collect()]
     assert got == [1, 2, 3]
+
+
+def test_exclude_self(spark):
+    df = corpus(spark, n=60, dim=8)
+    q = df.limit(5).select(F.col("id").alias("query_id"), F.col("embedding").alias("query_vec"))
+    out = V.cosine_topk(df, q, 3, exclude_self=True).collect()
+    assert all(r.query_id != r.id for r in out)
+    assert sorted({r.query_id for r in out}) == sorted(r.query_id for r in q.collect())
+    assert all(sum(1 for r in out if r.query_id == qid) == 3 for qid in {r.query_id for r in out})
