@@ -27,11 +27,6 @@ def truthy(c) -> Column:
     return c.isNotNull() & (c != F.lit(""))
 
 
-def blank_to_null(c) -> Column:
-    """Stripped text, or null when nothing is left."""
-    return F.nullif(strip(c), F.lit(""))
-
-
 def py_or(*cols) -> Column:
     """``a or b or c`` over strings: first truthy value, else the last operand."""
     cols = [col(c) for c in cols]
@@ -73,11 +68,6 @@ def is_numeric_text(c) -> Column:
     return F.coalesce(col(c).rlike(NUMERIC_TEXT), F.lit(False))
 
 
-def ordered_distinct_array(arr) -> Column:
-    """First-seen distinct elements (Spark keeps first-occurrence order)."""
-    return F.array_distinct(col(arr))
-
-
 def replace_first(c, needle: str, repl: str) -> Column:
     """Replace only the first occurrence of ``needle``."""
     c = col(c)

@@ -208,17 +208,9 @@ def product_key_text(products: DataFrame) -> Column:
     return F.concat_ws(":", F.col("source"), F.coalesce(F.col("product_url"), F.lit("None")))
 
 
-def ensure_columns(df: DataFrame, columns: dict) -> DataFrame:
-    """Add missing columns as typed nulls."""
-    for c, t in columns.items():
-        if c not in df.columns:
-            df = df.withColumn(c, F.lit(None).cast(t))
-    return df
-
-
 __all__ = ["apply_site_defaults", "to_product_row", "with_info_text", "price_gate",
            "required_fields_gate", "format_for_db", "pick_image", "PRODUCT_COLUMNS",
-           "ensure_columns", "product_key_text"]
+           "product_key_text", "render_for_sink"]
 
 
 def render_for_sink(products: DataFrame) -> DataFrame:
