@@ -1,5 +1,96 @@
-"""DuckDB SQL of the training-data queries that SQL can express."""
+"""DuckDB SQL of the training-data queries that SQL can express.
+
+License rules, the language model, SimHash (XXH64), and best fit have no SQL
+form; tests hold those against brute force.
+"""
 
 from __future__ import annotations
 
+from shelfline.llm.mixing import LEAST_QUALITY, MAX_EPOCHS, WEIGHTS
+from shelfline.llm.quality_rules import LINE_RULES, MAX_LOST, MAX_REPEAT_PCT, MIN_WORDS
+
 ORACLE: dict[str, str] = {}
+
+W = r"[^\x20\x09-\x0D]+"
+
+
+def _q(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+_weights = " ".join(f"WHEN {i} THEN {w}" for i, w in enumerate(WEIGHTS))
+
+ORACLE["op1_mix_sources"] = rf"""
+WITH d AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '{W}')) AS BIGINT) AS size,
+         len(regexp_extract_all(coalesce(text, ''), '\p{{L}}{{2,}}')) AS runs
+  FROM documents),
+k AS (
+  SELECT doc_id, source, size,
+         -ln((CAST(('0x' || substr(md5('1:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 13)) AS BIGINT)::DOUBLE + 1) / 4503599627370496.0)
+         / greatest({LEAST_QUALITY}::DOUBLE, least(1.0::DOUBLE, runs::DOUBLE / greatest(size, 1))) AS key
+  FROM d),
+s AS (
+  SELECT source, sum(size)::BIGINT AS source_size,
+         CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % {len(WEIGHTS)} {_weights} END AS weight
+  FROM d GROUP BY source),
+f AS (
+  SELECT *, {MAX_EPOCHS} * source_size AS cap,
+         sum(source_size) OVER () - coalesce(sum({MAX_EPOCHS} * source_size) OVER o, 0) AS room,
+         sum(weight) OVER () - coalesce(sum(weight) OVER o, 0) AS weight_left,
+         row_number() OVER (ORDER BY {MAX_EPOCHS} * source_size / weight, source NULLS LAST) AS place
+  FROM s
+  WINDOW o AS (ORDER BY {MAX_EPOCHS} * source_size / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+l AS (SELECT place AS at, room, weight_left FROM f WHERE cap * weight_left >= weight * room ORDER BY place LIMIT 1),
+t AS (
+  SELECT f.source, f.source_size,
+         CASE WHEN f.place < l.at THEN f.cap::DOUBLE
+              ELSE least(f.cap::DOUBLE, (f.weight * l.room)::DOUBLE / l.weight_left::DOUBLE) END AS target
+  FROM f, l),
+e AS (
+  SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS epochs FROM t),
+c AS (
+  SELECT k.*, e.source_size, e.target, e.epochs, e.target - e.epochs * e.source_size AS rest,
+         coalesce(sum(k.size) OVER (PARTITION BY k.source ORDER BY k.key, k.doc_id NULLS FIRST
+                                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+  FROM k JOIN e ON k.source IS NOT DISTINCT FROM e.source)
+SELECT doc_id, size, source_size, target,
+       CAST(CASE WHEN size = 0 THEN 0 ELSE size * (epochs + CASE WHEN rest > 0 AND before + size / 2 <= rest THEN 1 ELSE 0 END) END AS BIGINT) AS taken
+FROM c"""
+
+ORACLE["op2_line_dedup"] = r"""
+WITH l AS (
+  SELECT doc_id, pos, line,
+         translate(trim(line, E' \t\n\x0B\x0C\r'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+               generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos FROM documents)),
+often AS (SELECT key FROM l WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT doc_id) >= 10),
+m AS (SELECT l.*, often.key IS NOT NULL AS gone FROM l LEFT JOIN often ON l.key = often.key)
+SELECT doc_id, count(*) AS n_lines, CAST(sum(gone::INT) AS BIGINT) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+FROM m GROUP BY doc_id"""
+
+_fails = " OR ".join(f"regexp_matches(line, {_q(r)})" for r in LINE_RULES)
+
+ORACLE["op5_quality_rules"] = rf"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '{W}') AS w FROM documents),
+win AS (
+  SELECT doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM d)),
+rep AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS n FROM win) WHERE n >= 2),
+cov AS (SELECT doc_id, count(DISTINCT p) AS n_repeat_words FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM rep) GROUP BY doc_id),
+l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM d),
+ls AS (
+  SELECT doc_id, count(*) FILTER (regexp_matches(line, '{W}')) - count(DISTINCT line) FILTER (regexp_matches(line, '{W}')) AS n_dup_lines,
+         coalesce(sum(len(regexp_extract_all(line, '{W}'))) FILTER ({_fails}), 0) AS lost
+  FROM l GROUP BY doc_id),
+b AS (
+  SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+         CAST(len(regexp_extract_all(text, '[#*$%&|<>]')) AS BIGINT) AS n_symbols, ls.n_dup_lines,
+         coalesce(cov.n_repeat_words, 0) AS n_repeat_words, ls.lost
+  FROM d JOIN ls USING (doc_id) LEFT JOIN cov USING (doc_id))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PCT} * n_words AS base_failed,
+       NOT (n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PCT} * n_words) AND lost <= {MAX_LOST} * n_words AS kept
+FROM b"""
