@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfline.llm import license_scan, line_dedup, mixing, packing, quality_rules
+from shelfline.llm import license_scan, line_dedup, mixing, packing, quality_rules, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,8 +32,12 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ruled.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash_groups(_table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_best_fit(_table(spark, sf_dir, "documents"))
 
 
-REGISTRY = {f.__name__: f for f in (op1_mix_sources, op2_line_dedup, op3_license_scan, op5_quality_rules, op9_best_fit_packing)}
+REGISTRY = {f.__name__: f for f in (op1_mix_sources, op2_line_dedup, op3_license_scan, op5_quality_rules, op7_simhash_dedup, op9_best_fit_packing)}
