@@ -5,7 +5,9 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -83,3 +85,12 @@ def _on(within: list[str]) -> Column:
     for c in within:
         on = on & F.col(c).eqNullSafe(F.col(f"_g_{c}"))
     return on
+
+
+def by_shard(keys: np.ndarray, shards: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(shard, places) of 64-bit keys dealt by their remainder, shards in order."""
+    shard = (keys % np.uint64(shards)).astype(np.int64)
+    order = np.argsort(shard, kind="stable")
+    ends = np.flatnonzero(np.diff(shard[order], append=-1)) + 1
+    for a, b in zip([0, *ends[:-1].tolist()], ends.tolist()):
+        yield int(shard[order[a]]), order[a:b]

@@ -33,6 +33,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shelfline.llm.common import by_shard
+
 MIN_DOCS = 10
 MIN_CHARS = 1
 BLOCK_BYTES = 32 << 20
@@ -123,12 +125,8 @@ def _requests(shards: int, min_chars: int):
         if not counts:
             return
         keys, n = _keys(b"".join(counts)), np.fromiter(counts.values(), np.uint32, len(counts))
-        shard = (keys[:, 0] % np.uint64(shards)).astype(np.int64)
-        order = np.argsort(shard, kind="stable")
-        ends = np.flatnonzero(np.diff(shard[order], append=-1)) + 1
-        for a, b in zip([0, *ends[:-1].tolist()], ends.tolist()):
-            at = order[a:b]
-            yield {"_block": block, "_shard": int(shard[at[0]]), "keys": keys[at].tobytes(), "docs": n[at].tobytes()}
+        for shard, at in by_shard(keys[:, 0], shards):
+            yield {"_block": block, "_shard": shard, "keys": keys[at].tobytes(), "docs": n[at].tobytes()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, Counter] = defaultdict(Counter)

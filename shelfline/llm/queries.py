@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfline.llm import license_scan, line_dedup, mixing, packing, quality_rules, simhash
+from shelfline.llm import license_scan, line_dedup, mixing, packing, quality_rules, simhash, substring_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,4 +40,9 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_best_fit(_table(spark, sf_dir, "documents"))
 
 
-REGISTRY = {f.__name__: f for f in (op1_mix_sources, op2_line_dedup, op3_license_scan, op5_quality_rules, op7_simhash_dedup, op9_best_fit_packing)}
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substring_dedup.substring_dedup(_table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+REGISTRY = {f.__name__: f for f in (op1_mix_sources, op2_line_dedup, op3_license_scan, op5_quality_rules, op7_simhash_dedup, op9_best_fit_packing, op10_substring_dedup)}
