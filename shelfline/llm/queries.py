@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfline.llm import license_scan, line_dedup, mixing, packing, quality_rules, simhash, substring_dedup
+from shelfline.llm import language_id, license_scan, line_dedup, mixing, packing, perplexity, quality_rules, simhash, substring_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,11 +27,22 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scanned.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").withColumn("held_out", F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False)))
+    samples = language_id.learn(docs.filter("not held_out"))
+    return language_id.language_id(docs.select("doc_id", "held_out", "text"), samples).select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     ruled = quality_rules.quality_rules(_table(spark, sf_dir, "documents"))
     return ruled.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trusted = _table(spark, sf_dir, "labels").filter("quality = 1").select("doc_id")
+    return perplexity.quality_classifier(_table(spark, sf_dir, "documents"), trusted)
+
+
 def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(_table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
@@ -45,4 +56,4 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
-REGISTRY = {f.__name__: f for f in (op1_mix_sources, op2_line_dedup, op3_license_scan, op5_quality_rules, op7_simhash_dedup, op9_best_fit_packing, op10_substring_dedup)}
+REGISTRY = {f.__name__: f for f in (op1_mix_sources, op2_line_dedup, op3_license_scan, op4_language_id, op5_quality_rules, op6_quality_classifier, op7_simhash_dedup, op9_best_fit_packing, op10_substring_dedup)}
