@@ -15,14 +15,14 @@ one in ``HOLD_OUT``, kept back for the thresholds.
    same order (quantised to 1/1024 bit). A word that stands everywhere is one
    entry per block. Each block then adds up its documents.
 
-A document is kept if its bits per byte lie between the quantiles of held-out
-trusted documents of its language and size (powers of four), ``slack`` bits
-added on either side; languages or sizes with under ``LEAST_HELD`` held-out
-documents use the language's, then everyone's quantiles.
+A document is kept if its bits per byte lie at most ``slack`` bits above the
+quantile of held-out trusted documents of its language and size (powers of
+four); languages or sizes with under ``LEAST_HELD`` held-out documents use
+the language's, then everyone's quantile.
 
 Defined results: a null or empty text has no perplexity and is not kept; null
-languages form one language; without trusted text nothing is scored
-and every text is kept; rows that share a doc_id are trusted together and
+languages form one language; without trusted text nothing is scored or kept,
+with too little for any quantile every scored text is kept; rows that share a doc_id are trusted together and
 scored each for itself; an empty table gives an empty table.
 """
 
@@ -41,7 +41,7 @@ from shelfline.llm.common import by_shard, staged
 
 ORDER = 5
 HOLD_OUT = 5
-QUANTILES = (0.005, 0.995)
+QUANTILE = 0.995
 SLACK = 0.15
 LEAST_HELD = 50
 BLOCK_BYTES = 32 << 20
@@ -260,28 +260,22 @@ def perplexity(docs: DataFrame, trusted: DataFrame, order: int = ORDER, block_by
     return by_block.cogroup(told).applyInArrow(_score(order, shards, unseen), "doc_id long, lang string, n_bytes long, bits double")
 
 
-def quality_classifier(docs: DataFrame, trusted: DataFrame, order: int = ORDER, quantiles: tuple[float, float] = QUANTILES, slack: float = SLACK) -> DataFrame:
-    """One row per row of ``docs``: doc_id, lang, perplexity (per byte), least, most, kept."""
+def quality_classifier(docs: DataFrame, trusted: DataFrame, order: int = ORDER, quantile: float = QUANTILE, slack: float = SLACK) -> DataFrame:
+    """One row per row of ``docs``: doc_id, lang, perplexity (per byte), threshold, kept."""
     scored = staged(perplexity(docs, trusted, order), "scores").withColumn("class", F.floor(F.log2(F.greatest("n_bytes", F.lit(1))) / 2))
     held = scored.join(trusted.select("doc_id").distinct(), "doc_id", "left_semi").filter(F.crc32(F.col("doc_id").cast("string")) % HOLD_OUT == 0).filter("bits is not null")
 
-    def ends(groups: list[str], name: str) -> DataFrame:
-        q = F.percentile_approx("bits", F.array(*[F.lit(x) for x in quantiles]), 10000)
+    def most(groups: list[str], name: str) -> DataFrame:
         return held.groupBy(*[F.col(g).alias(f"{name}_{g}") for g in groups]).agg(
-            F.when(F.count("*") >= LEAST_HELD, F.struct(q[0].alias("least"), q[1].alias("most"))).alias(name))
+            F.when(F.count("*") >= LEAST_HELD, F.percentile_approx("bits", quantile, 10000)).alias(name))
 
     out = scored
     for name, groups in (("own", ["lang", "class"]), ("language", ["lang"])):
-        found = staged(ends(groups, name), name)
         on = F.col("lang").eqNullSafe(F.col(f"{name}_lang"))
         if "class" in groups:
             on = on & (F.col("class") == F.col(f"{name}_class"))
-        out = out.join(found, on, "left")
-    every = ends([], "every").first()["every"]  # one row
-    pick = F.coalesce("own", "language", F.lit(None).cast("struct<least:double,most:double>") if every is None else
-                      F.struct(F.lit(every["least"]).alias("least"), F.lit(every["most"]).alias("most")))
-    out = out.withColumn("pick", pick).withColumns({"least": F.col("pick.least") - slack, "most": F.col("pick.most") + slack})
-    bound = F.coalesce(F.col("bits").between(F.col("least"), F.col("most")), F.lit(True))
-    kept = F.col("bits").isNotNull() & bound if every is not None else bound
-    return out.select("doc_id", "lang", F.pow(F.lit(2.0), F.col("bits")).alias("perplexity"), F.pow(F.lit(2.0), "least").alias("least"),
-                      F.pow(F.lit(2.0), "most").alias("most"), kept.alias("kept"))
+        out = out.join(staged(most(groups, name), name), on, "left")
+    everyone = most([], "everyone").first()["everyone"]  # one row
+    out = out.withColumn("threshold", F.coalesce("own", "language", F.lit(everyone).cast("double")) + slack)
+    kept = F.col("bits").isNotNull() & (F.col("bits") <= F.coalesce("threshold", F.col("bits")))
+    return out.select("doc_id", "lang", F.pow(F.lit(2.0), "bits").alias("perplexity"), F.pow(F.lit(2.0), "threshold").alias("threshold"), kept.alias("kept"))
