@@ -11,15 +11,34 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfline.llm.common import staged
+from shelfline.llm.line_dedup import line_dedup
 from shelfline.llm.mixing import mix_sources
 from shelfline.llm.packing import pack_best_fit
 from shelfline.llm.quality_rules import quality_rules
+from shelfline.llm.simhash import keep_one, simhash_groups
+
+
+def _with_text(docs: DataFrame, text: str, columns: list[str]) -> DataFrame:
+    """``docs`` with another text; ``n_chars`` follows it where there is one."""
+    new = {"text": F.col(text)}
+    if "n_chars" in columns:
+        new["n_chars"] = F.length(text).cast("long")
+    return docs.withColumns(new).select(*columns)
+
 
 def rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejected documents go; kept ones lose their failing lines."""
-    ruled = quality_rules(docs).filter("kept")
-    text = F.col("clean_text")
-    return ruled.withColumns({"text": text, "n_chars": F.length(text).cast("long")}).select(*docs.columns)
+    return _with_text(quality_rules(docs).filter("kept"), "clean_text", docs.columns)
+
+
+def lines_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines that many documents share go; no document does."""
+    return _with_text(line_dedup(docs), "kept_text", docs.columns)
+
+
+def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays."""
+    return keep_one(docs, simhash_groups(docs))
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,6 +54,8 @@ def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 STAGES = [
     ("quality_rules", rules_stage),
+    ("line_dedup", lines_stage),
+    ("simhash_dedup", simhash_stage),
     ("mix_sources", mixing_stage),
     ("best_fit_packing", packing_stage),
 ]

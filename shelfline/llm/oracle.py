@@ -95,6 +95,25 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        NOT (n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PCT} * n_words) AND lost <= {MAX_LOST} * n_words AS kept
 FROM b"""
 
+ORACLE["op8_embedding_dedup"] = """
+WITH RECURSIVE v AS (
+  SELECT row_number() OVER () AS r, vec_id, embedding::DOUBLE[] AS e,
+         embedding IS NOT NULL AND len(embedding) > 0
+         AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+         AND len(list_filter(embedding, x -> x <> 0)) > 0 AS fine
+  FROM embeddings),
+links AS (
+  SELECT a.r AS a, b.r AS b, b.vec_id AS other FROM v a JOIN v b ON a.r <> b.r AND len(a.e) = len(b.e)
+  WHERE a.fine AND b.fine AND list_cosine_similarity(a.e, b.e) >= 0.95),
+reach AS (
+  SELECT r, r AS at, vec_id AS other FROM v
+  UNION
+  SELECT reach.r, links.b, links.other FROM reach JOIN links ON links.a = reach.at),
+least AS (SELECT r, min(other) AS component_id FROM reach GROUP BY r),
+n AS (SELECT a AS r, count(*) AS n_links FROM links GROUP BY a)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM v JOIN least USING (r) LEFT JOIN n USING (r)"""
+
 ORACLE["op10_substring_dedup"] = rf"""
 WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{W}') AS w FROM documents),
 win AS (

@@ -15,9 +15,9 @@ one in ``HOLD_OUT``, kept back for the thresholds.
    same order (quantised to 1/1024 bit). A word that stands everywhere is one
    entry per block. Each block then adds up its documents.
 
-A document is kept if its bits per byte lie at most ``slack`` bits above the
-quantile of held-out trusted documents of its language and size (powers of
-four); languages or sizes with under ``LEAST_HELD`` held-out documents use
+A document is kept if its bits per byte lie at most ``slack + SHORT /
+sqrt(bytes)`` bits above the quantile of held-out trusted documents of its
+language and size (powers of four); languages or sizes with under ``LEAST_HELD`` held-out documents use
 the language's, then everyone's quantile.
 
 Defined results: a null or empty text has no perplexity and is not kept; null
@@ -43,6 +43,8 @@ ORDER = 5
 HOLD_OUT = 5
 QUANTILE = 0.995
 SLACK = 0.15
+#: The mean over few bytes spreads the more the fewer they are.
+SHORT = 3.0
 LEAST_HELD = 50
 BLOCK_BYTES = 32 << 20
 LEAST_BLOCKS = 64
@@ -276,6 +278,6 @@ def quality_classifier(docs: DataFrame, trusted: DataFrame, order: int = ORDER,
             on = on & (F.col("class") == F.col(f"{name}_class"))
         out = out.join(staged(most(groups, name), name), on, "left")
     everyone = most([], "everyone").first()["everyone"]  # one row
-    out = out.withColumn("threshold", F.coalesce("own", "language", F.lit(everyone).cast("double")) + slack)
+    out = out.withColumn("threshold", F.coalesce("own", "language", F.lit(everyone).cast("double")) + slack + SHORT / F.sqrt(F.greatest("n_bytes", F.lit(1))))
     kept = F.col("bits").isNotNull() & (F.col("bits") <= F.coalesce("threshold", F.col("bits")))
     return out.select("doc_id", "lang", F.pow(F.lit(2.0), "bits").alias("perplexity"), F.pow(F.lit(2.0), "threshold").alias("threshold"), kept.alias("kept"))
