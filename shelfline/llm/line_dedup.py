@@ -18,7 +18,7 @@ task's memory stays the same at any size.
 Defined results: a null or empty text is one empty line; keys shorter than
 ``min_chars`` code points are never dropped; every row counts as a document,
 also rows that repeat; a text that loses all lines becomes empty; an empty
-table gives an empty table. Clashing columns are replaced.
+table gives an empty table. Clashing columns are replaced, and ``_block`` is dropped.
 """
 
 from __future__ import annotations
@@ -212,7 +212,7 @@ def _drop_lines(names: list[str]):
 def line_dedup(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN_CHARS,
                block_bytes: int = BLOCK_BYTES, shard_lines: int = SHARD_LINES) -> DataFrame:
     """``docs`` with ``kept_text`` (lines whose key stands in fewer than ``min_docs`` documents), n_lines, n_dropped."""
-    docs = docs.drop(*[f.name for f in ADDED])
+    docs = docs.drop(*[f.name for f in ADDED], "_block")
     total = docs.agg(F.sum(F.octet_length("text")), F.sum(F.regexp_count("text", F.lit("\n")) + 1)).first()
     blocks = max(LEAST_BLOCKS, -(-int(total[0] or 0) // block_bytes))
     shards = max(LEAST_SHARDS, -(-int(total[1] or 0) // shard_lines))

@@ -92,7 +92,8 @@ def mix_sources(docs: DataFrame, weights: tuple = WEIGHTS, max_epochs: int = MAX
            .groupBy(F.col("source").alias("_cut_source")).agg(F.max(F.struct("key", "doc_id")).alias("cut"), F.lit(True).alias("drawn")))
     plan = staged(plan.join(cut, F.col("_source").eqNullSafe(F.col("_cut_source")), "left").drop("_cut_source"), "cuts")
     mine = F.struct(key.alias("key"), F.col("doc_id"))
-    out = docs.select("*", size.alias("size"), mine.alias("_key")).join(plan, F.col("source").eqNullSafe(F.col("_source")))
-    copies = F.when(F.col("size") > 0, F.col("epochs") + F.when(F.col("drawn") & (F.col("_key") <= F.col("cut")), 1).otherwise(0)).otherwise(F.lit(0)).cast("long")
+    # The row travels as one column, so no name of the input meets one of the plan.
+    out = docs.select(F.struct(*docs.columns).alias("row"), "source", size.alias("size"), mine.alias("mine")).join(plan, F.col("source").eqNullSafe(F.col("_source")))
+    copies = F.when(F.col("size") > 0, F.col("epochs") + F.when(F.col("drawn") & (F.col("mine") <= F.col("cut")), 1).otherwise(0)).otherwise(F.lit(0)).cast("long")
     return (out.withColumn("copies", copies).withColumn("taken", F.col("copies") * F.col("size"))
-            .select(*docs.columns, *ADDED))
+            .select("row.*", *ADDED))

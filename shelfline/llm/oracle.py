@@ -99,8 +99,8 @@ ORACLE["op8_embedding_dedup"] = """
 WITH RECURSIVE v AS (
   SELECT row_number() OVER () AS r, vec_id, embedding::DOUBLE[] AS e,
          embedding IS NOT NULL AND len(embedding) > 0
-         AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
-         AND len(list_filter(embedding, x -> x <> 0)) > 0 AS fine
+         AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
+         AND len([x for x in embedding if x <> 0]) > 0 AS fine
   FROM embeddings),
 links AS (
   SELECT a.r AS a, b.r AS b, b.vec_id AS other FROM v a JOIN v b ON a.r <> b.r AND len(a.e) = len(b.e)

@@ -206,4 +206,7 @@ def keep_one(docs: DataFrame, groups: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stand for their group: its least doc_id; of rows that repeat it, the least text."""
     kept = groups.filter("doc_id = component_id").select("doc_id").distinct()
     one = Window.partitionBy("doc_id").orderBy("text")
-    return docs.join(kept, "doc_id", "left_semi").withColumn("_n", F.row_number().over(one)).filter("_n = 1").select(*docs.columns)
+    n = "_n"
+    while n in docs.columns:
+        n += "_"
+    return docs.join(kept, "doc_id", "left_semi").withColumn(n, F.row_number().over(one)).filter(F.col(n) == 1).drop(n)

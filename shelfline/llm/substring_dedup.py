@@ -21,7 +21,7 @@ group, document pair or posting list is ever gathered whole.
 Defined results: a null or empty text has no words; documents shorter than a
 window lose nothing; rows that share a doc_id do not remove each other's
 words; a null doc_id counts as larger than any other; an empty table gives an
-empty table. Clashing columns are replaced.
+empty table. Clashing columns are replaced, and ``_block`` is dropped.
 """
 
 from __future__ import annotations
@@ -247,7 +247,7 @@ def _remove(names: list[str], window: int, gram: int):
 
 def substring_dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, block_bytes: int = BLOCK_BYTES, shard_words: int = SHARD_WORDS) -> DataFrame:
     """``docs`` with ``kept_text`` (the words left, joined by one space), n_words, n_removed. ``doc_id`` is an integer."""
-    docs = docs.drop(*[f.name for f in ADDED])
+    docs = docs.drop(*[f.name for f in ADDED], "_block")
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(LEAST_BLOCKS, -(-int(size) // block_bytes))
     shards = max(LEAST_SHARDS, -(-int(size) // (6 * shard_words)))  # six bytes a word
