@@ -46,6 +46,8 @@ SLACK = 0.15
 #: The mean over few bytes spreads the more the fewer they are.
 SHORT = 3.0
 LEAST_HELD = 50
+#: Odd counts of counts (tiny corpora) can give discounts of zero, which leave no mass to back off; 0.5 stands for undefined ones.
+LEAST_DISCOUNT = 0.05
 BLOCK_BYTES = 32 << 20
 LEAST_BLOCKS = 64
 LEAST_SHARDS = 61
@@ -115,7 +117,7 @@ def kneser_ney(counts: DataFrame, order: int) -> tuple[DataFrame, float]:
         many = levels[k].filter("n <= 4").groupBy("n").count().collect()  # four rows
         n1, n2, n3, n4 = ({r["n"]: r["count"] for r in many}.get(i, 0) for i in (1, 2, 3, 4))
         y = n1 / (n1 + 2 * n2) if n1 else 0.0
-        d = [min(max(i - (i + 1) * y * b / a, 0.0), float(i)) if a else 0.0 for i, a, b in ((1, n1, n2), (2, n2, n3), (3, n3, n4))]
+        d = [min(max(i - (i + 1) * y * b / a, LEAST_DISCOUNT), float(i)) if a else 0.5 for i, a, b in ((1, n1, n2), (2, n2, n3), (3, n3, n4))]
         discount = F.when(F.col("n") == 1, d[0]).when(F.col("n") == 2, d[1]).otherwise(d[2])
         at = levels[k].withColumn("context", F.shiftright("g", 8))
         contexts = at.groupBy("context").agg(F.sum("n").alias("total"), F.sum(discount).alias("freed"))
