@@ -1,8 +1,8 @@
 """Scalar normalisers: each returns a Column built from built-in functions.
 
 Polymorphic inputs (a price can be text, a number, an object or a list)
-arrive as typed alternates, at most one of which is non-null per row; see
-``shelfline.schemas.price_alternates``.
+arrive as JSON values, ``struct<kind, raw>``: the JSON type and the text
+(unquoted for strings). Values inside an object or a list keep their own type.
 """
 
 from __future__ import annotations
@@ -12,8 +12,7 @@ from pyspark.sql import functions as F
 
 from shelfline import constants as K
 from shelfline.functions.text import (
-    col, strip, truthy, py_or, first_truthy, contains_any, num_text,
-    is_numeric_text, replace_first,
+    col, strip, truthy, py_or, first_truthy, contains_any, num_text, replace_first,
 )
 
 # --------------------------------------------------------------------- price
@@ -69,60 +68,98 @@ def format_price_number(num, is_int, currency) -> Column:
     return F.when(n.isNotNull() & truthy(currency), F.concat(num_text(scaled), col(currency)))
 
 
-def _value_text(v) -> Column:
-    """Numbers print as floats; text is kept; both lose a trailing '.0'."""
-    return F.when(is_numeric_text(v), num_text(v)).otherwise(F.regexp_replace(v, r"\.0$", ""))
+JSON_VALUE = "struct<kind:string,raw:string>"
+NUMBER_KINDS = ("BIGINT", "DECIMAL", "DOUBLE", "FLOAT")
+PRICE_LIST = "array<struct<price:variant,value:variant,amount:variant,currency:string,curr:string,code:string>>"
 
 
-def format_price_map(price_map) -> Column:
-    """``{"USD": 20, "CZK": 450.0}`` -> ``20USD,450CZK`` in insertion order."""
-    entries = F.filter(F.map_entries(col(price_map)),
-                       lambda e: (F.length(e["key"]) == 3) & e["value"].isNotNull())
-    parts = F.transform(entries, lambda e: F.concat(_value_text(e["value"]), F.upper(e["key"])))
-    return F.nullif(F.array_join(parts, ","), F.lit(""))
+def variant_kind(v) -> Column:
+    """STRING, BIGINT, DECIMAL, DOUBLE, BOOLEAN, OBJECT, ARRAY, VOID; null for a missing field."""
+    return F.regexp_extract(F.schema_of_variant(col(v)), "^[A-Z]+", 0)
+
+
+def json_value(variant, raw) -> Column:
+    """The JSON value of a field read both as a variant and as text; null and missing are null."""
+    raw = col(raw)
+    return F.when(raw.isNotNull(), F.struct(variant_kind(variant).alias("kind"), raw.alias("raw")))
+
+
+def text_value(text) -> Column:
+    """A text as a JSON value."""
+    return F.when(col(text).isNotNull(), F.struct(F.lit("STRING").alias("kind"), col(text).cast("string").alias("raw")))
+
+
+def _is_number(kind: Column) -> Column:
+    return kind.isin(*NUMBER_KINDS)
 
 
-def _num_truthy(v) -> Column:
-    return truthy(v) & ~(is_numeric_text(v) & (v.try_cast("double") == 0))
+def _variant_text(v: Column) -> Column:
+    """Numbers print as floats, true as 1, text is kept; all lose a trailing '.0'."""
+    kind = variant_kind(v)
+    return (F.when(_is_number(kind), num_text(F.try_variant_get(v, "$", "double")))
+            .when(kind == "BOOLEAN", F.when(F.try_variant_get(v, "$", "boolean"), F.lit("1")).otherwise(F.lit("0")))
+            .otherwise(F.regexp_replace(F.try_variant_get(v, "$", "string"), r"\.0$", "")))
+
+
+def _variant_truthy(v: Column) -> Column:
+    """Python truthiness: 0, '', false, {}, [] and null are falsy."""
+    kind = variant_kind(v)
+    return F.coalesce(
+        F.when(_is_number(kind), F.try_variant_get(v, "$", "double") != 0)
+        .when(kind == "VOID", F.lit(False))
+        .otherwise(~F.try_variant_get(v, "$", "string").isin("", "false", "{}", "[]")), F.lit(False))
+
+
+def json_truthy(value) -> Column:
+    """Python truthiness of a JSON value."""
+    kind, raw = col(value)["kind"], col(value)["raw"]
+    return F.coalesce(F.when(_is_number(kind), raw.try_cast("double") != 0)
+                      .when(kind == "STRING", raw != "")
+                      .otherwise(~F.regexp_replace(raw, r"\s", "").isin("false", "{}", "[]")), F.lit(False))
+
+
+def format_price_map(price_map) -> Column:
+    """``{"USD": 20, "CZK": "450.50"}`` -> ``20USD,450.50CZK`` in insertion order (map of variants)."""
+    entries = F.filter(F.map_entries(col(price_map)), lambda e: (F.length(e["key"]) == 3) & (variant_kind(e["value"]) != "VOID"))
+    parts = F.transform(entries, lambda e: F.concat(_variant_text(e["value"]), F.upper(e["key"])))
+    return F.nullif(F.array_join(parts, ","), F.lit(""))
 
 
 def format_price_list(price_list) -> Column:
-    """``[{"price": .., "currency": ..}, ...]`` -> ``20USD,450CZK``."""
+    """``[{"price": .., "currency": ..}, ...]`` -> ``20USD,450CZK`` (see ``PRICE_LIST``)."""
     def val(e):
-        return F.coalesce(F.when(_num_truthy(e["price"]), e["price"]),
-                          F.when(_num_truthy(e["value"]), e["value"]), e["amount"])
+        return F.when(_variant_truthy(e["price"]), e["price"]).when(_variant_truthy(e["value"]), e["value"]).otherwise(e["amount"])
 
     def cur(e):
         return py_or(e["currency"], e["curr"], e["code"])
 
-    kept = F.filter(col(price_list), lambda e: val(e).isNotNull() & truthy(cur(e)))
-    parts = F.transform(kept, lambda e: F.concat(_value_text(val(e)), F.upper(cur(e))))
+    kept = F.filter(col(price_list), lambda e: F.coalesce(variant_kind(val(e)) != "VOID", F.lit(False)) & truthy(cur(e)))
+    parts = F.transform(kept, lambda e: F.concat(_variant_text(val(e)), F.upper(cur(e))))
     return F.nullif(F.array_join(parts, ","), F.lit(""))
 
 
-def format_price(text=None, num=None, is_int=None, price_map=None, price_list=None,
-                 currency=None) -> Column:
-    """Dispatch over the typed alternates; at most one is non-null per row."""
-    currency = currency if currency is not None else F.lit(None).cast("string")
-    branches = []
-    if text is not None:
-        branches.append(format_price_text(text, currency))
-    if num is not None:
-        branches.append(format_price_number(num, is_int if is_int is not None else F.lit(False),
-                                            currency))
-    if price_map is not None:
-        branches.append(format_price_map(price_map))
-    if price_list is not None:
-        branches.append(format_price_list(price_list))
-    return F.coalesce(*branches) if len(branches) > 1 else branches[0]
+def format_price(value, currency) -> Column:
+    """A JSON value of any kind, formatted; numbers need a currency."""
+    kind, raw = col(value)["kind"], col(value)["raw"]
+    return (F.when(kind == "STRING", format_price_text(raw, currency))
+            .when(_is_number(kind), format_price_number(raw, raw.rlike(r"^-?[0-9]+$"), currency))
+            .when(kind == "BOOLEAN", format_price_number(F.when(raw == "true", F.lit("1")).otherwise(F.lit("0")), F.lit(True), currency))
+            .when(kind == "OBJECT", format_price_map(F.from_json(raw, "map<string,variant>")))
+            .when(kind == "ARRAY", format_price_list(F.from_json(raw, PRICE_LIST))))
 
 
 def format_sale(sale_text, currency, *more_text) -> Column:
-    """First truthy of sale / sale_price / salePrice, then ``format_price``."""
+    """First truthy of sale / sale_price / salePrice, then ``format_price_text``."""
     picked = first_truthy(sale_text, *more_text)
     return F.when(picked.isNotNull(), format_price_text(picked, currency))
 
 
+def format_sale_values(values, currency) -> Column:
+    """First truthy of several JSON values, formatted; none -> null."""
+    picked = F.coalesce(*[F.when(json_truthy(v), col(v)) for v in values])
+    return F.when(picked.isNotNull(), format_price(picked, currency))
+
+
 # ----------------------------------------------------------------- plain text
 
 
@@ -168,28 +205,45 @@ def normalize_gender(gender) -> Column:
     )
 
 
-def normalize_size(size_text=None, size_items=None) -> Column:
-    """First truthy of a text or a list of sizes; lists are stripped, distinct, joined."""
-    out = F.lit(None).cast("string")
-    if size_items is not None:
-        items = col(size_items)
-        # Strip every element without a lambda: join on a control character,
-        # trim around the separators, split back, drop blanks, keep first seen.
-        sep = "\u0000"
-        joined = F.regexp_replace(F.array_join(items, sep), r"(?U)\s*\u0000\s*", sep)
-        cleaned = F.array_distinct(F.array_remove(F.split(strip(joined), sep), ""))
-        from_list = F.nullif(F.array_join(cleaned, ", "), F.lit(""))
-        list_truthy = items.isNotNull() & (F.size(items) > 0)
-    if size_text is not None:
-        t = col(size_text)
-        from_text = F.nullif(strip(t), F.lit(""))
-    if size_items is not None and size_text is not None:
-        out = F.when(truthy(t), from_text).when(list_truthy, from_list)
-    elif size_items is not None:
-        out = F.when(list_truthy, from_list)
-    elif size_text is not None:
-        out = from_text
-    return out
+def _join_sizes(items) -> Column:
+    """Strip every element without a lambda: join on a control character, trim
+    around the separators, split back, drop blanks, keep first seen."""
+    sep = "\u0000"
+    joined = F.regexp_replace(F.array_join(items, sep), r"(?U)\s*\u0000\s*", sep)
+    cleaned = F.array_distinct(F.array_remove(F.split(strip(joined), sep), ""))
+    return F.nullif(F.array_join(cleaned, ", "), F.lit(""))
+
+
+def _size_strings(raw) -> Column:
+    """The strings of a JSON list, one nested level deep; other elements are skipped."""
+    def texts(v):
+        return F.when(variant_kind(v) == "STRING", F.array(F.try_variant_get(v, "$", "string"))) \
+            .when(variant_kind(v) == "ARRAY", F.transform(
+                F.filter(F.try_variant_get(v, "$", "array<variant>"), lambda x: variant_kind(x) == "STRING"),
+                lambda x: F.try_variant_get(x, "$", "string")))
+    return F.flatten(F.array_compact(F.transform(F.from_json(raw, "array<variant>"), texts)))
+
+
+def normalize_size(*sizes) -> Column:
+    """First truthy of several (column, type) sizes: text, a list, a list of lists
+    or a JSON value; lists are stripped, distinct, joined."""
+    out = None
+    for c, kind in reversed(sizes):
+        c = col(c)
+        if kind == "string":
+            picked, text = truthy(c), F.nullif(strip(c), F.lit(""))
+        elif kind == "array<string>":
+            picked, text = F.coalesce(F.size(c) > 0, F.lit(False)), _join_sizes(c)
+        elif kind == "array<array<string>>":
+            picked, text = F.coalesce(F.size(c) > 0, F.lit(False)), _join_sizes(F.flatten(F.array_compact(c)))
+        elif kind == JSON_VALUE:
+            picked = json_truthy(c)
+            text = (F.when(c["kind"] == "STRING", F.nullif(strip(c["raw"]), F.lit("")))
+                    .when(c["kind"] == "ARRAY", _join_sizes(_size_strings(c["raw"]))))
+        else:
+            raise TypeError(f"no size can be read from {kind}")
+        out = F.when(picked, text) if out is None else F.when(picked, text).otherwise(out)
+    return F.lit(None).cast("string") if out is None else out
 
 
 def category_of_endpoint(endpoint) -> Column:
@@ -325,28 +379,3 @@ def pick_image_url(candidates, strict: bool = True) -> Column:
     if strict:
         return first
     return F.coalesce(first, col(candidates[-1]).cast("string"))
-
-
-def alternates_truthy(prefix: str) -> Column:
-    """Python truthiness of a typed-alternate value (0, '', {} and [] are falsy)."""
-    t, n = F.col(f"{prefix}_text"), F.col(f"{prefix}_num")
-    m, lst = F.col(f"{prefix}_map"), F.col(f"{prefix}_list")
-    return (truthy(t) | (n.isNotNull() & (n != 0))
-            | F.coalesce(F.size(m) > 0, F.lit(False)) | F.coalesce(F.size(lst) > 0, F.lit(False)))
-
-
-def format_price_alternates(prefix: str, currency) -> Column:
-    return format_price(text=F.col(f"{prefix}_text"), num=F.col(f"{prefix}_num"),
-                        is_int=F.col(f"{prefix}_is_int"), price_map=F.col(f"{prefix}_map"),
-                        price_list=F.col(f"{prefix}_list"), currency=currency)
-
-
-def format_sale_alternates(prefixes, currency) -> Column:
-    """First truthy of several polymorphic sale fields, formatted; none -> null."""
-    chosen = F.when(alternates_truthy(prefixes[0]), format_price_alternates(prefixes[0], currency))
-    for p in prefixes[1:]:
-        earlier = F.lit(False)
-        for q in prefixes[:prefixes.index(p)]:
-            earlier = earlier | alternates_truthy(q)
-        chosen = F.when(~earlier & alternates_truthy(p), format_price_alternates(p, currency)).otherwise(chosen)
-    return chosen

@@ -9,8 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-NUMERIC_TEXT = r"^-?[0-9]+(\.[0-9]+)?([eE][-+]?[0-9]+)?$"
-
 
 def col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -53,19 +51,20 @@ def contains_any(c, needles, lower: bool = False) -> Column:
 def num_text(c) -> Column:
     """Render a number the way Python prints ``float(x)``, minus a trailing ``.0``.
 
-    Spark prints large doubles in E-notation; routing through a decimal keeps
-    plain digits. Trailing zeros (and the dot) are then trimmed.
+    Plain digits from 1e-4 up to 1e16, beyond that an exponent of at least two
+    digits (``1e+16``, ``2.5e-05``).
     """
-    s = F.col(c).try_cast("double") if isinstance(c, str) else c.try_cast("double")
+    x = F.col(c).try_cast("double") if isinstance(c, str) else c.try_cast("double")
+    size = F.abs(x)
     # format_number prints the decimal in plain digits (never 0E-18 or 1E-7)
     # whatever the ANSI setting; the grouping commas are removed.
-    dec = F.regexp_replace(F.format_number(s.try_cast("decimal(38,18)"), 18), ",", "")
-    # Beyond 20 integer digits the decimal overflows: fall back to Spark's text.
-    return F.coalesce(F.regexp_replace(dec, r"\.?0+$", ""), s.cast("string"))
-
-
-def is_numeric_text(c) -> Column:
-    return F.coalesce(col(c).rlike(NUMERIC_TEXT), F.lit(False))
+    plain = F.regexp_replace(F.format_number(x.try_cast("decimal(38,18)"), 18), ",", "")
+    java = x.cast("string")  # 1.0E16, 2.5E-5
+    power = F.substring_index(java, "E", -1).try_cast("int")
+    exponent = F.concat(F.regexp_replace(F.substring_index(java, "E", 1), r"\.0$", ""), F.lit("e"),
+                        F.when(power < 0, F.lit("-")).otherwise(F.lit("+")),
+                        F.lpad(F.abs(power).cast("string"), F.greatest(F.lit(2), F.length(F.abs(power).cast("string"))), F.lit("0")))
+    return F.when((size >= 1e16) | ((size < 1e-4) & (size > 0)), exponent).otherwise(F.regexp_replace(plain, r"\.?0+$", ""))
 
 
 def replace_first(c, needle: str, repl: str) -> Column:

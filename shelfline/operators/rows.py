@@ -69,10 +69,11 @@ def to_product_row(raw: DataFrame, keep: list[str] | None = None,
                    categories: DataFrame | None = None) -> DataFrame:
     """RAW -> PRODUCT in one projection.
 
-    Price inputs: ``price`` (text) or the typed alternates ``price_text``,
-    ``price_num``/``price_is_int``, ``price_map``, ``price_list``; sale inputs:
-    ``sale``/``sale_price``/``salePrice`` as text, or their typed alternates. Sizes: ``size``
-    (text) and/or ``size_list`` (array). Media: ``_xmedia_urls``.
+    ``price`` and the sale fields ``sale``/``sale_price``/``salePrice`` are
+    text or JSON values (``price_text`` stands in for ``price``); sizes are
+    the first truthy of ``size``, ``sizes``, ``available_sizes``,
+    ``size_list``, each a text, a list, a list of lists or a JSON value.
+    Media: ``_xmedia_urls``.
     ``keep`` carries extra columns (e.g. the arrival order) through.
     """
     g = lambda c, t="string": _get(raw, c, t)
@@ -83,35 +84,26 @@ def to_product_row(raw: DataFrame, keep: list[str] | None = None,
     main_img, extra_imgs = N.image_gallery(media, g("image_url"),
                                            g("additional_images", "array<string>"))
     currency = g("currency")
-    text_price = _opt(raw, "price_text")
-    if text_price is None and "price" in raw.columns:
-        text_price = F.col("price")
-    branches = []
-    stage = raw
-    if text_price is not None:
-        # Staged so each regex runs once per row (no repeated sub-expressions).
-        stage = (raw.withColumn("_ps", strip(text_price))
-                 .withColumn("_pn", N.price_digits("_ps"))
+    kinds = dict(raw.dtypes)
+    price_in = next((c for c in ("price_text", "price") if c in kinds), None)
+    stage, price = raw, F.lit(None).cast("string")
+    if price_in:
+        # Text is staged so each regex runs once per row (no repeated sub-expressions).
+        as_json = kinds[price_in] == N.JSON_VALUE
+        text = F.when(F.col(price_in)["kind"] == "STRING", F.col(price_in)["raw"]) if as_json else F.col(price_in)
+        stage = (raw.withColumn("_ps", strip(text)).withColumn("_pn", N.price_digits("_ps"))
                  .withColumn("_pc", N.clean_price_digits("_pn")))
-        branches.append(N.format_price_text_from("_ps", "_pc", currency))
-    if "price_num" in raw.columns:
-        branches.append(N.format_price_number("price_num", g("price_is_int", "boolean"), currency))
-    if "price_map" in raw.columns:
-        branches.append(N.format_price_map("price_map"))
-    if "price_list" in raw.columns:
-        branches.append(N.format_price_list("price_list"))
-    price = (F.coalesce(*branches) if len(branches) > 1 else
-             branches[0] if branches else F.lit(None).cast("string"))
-    typed_sales = [c for c in ("sale", "sale_price", "salePrice") if f"{c}_text" in raw.columns]
-    sale_cols = [c for c in ("sale", "sale_price", "salePrice") if c in raw.columns]
-    if typed_sales:  # polymorphic sale fields split by price_alternates
-        sale = N.format_sale_alternates(typed_sales, currency)
-    elif sale_cols:
-        sale = N.format_sale(*[F.col(c) for c in sale_cols[:1]], currency,
-                             *[F.col(c) for c in sale_cols[1:]])
+        price = N.format_price_text_from("_ps", "_pc", currency)
+        if as_json:
+            price = F.when(F.col(price_in)["kind"] == "STRING", price).otherwise(N.format_price(price_in, currency))
+    sales = [c for c in ("sale", "sale_price", "salePrice") if c in kinds]
+    if any(kinds[c] == N.JSON_VALUE for c in sales):
+        sale = N.format_sale_values([F.col(c) if kinds[c] == N.JSON_VALUE else N.text_value(c) for c in sales], currency)
+    elif sales:
+        sale = N.format_sale(sales[0], currency, *sales[1:])
     else:
         sale = F.lit(None).cast("string")
-    size = N.normalize_size(_opt(raw, "size"), _opt(raw, "size_list"))
+    size = N.normalize_size(*[(c, kinds[c]) for c in ("size", "sizes", "available_sizes", "size_list") if c in kinds])
     if categories is None:
         category = N.category_of_endpoint(g("endpoint"))
     else:

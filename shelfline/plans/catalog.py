@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfline import constants as K
 from shelfline.operators import dedup as D
@@ -21,7 +22,8 @@ from shelfline.sources import feeds as FD
 ORDER = ["endpoint_pos", "page", "item_pos"]
 
 
-def feed_products(feeds: DataFrame, site: dict, mapping: dict, limit: int = 0) -> DataFrame:
+def feed_products(feeds: DataFrame, site: dict, mapping: dict, limit: int = 0,
+                  item_schema: T.StructType = FD.ITEM_SCHEMA) -> DataFrame:
     """Feed documents -> de-duplicated product rows (arrival order kept).
 
     ``limit`` keeps the first N items of the site before the price gate and
@@ -29,7 +31,7 @@ def feed_products(feeds: DataFrame, site: dict, mapping: dict, limit: int = 0) -
     per-partition top-N merged once (TakeOrderedAndProject).
     """
     keep = [c for c in ("endpoint_pos", "endpoint", "page") if c in feeds.columns] + ["item_pos"]
-    items = FD.read_feed_items(feeds)
+    items = FD.read_feed_items(feeds, schema=item_schema)
     mapped = FD.map_fields(items, mapping, keep=keep)
     usable = FD.has_required_image(FD.has_identifier(mapped), mapping)
     raw = RW.apply_site_defaults(usable, site=site)

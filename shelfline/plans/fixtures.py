@@ -16,19 +16,9 @@ GENDER_CYCLE = ["WOMAN", "Man", " girls ", "KID", "unisex", "female", "Ornament"
 SHOP = "https://shop.example"
 
 
-MIN_SCAN_PARTITIONS = "shelfline.scan.minPartitions"
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table. With ``shelfline.scan.minPartitions`` set, an input that
-    scans into fewer partitions (one Parquet row group is one task) is spread
-    round-robin so CPU-heavy projections use every core; large inputs already
-    have more splits and are left alone."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    want = int(spark.conf.get(MIN_SCAN_PARTITIONS, "0") or 0)
-    if want and df.rdd.getNumPartitions() < want:
-        df = df.repartition(want)
-    return df
+    """A given table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _cycle(k, values):
@@ -101,18 +91,28 @@ def sites_table(part: DataFrame) -> DataFrame:
 
 FEED_PAGE_ITEMS = 50  # items per feed document (a paginated feed)
 
+_COLOR_MEDIA = "flatten(filter(transform(detail.colors, c -> c.xmedia), x -> x IS NOT NULL))"
+
 FEED_MAPPING = {
     "external_id": "seo.discernProductId",
     "product_id": "seo.discernProductId",
     "title": "name",
     "description": ["detail.description", "detail.longDescription", "seo.jsonLd.description",
                     "description"],
+    "color_names": ["transform(detail.colors, c -> c.name)", "transform(detail.colors, c -> c.colorName)"],
     "gender": ["sectionName", "section", "familyName"],
     "price": "price",
+    "sale": ["salePrice", "sale_price", "sale"],
+    "size": "size",
+    "sizes": "sizes",
+    "available_sizes": "available_sizes",
     "currency": "'USD'",
     "country": "'w'",
-    "image_url": ["try_element_at(xmedia, 1).extraInfo.deliveryUrl", "try_element_at(xmedia, 1).url"],
-    "_xmedia_urls": ["transform(xmedia, m -> m.extraInfo.deliveryUrl)", "transform(xmedia, m -> m.url)",
+    "image_url": [f"try_element_at({_COLOR_MEDIA}, 1).extraInfo.deliveryUrl", f"try_element_at({_COLOR_MEDIA}, 1).url",
+                  "try_element_at(xmedia, 1).extraInfo.deliveryUrl", "try_element_at(xmedia, 1).url"],
+    "_xmedia_urls": [f"transform({_COLOR_MEDIA}, m -> m.extraInfo.deliveryUrl)", f"transform({_COLOR_MEDIA}, m -> m.url)",
+                     f"transform({_COLOR_MEDIA}, m -> m.path)",
+                     "transform(xmedia, m -> m.extraInfo.deliveryUrl)", "transform(xmedia, m -> m.url)",
                      "transform(xmedia, m -> m.path)"],
     "seo_keyword": "seo.keyword",
     "seo_product_id": "id",
@@ -122,20 +122,52 @@ FEED_MAPPING = {
 }
 
 
+def _quoted(text):
+    """A text as a JSON string, null as null."""
+    inner = F.regexp_replace(F.to_json(F.struct(text.alias("x"))), r'^\{"x":|\}$', "")
+    return F.when(text.isNotNull(), inner).otherwise(F.lit("null"))
+
+
 def feed_item(r: DataFrame):
-    """An F1 row rendered as a feed item (R2 shape)."""
-    return F.struct(
+    """An F1 row rendered as a feed item (R2 shape), as JSON text.
+
+    Prices, sales and sizes come in every JSON kind: text, integers (minor
+    units from 1000 on), floats, objects and lists whose values are text or
+    numbers, zeros, nested size lists; every third item carries a colour
+    gallery.
+    """
+    k = F.col("k")
+    ks = k.cast("string")
+    base = F.to_json(F.struct(
         F.struct(F.col("external_id").alias("discernProductId"),
                  F.col("seo_keyword").alias("keyword")).alias("seo"),
-        F.col("k").cast("string").alias("id"),
+        ks.alias("id"),
         F.col("title").alias("name"),
         F.col("description").alias("description"),
         F.col("gender").alias("sectionName"),
-        F.col("price_text").alias("price"),
         F.when(F.col("image_url").isNotNull(),
                F.array(F.struct(F.col("image_url").alias("url")))).alias("xmedia"),
-        F.col("size_list").alias("sizes"),
-    )
+        F.when(k % 3 == 0, F.struct(F.array(
+            F.struct(F.lit("ecru").alias("name"), F.array(F.struct(
+                F.col("image_url").alias("url"), F.lit(None).cast("struct<deliveryUrl:string>").alias("extraInfo"))).alias("xmedia")),
+            F.struct(F.lit("navy").alias("name"), F.array(F.struct(
+                F.concat(F.lit("https://img.example/"), ks, F.lit("-s.jpg")).alias("url"),
+                F.struct(F.concat(F.lit("https://img.example/"), ks, F.lit("-e1.jpg")).alias("deliveryUrl")).alias("extraInfo"),
+            )).alias("xmedia"))).alias("colors"))).alias("detail"),
+    ))
+    price = (F.when(k % 8 == 1, F.concat(F.lit(',"price":'), (k % 30 * 100 + 90).cast("string")))
+             .when(k % 8 == 3, F.concat(F.lit(',"price":'), (k % 40).cast("string"), F.lit(".90")))
+             .when(k % 8 == 5, F.concat(F.lit(',"price":{"USD":"20.50","CZK":'), ks, F.lit(',"bd":1,"PLN":null,"EUR":"19.0"}')))
+             .when(k % 8 == 7, F.concat(F.lit(',"price":[{"price":"0","amount":"5","currency":"usd"},{"price":0,"value":'), ks,
+                                        F.lit('.25,"curr":"czk"},{"value":1}]')))
+             .otherwise(F.concat(F.lit(',"price":'), _quoted(F.col("price_text")))))
+    sale = (F.when(k % 5 == 1, F.lit(',"salePrice":1999')).when(k % 5 == 2, F.lit(',"sale_price":"9,99","sale":{"EUR":1}'))
+            .when(k % 5 == 3, F.lit(',"sale":{"EUR":5,"usd":"4.50"}')).when(k % 5 == 4, F.lit(',"salePrice":0,"sale":"7"'))
+            .otherwise(F.lit("")))
+    size = (F.when(k % 7 == 1, F.lit(',"sizes":["S"," M ","S",4]')).when(k % 7 == 2, F.lit(',"sizes":[["S","M"],["L"," S "],"XL"]'))
+            .when(k % 7 == 3, F.lit(',"size":"  One size "')).when(k % 7 == 4, F.lit(',"size":"","sizes":[],"available_sizes":["38","40"]'))
+            .otherwise(F.lit("")))
+    return F.concat(F.substring(base, 1, F.length(base) - 1), price, sale, size, F.lit("}"))
 
 
 def feeds(raw: DataFrame) -> DataFrame:
@@ -144,24 +176,31 @@ def feeds(raw: DataFrame) -> DataFrame:
     Items of one endpoint are paged FEED_PAGE_ITEMS at a time, so a document
     never holds more than that many items whatever the table size. Layout
     by ``endpoint_pos % 4``: groups/elements/components, groups/elements,
-    products, malformed text.
+    products, products with null items between. Besides, every
+    endpoint's last document is followed by one of malformed text.
     """
     page = F.floor(F.col("item_pos") / FEED_PAGE_ITEMS).cast("bigint")
     grouped = (raw.withColumn("page", page)
                .groupBy("endpoint_pos", "endpoint", "page")
                .agg(F.sort_array(F.collect_list(F.struct("item_pos", feed_item(raw).alias("it"))))
                     .alias("_l")))
-    items = F.transform("_l", lambda x: x["it"])
+    items = F.array_join(F.transform("_l", lambda x: x["it"]), ",")
     pos = F.col("endpoint_pos") % 4
     payload = (
-        F.when(pos == 0, F.to_json(F.struct(F.array(F.struct(F.array(F.struct(
-            items.alias("commercialComponents"))).alias("elements"))).alias("productGroups"))))
-        .when(pos == 1, F.to_json(F.struct(F.array(F.struct(items.alias("elements")))
-                                           .alias("productGroups"))))
-        .when(pos == 2, F.to_json(F.struct(items.alias("products"))))
-        .otherwise(F.lit("{bad"))
+        F.when(pos == 0, F.concat(F.lit('{"productGroups":[{"elements":[{"commercialComponents":['), items, F.lit("]}]}]}")))
+        .when(pos == 1, F.concat(F.lit('{"productGroups":[{"elements":['), items, F.lit("]}]}")))
+        .when(pos == 2, F.concat(F.lit('{"products":['), items, F.lit("]}")))
+        .otherwise(F.concat(F.lit('{"products":[null,'), F.array_join(F.transform("_l", lambda x: x["it"]), ",null,"), F.lit("]}")))
     )
-    return grouped.select("endpoint_pos", "endpoint", "page", payload.alias("payload"))
+    docs = grouped.select("endpoint_pos", "endpoint", "page", payload.alias("payload"))
+    broken = docs.groupBy("endpoint_pos", "endpoint").agg((F.max("page") + 1).alias("page"))
+    return docs.unionByName(broken.withColumn("payload", F.lit("{bad")))
+
+
+def failing_feeds(raw: DataFrame) -> DataFrame:
+    """Feed documents of which every fourth endpoint's are malformed."""
+    docs = feeds(raw)
+    return docs.withColumn("payload", F.when(F.col("endpoint_pos") % 4 == 3, F.lit("{bad")).otherwise(F.col("payload")))
 
 
 CATEGORY_TEMPLATE = SHOP + "/category/{id}/products?ajax=true"
@@ -170,11 +209,14 @@ CATEGORY_DOC_ITEMS = 50
 
 def category_docs(part: DataFrame) -> DataFrame:
     """Category JSON documents from ``part``: URL strings, objects with an http
-    url, objects with only an id; every fifth document nests its ids only."""
+    url, objects with only an id; every fifth document nests its ids only, twice
+    each, below a parent whose own id stands after them."""
     k = F.col("p_partkey")
     doc = F.floor(k / CATEGORY_DOC_ITEMS).cast("bigint")
     ks = k.cast("string")
-    frag = (F.when(doc % 5 == 4, F.concat(F.lit('{"name":"n","children":[{"id":'), ks, F.lit("}]}")))
+    parent = (doc + 1_000_000).cast("string")
+    frag = (F.when(doc % 5 == 4, F.concat(F.lit('{"name":"n","node":{"children":[{"id":'), ks, F.lit('},{"id":" '), ks,
+                                          F.lit(' "}],"id":'), parent, F.lit("}}")))
             .when(k % 3 == 0, F.concat(F.lit(f'"{SHOP}/c/'), ks, F.lit('"')))
             .when(k % 3 == 1, F.concat(F.lit(f'{{"url":"{SHOP}/u/'), ks, F.lit('","id":"'), ks, F.lit('"}')))
             .otherwise(F.concat(F.lit('{"id":'), ks, F.lit(',"url":"ftp://x/'), ks, F.lit('"}'))))
@@ -372,9 +414,9 @@ def price_payloads(part: DataFrame) -> DataFrame:
     price = (F.when(k % 5 == 0, minor)
              .when(k % 5 == 1, retail)
              .when(k % 5 == 2, F.concat(F.lit('{"USD":'), size, F.lit(',"CZK":'), retail,
-                                        F.lit(',"bd":1,"PLN":null}')))
+                                        F.lit(',"bd":1,"PLN":null,"EUR":"'), size, F.lit('.50","GBP":"7.0"}')))
              .when(k % 5 == 3, F.concat(F.lit('[{"price":'), size, F.lit(',"currency":"usd"},{"price":0,"amount":'),
-                                        (k % 7).cast("string"), F.lit(',"curr":"czk"},{"value":"x"}]')))
+                                        (k % 7).cast("string"), F.lit(',"curr":"czk"},{"value":"x"},{"price":"0","amount":"5","code":"eur"}]')))
              .otherwise(F.concat(F.lit('"'), size, F.lit(',5"'))))
     return part.select(k.alias("k"), F.concat(F.lit('{"price":'), price, F.lit("}")).alias("payload"),
                        F.when(k % 11 == 0, F.lit(None).cast("string")).otherwise(F.lit("USD")).alias("currency"))

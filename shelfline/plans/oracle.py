@@ -67,7 +67,11 @@ SELECT k,
 FROM mc"""
 
 ORACLE["normalize_gender"] = RAW + f"SELECT k, {S.gender('gender')} AS gender FROM raw_products"
-ORACLE["normalize_size"] = RAW + f"SELECT k, {S.size_from_list('size_list')} AS size FROM raw_products"
+ORACLE["normalize_size"] = RAW + f"""
+SELECT k, CASE WHEN k % 4 = 2 THEN 'XL'
+  WHEN k % 3 = 0 THEN {S.size_from_list("list_concat(coalesce(size_list, []), [' S ', ''])")}
+  WHEN size_list IS NOT NULL THEN {S.size_from_list('size_list')}
+  WHEN k % 2 = 0 THEN '36, 38, 40' ELSE '42' END AS size FROM raw_products"""
 ORACLE["build_product_url"] = PRODK + "SELECT k, product_url FROM products"
 ORACLE["build_metadata"] = PRODK + "SELECT k, metadata_text FROM products"
 
@@ -149,15 +153,30 @@ SELECT k, merchant, source, country, ext_id AS external_id, product_url_template
 # ------------------------------------------------------------------ feeds
 from shelfline.plans.fixtures import SHOP, CATEGORY_TEMPLATE  # noqa: E402
 
+_GALLERY = S.ordered_distinct_list(f"""list_filter(CASE WHEN k % 3 = 0
+  THEN ['https://img.example/' || CAST(k AS VARCHAR) || '-e1.jpg', image_url, 'https://img.example/' || CAST(k AS VARCHAR) || '-s.jpg', image_url]
+  ELSE [image_url] END, lambda u: {truthy(strip('u'))})""")
 FEEDS = RAW + f""",
 fi AS (SELECT *, CAST(floor(item_pos / 50) AS BIGINT) AS page,
   row_number() OVER (PARTITION BY endpoint_pos, endpoint, CAST(floor(item_pos / 50) AS BIGINT) ORDER BY item_pos) - 1 AS doc_pos
   FROM raw_products),
-items AS (SELECT * FROM fi WHERE endpoint_pos % 4 <> 3),
+items AS (SELECT * FROM fi),
 mapped AS (SELECT endpoint_pos, endpoint, page, doc_pos AS item_pos, external_id, external_id AS product_id,
-  title, description, gender, price_text AS price, 'USD' AS currency, 'w' AS country,
+  title, description, gender,
+  CASE k % 8 WHEN 1 THEN 'BIGINT' WHEN 3 THEN 'DECIMAL' WHEN 5 THEN 'OBJECT' WHEN 7 THEN 'ARRAY'
+    ELSE CASE WHEN price_text IS NOT NULL THEN 'STRING' END END AS price_kind,
+  CASE k % 8 WHEN 1 THEN CAST(k % 30 * 100 + 90 AS VARCHAR) WHEN 3 THEN CAST(k % 40 AS VARCHAR) || '.9'
+    WHEN 5 THEN '{{"USD":"20.50","CZK":' || CAST(k AS VARCHAR) || ',"bd":1,"PLN":null,"EUR":"19.0"}}'
+    WHEN 7 THEN '[{{"price":"0","amount":"5","currency":"usd"}},{{"price":0,"value":' || CAST(k AS VARCHAR) || '.25,"curr":"czk"}},{{"value":1}}]'
+    ELSE price_text END AS price,
+  CASE k % 5 WHEN 1 THEN 'BIGINT' WHEN 2 THEN 'STRING' WHEN 3 THEN 'OBJECT' WHEN 4 THEN 'BIGINT' END AS sale_kind,
+  CASE k % 5 WHEN 1 THEN '1999' WHEN 2 THEN '9,99' WHEN 3 THEN '{{"EUR":5,"usd":"4.50"}}' WHEN 4 THEN '0' END AS sale_raw,
+  CASE k % 7 WHEN 1 THEN 'ARRAY' WHEN 2 THEN 'ARRAY' WHEN 4 THEN 'ARRAY' END AS sizes_kind,
+  CASE k % 7 WHEN 1 THEN '["S"," M ","S",4]' WHEN 2 THEN '[["S","M"],["L"," S "],"XL"]' WHEN 4 THEN '[]' END AS sizes_raw,
+  CASE WHEN k % 3 = 0 THEN 'ecru|navy' END AS color_names,
+  'USD' AS currency, 'w' AS country,
   CASE WHEN image_url IS NOT NULL AND NOT starts_with(image_url, 'data:') AND {S.is_allowed_image('image_url')} THEN image_url END AS image_url,
-  CASE WHEN {truthy(strip('image_url'))} THEN image_url END AS xmedia_urls,
+  nullif(array_to_string({_GALLERY}, '|'), '') AS xmedia_urls,
   seo_keyword, CAST(k AS VARCHAR) AS seo_product_id, CAST(NULL AS VARCHAR) AS product_url, 'Shop' AS brand, k
   FROM items),
 usable AS (SELECT * FROM mapped WHERE {truthy('external_id')} AND {truthy('image_url')})
@@ -166,8 +185,8 @@ usable AS (SELECT * FROM mapped WHERE {truthy('external_id')} AND {truthy('image
 ORACLE["read_feed_items"] = FEEDS + """
 SELECT endpoint_pos, endpoint, page, doc_pos AS item_pos, CAST(k AS VARCHAR) AS item_id, title AS name FROM items"""
 ORACLE["map_fields"] = FEEDS + """
-SELECT endpoint_pos, page, item_pos, external_id, product_id, title, description, gender, price, currency, country,
-  image_url, xmedia_urls, seo_keyword, seo_product_id, product_url, brand FROM mapped"""
+SELECT endpoint_pos, page, item_pos, external_id, product_id, title, description, gender, price_kind, price, currency, country,
+  image_url, xmedia_urls, seo_keyword, seo_product_id, product_url, brand, color_names, sale_kind, sale_raw, sizes_kind, sizes_raw FROM mapped"""
 ORACLE["with_provenance"] = FEEDS + """
 SELECT endpoint_pos, page, doc_pos AS item_pos, 'api' AS meta_source, endpoint AS meta_endpoint FROM items"""
 ORACLE["has_identifier"] = FEEDS + f"""
@@ -178,11 +197,12 @@ ORACLE["ingest_stats"] = FEEDS + f"""
 SELECT endpoint, count(*) AS matched, CAST(count_if({truthy('external_id')}) AS BIGINT) AS with_id,
   CAST(count_if({truthy('external_id')} AND {truthy('image_url')}) AS BIGINT) AS with_image FROM mapped GROUP BY endpoint"""
 ORACLE["fallback_to_pages"] = FEEDS + """,
-ok AS (SELECT DISTINCT endpoint_pos, endpoint FROM usable),
+good AS (SELECT * FROM usable WHERE endpoint_pos % 4 <> 3),
+ok AS (SELECT DISTINCT endpoint_pos, endpoint FROM good),
 docs AS (SELECT DISTINCT endpoint_pos, endpoint FROM raw_products),
 failing_keys AS (SELECT DISTINCT split_part(endpoint, '?', 1) AS page_key FROM docs d
   WHERE NOT EXISTS (SELECT 1 FROM ok o WHERE o.endpoint_pos = d.endpoint_pos AND o.endpoint = d.endpoint))
-SELECT 'feed' AS origin, seo_product_id AS item_id, external_id FROM usable
+SELECT 'feed' AS origin, seo_product_id AS item_id, external_id FROM good
 UNION ALL
 SELECT 'page' AS origin, CAST(k AS VARCHAR) AS item_id, external_id FROM raw_products
 WHERE split_part(endpoint, '?', 1) IN (SELECT page_key FROM failing_keys)"""
@@ -191,7 +211,8 @@ _TPL = lambda x: f"replace({q(CATEGORY_TEMPLATE)}, '{{id}}', CAST({x} AS VARCHAR
 CATDOCS = f"""WITH c AS (SELECT p_partkey AS k, CAST(floor(p_partkey / 50) AS BIGINT) AS doc FROM part),
 cp AS (SELECT k, doc, row_number() OVER (PARTITION BY doc ORDER BY k) - 1 AS pos FROM c)"""
 ORACLE["category_endpoints"] = CATDOCS + f""",
-u AS (SELECT doc, CASE WHEN doc % 5 = 4 THEN 1 ELSE 0 END AS branch, pos,
+u AS (SELECT DISTINCT doc, 1 AS branch, CAST(0 AS BIGINT) AS pos, {_TPL('doc + 1000000')} AS url FROM cp WHERE doc % 5 = 4
+  UNION ALL SELECT doc, CASE WHEN doc % 5 = 4 THEN 1 ELSE 0 END AS branch, CASE WHEN doc % 5 = 4 THEN pos + 1 ELSE pos END,
   CASE WHEN doc % 5 = 4 THEN {_TPL('k')}
        WHEN k % 3 = 0 THEN '{SHOP}/c/' || CAST(k AS VARCHAR)
        WHEN k % 3 = 1 THEN '{SHOP}/u/' || CAST(k AS VARCHAR)
@@ -199,8 +220,9 @@ u AS (SELECT doc, CASE WHEN doc % 5 = 4 THEN 1 ELSE 0 END AS branch, pos,
 SELECT url, doc, branch, pos FROM u
 QUALIFY row_number() OVER (PARTITION BY url ORDER BY doc, branch, pos) = 1"""
 ORACLE["category_ids_recursive"] = CATDOCS + f""",
-w AS (SELECT doc, k FROM cp WHERE doc % 5 = 4 OR k % 3 <> 0)
-SELECT doc, row_number() OVER (PARTITION BY doc ORDER BY k) - 1 AS pos, {_TPL('k')} AS url FROM w"""
+w AS (SELECT doc, k, k AS o FROM cp WHERE doc % 5 = 4 OR k % 3 <> 0
+  UNION ALL SELECT DISTINCT doc, doc + 1000000, -1 FROM cp WHERE doc % 5 = 4)
+SELECT doc, row_number() OVER (PARTITION BY doc ORDER BY o) - 1 AS pos, {_TPL('k')} AS url FROM w"""
 ORACLE["resolve_endpoints"] = RAW + f""",
 cand AS (SELECT source AS site, 'static' AS kind, 0 AS rk, k AS pos, endpoint AS url FROM raw_products
   UNION ALL SELECT source, 'json', 1, k, '{SHOP}/j/' || CAST(k % 24 AS VARCHAR) FROM raw_products WHERE k % 3 <> 0
@@ -397,18 +419,35 @@ QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC)
 # ------------------------------------------------------------- E1 pipeline
 _TEMPLATE = S.SITE["product_url_template"]
 
+# Polymorphic numbers restated (Python float printing: shortest repr, '.0' dropped).
+_F = lambda x: f"regexp_replace(CAST(CAST({x} AS DOUBLE) AS VARCHAR), '\\.0$', '')"
+
+
+def feed_price(cur: str = "'USD'") -> str:
+    """The price of a mapped feed row, by its JSON kind."""
+    return f"""(CASE k % 8
+  WHEN 1 THEN {_F('CASE WHEN k % 30 * 100 + 90 >= 1000 THEN (k % 30 * 100 + 90) / 100.0 ELSE k % 30 * 100 + 90 END')} || {cur}
+  WHEN 3 THEN {_F('k % 40 + 0.9')} || {cur}
+  WHEN 5 THEN '20.50USD,' || CAST(k AS VARCHAR) || 'CZK,19EUR'
+  WHEN 7 THEN '0USD,' || CAST(k AS VARCHAR) || '.25CZK'
+  ELSE {S.format_price_text(strip('price'), cur)} END)"""
+
+
+FEED_SALE = "(CASE k % 5 WHEN 1 THEN '19.99USD' WHEN 2 THEN '9.99USD' WHEN 3 THEN '5EUR,4.50USD' END)"
+FEED_SIZE = "(CASE k % 7 WHEN 1 THEN 'S, M' WHEN 2 THEN 'S, M, L, XL' WHEN 3 THEN 'One size' WHEN 4 THEN '38, 40' END)"
+
 
 def feed_products_ctes(source: str) -> str:
     """CTEs fp, prod, feed_products over the FEEDS chain for a site source."""
     return f""",
-fp AS (SELECT *, {strip('price')} AS price_s FROM usable),
+fp AS (SELECT * FROM usable),
 prod AS (SELECT sha256({q(source + ':')} || external_id) AS id, {q(source)} AS source,
   {S.py_or('title', q(K.DEFAULT_TITLE))} AS title,
   nullif({strip("coalesce(description, '')")}, '') AS description, 'Shop' AS brand, image_url,
   CASE WHEN {truthy('seo_keyword')} THEN replace(replace(replace({q(_TEMPLATE)}, '{{keyword}}', seo_keyword),
     '{{id}}', seo_product_id), '{{discern_id}}', external_id) END AS product_url,
-  false AS second_hand, {S.format_price_text('price_s', "'USD'")} AS price, CAST(NULL AS VARCHAR) AS sale,
-  {S.gender('gender')} AS gender, {S.category('endpoint')} AS category, CAST(NULL AS VARCHAR) AS size,
+  false AS second_hand, {feed_price()} AS price, {FEED_SALE} AS sale,
+  {S.gender('gender')} AS gender, {S.category('endpoint')} AS category, {FEED_SIZE} AS size,
   'merchant_name: Shop country: w' AS metadata_text, endpoint_pos, page, item_pos FROM fp),
 feed_products AS (SELECT * FROM prod WHERE {truthy('price')}
   QUALIFY row_number() OVER (PARTITION BY id ORDER BY endpoint_pos, page, item_pos) = 1)
@@ -417,15 +456,14 @@ feed_products AS (SELECT * FROM prod WHERE {truthy('price')}
 
 ORACLE["feed_run"] = FEEDS + feed_products_ctes(K.DEFAULT_SITE_SOURCE) + f"SELECT {PRODUCT_COLS} FROM feed_products"
 
-# Polymorphic prices restated from part (Python float printing: shortest repr, '.0' dropped).
-_F = lambda x: f"regexp_replace(CAST(CAST({x} AS DOUBLE) AS VARCHAR), '\\.0$', '')"
+# Polymorphic prices restated from part.
 ORACLE["format_price_variants"] = f"""WITH p AS (SELECT p_partkey AS k, p_size, p_retailprice,
   p_size * 100 + p_partkey % 100 AS minor, CASE WHEN p_partkey % 11 = 0 THEN NULL ELSE 'USD' END AS cur FROM part)
 SELECT k, CASE k % 5
   WHEN 0 THEN CASE WHEN cur IS NOT NULL THEN {_F('CASE WHEN minor >= 1000 THEN minor / 100.0 ELSE minor END')} || cur END
   WHEN 1 THEN CASE WHEN cur IS NOT NULL THEN {_F('p_retailprice')} || cur END
-  WHEN 2 THEN {_F('p_size')} || 'USD,' || {_F('p_retailprice')} || 'CZK'
-  WHEN 3 THEN CASE WHEN p_size <> 0 THEN {_F('p_size')} || 'USD,' ELSE '' END || CAST(k % 7 AS VARCHAR) || 'CZK'
+  WHEN 2 THEN {_F('p_size')} || 'USD,' || {_F('p_retailprice')} || 'CZK,' || CAST(p_size AS VARCHAR) || '.50EUR,7GBP'
+  WHEN 3 THEN CASE WHEN p_size <> 0 THEN {_F('p_size')} || 'USD,' ELSE '' END || CAST(k % 7 AS VARCHAR) || 'CZK,0EUR'
   ELSE CASE WHEN cur IS NOT NULL THEN CAST(p_size AS VARCHAR) || '.5' || cur ELSE CAST(p_size AS VARCHAR) || ',5' END
   END AS price FROM p"""
 
@@ -471,7 +509,7 @@ chosen AS (SELECT * FROM with_site WHERE lower(site) IN ('brand#1', 'brand#3', '
   AND site IN (SELECT p_brand FROM part)),
 limited AS (SELECT * FROM chosen QUALIFY row_number() OVER (PARTITION BY site ORDER BY endpoint_pos, page, item_pos) <= 3),
 priced AS (SELECT site, sha256(lower(replace(site, '#', '-')) || ':' || external_id) AS id,
-  {S.format_price_text(strip('price'), "'USD'")} AS price, endpoint_pos, page, item_pos FROM limited),
+  {feed_price()} AS price, endpoint_pos, page, item_pos FROM limited),
 firsts AS (SELECT * FROM priced WHERE {truthy('price')}
   QUALIFY row_number() OVER (PARTITION BY id ORDER BY endpoint_pos, page, item_pos) = 1)
 SELECT site, count(*) AS imported FROM firsts GROUP BY ROLLUP (site)"""

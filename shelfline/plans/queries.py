@@ -148,7 +148,14 @@ def q_normalize_gender(spark, sf):
 
 @query("normalize_size")
 def q_normalize_size(spark, sf):
-    return _k(spark, sf).select("k", N.normalize_size(None, "size_list").alias("size"))
+    """Sizes as text, list, list of lists and JSON value; the first truthy one wins."""
+    from shelfline.sources.feeds import json_field
+    k = F.col("k")
+    r = _k(spark, sf).select("k", "size_list", FX._cycle(k, [None, "", " XL ", None]).alias("size"),
+                             F.when(k % 3 == 0, F.array(F.col("size_list"), F.lit(None).cast("array<string>"), F.array(F.lit(" S "), F.lit("")))).alias("nested"),
+                             json_field(F.when(k % 2 == 0, F.lit('{"s":["36",[" 38 ","36"],40,["40",null]]}')).otherwise(F.lit('{"s":" 42 "}')), "s").alias("json"))
+    return r.select("k", N.normalize_size(("size", "string"), ("nested", "array<array<string>>"), ("size_list", "array<string>"),
+                                          ("json", N.JSON_VALUE)).alias("size"))
 
 
 def _products_k(spark, sf):
@@ -338,9 +345,11 @@ def q_read_feed_items(spark, sf):
 def q_map_fields(spark, sf):
     m = _mapped(spark, sf)
     return m.select("endpoint_pos", "page", "item_pos", "external_id", "product_id", "title",
-                    "description", "gender", "price", "currency", "country", "image_url",
+                    "description", "gender", F.col("price.kind").alias("price_kind"), F.col("price.raw").alias("price"),
+                    "currency", "country", "image_url",
                     F.array_join("_xmedia_urls", "|").alias("xmedia_urls"), "seo_keyword",
-                    "seo_product_id", "product_url", "brand")
+                    "seo_product_id", "product_url", "brand", F.array_join("color_names", "|").alias("color_names"),
+                    *[F.col(f"{c}.{part}").alias(f"{c}_{part}") for c in ("sale", "sizes") for part in ("kind", "raw")])
 
 
 @query("with_provenance")
@@ -383,13 +392,15 @@ def q_union_batches(spark, sf):
 
 @query("fallback_to_pages")
 def q_fallback_to_pages(spark, sf):
-    from shelfline.sources.feeds import fallback_to_pages
+    from shelfline.sources.feeds import (fallback_to_pages, has_identifier, has_required_image, map_fields,
+                                         read_feed_items)
     r = raw(spark, sf)
-    feed_products = _usable(spark, sf).select(
+    items = map_fields(read_feed_items(FX.failing_feeds(r)), FX.FEED_MAPPING, keep=["endpoint_pos", "endpoint"])
+    feed_products = has_required_image(has_identifier(items), FX.FEED_MAPPING).select(
         "endpoint_pos", "endpoint", F.lit("feed").alias("origin"),
         F.col("seo_product_id").alias("item_id"), "external_id")
     pages = FX.page_rows(r).withColumn("origin", F.lit("page"))
-    out = fallback_to_pages(FX.feeds(r), feed_products, pages)
+    out = fallback_to_pages(FX.failing_feeds(r), feed_products, pages)
     return out.select("origin", "item_id", "external_id")
 
 
@@ -755,11 +766,9 @@ def q_feed_run(spark, sf):
 
 @query("format_price_variants")
 def q_format_price_variants(spark, sf):
-    from shelfline.sources.feeds import price_alternates
-    p = price_alternates(FX.price_payloads(FX.table(spark, sf, "part")), "payload")
-    price = N.format_price(text=F.col("price_text"), num=F.col("price_num"), is_int=F.col("price_is_int"),
-                           price_map=F.col("price_map"), price_list=F.col("price_list"), currency=F.col("currency"))
-    return p.select("k", price.alias("price"))
+    from shelfline.sources.feeds import json_field
+    p = FX.price_payloads(FX.table(spark, sf, "part")).withColumn("price", json_field("payload", "price"))
+    return p.select("k", N.format_price("price", "currency").alias("price"))
 
 
 @query("dedup_first_url_key")
@@ -833,12 +842,10 @@ def q_jsonld_urls_cards(spark, sf):
 @query("format_sale_variants")
 def q_format_sale_variants(spark, sf):
     """First truthy of sale / sale_price / salePrice (any JSON kind), formatted."""
-    from shelfline.sources.feeds import price_alternates
-    p = FX.sale_payloads(FX.table(spark, sf, "part"))
-    for field in ("sale", "sale_price", "salePrice"):
-        p = price_alternates(p, "payload", field=field, prefix=field)
-    return p.select("k", N.format_sale_alternates(["sale", "sale_price", "salePrice"], F.col("currency"))
-                    .alias("sale"))
+    from shelfline.sources.feeds import json_field
+    fields = ("sale", "sale_price", "salePrice")
+    p = FX.sale_payloads(FX.table(spark, sf, "part")).withColumns({f: json_field("payload", f) for f in fields})
+    return p.select("k", N.format_sale_values([F.col(f) for f in fields], "currency").alias("sale"))
 
 
 @query("run_sites")

@@ -8,6 +8,9 @@ Catalyst sees one projection and no Python runs per row.
 
 from __future__ import annotations
 
+import json
+
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,9 +19,15 @@ from shelfline.functions import normalize as N
 from shelfline.functions.text import truthy, strip
 from shelfline.functions import urls as U
 from shelfline.operators.dedup import ordered_distinct
-from shelfline.operators.joins import maybe_broadcast
 
-# Item fields the feed layouts carry (all optional).
+_MEDIA = T.ArrayType(T.StructType([
+    T.StructField("url", T.StringType()),
+    T.StructField("path", T.StringType()),
+    T.StructField("extraInfo", T.StructType([T.StructField("deliveryUrl", T.StringType())])),
+]))
+
+# Item fields the feed layouts carry (all optional). Pass another schema for
+# items that carry others.
 ITEM_SCHEMA = T.StructType([
     T.StructField("id", T.StringType()),
     T.StructField("name", T.StringType()),
@@ -36,18 +45,25 @@ ITEM_SCHEMA = T.StructType([
         T.StructField("keyword", T.StringType()),
         T.StructField("jsonLd", T.StructType([T.StructField("description", T.StringType())])),
     ])),
-    T.StructField("xmedia", T.ArrayType(T.StructType([
-        T.StructField("url", T.StringType()),
-        T.StructField("path", T.StringType()),
-        T.StructField("extraInfo", T.StructType([T.StructField("deliveryUrl", T.StringType())])),
-    ]))),
+    T.StructField("xmedia", _MEDIA),
     T.StructField("detail", T.StructType([
         T.StructField("description", T.StringType()),
         T.StructField("longDescription", T.StringType()),
+        T.StructField("colors", T.ArrayType(T.StructType([
+            T.StructField("name", T.StringType()),
+            T.StructField("colorName", T.StringType()),
+            T.StructField("badge", T.ArrayType(T.StringType())),
+            T.StructField("xmedia", _MEDIA),
+        ]))),
     ])),
-    T.StructField("sizes", T.ArrayType(T.StringType())),
+    T.StructField("size", T.StringType()),
+    T.StructField("sizes", T.StringType()),
+    T.StructField("available_sizes", T.StringType()),
 ])
 
+# Fields that may be text, a number, an object or a list: read as JSON values.
+TYPED_FIELDS = ("price", "salePrice", "sale_price", "sale", "size", "sizes", "available_sizes")
+
 
 def document_schema(item: T.StructType = ITEM_SCHEMA) -> T.StructType:
     """The three layouts: groups/elements/components, groups/elements, products."""
@@ -69,28 +85,39 @@ ITEM_PATHS = [
 ]
 
 
-def read_feed_items(feeds: DataFrame, paths=None, schema: T.StructType | None = None,
-                    payload: str = "payload", item_fields=None) -> DataFrame:
+def read_feed_items(feeds: DataFrame, paths=None, schema: T.StructType = ITEM_SCHEMA,
+                    payload: str = "payload", typed=TYPED_FIELDS) -> DataFrame:
     """One row per item at the first path giving a non-empty list, per document.
 
-    Keeps the document's other columns and adds ``item_pos`` and ``item``.
+    ``schema`` is the item's; fields named in ``typed`` become JSON values
+    (``struct<kind, raw>``), for which the document is read a second time with
+    only those fields as variants. Keeps the document's other columns and adds
+    ``item_pos`` and ``item``.
     """
     paths = paths or ITEM_PATHS
-    schema = schema or document_schema()
-    item_fields = item_fields or [f.name for f in ITEM_SCHEMA.fields]
-    doc = F.from_json(F.col(payload), schema)
-    parsed = feeds.withColumn("_doc", doc)
+    typed = [f.name for f in schema.fields if f.name in typed]
     keep = [c for c in feeds.columns if c != payload]
-    cands = []
-    for p in paths:
-        arr = F.expr(f"filter({p}, x -> x IS NOT NULL)")
-        arr = F.transform(arr, lambda x: F.struct(*[x[f].alias(f) for f in item_fields]))
-        cands.append(arr)
-    staged = parsed.select(*keep, *[F.col("_doc").alias("_d")])
-    staged = staged.select(*keep, "_d.*")
-    chosen = F.coalesce(*[F.when(F.size(c) > 0, c) for c in cands])
-    picked = staged.select(*keep, chosen.alias("_items"))
-    out = picked.select(*keep, F.posexplode("_items").alias("item_pos", "item"))
+
+    def with_lists(df: DataFrame, item: T.StructType, name: str) -> DataFrame:
+        """The item lists of every path, as one array column."""
+        read = df.withColumn("_d", F.from_json(F.col(payload), document_schema(item)))
+        fields = f"named_struct({', '.join(f"'{f}', x.{f}" for f in item.names)})"
+        lists = F.array(*[F.expr(f"transform({p}, x -> if(x IS NULL, NULL, {fields}))") for p in paths])
+        return read.select(*df.columns, "_d.*").select(*df.columns, lists.alias(name))
+
+    read = with_lists(feeds, schema, "_items")
+    if typed:
+        read = with_lists(read, T.StructType([T.StructField(f, T.VariantType()) for f in typed]), "_typed")
+    def has_item(x):
+        return x.isNotNull()  # a null item is null in both readings
+
+    chosen = F.array_position(F.transform("_items", lambda x: F.coalesce(F.size(F.filter(x, has_item)) > 0, F.lit(False))), True)
+    picked = read.withColumn("_at", chosen.cast("int")).filter("_at > 0")
+    items = F.element_at("_items", F.col("_at"))
+    if typed:
+        items = F.zip_with(items, F.element_at("_typed", F.col("_at")), lambda x, t: F.when(has_item(x), F.struct(
+            *[(N.json_value(t[f], x[f]) if f in typed else x[f]).alias(f) for f in schema.names])))
+    out = picked.select(*keep, F.posexplode(F.filter(items, has_item)).alias("item_pos", "item"))
     return out.withColumn("item_pos", F.col("item_pos").cast("bigint"))
 
 
@@ -103,6 +130,10 @@ def _expr_types(df: DataFrame, exprs) -> dict:
     return {e: schema.fields[i].dataType for i, e in enumerate(exprs)}
 
 
+def _is_json_value(t: T.DataType) -> bool:
+    return t.simpleString() == N.JSON_VALUE
+
+
 def _as_string_array(t: T.DataType, e: str):
     c = F.expr(e)
     if isinstance(t, T.ArrayType):
@@ -130,7 +161,7 @@ def map_fields(items: DataFrame, mapping: dict, keep=(), image_field: str = "ima
             if dest in merge_fields:
                 needs_type += specs
             elif dest != image_field and len(specs) > 1:
-                needs_type.append(specs[0])
+                needs_type += specs
     types = _expr_types(base, needs_type)
     cols = []
     for dest, spec in mapping.items():
@@ -149,6 +180,8 @@ def map_fields(items: DataFrame, mapping: dict, keep=(), image_field: str = "ima
                                          strict=strict_image or len(specs) == 1).alias(dest))
         elif len(specs) == 1:
             cols.append(F.expr(specs[0]).alias(dest))
+        elif any(_is_json_value(types[s]) for s in specs):
+            cols.append(F.coalesce(*[F.expr(s) if _is_json_value(types[s]) else N.text_value(F.expr(s)) for s in specs]).alias(dest))
         else:
             t = types[specs[0]]
             cols.append(F.coalesce(*[F.expr(s).cast(t) for s in specs]).alias(dest))
@@ -161,7 +194,11 @@ def with_provenance(df: DataFrame, endpoint: str = "endpoint", kind: str = "api"
     out = df.withColumn("_meta", F.struct(F.lit(kind).alias("source"),
                                           F.col(endpoint).alias("endpoint")))
     if raw_item and raw_item in df.columns:
-        out = out.withColumn("_raw_item", F.to_json(F.col(raw_item)))
+        item = F.col(raw_item)
+        kind_of = {f.name: f.dataType for f in df.schema[raw_item].dataType.fields}
+        fields = [(F.when(item[f]["kind"] == "STRING", item[f]["raw"].cast("variant")).otherwise(F.try_parse_json(item[f]["raw"]))
+                   if _is_json_value(t) else item[f]).alias(f) for f, t in kind_of.items()]
+        out = out.withColumn("_raw_item", F.to_json(F.struct(*fields)))
     return out
 
 
@@ -203,23 +240,25 @@ def resolve_endpoints(endpoints: DataFrame, site: str = "site", kind: str = "kin
                       ranks=("static", "json", "html")) -> DataFrame:
     """Per site keep the endpoints of the highest-ranked kind that has any.
 
-    Rank is a grouped ``max`` joined back on (site, rank): one small row per site.
+    Rank is a grouped ``max`` joined back on (site, rank), one small row per
+    site; Spark broadcasts it by its measured size.
     """
     rank_map = F.create_map(*[x for i, r in enumerate(ranks) for x in (F.lit(r), F.lit(i))])
     ranked = endpoints.withColumn("_rank", F.try_element_at(rank_map, F.col(kind)))
     best = ranked.groupBy(site).agg(F.max("_rank").alias("_rank"))
-    return ranked.join(maybe_broadcast(best), [site, "_rank"], "left_semi").drop("_rank")
+    return ranked.join(best, [site, "_rank"], "left_semi").drop("_rank")
 
 
-def category_endpoints(categories: DataFrame, template: str, payload: str = "payload",
-                       doc: str = "doc", url_path: str = "url", id_path: str = "id") -> DataFrame:
+def category_endpoints(categories: DataFrame, template: str, payload: str = "payload", doc: str = "doc",
+                       url_path: str = "url", id_path: str = "id", items_path: str = "$.items") -> DataFrame:
     """Category JSON -> endpoint URLs, per document, in item order.
 
     An item that is an http URL is kept; else its ``url`` if http; else its id
     in the template. A document that yields nothing falls back to every digit
     ``id`` at any depth of the document (``category_ids_recursive``). The
     choice is made per document with array functions, so the documents are
-    read once and exploded once.
+    read once and exploded once; only documents without a direct result reach
+    the id walk. ``items_path`` is a JSON path.
     """
     def picked(raw):
         obj = F.from_json(raw, f"struct<{url_path}: string, {id_path}: string>")
@@ -230,27 +269,50 @@ def category_endpoints(categories: DataFrame, template: str, payload: str = "pay
                 .when(U.is_http(url), url)
                 .when(cid.isNotNull(), F.replace(F.lit(template), F.lit("{id}"), cid)))
 
-    items = F.from_json(F.get_json_object(F.col(payload), "$.items"), "array<string>")
+    items = F.from_json(F.get_json_object(F.col(payload), items_path), "array<string>")
     direct = F.filter(F.transform(items, lambda raw, i: F.struct(F.lit(0).alias("branch"), i.alias("pos"),
                                                                  picked(raw).alias("url"))),
                       lambda x: x["url"].isNotNull())
-    fallback = F.transform(F.regexp_extract_all(F.col(payload), F.lit(RECURSIVE_ID), 1),
+    none = F.coalesce(F.size(direct), F.lit(0)) == 0
+    fallback = F.transform(json_ids(F.when(none, F.col(payload))),
                            lambda cid, i: F.struct(F.lit(1).alias("branch"), i.alias("pos"),
                                                    F.replace(F.lit(template), F.lit("{id}"), cid).alias("url")))
-    chosen = F.when(F.coalesce(F.size(direct), F.lit(0)) > 0, direct).otherwise(fallback)
+    chosen = F.when(~none, direct).otherwise(fallback)
     both = (categories.select(doc, F.explode(chosen).alias("c")).select(doc, "c.*")
             .withColumn("pos", F.col("pos").cast("bigint")))
     return ordered_distinct(both, "url", [doc, "branch", "pos"], group=[])
 
 
-RECURSIVE_ID = r'"id"\s*:\s*"?\s*([0-9]+)\s*"?\s*[,}]'
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def json_ids(payloads: pd.Series) -> pd.Series:
+    """Distinct all-digit ``id`` values at any depth, a node's before its children's; malformed text has none."""
+    def walk(node, found: dict) -> None:
+        if isinstance(node, dict):
+            cid = node.get("id")
+            if isinstance(cid, (int, str)) and str(cid).strip().isdigit():
+                found.setdefault(str(cid).strip())
+            node = node.values()
+        elif not isinstance(node, list):
+            return
+        for child in node:
+            walk(child, found)
+
+    def ids(text):
+        found: dict = {}
+        try:
+            walk(json.loads(text), found)
+        except (TypeError, ValueError, RecursionError):
+            return []
+        return list(found)
+
+    return payloads.map(ids)
 
 
 def category_ids_recursive(docs: DataFrame, template: str, payload: str = "payload",
                            doc: str = "doc") -> DataFrame:
-    """Every all-digit ``id`` anywhere in the JSON text, first-seen order, templated."""
-    ids = F.regexp_extract_all(F.col(payload), F.lit(RECURSIVE_ID), 1)
-    out = docs.select(doc, F.posexplode(ids).alias("pos", "cid")).withColumn("pos", F.col("pos").cast("bigint"))
+    """Every distinct all-digit ``id`` anywhere in the JSON document, in the order
+    of a walk that meets a node before its children, templated."""
+    out = docs.select(doc, F.posexplode(json_ids(F.col(payload))).alias("pos", "cid")).withColumn("pos", F.col("pos").cast("bigint"))
     return out.select(doc, "pos", F.replace(F.lit(template), F.lit("{id}"), F.col("cid")).alias("url"))
 
 
@@ -273,33 +335,11 @@ def fallback_to_pages(feed_docs: DataFrame, feed_products: DataFrame, page_rows:
     failing = feed_docs.select("endpoint_pos", endpoint).join(ok_docs, ["endpoint_pos", endpoint],
                                                               "left_anti")
     keys = failing.select(U.without_query(endpoint).alias(page_key)).distinct()
-    taken = page_rows.join(maybe_broadcast(keys), page_key, "left_semi")
+    taken = page_rows.join(keys, page_key, "left_semi")
     return feed_products.unionByName(taken, allowMissingColumns=True)
 
 
-PRICE_LIST_SCHEMA = ("array<struct<price:string,value:string,amount:string,currency:string,"
-                     "curr:string,code:string>>")
-
-
-def price_alternates(df: DataFrame, payload: str, field: str = "price", prefix: str = "price") -> DataFrame:
-    """Split a polymorphic JSON field into typed alternates (one non-null per row).
-
-    The JSON type comes from a variant (``BIGINT`` vs ``DECIMAL``/``DOUBLE``
-    decides the minor-unit rule); objects and lists are re-read from the raw
-    JSON text so object keys keep their insertion order.
-    """
-    v = F.from_json(F.col(payload), f"struct<{field}: variant>")[field]
-    raw = F.from_json(F.col(payload), f"struct<{field}: string>")[field]
-    kind = F.schema_of_variant(v)
-    staged = df.withColumn("_pk", kind).withColumn("_pv", v).withColumn("_pr", raw)
-    return staged.select(
-        *df.columns,
-        F.when(F.col("_pk") == "STRING", F.expr("variant_get(_pv, '$', 'string')")).alias(f"{prefix}_text"),
-        F.when(F.col("_pk").rlike(r"^(BIGINT|INT|SMALLINT|TINYINT|DECIMAL|DOUBLE|FLOAT)"),
-               F.expr("variant_get(_pv, '$', 'double')")).alias(f"{prefix}_num"),
-        F.col("_pk").rlike(r"^(BIGINT|INT|SMALLINT|TINYINT)$").alias(f"{prefix}_is_int"),
-        F.when(F.col("_pk").startswith("OBJECT"), F.from_json(F.col("_pr"), "map<string,string>"))
-         .alias(f"{prefix}_map"),
-        F.when(F.col("_pk").startswith("ARRAY"), F.from_json(F.col("_pr"), PRICE_LIST_SCHEMA))
-         .alias(f"{prefix}_list"),
-    )
+def json_field(payload, field: str):
+    """A top-level field of a JSON text as a JSON value (see ``normalize``)."""
+    p = F.col(payload) if isinstance(payload, str) else payload
+    return N.json_value(F.from_json(p, f"struct<{field}: variant>")[field], F.from_json(p, f"struct<{field}: string>")[field])

@@ -145,3 +145,44 @@ def test_feed_run_limit_before_gate(spark):
                "currency": "'USD'", "image_url": ["try_element_at(xmedia, 1).url"]}
     got = sorted(r.title for r in feed_products(docs_, {"source": "s"}, mapping, limit=2).collect())
     assert got == ["N1"]  # the limit counts N0 before its blank price is gated out
+
+
+def test_feed_products_carry_typed_prices_sales_sizes_and_colours(spark):
+    """Integers in minor units, object prices, nested sizes and colour galleries reach the product rows."""
+    from shelfline.plans.catalog import feed_products
+    from shelfline.plans.fixtures import FEED_MAPPING, SITE
+    items = [
+        '{"id":"1","seo":{"discernProductId":"A"},"name":"n","price":2990,"salePrice":1999,"sizes":[["S"],["M","S"]],'
+        '"detail":{"colors":[{"name":"red","xmedia":[{"url":"https://i/1-s.jpg","extraInfo":{"deliveryUrl":"https://i/1-e1.jpg"}}]},'
+        '{"xmedia":[{"url":"https://i/2-s.jpg"}]}]}}',
+        '{"id":"2","seo":{"discernProductId":"B"},"name":"n","price":{"USD":20,"CZK":"450.50"},"sale":0,"available_sizes":["38"],"xmedia":[{"url":"https://i/3-s.jpg"}]}',
+        '{"id":"3","seo":{"discernProductId":"C"},"name":"n","price":0,"xmedia":[{"url":"https://i/4-s.jpg"}]}',
+        '{"id":"4","seo":{"discernProductId":"D"},"name":"n","price":null,"xmedia":[{"url":"https://i/5-s.jpg"}]}']
+    docs = spark.createDataFrame([(0, "e", 0, '{"products":[' + ",".join(items) + "]}")], "endpoint_pos int, endpoint string, page int, payload string")
+    got = {r.image_url: r for r in feed_products(docs, SITE, FEED_MAPPING).collect()}
+    assert {u: (r.price, r.sale, r["size"]) for u, r in got.items()} == {
+        "https://i/1-e1.jpg": ("29.9USD", "19.99USD", "S, M"), "https://i/3-s.jpg": ("20USD,450.50CZK", None, "38"), "https://i/4-s.jpg": ("0USD", None, None)}
+    assert got["https://i/1-e1.jpg"].additional_images == ["https://i/1-s.jpg", "https://i/2-s.jpg"]
+
+
+def test_item_schema_by_parameter(spark):
+    from pyspark.sql import types as T
+    schema = T.StructType([T.StructField("sku", T.StringType()), T.StructField("cost", T.StringType())])
+    docs_ = spark.createDataFrame([(0, '{"products":[{"sku":"a","cost":5},null,{"sku":"b","cost":"5"}]}')], "endpoint_pos int, payload string")
+    got = FD.read_feed_items(docs_, schema=schema, typed=("cost",)).collect()
+    assert [(r.item_pos, r.item.sku, r.item.cost.kind, r.item.cost.raw) for r in got] == [(0, "a", "BIGINT", "5"), (1, "b", "STRING", "5")]
+
+
+def test_raw_item_keeps_the_original_values(spark):
+    docs_ = spark.createDataFrame([(0, "e", '{"products":[{"id":"1","price":{"USD":2},"sale":"7"}]}')], "endpoint_pos int, endpoint string, payload string")
+    raw = FD.with_provenance(FD.read_feed_items(docs_)).first()._raw_item
+    import json
+    assert json.loads(raw) == {"id": "1", "price": {"USD": 2}, "sale": "7"}
+
+
+def test_category_ids_meet_a_node_before_its_children(spark):
+    docs_ = spark.createDataFrame([(0, '{"children":[{"id":7},{"id":"7"},{"id":" 8 "}],"id":1,"x":{"id":"z9"}}'), (1, "{bad")], "doc int, payload string")
+    got = FD.category_ids_recursive(docs_, "u{id}").orderBy("pos").collect()
+    assert [r.url for r in got] == ["u1", "u7", "u8"]
+    items = spark.createDataFrame([(0, '{"data":{"list":["http://a",{"id":5}]}}')], "doc int, payload string")
+    assert [r.url for r in FD.category_endpoints(items, "http://u/{id}", items_path="$.data.list").orderBy("pos").collect()] == ["http://a", "http://u/5"]

@@ -28,13 +28,44 @@ def test_format_price_number_minor_units(spark):
 
 def test_format_price_map_and_list(spark):
     df = spark.createDataFrame([('{"USD":20,"CZK":450.0,"x":1,"eur":"12.0"}',), ('{"usd":null}',)], "j string")
-    m = df.select(N.format_price_map(F.from_json("j", "map<string,string>")).alias("p")).collect()
+    m = df.select(N.format_price_map(F.from_json("j", "map<string,variant>")).alias("p")).collect()
     assert [r.p for r in m] == ["20USD,450CZK,12EUR", None]
     lst = spark.createDataFrame(
         [('[{"price":0,"amount":5,"currency":"eur"},{"value":"7.50","code":"czk"}]',), ("[]",)], "j string")
-    schema = "array<struct<price:string,value:string,amount:string,currency:string,curr:string,code:string>>"
-    got = lst.select(N.format_price_list(F.from_json("j", schema)).alias("p")).collect()
-    assert [r.p for r in got] == ["5EUR,7.5CZK", None]
+    got = lst.select(N.format_price_list(F.from_json("j", N.PRICE_LIST)).alias("p")).collect()
+    assert [r.p for r in got] == ["5EUR,7.50CZK", None]
+
+
+def json_values(spark, values):
+    from shelfline.sources.feeds import json_field
+    df = spark.createDataFrame([(i, '{"v":' + v + "}") for i, v in enumerate(values)], "i int, j string")
+    return df.select("i", json_field("j", "v").alias("v")).orderBy("i")
+
+
+def test_format_price_keeps_the_json_kind(spark):
+    """Text stays text inside objects and lists; "0" is a price, 0 is none; integers from 1000 on are minor units."""
+    cases = {'2990': "29.9USD", '2990.0': "2990USD", '19.90': "19.9USD", '"19.90"': "19.90USD", '"20.00"': "20.00USD", '999': "999USD",
+             '{"USD":"20.50","CZK":450}': "20.50USD,450CZK", '{"USD":2990,"eur":"9.0"}': "2990USD,9EUR", '{"dollars":1}': None,
+             '[{"price":"0","amount":"5","currency":"usd"}]': "0USD", '[{"price":0,"amount":"5","currency":"usd"}]': "5USD",
+             '[{"amount":0,"curr":"czk"}]': "0CZK", 'true': "1USD", 'null': None, '""': None, '{}': None, '[]': None,
+             '10000000': "100000USD", '1e16': "1e+16USD", '0.00002': "2e-05USD", '123456789012345678901234': "1.2345678901234568e+21USD"}
+    got = json_values(spark, cases).select(N.format_price("v", F.lit("USD")).alias("p")).collect()
+    assert {c: r.p for c, r in zip(cases, got)} == cases
+    assert json_values(spark, ["5", "true"]).select(N.format_price("v", F.lit(None).cast("string")).alias("p")).collect() == [(None,), (None,)]
+
+
+def test_json_truthiness_and_sale(spark):
+    cases = {'0': False, '0.0': False, '""': False, 'false': False, '{}': False, '[ ]': False, 'null': False, '"0"': True, '1': True, '[0]': True, '{"a":1}': True}
+    got = json_values(spark, cases).select(F.coalesce(N.json_truthy("v"), F.lit(False)).alias("t")).collect()
+    assert {c: r.t for c, r in zip(cases, got)} == cases
+    sale = json_values(spark, ["0", '"7"']).select(N.format_sale_values([F.col("v"), N.text_value(F.lit("8"))], F.lit("USD")).alias("s")).collect()
+    assert [r.s for r in sale] == ["8USD", "7USD"]
+
+
+def test_size_kinds(spark):
+    cases = {'["S"," M ","S",4]': "S, M", '[["S","M"],["L"," S "],"XL"]': "S, M, L, XL", '" One size "': "One size", '[]': None, '[4]': None, '7': None, '[[["deep"]]]': None}
+    got = json_values(spark, cases).select(N.normalize_size(("v", N.JSON_VALUE)).alias("s")).collect()
+    assert {c: r.s for c, r in zip(cases, got)} == cases
 
 
 def test_gender_women_first(spark):
@@ -46,7 +77,7 @@ def test_gender_women_first(spark):
 
 def test_size_and_availability(spark):
     rows = [(["S", "M", "S"],), ([" L ", "", "XL"],), ([""],), ([],), (None,)]
-    assert one(spark, N.normalize_size(None, "s"), rows, "s array<string>") == ["S, M", "L, XL", None, None, None]
+    assert one(spark, N.normalize_size(("s", "array<string>")), rows, "s array<string>") == ["S, M", "L, XL", None, None, None]
     rows = [("In Stock", None), (" sold out ", None), ("preorder", None), ("weird", None), (None, None),
             (None, True), ("in stock", False)]
     got = one(spark, N.normalize_availability("a", "b"), rows, "a string, b boolean")

@@ -74,7 +74,7 @@ def test_price_text_matches_spec(spark, rows):
                 min_size=1, max_size=30))
 def test_gender_and_size_match_spec(spark, rows):
     df = spark.createDataFrame(rows, "g string, s array<string>")
-    got = [tuple(r) for r in df.select(N.normalize_gender("g"), N.normalize_size(None, "s")).collect()]
+    got = [tuple(r) for r in df.select(N.normalize_gender("g"), N.normalize_size(("s", "array<string>"))).collect()]
     assert got == [(py_gender(g), py_size(s)) for g, s in rows]
 
 
