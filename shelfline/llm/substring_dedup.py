@@ -11,9 +11,11 @@ by a window that also starts in a document with a smaller doc_id is removed.
 2. Windows with such an anchor are candidates. Blocks send their distinct
    candidates (128-bit hash, least doc_id in the block) to shards; a shard
    confirms the ones that start in a smaller doc_id of another block.
-3. Each block compiles its confirmed windows, and those that recur within the
-   block, into an Aho-Corasick automaton over words and streams its documents
-   through it to locate every occurrence.
+3. Runs of confirmed windows, and of those that recur within the block, are
+   the block's repeated passages. It compiles them into an Aho-Corasick
+   automaton and streams all its documents through it to locate every
+   occurrence. Words are spelled in a small alphabet, since the automaton
+   searches a node's branches one by one.
 
 A passage that stands everywhere is one entry per block and shard, so no
 group, document pair or posting list is ever gathered whole.
@@ -193,53 +195,79 @@ def _earlier_windows(rows: pa.Table) -> pa.Table:
     return pa.Table.from_pylist(out, _ANSWER)
 
 
-def _automaton(docs: pa.Table, answers: pa.Table, window: int, gram: int) -> tuple[ahocorasick.Automaton | None, dict[bytes, int]]:
-    """Automaton over word numbers: a window's value is the least doc_id it is known to start in."""
-    earlier = set()
-    for raw, kind in zip(answers["keys"].to_pylist(), answers["kind"].to_pylist()):
-        if kind == 1:
-            earlier.update(raw[i:i + 16] for i in range(0, len(raw), 16))
-    found: dict[bytes, list] = {}
-    for t, starts, owners in _candidates(docs, answers, window, gram):
-        flat, ids = t.flat, t.ids
-        for at, d in zip(starts, owners):
-            words = flat[at:at + window]
-            key = xxhash.xxh3_128_digest(b" ".join(words))
-            if (seen := found.get(key)) is None:
-                found[key] = [ids[d], ids[d], words]
-            else:
-                seen[0], seen[1] = min(seen[0], ids[d]), max(seen[1], ids[d])
-    numbers: dict[bytes, int] = {}
-    automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
-    for key, (low, high, words) in found.items():
-        if key in earlier or low != high:
-            automaton.add_word(tuple([numbers.setdefault(w, len(numbers) + 1) for w in words]), _ELSEWHERE if key in earlier else low)
-    if not len(automaton):
-        return None, numbers
-    automaton.make_automaton()
-    return automaton, numbers
+class Passages:
+    """The automaton of a block. A passage's value is the largest of its windows' least doc_ids: a document above it loses the passage."""
+
+    def __init__(self, docs: pa.Table, answers: pa.Table, window: int, gram: int):
+        earlier = set()
+        for raw, kind in zip(answers["keys"].to_pylist(), answers["kind"].to_pylist()):
+            if kind == 1:
+                earlier.update(raw[i:i + 16] for i in range(0, len(raw), 16))
+        least: dict[bytes, int] = dict.fromkeys(earlier, _ELSEWHERE)
+        found = []
+        for t, starts, owners in _candidates(docs, answers, window, gram):
+            flat, keys = t.flat, []
+            for at, d in zip(starts, owners):
+                key = xxhash.xxh3_128_digest(b" ".join(flat[at:at + window]))
+                if t.ids[d] < least.get(key, _NO_ID + 1):
+                    least[key] = t.ids[d]
+                keys.append(key)
+            found.append((t, starts, owners, keys))
+        passages: dict[tuple[bytes, ...], int] = {}
+        for t, starts, owners, keys in found:
+            first = last = doc = -1
+            most = _ELSEWHERE
+            for at, d, key in chain(zip(starts, owners, keys), [(-1, -1, b"")]):
+                low = least.get(key, _NO_ID)
+                later = d >= 0 and low < t.ids[d]
+                if first >= 0 and not (later and d == doc and at == last + 1):
+                    passages[tuple(t.flat[first:last + window])] = most
+                    first = -1
+                if later:
+                    if first < 0:
+                        first, doc, most = at, d, low
+                    last, most = at, max(most, low)
+        words = {w for p in passages for w in p}
+        self.width = 1
+        while 64 ** self.width < len(words) + 1:
+            self.width += 1
+        self.spelling = {w: "".join(chr(48 + (i >> 6 * k & 63)) for k in range(self.width)) for i, w in enumerate(sorted(words))}
+        self.unknown = "\0" * self.width
+        self.automaton = ahocorasick.Automaton() if passages else None
+        for p, most in passages.items():
+            self.automaton.add_word("".join([self.spelling[w] for w in p]), (len(p), most))
+        if passages:
+            self.automaton.make_automaton()
+
+    def covered(self, doc_id: int | None, words: list[bytes]) -> np.ndarray | None:
+        """Which words the document loses."""
+        if self.automaton is None:
+            return None
+        doc_id = _NO_ID if doc_id is None else doc_id
+        get, unknown, width = self.spelling.get, self.unknown, self.width
+        hits = [(end // width + 1, n) for end, (n, most) in self.automaton.iter("".join([get(w, unknown) for w in words]))
+                if most < doc_id and end % width == width - 1]
+        if not hits:
+            return None
+        ends, n = np.array(hits).T
+        edge = np.zeros(len(words) + 1, np.int64)
+        np.add.at(edge, ends - n, 1)
+        np.add.at(edge, ends, -1)
+        return np.cumsum(edge[:-1]) > 0
 
 
 def _remove(names: list[str], window: int, gram: int):
     def remove(docs: pa.Table, answers: pa.Table) -> pa.Table:
-        automaton, numbers = _automaton(docs, answers, window, gram)
+        passages = Passages(docs, answers, window, gram)
         texts, n_words, n_removed = [], [], []
         for d, text in zip(docs["doc_id"].to_pylist(), docs["text"].cast(pa.binary()).to_pylist()):
             words = (text or b"").split()
-            removed = 0
             n_words.append(len(words))
-            if automaton is not None and len(words) >= window:
-                d = _NO_ID if d is None else d
-                ends = [end for end, low in automaton.iter(tuple([numbers.get(w, 0) for w in words])) if low < d]
-                if ends:
-                    edge = np.zeros(len(words) + 1, np.int64)
-                    np.add.at(edge, np.array(ends) - window + 1, 1)
-                    np.add.at(edge, np.array(ends) + 1, -1)
-                    covered = np.cumsum(edge[:-1]) > 0
-                    removed = int(covered.sum())
-                    words = [w for w, gone in zip(words, covered.tolist()) if not gone]
+            lost = passages.covered(d, words) if len(words) >= window else None
+            if lost is not None:
+                words = [w for w, gone in zip(words, lost.tolist()) if not gone]
             texts.append(b" ".join(words))
-            n_removed.append(removed)
+            n_removed.append(n_words[-1] - len(words))
         added = [pa.array(texts, pa.binary()).cast(pa.string()), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64())]
         return pa.Table.from_arrays([*[docs[c] for c in names], *added], names=[*names, *[f.name for f in ADDED]])
     return remove
