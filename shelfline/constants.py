@@ -83,7 +83,5 @@ DEFAULT_TITLE = "Unknown title"
 FALLBACK_INFO_TEXT = "product"
 EMBEDDING_DIM = 768
 IVF_LISTS = 100
-MAX_SITEMAP_DEPTH = 3
-MAX_CATEGORY_PAGES = 10
 EMBEDDED_JSON_KEYS = ["products", "items", "productList", "data", "results",
                       "productGroups", "bundleProductSummaries"]

@@ -3,9 +3,9 @@
 Arrival order is explicit: the reference processed lists in order, so every
 input carries order columns (e.g. ``endpoint_pos, item_pos``).
 
-Skew: "first row per key" is a ``min_by`` aggregate, not a window. Hash
-aggregation combines map-side, so a key holding a third of all rows is
-reduced to one row per map task before the shuffle.
+Skew: "first row per key" is ``row_number() = 1``, which Spark plans with a
+partial group limit: a key holding a third of all rows is reduced to one row
+per task before the shuffle.
 """
 
 from __future__ import annotations
@@ -13,32 +13,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfline import constants as K
-from shelfline.operators.joins import maybe_broadcast
-
 
 def _as_list(x):
     return [x] if isinstance(x, str) else list(x)
 
 
+def _ranked(df: DataFrame, key, order) -> DataFrame:
+    n = "_n"
+    while n in df.columns:
+        n += "_"
+    rank = F.row_number().over(Window.partitionBy(*_as_list(key)).orderBy(*order))
+    return df.withColumn(n, rank).filter(F.col(n) == 1).drop(n)
+
+
 def dedup_first(df: DataFrame, key="id", order=("endpoint_pos", "item_pos")) -> DataFrame:
-    """First row per key in arrival order (map-side combined)."""
-    key, order = _as_list(key), _as_list(order)
-    rest = [c for c in df.columns if c not in key]
-    picked = (df.groupBy(*key)
-              .agg(F.min_by(F.struct(*[F.col(c) for c in rest]),
-                            F.struct(*[F.col(c) for c in order])).alias("_row")))
-    return picked.select(*key, *[F.col(f"_row.{c}").alias(c) for c in rest])
+    """First row per key in arrival order."""
+    return _ranked(df, key, [F.col(c).asc() for c in _as_list(order)])
 
 
 def dedup_last(df: DataFrame, key="id", order=("endpoint_pos", "item_pos")) -> DataFrame:
-    """Last value per key in arrival order (``max_by``, map-side combined)."""
-    key, order = _as_list(key), _as_list(order)
-    rest = [c for c in df.columns if c not in key]
-    picked = (df.groupBy(*key)
-              .agg(F.max_by(F.struct(*[F.col(c) for c in rest]),
-                            F.struct(*[F.col(c) for c in order])).alias("_row")))
-    return picked.select(*key, *[F.col(f"_row.{c}").alias(c) for c in rest])
+    """Last row per key in arrival order."""
+    return _ranked(df, key, [F.col(c).desc() for c in _as_list(order)])
 
 
 def ordered_distinct(df: DataFrame, value: str = "url", order=("pos",),
@@ -71,15 +66,16 @@ def dedup_stats(df: DataFrame, key: str = "id") -> DataFrame:
 
 
 def take_until_empty_page(pages: DataFrame, site: str = "site", page: str = "page",
-                          n_items: str = "n_items", max_page: int = K.MAX_CATEGORY_PAGES) -> DataFrame:
-    """Keep pages before the first page with no items, and at most ``max_page``.
+                          n_items: str = "n_items", max_page: int | None = None) -> DataFrame:
+    """Keep pages before the first page with no items, and up to ``max_page`` if given.
 
     The first empty page per site is a grouped ``min``; joining it back is a
     join against one row per site.
     """
     stop = (pages.filter(F.col(n_items) == 0).groupBy(site)
             .agg(F.min(page).alias("_stop")))
-    # One row per site: broadcast when proven small, else AQE splits a hot site.
-    out = pages.join(maybe_broadcast(stop), site, "left")
-    keep = (F.col(page) <= max_page) & (F.col("_stop").isNull() | (F.col(page) < F.col("_stop")))
-    return out.filter(keep).drop("_stop")
+    # One row per site: Spark broadcasts it by its size, else AQE splits a hot site.
+    keep = F.col("_stop").isNull() | (F.col(page) < F.col("_stop"))
+    if max_page is not None:
+        keep = keep & (F.col(page) <= max_page)
+    return pages.join(stop, site, "left").filter(keep).drop("_stop")

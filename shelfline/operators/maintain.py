@@ -5,11 +5,10 @@ Parquet has no MERGE, so an upsert produces a new snapshot:
     new = (target rows whose id is not in the batch)
         ∪ (batch rows, with columns the batch lacks taken from the target)
 
-Both halves are joins against the batch's ids. When the batch is proven
-small it is broadcast and the large target is never shuffled; otherwise the
-two halves come from one full outer join on ``id`` (one shuffle per side,
-AQE handles skew). Persisted tables apply these per partition through
-``shelfline.sources.table.BucketedTable``.
+Every operator is one lazy plan of the same shape whatever the sizes: equi-joins
+against the batch's ids, which Spark broadcasts or shuffles by their measured
+bytes (AQE splits skewed keys). No job runs while a plan is built. Persisted
+tables apply these per partition through ``shelfline.sources.table.BucketedTable``.
 """
 
 from __future__ import annotations
@@ -19,8 +18,7 @@ from pyspark.sql import functions as F
 
 from shelfline import constants as K
 from shelfline.functions.text import truthy
-from shelfline.operators.joins import (bounded_rows, maybe_broadcast, BROADCAST_MAX_ROWS,
-                                      BROADCAST_MAX_WIDE_ROWS)
+from shelfline.operators.dedup import dedup_first
 
 
 def categories_table(spark) -> DataFrame:
@@ -38,107 +36,69 @@ def category_lookup(df: DataFrame, categories: DataFrame, endpoint: str = "endpo
     dim = categories.select(F.col("category_id").alias("_cid"), F.col("category").alias("_cname"))
     keyed = df.withColumn("_cid", F.regexp_extract(F.coalesce(F.col(endpoint), F.lit("")),
                                                    r"/category/(\d+)/", 1))
-    joined = keyed.join(maybe_broadcast(dim), "_cid", "left")
+    joined = keyed.join(dim, "_cid", "left")
     return (joined.withColumn(out, F.coalesce(F.col("_cname"), F.lit(K.DEFAULT_CATEGORY)))
             .drop("_cid", "_cname"))
 
 
+def unique_batch(batch: DataFrame, key: str = "id", order=None) -> DataFrame:
+    """Batch rows with a key, one per key: the first in ``order``; without one,
+    equal keys are told apart by a hash of the row, so reruns agree."""
+    named = batch.filter(truthy(F.col(key).cast("string")))
+    if order:
+        order = [order] if isinstance(order, str) else list(order)
+        return dedup_first(named, key, order).drop(*order)
+    return dedup_first(named.withColumn("_h", F.xxhash64(F.to_json(F.struct(*batch.columns)))), key, "_h").drop("_h")
+
+
 def upsert_products(target: DataFrame, batch: DataFrame, key: str = "id",
-                    drop=("embedding",), order=None,
-                    max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+                    drop=("embedding",), order=None) -> DataFrame:
     """Insert-or-update by ``key``.
 
-    With ``order``, the batch is first reduced to its first row per key in
-    arrival order. Updated rows take *every* column the batch has, nulls
-    included; columns the batch lacks keep the target's value (null for
-    inserts). A bounded batch is broadcast and the target streamed, never
-    shuffled; an unbounded one meets the target in one full outer join.
+    The batch is first reduced to one row per key (``unique_batch``). Updated
+    rows take *every* column the batch has, nulls included; columns the batch
+    lacks keep the target's value (null for inserts).
     """
-    if order:
-        from shelfline.operators.dedup import dedup_first
-        batch = dedup_first(batch, key, order).drop(*order)
+    batch = unique_batch(batch, key, order)
     batch = batch.drop(*[c for c in drop if c in batch.columns])
-    cols = list(dict.fromkeys(target.columns + [c for c in batch.columns if c not in target.columns]))
-    # Semi/anti joins ignore duplicate ids, so the batch ids need no distinct.
+    cols = list(dict.fromkeys(target.columns + batch.columns))
     ids = batch.select(key)
-    small = bounded_rows(ids, max_broadcast_rows)
-    if not small:
-        return _upsert_full_outer(target, batch, key, cols)
-    side = F.broadcast(ids)
-    kept = target.join(side, key, "left_anti")
-    lacking = [c for c in target.columns if c not in batch.columns and c != key]
+    kept = target.join(ids, key, "left_anti")
+    lacking = [c for c in target.columns if c not in batch.columns]
+    updated = batch
     if lacking:
-        # Old values of the updated rows only: at most one row per batch id,
-        # but as wide as the columns the batch lacks, hence the tighter bound.
-        old = target.join(side, key, "left_semi").select(key, *lacking)
-        wide_small = small and bounded_rows(ids, min(max_broadcast_rows, BROADCAST_MAX_WIDE_ROWS))
-        updated = batch.join(F.broadcast(old) if wide_small else old, key, "left")
-    else:
-        updated = batch
+        # Old values of the updated rows only, one row per id.
+        old = target.join(ids, key, "left_semi").select(key, *lacking).dropDuplicates([key])
+        updated = batch.join(old, key, "left")
     for c in cols:
         if c not in kept.columns:
             kept = kept.withColumn(c, F.lit(None).cast(batch.schema[c].dataType))
-        if c not in updated.columns:
-            updated = updated.withColumn(c, F.lit(None).cast(target.schema[c].dataType))
     return kept.select(*cols).unionByName(updated.select(*cols))
 
 
-def _upsert_full_outer(target: DataFrame, batch: DataFrame, key: str, cols) -> DataFrame:
-    """Upsert as one full outer join on the key (one shuffle of each side)."""
-    b = batch.select(*[F.col(c).alias(f"_b_{c}") for c in batch.columns]).withColumn("_in_b", F.lit(True))
-    j = target.join(b, target[key] == b[f"_b_{key}"], "full_outer")
-    out = []
-    for c in cols:
-        if c == key:
-            e = F.coalesce(target[key], F.col(f"_b_{key}"))
-        elif c in batch.columns:
-            old = target[c] if c in target.columns else F.lit(None).cast(batch.schema[c].dataType)
-            e = F.when(F.col("_in_b").isNotNull(), F.col(f"_b_{c}")).otherwise(old)
-        else:
-            e = target[c]
-        out.append(e.alias(c))
-    return j.select(*out)
-
-
-def prune_missing(target: DataFrame, current_ids: DataFrame, source: str, key: str = "id",
-                  max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def prune_missing(target: DataFrame, current_ids: DataFrame, source: str, key: str = "id") -> DataFrame:
     """Delete rows of ``source`` whose id is not in ``current_ids``.
 
-    An empty id set deletes nothing; other sources are untouched. With a
-    bounded id set this is one pass over the target (a broadcast left join
-    and a filter); otherwise only the source's rows meet the shuffled ids.
-    """
-    ids = current_ids.select(key)
-    if ids.limit(1).count() == 0:
-        return target
-    other = (F.col("source") != source) | F.col("source").isNull()
-    if bounded_rows(ids, max_broadcast_rows):
-        flagged = F.broadcast(ids.withColumn("_seen", F.lit(True)).dropDuplicates([key]))
-        joined = target.join(flagged, key, "left")
-        return joined.filter(other | F.col("_seen").isNotNull()).select(*target.columns)
-    in_source = target.filter(F.col("source") == source)
-    return target.filter(other).unionByName(in_source.join(ids, key, "left_semi"))
-
-
-def inserted_rows(target: DataFrame, batch: DataFrame, key: str = "id",
-                  max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Batch rows whose key the target does not have.
-
-    With a bounded batch, the target's keys meet the broadcast batch ids in a
-    semi-join (the target is streamed, never shuffled) and the batch is then
-    anti-joined with those few matches; otherwise a plain anti-join.
+    An empty id set deletes nothing; other sources are untouched. Both are
+    decided inside the plan: ``_any`` is one row if there is an id at all, and
+    meets the target on its source.
     """
-    ids = batch.select(key)
-    if bounded_rows(ids, max_broadcast_rows):
-        present = target.select(key).join(F.broadcast(ids), key, "left_semi")
-        return batch.join(F.broadcast(present), key, "left_anti")
+    ids = current_ids.select(key).distinct().withColumn("_seen", F.lit(True))
+    any_id = current_ids.select(F.lit(source).alias("source"), F.lit(True).alias("_any")).limit(1)
+    joined = target.join(any_id, "source", "left").join(ids, key, "left")
+    return joined.filter(F.col("_any").isNull() | F.col("_seen").isNotNull()).select(*target.columns)
+
+
+def inserted_rows(target: DataFrame, batch: DataFrame, key: str = "id") -> DataFrame:
+    """Batch rows whose key the target does not have."""
     return batch.join(target.select(key), key, "left_anti")
 
 
 def pending_embeddings(target: DataFrame, batch: DataFrame, key: str = "id",
                        vector: str = "image_embedding", image: str = "image_url") -> DataFrame:
     """Rows the batch inserts (not in target) that carry no vector: (id, image_url)."""
-    return inserted_rows(target, batch, key).filter(F.col(vector).isNull()).select(key, image)
+    fresh = inserted_rows(target, unique_batch(batch, key), key)
+    return fresh.filter(F.col(vector).isNull()).select(key, image)
 
 
 def align_columns(*batches: DataFrame, drop=("embedding",)) -> DataFrame:
@@ -158,22 +118,3 @@ def reset_vector_column(df: DataFrame, column: str, dim: int, keep_matching: boo
     if keep_matching:
         return df.withColumn(column, F.when(F.size(column) == dim, F.col(column).cast("array<float>")))
     return df.withColumn(column, F.lit(None).cast("array<float>"))
-
-
-def match_cards_to_embedded(cards: DataFrame, embedded: DataFrame,
-                            fields=("title", "description", "price", "image_url")) -> DataFrame:
-    """Fill card fields from the first embedded product with the same id.
-
-    The first embedded product per (page_id, product_id) is a ``min_by`` over
-    its position (partially aggregated, so a repeated id costs nothing extra);
-    the cards then take it with one left equi-join and fill only the fields
-    they lack.
-    """
-    first = (embedded.groupBy(F.col("page_id"), F.col("product_id").alias("card_id"))
-             .agg(F.min_by(F.struct(*[F.col(f).cast("string").alias(f"_e_{f}") for f in fields]),
-                           F.col("emb_pos")).alias("_m")))
-    out = cards.join(first, ["page_id", "card_id"], "left")
-    for f in fields:
-        base = F.col(f).cast("string") if f in cards.columns else F.lit(None).cast("string")
-        out = out.withColumn(f, F.when(truthy(base), base).otherwise(F.col(f"_m._e_{f}")))
-    return out.drop("_m")

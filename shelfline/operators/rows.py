@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from shelfline import constants as K
 from shelfline.functions import normalize as N
 from shelfline.functions.text import truthy, py_or, strip
-from shelfline.operators.joins import maybe_broadcast
 
 PRODUCT_COLUMNS = ["id", "source", "title", "description", "brand", "image_url",
                    "additional_images", "product_url", "affiliate_url", "second_hand",
@@ -35,12 +34,12 @@ def apply_site_defaults(raw: DataFrame, site=None, sites: DataFrame | None = Non
     mapped null stays null); ``country`` when falsy; ``external_id`` becomes
     ``product_id`` or ``product_url`` when falsy; the URL template is attached.
     ``site`` is one config dict (literals, no join); ``sites`` is a config
-    table joined on ``on`` (broadcast only when proven small).
+    table joined on ``on`` (Spark broadcasts it by its measured size).
     """
     if sites is not None:
         cfg = sites.select(*[F.col(c).alias(f"_site_{c}") if c != on else F.col(c)
                              for c in sites.columns])
-        df = raw.join(maybe_broadcast(cfg), on, "left")
+        df = raw.join(cfg, on, "left")
         val = {c: F.col(f"_site_{c}") for c in sites.columns if c != on}
     else:
         df = raw

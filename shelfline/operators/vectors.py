@@ -1,28 +1,30 @@
 """Vector columns: batch embedding, width checks, exact and IVF cosine top-k.
 
-Scoring is a block product per corpus partition (numpy inside
-``mapInPandas``) against a broadcast query block whose size is checked.
-Rows are scored in bounded chunks and every chunk keeps only its k best
-rows per query (plus rows tied with the k-th), so the final ranking window
-sees about ``k x chunks`` rows per query regardless of skew, and a partial
-WindowGroupLimit trims them again before the exchange.
+Corpus and queries meet by a grouping key (a block of queries, or a cell) and
+a salt that splits the corpus rows of a key into bounded pieces; each piece is
+one block product (numpy on Arrow tables) that passes on its k best rows per
+query, with rows tied with the k-th. Neither side passes through the driver,
+and no group holds more than ``PIECE_ROWS`` corpus rows and ``QUERY_BLOCK``
+queries (exact search) in expectation.
 """
 
 from __future__ import annotations
 
-from typing import Callable, Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+import pyarrow.compute  # noqa: F401
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfline import constants as K
-from shelfline.operators.joins import bounded_rows
 
-MAX_QUERY_BLOCK = 4096  # query vectors broadcast at once
-SIM_CELLS = 1 << 22  # rows x queries scored at once per task (32 MB of doubles)
+QUERY_BLOCK = 1024
+PIECE_ROWS = 16_384
+SIM_CELLS = 1 << 22  # rows x queries scored at once in a task (32 MB of doubles)
 
 
 # ------------------------------------------------------------- embedding
@@ -33,8 +35,18 @@ def embed_column(df: DataFrame, column: str, encoder_factory: Callable[[], Calla
 
     ``encoder_factory()`` returns ``encode(list[str]) -> array (n, dim)``.
     Blank input, an encoder error, or a vector of the wrong width gives null;
-    the row is always kept.
+    the row is always kept. A batch that fails is encoded text by text, so one
+    bad text costs only its own vector.
     """
+    def vectors(encode, texts: list[str]):
+        try:
+            vecs = np.asarray(encode(texts), dtype=np.float32)
+            if vecs.shape == (len(texts), dim):
+                return list(vecs)
+        except Exception:  # noqa: BLE001 - whatever the encoder raises, the row stays
+            pass
+        return [None] if len(texts) == 1 else [v for t in texts for v in vectors(encode, [t])]
+
     @F.pandas_udf(T.ArrayType(T.FloatType()))
     def _embed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         encode = encoder_factory()
@@ -43,13 +55,8 @@ def embed_column(df: DataFrame, column: str, encoder_factory: Callable[[], Calla
             keep = np.flatnonzero((texts.str.strip() != "").to_numpy())
             vals = [None] * len(s)
             if len(keep):
-                try:
-                    vecs = np.asarray(encode([texts.iloc[j] for j in keep]), dtype=np.float32)
-                except Exception:  # noqa: BLE001 - a failed batch leaves nulls
-                    vecs = None
-                if vecs is not None and vecs.ndim == 2 and vecs.shape == (len(keep), dim):
-                    for j, v in zip(keep, vecs):
-                        vals[j] = v
+                for j, v in zip(keep, vectors(encode, [texts.iloc[j] for j in keep])):
+                    vals[j] = v
             yield pd.Series(vals, dtype=object)
 
     return df.withColumn(out, _embed(F.col(column)))
@@ -92,46 +99,32 @@ def _normalise(m: np.ndarray) -> np.ndarray:
     return m / np.where(n == 0, 1.0, n)
 
 
-def _partial_topk(corpus: DataFrame, q_ids, q_mat, k: int, id_col: str, vec_col: str,
-                  q_cells=None, cell_col: str | None = None) -> DataFrame:
-    """Per partition: cosine of every row with every query, k best per query."""
-    spark = corpus.sparkSession
-    q_ids_b = spark.sparkContext.broadcast(np.asarray(q_ids))
-    q_mat_b = spark.sparkContext.broadcast(_normalise(np.asarray(q_mat, dtype=np.float64)))
-    q_cells_b = spark.sparkContext.broadcast(q_cells) if q_cells is not None else None
-    cols = [id_col, vec_col] + ([cell_col] if cell_col else [])
-
-    def score(batches):
-        qi, qm = q_ids_b.value, q_mat_b.value
-        probes = q_cells_b.value if q_cells_b is not None else None
-        step = max(1, SIM_CELLS // max(1, len(qi)))
-        for batch in batches:
-            batch = batch[batch[vec_col].notna()]
-            # Score the batch in row chunks so the similarity block stays bounded.
-            for start in range(0, len(batch), step):
-                pdf = batch.iloc[start:start + step]
-                vecs = np.vstack(pdf[vec_col].to_numpy()).astype(np.float64)
-                ids = pdf[id_col].to_numpy()
-                sims = _normalise(vecs) @ qm.T  # rows x queries
-                if probes is not None:
-                    cells = pdf[cell_col].to_numpy()
-                    mask = np.stack([np.isin(cells, probes[j]) for j in range(len(qi))], axis=1)
-                    sims = np.where(mask, sims, -np.inf)
-                kk = min(k, sims.shape[0])
-                # k-th best score per query; every row at or above it is kept, so
-                # rows tied with the k-th are never dropped arbitrarily.
-                kth = np.partition(sims, sims.shape[0] - kk, axis=0)[sims.shape[0] - kk]
-                rows = []
-                for j in range(len(qi)):
-                    sel = np.flatnonzero((sims[:, j] >= kth[j]) & np.isfinite(sims[:, j]))
-                    rows.append(pd.DataFrame({"query_id": qi[j], id_col: ids[sel], "score": sims[sel, j]}))
-                if rows:
-                    yield pd.concat(rows, ignore_index=True)
-
-    id_type = corpus.schema[id_col].dataType.simpleString()
-    q_type = "bigint" if np.issubdtype(np.asarray(q_ids).dtype, np.integer) else "string"
-    schema = f"query_id {q_type}, {id_col} {id_type}, score double"
-    return corpus.select(*cols).mapInPandas(score, schema)
+def _partial_topk(corpus: DataFrame, queries: DataFrame, k: int, keys: list[str], id_col: str, vec_col: str,
+                  query_id: str, query_vec: str) -> DataFrame:
+    """Rows (query_id, id, score): the k best corpus rows per query and group of ``keys``."""
+    def matrix(column: pa.ChunkedArray) -> np.ndarray:
+        return _normalise(column.combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1))
+
+    def score(rows: pa.Table, asked: pa.Table) -> pa.Table:
+        found = []
+        # Only vectors of one width can be compared.
+        widths = pa.compute.list_value_length(rows[vec_col]).to_numpy()
+        q_widths = pa.compute.list_value_length(asked[query_vec]).to_numpy()
+        for width in np.intersect1d(widths, q_widths):
+            mine, theirs = rows.filter(pa.array(widths == width)), asked.filter(pa.array(q_widths == width))
+            m, q = matrix(mine[vec_col]), matrix(theirs[query_vec])
+            for x in range(0, len(q), max(1, SIM_CELLS // max(1, len(m)))):
+                sims = m @ q[x:x + max(1, SIM_CELLS // max(1, len(m)))].T
+                kk = min(k, len(m))
+                kth = np.partition(sims, len(m) - kk, axis=0)[len(m) - kk]
+                i, j = np.nonzero(sims >= kth)
+                found.append(pa.table({"query_id": theirs[query_id].take(pa.array(j + x)), id_col: mine[id_col].take(pa.array(i)), "score": sims[i, j]}))
+        none = pa.table({"query_id": asked[query_id].slice(0, 0), id_col: rows[id_col].slice(0, 0), "score": pa.array([], pa.float64())})
+        return pa.concat_tables([none, *found])
+
+    schema = T.StructType([T.StructField("query_id", queries.schema[query_id].dataType), T.StructField(id_col, corpus.schema[id_col].dataType),
+                           T.StructField("score", T.DoubleType())])
+    return corpus.groupBy(*keys).cogroup(queries.groupBy(*keys)).applyInArrow(score, schema)
 
 
 def _final_topk(partial: DataFrame, k: int, id_col: str) -> DataFrame:
@@ -140,35 +133,31 @@ def _final_topk(partial: DataFrame, k: int, id_col: str) -> DataFrame:
     return ranked.withColumn("rank", F.col("rank").cast("bigint"))
 
 
-def _query_blocks(queries: DataFrame, query_id: str, query_vec: str):
-    """Yield bounded (ids, matrix) blocks of the query set (exact beyond the bound)."""
-    q = queries.select(query_id, query_vec).filter(F.col(query_vec).isNotNull())
-    if bounded_rows(q, MAX_QUERY_BLOCK):
-        blocks = [q]
-    else:
-        n = q.count()
-        parts = -(-n // MAX_QUERY_BLOCK)
-        keyed = q.withColumn("_blk", F.pmod(F.xxhash64(query_id), F.lit(parts)))
-        blocks = [keyed.filter(F.col("_blk") == b).drop("_blk") for b in range(parts)]
-    for blk in blocks:
-        pdf = blk.toPandas()  # one bounded block of query vectors
-        if pdf.empty:
-            continue
-        yield pdf[query_id].to_numpy(), np.vstack(pdf[query_vec].to_numpy())
+def _usable(v: str) -> Column:
+    return F.coalesce(F.size(v) > 0, F.lit(False))
+
+
+def _parts(n: int, size: int) -> int:
+    return max(1, -(-n // size))
 
 
 def cosine_topk(corpus: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "id",
                 vec_col: str = "embedding", query_id: str = "query_id",
                 query_vec: str = "query_vec", exclude_self: bool = False) -> DataFrame:
-    """Exact cosine top-k of every query over the corpus; null vectors excluded.
+    """Exact cosine top-k of every query over the corpus, as (query_id, id, score, rank).
 
-    Returns (query_id, id, score, rank); ties break on the smaller id.
+    Null and empty vectors are excluded, a query meets only vectors of its own
+    width, and ties break on the smaller id. The queries are dealt into blocks;
+    the corpus goes to every block once.
     """
-    kk = k + 1 if exclude_self else k
-    out = None
-    for ids, mat in _query_blocks(queries, query_id, query_vec):
-        part = _partial_topk(corpus, ids, mat, kk, id_col, vec_col)
-        out = part if out is None else out.unionByName(part)
+    rows = corpus.select(id_col, vec_col).filter(_usable(vec_col))
+    asked = queries.select(query_id, query_vec).filter(_usable(query_vec))
+    blocks, pieces = _parts(asked.count(), QUERY_BLOCK), _parts(rows.count(), PIECE_ROWS)
+    rows = (rows.withColumn("_salt", F.pmod(F.xxhash64(id_col), F.lit(pieces)))
+            .withColumn("_key", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long")))))
+    asked = (asked.withColumn("_key", F.pmod(F.xxhash64(query_id), F.lit(blocks)))
+             .withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(pieces - 1).cast("long")))))
+    out = _partial_topk(rows, asked, k + 1 if exclude_self else k, ["_key", "_salt"], id_col, vec_col, query_id, query_vec)
     if exclude_self:
         out = out.filter(F.col("query_id") != F.col(id_col))
     return _final_topk(out, k, id_col)
@@ -214,10 +203,13 @@ def assign_cells(corpus: DataFrame, centroids: np.ndarray, vec_col: str = "embed
 
 
 def build_ivf_index(corpus: DataFrame, path: str, vec_col: str = "embedding",
-                    lists: int = K.IVF_LISTS, seed: int = 1):
-    """Write the corpus partitioned by cell (so probes prune files). Returns centroids."""
-    cents = train_ivf(corpus, vec_col, lists, seed)
-    assign_cells(corpus, cents, vec_col).write.mode("overwrite").partitionBy("cell").parquet(path)
+                    lists: int = K.IVF_LISTS, seed: int = 1, centroids: np.ndarray | None = None) -> np.ndarray:
+    """Write the corpus partitioned by cell (one file per cell and salt). Returns the centroids, trained unless given."""
+    cents = train_ivf(corpus, vec_col, lists, seed) if centroids is None else centroids
+    celled = assign_cells(corpus, cents, vec_col)
+    pieces = _parts(corpus.count(), len(cents) * PIECE_ROWS * 64)
+    salted = celled.repartition(F.col("cell"), F.floor(F.rand(seed) * pieces))
+    salted.write.mode("overwrite").partitionBy("cell").parquet(path)
     return cents
 
 
@@ -225,28 +217,23 @@ def ivf_topk(index: DataFrame, centroids: np.ndarray, queries: DataFrame, k: int
              nprobe: int = 10, id_col: str = "id", vec_col: str = "embedding",
              query_id: str = "query_id", query_vec: str = "query_vec",
              cell_col: str = "cell") -> DataFrame:
-    """Approximate top-k: each query scores only rows in its ``nprobe`` nearest
-    cells. The probed cell set (at most ``lists`` ints) filters the index scan,
-    which prunes the cell partitions; with all cells probed the result is exact."""
+    """Approximate top-k: each query is compared only with the rows of its
+    ``nprobe`` nearest cells (all of them: exact). Queries and rows meet on the
+    cell; cells of more than ``PIECE_ROWS`` rows are split."""
     cents = _normalise(np.asarray(centroids, dtype=np.float64))
-    out = None
-    for ids, mat in _query_blocks(queries, query_id, query_vec):
-        qn = _normalise(mat.astype(np.float64))
-        near = np.argsort(-(qn @ cents.T), axis=1)[:, :nprobe]
-        probes = [np.asarray(r) for r in near]
-        cells = sorted({int(c) for r in near for c in r})
-        scoped = index.filter(F.col(cell_col).isin(cells))
-        part = _partial_topk(scoped, ids, mat, k, id_col, vec_col, probes, cell_col)
-        out = part if out is None else out.unionByName(part)
-    return _final_topk(out, k, id_col)
+    probe = min(nprobe, len(cents))
 
-
-def label_centroids(df: DataFrame, label: str = "label", vec_col: str = "embedding") -> DataFrame:
-    """Mean vector per label: element-wise average by (label, position)."""
-    exploded = df.filter(F.col(vec_col).isNotNull()).select(
-        label, F.posexplode(F.col(vec_col).cast("array<double>")).alias("i", "x"))
-    means = exploded.groupBy(label, "i").agg(F.avg("x").alias("m"))
-    return (means.groupBy(label)
-            .agg(F.sort_array(F.collect_list(F.struct("i", "m"))).alias("_l"))
-            .select(F.col(label).cast("bigint").alias("query_id"),
-                    F.transform("_l", lambda s: s["m"]).alias("query_vec")))
+    def probed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if len(batch):
+                near = np.argsort(-(_normalise(np.vstack(batch[query_vec].to_numpy()).astype(np.float64)) @ cents.T), axis=1, kind="stable")[:, :probe]
+                yield batch.assign(_cells=[row.tolist() for row in near])
+
+    asked = queries.select(query_id, query_vec).filter(F.size(query_vec) == cents.shape[1])
+    asked = asked.mapInPandas(probed, T.StructType([*asked.schema.fields, T.StructField("_cells", T.ArrayType(T.LongType()))]))
+    asked = asked.select(query_id, query_vec, F.explode("_cells").alias("_key"))
+    rows = index.select(id_col, vec_col, F.col(cell_col).cast("long").alias("_key")).filter(_usable(vec_col))
+    pieces = rows.groupBy("_key").agg(F.ceil(F.count("*") / PIECE_ROWS).alias("_pieces"))  # one row per cell
+    rows = rows.join(pieces, "_key").withColumn("_salt", F.pmod(F.xxhash64(id_col), F.col("_pieces"))).drop("_pieces")
+    asked = asked.join(pieces, "_key").withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_pieces") - 1))).drop("_pieces")
+    return _final_topk(_partial_topk(rows, asked, k, ["_key", "_salt"], id_col, vec_col, query_id, query_vec), k, id_col)

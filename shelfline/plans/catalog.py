@@ -18,6 +18,7 @@ from shelfline.operators import rows as RW
 from shelfline.operators.maintain import upsert_products, prune_missing
 from shelfline.operators.reads import site_totals
 from shelfline.sources import feeds as FD
+from shelfline.sources import pages as PG
 
 ORDER = ["endpoint_pos", "page", "item_pos"]
 
@@ -42,6 +43,38 @@ def feed_products(feeds: DataFrame, site: dict, mapping: dict, limit: int = 0,
     return D.dedup_first(RW.price_gate(rows), "id", order)
 
 
+def card_products(category_pages: DataFrame, site: dict, fields: dict | None = None, limit: int = 0) -> DataFrame:
+    """The page run over category pages: cards filled from embedded JSON -> product rows -> first row per id."""
+    cards = PG.match_cards_to_embedded(category_pages, fields=fields)
+    raw = cards.withColumnRenamed("card_id", "external_id")
+    return _page_tail(raw, site, ["page_id", "card_pos"], limit)
+
+
+def linked_products(category_pages: DataFrame, product_pages: DataFrame, site: dict, fields: dict,
+                    sitemap_urls: DataFrame | None = None, limit: int = 0) -> DataFrame:
+    """The page run over product pages: links of category pages (after the
+    ``sitemap_urls`` (url, ord), if any) -> the pages they name -> page fields
+    -> product rows -> first row per id."""
+    links = PG.page_links(category_pages).select(F.lit(1).alias("src"), F.array(F.col("page_id"), F.col("pos")).alias("at"), F.col("link").alias("url"))
+    if sitemap_urls is not None:
+        links = sitemap_urls.select(F.lit(0).alias("src"), F.col("ord").cast("array<bigint>").alias("at"), "url").unionByName(links)
+    links = D.ordered_distinct(links, "url", ["src", "at"])
+    raw = PG.page_fields(product_pages.join(links, "url"), fields, keep=["src", "at"])
+    pid = F.col("product_id") if "product_id" in raw.columns else F.lit(None).cast("string")
+    raw = raw.withColumn("external_id", F.coalesce(F.nullif(pid, F.lit("")), F.col("url"))).withColumnRenamed("url", "product_url")
+    return _page_tail(raw, site, ["src", "at"], limit)
+
+
+def _page_tail(raw: DataFrame, site: dict, order: list[str], limit: int) -> DataFrame:
+    raw = RW.apply_site_defaults(raw, site=site)
+    if limit:
+        raw = raw.orderBy(*order).limit(limit)
+    if dict(raw.dtypes).get("price") == "double":  # a number, formatted with the currency
+        raw = raw.withColumn("price", F.when(F.col("price").isNotNull(), F.struct(F.lit("DOUBLE").alias("kind"), F.col("price").cast("string").alias("raw"))))
+    rows = RW.to_product_row(raw, keep=order)
+    return D.dedup_first(RW.price_gate(rows), "id", order).drop(*order)
+
+
 def embed_products(products: DataFrame, text_encoder_factory=None, image_encoder_factory=None,
                    dim: int = 768) -> DataFrame:
     """Add ``info_embedding`` (encoder over ``build_info_text``) and

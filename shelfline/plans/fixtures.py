@@ -248,16 +248,21 @@ def maintenance_target(part: DataFrame) -> DataFrame:
 
 def maintenance_batch(part: DataFrame) -> DataFrame:
     """Batch: even k, changed price, no title, a new image_url column, some null
-    vectors, and a legacy ``embedding`` column the upsert must not write."""
+    vectors, and a legacy ``embedding`` column the upsert must not write. Every
+    tenth id comes twice, the later time (``pos`` 1) at another price, and
+    every twentieth a third time without an id."""
     k = F.col("p_partkey")
     vec = F.array((F.col("p_size") + 1).cast("float"), F.col("p_retailprice").cast("float"))
-    return part.filter(k % 2 == 0).select(
-        F.concat(F.lit("P"), k.cast("string")).alias("id"),
+    times = F.when(k % 20 == 0, F.array(F.lit(0), F.lit(1), F.lit(2))).when(k % 10 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    rows = part.filter(k % 2 == 0).withColumn("pos", F.explode(times))
+    return rows.select(
+        F.when(F.col("pos") < 2, F.concat(F.lit("P"), k.cast("string"))).alias("id"),
         F.concat(F.lit("src"), (k % 3).cast("string")).alias("source"),
-        F.concat((F.col("p_size") + 1).cast("string"), F.lit("USD")).alias("price"),
+        F.concat((F.col("p_size") + 1 + 100 * F.col("pos")).cast("string"), F.lit("USD")).alias("price"),
         F.concat(F.lit("https://img.example/"), k.cast("string"), F.lit("-e1.jpg")).alias("image_url"),
         F.when(k % 6 != 0, vec).alias("image_embedding"),
         vec.alias("embedding"),
+        "pos",
     )
 
 
@@ -275,8 +280,11 @@ def card_pages(part: DataFrame) -> DataFrame:
 
     One page per CARDS_PER_PAGE parts (bounded page size). Cards vary the id
     source (data attribute, test id, wishlist test id, link handle), the image
-    (root-relative and disallowed, asset-relative, protocol-relative) and the
-    title (empty for every ninth).
+    (root-relative and disallowed, asset-relative, protocol-relative), the
+    title (empty for every ninth) and the price (missing for every thirteenth),
+    and nest their markup. The embedded products stand in seven scripts, most
+    of them assigned to a long name; every fourteenth has the image that its
+    card lacks. ld+json URLs are escaped.
     """
     k = F.col("p_partkey")
     ks = k.cast("string")
@@ -292,25 +300,43 @@ def card_pages(part: DataFrame) -> DataFrame:
            .otherwise(F.concat(F.lit("//img.example/"), ks, F.lit("-e1.jpg"))))
     title = F.when(k % 9 == 0, F.lit("")).otherwise(F.col("p_name"))
     card = F.concat(F.lit('<div class="card"'), id_attrs, F.lit('><a href="/products/handle-'), ks,
-                    F.lit('?v=1">'), title, F.lit('</a><img src="'), img,
-                    F.lit('"><span class="price">'), price, F.lit("</span></div>"))
-    ld = F.concat(F.lit('{"position":'), ks, F.lit(',"item":{"url":"/products/handle-'), ks, F.lit('"}}'))
+                    F.lit('?v=1"><div><b>'), title, F.lit('</b></div></a><div class="media"><img src="'), img, F.lit('"></div>'),
+                    F.when(k % 13 == 0, F.lit("")).otherwise(F.concat(F.lit('<span class="price"><i>from</i> '), price, F.lit("</span>"))),
+                    F.lit("</div>"))
+    ld = F.concat(F.lit('{"position":'), ks, F.lit(',"item":{"url":"\\/products\\/handle-'), ks, F.lit('?a=1\\u0026b=2"}}'))
     emb = F.concat(F.lit('{"id":"'), ks, F.lit('","name":"Emb '), F.col("p_name"),
                    F.lit('","description":"'), F.col("p_type"), F.lit('","sizes":[{"price":"'),
-                   cents.cast("string"), F.lit('"}]}'))
+                   cents.cast("string"), F.lit('"}]'),
+                   F.when(k % 14 == 0, F.concat(F.lit(',"image":"https://img.example/'), ks, F.lit('-e1.jpg"'))).otherwise(F.lit("")), F.lit("}"))
     page = F.floor(k / CARDS_PER_PAGE).cast("bigint")
     g = (part.select(page.alias("page_id"), k.alias("k"), card.alias("card"), emb.alias("emb"), ld.alias("ld"))
          .groupBy("page_id").agg(F.sort_array(F.collect_list(F.struct("k", "card", "emb", "ld"))).alias("_l")))
     cards = F.array_join(F.transform("_l", lambda x: x["card"]), "")
-    embs = F.array_join(F.transform("_l", lambda x: x["emb"]), ",")
+    pad = "x" * 60
+
+    def script(i: int):
+        embs = F.array_join(F.transform(F.filter("_l", lambda x: x["k"] % 7 == i), lambda x: x["emb"]), ",")
+        head = f'{{"pad":"{pad}{pad}","products":[' if i == 0 else f'window.{pad}State{i} = {{"pad":"{pad}","items":['
+        return F.concat(F.lit(f'<script type="application/json">{head}'), embs, F.lit("]}" + ("" if i == 0 else ";") + "</script>"))
+
+    scripts = F.concat(*[script(i) for i in range(7)])
     lds = F.array_join(F.transform("_l", lambda x: x["ld"]), ",")
     html = F.concat(F.lit('<html><head><script type="application/ld+json">{"@type":"ItemList","itemListElement":['),
-                    lds, F.lit(']}</script></head><body><script type="application/json">{"products":['), embs,
-                    F.lit("]}</script>"), cards, F.lit("</body></html>"))
+                    lds, F.lit("]}</script></head><body>"), scripts, cards, F.lit("</body></html>"))
     return g.select("page_id", F.concat(F.lit(SHOP + "/cards/"), F.col("page_id").cast("string")).alias("url"),
                     html.alias("html"))
 
 
+def product_pages(part: DataFrame) -> DataFrame:
+    """One page per part at the URL its card links to, with title, price and image."""
+    k = F.col("p_partkey")
+    ks = k.cast("string")
+    html = F.concat(F.lit("<html><head><title>"), F.col("p_name"), F.lit('</title></head><body><div class="price">'),
+                    F.when(k % 10 == 0, F.lit("")).otherwise(F.concat(F.col("p_size").cast("string"), F.lit(",50"))),
+                    F.lit('</div><img src="https://img.example/'), ks, F.lit('-e1.jpg"></body></html>'))
+    return part.select(k.alias("page_id"), F.concat(F.lit(SHOP + "/products/handle-"), ks, F.lit("?v=1")).alias("url"), html.alias("html"))
+
+
 # ------------------------------------------------------------ F5 sitemaps
 
 SITEMAP_ROOT = "https://sitemaps.example/root.xml"
@@ -329,12 +355,14 @@ def sitemaps(pages: DataFrame) -> DataFrame:
     lists one index per SITEMAP_INDEX_RANGES x SITEMAP_LEAF_PAGES pages.
     Index 0 also lists the root (a cycle) and a malformed document; index 1
     lists its first leaf twice; every first leaf of a host lists a deeper
-    sitemap that must not be reached; every tenth page adds an image:loc.
+    sitemap, which lists another, which names a page (depth 4); every tenth
+    page adds an image:loc, every seventh stands in CDATA.
     """
     host = F.regexp_extract("url", r"://([^/?#]+)", 1)
     leaf_no = F.floor(F.col("page_id") / SITEMAP_LEAF_PAGES).cast("bigint")
     p = pages.select("page_id", "url", host.alias("host"), leaf_no.alias("leaf_no"))
-    entry = F.concat(F.lit("<url><loc>"), _xml_escape(F.col("url")), F.lit("</loc>"),
+    text = F.when(F.col("page_id") % 7 == 0, F.concat(F.lit("<![CDATA["), F.col("url"), F.lit("]]>"))).otherwise(_xml_escape(F.col("url")))
+    entry = F.concat(F.lit("<url><loc>"), text, F.lit("</loc>"),
                      F.when(F.col("page_id") % 10 == 0,
                             F.concat(F.lit("<image:image><image:loc>https://"), F.col("host"),
                                      F.lit("/img/"), F.col("page_id").cast("string"),
@@ -353,10 +381,14 @@ def sitemaps(pages: DataFrame) -> DataFrame:
         F.concat(F.lit('<?xml version="1.0"?><urlset xmlns:image="http://img">'),
                  F.array_join(F.transform("_l", lambda x: x["entry"]), ""), deep,
                  F.lit("</urlset>")).alias("xml"))
-    deep_docs = p.select("host").distinct().select(
+    hosts = p.select("host").distinct()
+    deep_docs = hosts.select(
         F.concat(F.lit("https://"), F.col("host"), F.lit("/deep.xml")).alias("url"),
-        F.concat(F.lit("<urlset><url><loc>https://"), F.col("host"),
-                 F.lit("/never-reached</loc></url></urlset>")).alias("xml"))
+        F.concat(F.lit("<sitemapindex><sitemap><loc>https://"), F.col("host"),
+                 F.lit("/deeper.xml</loc></sitemap></sitemapindex>")).alias("xml")).unionByName(hosts.select(
+        F.concat(F.lit("https://"), F.col("host"), F.lit("/deeper.xml")).alias("url"),
+        F.concat(F.lit("<urlset><url><loc>\n https://"), F.col("host"),
+                 F.lit("/reached </loc></url></urlset>")).alias("xml")))
     # Index docs: leaf ranges of SITEMAP_INDEX_RANGES leaf numbers, split by host
     # parity, so one index lists at most SITEMAP_INDEX_RANGES x SITEMAP_LEAF_PAGES leaves.
     ix = (F.floor(F.col("leaf_no") / SITEMAP_INDEX_RANGES) * 2 + F.length("host") % 2).cast("bigint")
@@ -393,15 +425,19 @@ def events_with_gaps(events: DataFrame) -> DataFrame:
                          F.when(F.col("event_id") % 5 != 0, F.col("value")).alias("value"))
 
 
+#: Files of one arrival; a stream that takes as many per trigger sees one arrival per micro-batch.
+ARRIVAL_FILES = 2
+
+
 def write_arrivals(rows: DataFrame, folder: str, batches: int = 4, order: str = "event_id") -> None:
     """Append ``rows`` to ``folder`` in ``batches`` ranges of ``order``, one write
-    each, so a file stream sees them arrive in order."""
+    of ``ARRIVAL_FILES`` files each, so a file stream sees them arrive in order."""
     top = rows.agg(F.max(order)).first()[0]  # one scalar
     if top is None:
         return
     chunk = F.floor(F.col(order) * batches / (top + 1))
     for b in range(batches):
-        rows.filter(chunk == b).write.mode("append").parquet(folder)
+        rows.filter(chunk == b).repartition(ARRIVAL_FILES).write.mode("append").parquet(folder)
 
 
 def price_payloads(part: DataFrame) -> DataFrame:
@@ -435,3 +471,12 @@ def sale_payloads(part: DataFrame) -> DataFrame:
                        F.lit(',"salePrice":[{"price":'), size, F.lit(',"currency":"czk"}]}'))
     return part.select(k.alias("k"), payload.alias("payload"),
                        F.when(k % 11 == 0, F.lit(None).cast("string")).otherwise(F.lit("USD")).alias("currency"))
+
+
+def label_centroids(df: DataFrame, label: str = "label", vec_col: str = "embedding") -> DataFrame:
+    """Mean vector per label as (query_id, query_vec)."""
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+    v = array_to_vector(F.col(vec_col).cast("array<double>"))
+    means = df.filter(F.col(vec_col).isNotNull()).groupBy(label).agg(Summarizer.mean(v).alias("m"))
+    return means.select(F.col(label).cast("bigint").alias("query_id"), vector_to_array("m").alias("query_vec"))

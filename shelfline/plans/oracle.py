@@ -258,7 +258,7 @@ UNION ALL
 SELECT 'P' || CAST(p_partkey AS VARCHAR), NULL, NULL, p_name, 'https://img.example/' || CAST(p_partkey AS VARCHAR) || '-s.jpg'
 FROM part WHERE p_partkey % 2 = 1"""
 ORACLE["reset_vector_column"] = """
-SELECT vec_id, label, (embedding IS NULL OR len(embedding) <> 768) AS reset FROM embeddings"""
+SELECT vec_id, label, true AS reset, CASE WHEN len(embedding) = 64 THEN 64 END AS kept_width FROM embeddings"""
 
 # -------------------------------------------------------------- page jobs
 from shelfline.plans.queries import PAGE_FIELDS, SCAN_PATTERN, HTML_TEMPLATE, HTML_ID_REGEX  # noqa: E402
@@ -289,12 +289,6 @@ ORACLE["resolve_url"] = ANCHORS + f"SELECT page_id, pos, href_only AS href, {S.r
 ORACLE["ordered_distinct"] = ANCHORS + """SELECT link, page_id, pos FROM links
 QUALIFY row_number() OVER (PARTITION BY link ORDER BY page_id, pos) = 1"""
 
-_JL = r"regexp_extract_all(html, '(?is)<script[^>]*application/ld\+json[^>]*>(.*?)</script>', 1)"
-ORACLE["jsonld_urls"] = f"""WITH b AS (SELECT page_id, url, flatten(list_transform({_JL},
-  lambda b: regexp_extract_all(b, '"url"\\s*:\\s*"([^"]*)"', 1))) AS found FROM pages),
-u AS (SELECT page_id, url, unnest(found) AS u, generate_subscripts(found, 1) - 1 AS pos FROM b)
-SELECT page_id, pos, {S.resolve_url('u', 'url')} AS link FROM u"""
-
 _ATTR_RX = f"""(?:href|data-href|data-url)=["']([^"']*{SCAN_PATTERN}[^"']*)"""
 _TEXT_RX = f"""https?://[^\\s"']*{SCAN_PATTERN}[^\\s"']*"""
 SCAN = f"""scan_a AS (SELECT page_id, url, unnest(regexp_extract_all(html, {q(_ATTR_RX)}, 1)) AS u,
@@ -326,7 +320,7 @@ ORACLE["take_until_empty_page"] = """WITH c AS (SELECT page_id, regexp_extract(u
   page_id % 12 AS page, len(regexp_extract_all(html, 'href="/[A-Z]', 0)) AS n_items FROM pages),
 s AS (SELECT site, min(page) AS stop FROM c WHERE n_items = 0 GROUP BY site)
 SELECT c.page_id, c.site, c.page, c.n_items FROM c LEFT JOIN s ON c.site = s.site
-WHERE c.page <= 10 AND (s.stop IS NULL OR c.page < s.stop)"""
+WHERE s.stop IS NULL OR c.page < s.stop"""
 
 ORACLE["parse_price_number"] = """SELECT doc_id,
   CAST(nullif(regexp_extract(text, '(\\d+(?:\\.\\d{2})?)', 1), '') AS DOUBLE) AS price FROM documents"""
@@ -341,18 +335,21 @@ cards AS (SELECT page_id, card_pos, k, p_name, p_type, cents,
   '{SHOP}/products/handle-' || CAST(k AS VARCHAR) || '?v=1' AS product_url,
   CASE WHEN k % 7 = 0 THEN NULL WHEN k % 7 = 1 THEN '{SHOP}/cards/assets/' || CAST(k AS VARCHAR) || '-s.jpg'
     ELSE 'https://img.example/' || CAST(k AS VARCHAR) || '-e1.jpg' END AS image_url,
-  CAST(CAST(cents // 100 AS VARCHAR) || '.' || lpad(CAST(cents % 100 AS VARCHAR), 2, '0') AS DOUBLE) AS price,
-  CASE WHEN k % 9 = 0 THEN NULL ELSE p_name END AS title FROM c)
+  CASE WHEN k % 13 <> 0 THEN CAST(CAST(cents // 100 AS VARCHAR) || '.' || lpad(CAST(cents % 100 AS VARCHAR), 2, '0') AS DOUBLE) END AS price,
+  CASE WHEN k % 9 = 0 THEN NULL ELSE p_name END AS title,
+  CASE WHEN k % 14 = 0 THEN 'https://img.example/' || CAST(k AS VARCHAR) || '-e1.jpg' END AS emb_image,
+  k % 5 IN (0, 3, 4) AS has_match FROM c),
+matched AS (SELECT page_id, card_pos, k, card_id, product_url, coalesce(title, CASE WHEN has_match THEN 'Emb ' || p_name END) AS title,
+  CASE WHEN has_match THEN p_type END AS description, coalesce(price, CASE WHEN has_match THEN cents / 100.0::DOUBLE END) AS price,
+  coalesce(image_url, CASE WHEN has_match THEN emb_image END) AS image_url FROM cards)
 """
 ORACLE["extract_cards"] = CARDS + """SELECT page_id, card_pos, card_id, product_url, image_url, price,
   coalesce(title, 'Product ' || card_id) AS title FROM cards WHERE image_url IS NOT NULL"""
-ORACLE["embedded_products"] = CARDS + """SELECT page_id, card_pos AS emb_pos, CAST(k AS VARCHAR) AS product_id,
-  'Emb ' || p_name AS title, p_type AS description, CAST(CAST(cents AS DOUBLE) / 100 AS VARCHAR) AS price,
-  CAST(NULL AS VARCHAR) AS image_url FROM cards"""
-ORACLE["match_cards_to_embedded"] = CARDS + """SELECT page_id, card_pos, card_id,
-  coalesce(title, CASE WHEN k % 5 IN (0, 3, 4) THEN 'Emb ' || p_name END) AS title,
-  CASE WHEN k % 5 IN (0, 3, 4) THEN p_type END AS description, price, image_url
-FROM cards WHERE image_url IS NOT NULL"""
+ORACLE["embedded_products"] = CARDS + """SELECT page_id, k % 7 AS spos, row_number() OVER (PARTITION BY page_id, k % 7 ORDER BY k) - 1 AS ppos,
+  CAST(k AS VARCHAR) AS product_id, 'Emb ' || p_name AS title, p_type AS description,
+  CAST(CAST(cents AS DOUBLE) / 100 AS VARCHAR) AS price, emb_image AS image_url FROM cards"""
+ORACLE["match_cards_to_embedded"] = CARDS + """SELECT page_id, card_pos, card_id, title, description, price, image_url
+FROM matched WHERE image_url IS NOT NULL"""
 
 CARD_INPUTS = f"""WITH ci AS (SELECT p_partkey AS k,
   CASE p_partkey % 4 WHEN 0 THEN '{SHOP}/products/handle-' || CAST(p_partkey AS VARCHAR) || '?v=1'
@@ -384,8 +381,8 @@ ORACLE["absolutize_image_url"] = CARD_INPUTS + f""", a AS (SELECT k, CASE WHEN s
 SELECT k, CASE WHEN {S.is_allowed_image('full_url')} THEN full_url ELSE '' END AS image_url FROM a"""
 
 # The BFS result restated from the fixture's structure: pages and image locs of
-# the leaves, all at depth 2 (root -> index -> leaf); deeper sitemaps are not
-# reached and the malformed document contributes nothing.
+# the leaves at depth 2 (root -> index -> leaf), one page per host two levels
+# below its first leaf; the malformed document contributes nothing.
 ORACLE["expand_sitemaps"] = """WITH p AS (SELECT page_id, url, regexp_extract(url, '://([^/?#]+)', 1) AS host,
   CAST(floor(page_id / 50) AS BIGINT) AS leaf_no FROM pages),
 leaves AS (SELECT DISTINCT host, leaf_no, CAST(floor(leaf_no / 50) AS BIGINT) * 2 + length(host) % 2 AS ix FROM p),
@@ -396,8 +393,12 @@ pp AS (SELECT p.*, row_number() OVER (PARTITION BY host, leaf_no ORDER BY page_i
     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS imgs_before FROM p),
 res AS (SELECT url, [0, rpos, lpos, i + imgs_before] AS ord FROM pp JOIN leaf_pos USING (host, leaf_no)
   UNION ALL SELECT 'https://' || host || '/img/' || CAST(page_id AS VARCHAR) || '.jpg', [0, rpos, lpos, i + imgs_before + 1]
-  FROM pp JOIN leaf_pos USING (host, leaf_no) WHERE page_id % 10 = 0)
-SELECT url, 2 AS depth, array_to_string(min(ord), '.') AS ord FROM res GROUP BY url"""
+  FROM pp JOIN leaf_pos USING (host, leaf_no) WHERE page_id % 10 = 0),
+ends AS (SELECT host, leaf_no, count(*) + sum((page_id % 10 = 0)::INT) AS n FROM pp GROUP BY host, leaf_no
+  QUALIFY leaf_no = min(leaf_no) OVER (PARTITION BY host)),
+deep AS (SELECT 'https://' || host || '/reached' AS url, [0, rpos, lpos, n, 0, 0] AS ord FROM ends JOIN leaf_pos USING (host, leaf_no))
+SELECT url, 2 AS depth, array_to_string(min(ord), '.') AS ord FROM res GROUP BY url
+UNION ALL SELECT url, 4, array_to_string(ord, '.') FROM deep"""
 
 # ----------------------------------------------------------------- vectors
 ORACLE["valid_vectors"] = """WITH b AS (SELECT vec_id, CASE WHEN vec_id % 50 = 0 THEN NULL
@@ -411,11 +412,30 @@ s AS (SELECT qs.query_id, e.vec_id, list_cosine_similarity(qs.qv, e.v) AS score
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
 SELECT query_id, vec_id, round(score, 5) AS score, rank FROM r WHERE rank <= 5"""
 
+ORACLE["ivf_topk"] = """WITH e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+x AS (SELECT label, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM e),
+c AS (SELECT label, i, avg(x) AS m FROM x GROUP BY label, i),
+qs AS (SELECT CAST(label AS BIGINT) AS query_id, list(m ORDER BY i) AS qv FROM c GROUP BY label),
+cell AS (SELECT e.vec_id, e.v, qs.query_id AS cell FROM e, qs
+  QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY list_cosine_similarity(qs.qv, e.v) DESC, qs.query_id) = 1),
+probe AS (SELECT a.query_id, a.qv, b.query_id AS cell FROM qs a, qs b
+  QUALIFY row_number() OVER (PARTITION BY a.query_id ORDER BY list_cosine_similarity(a.qv, b.qv) DESC, b.query_id) <= 4),
+s AS (SELECT query_id, vec_id, list_cosine_similarity(qv, v) AS score FROM probe JOIN cell USING (cell)),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, vec_id, round(score, 5) AS score, rank FROM r WHERE rank <= 5"""
+ORACLE["embed_column"] = "SELECT doc_id, " + ", ".join(
+    f"CASE WHEN trim(text) <> '' THEN CAST(length(text) - length(replace(text, '{c}', '')) AS DOUBLE) END AS {c}" for c in "aeio") + " FROM documents"
+
 # --------------------------------------------------------------- streaming
 ORACLE["stream_upsert"] = """SELECT user_id, event_id, ts, event_type,
   CASE WHEN event_id % 5 <> 0 THEN value END AS value FROM events
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1"""
 
+# Four arrivals, ranges of event_id: the first arrival of a user, its last row, no value.
+ORACLE["stream_pending_embeddings"] = """WITH e AS (SELECT *, CAST(floor(event_id * 4 / (SELECT max(event_id) + 1 FROM events)) AS BIGINT) AS epoch FROM events),
+l AS (SELECT * FROM e QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY epoch, ts DESC, event_id DESC) = 1)
+SELECT user_id, event_id, epoch FROM l WHERE event_id % 5 = 0 OR value IS NULL"""
+
 # ------------------------------------------------------------- E1 pipeline
 _TEMPLATE = S.SITE["product_url_template"]
 
@@ -480,10 +500,13 @@ ORACLE["feed_run_sync"] = (_E1_HEAD + _E1_TAIL.rstrip() + _FEEDS_TAIL.rstrip() +
                            + f"SELECT {PRODUCT_COLS} FROM catalog WHERE source <> 'src1' "
                            + f"UNION ALL SELECT {PRODUCT_COLS} FROM feed_products")
 
-ORACLE["stream_feed_run"] = ORACLE["feed_run"]
+ORACLE["stream_feed_run"] = FEEDS + feed_products_ctes(K.DEFAULT_SITE_SOURCE) + f"""
+SELECT {PRODUCT_COLS} FROM prod WHERE {truthy('price')}
+QUALIFY row_number() OVER (PARTITION BY id ORDER BY floor(endpoint_pos * 4 / (SELECT max(endpoint_pos) + 1 FROM mapped)) DESC,
+  endpoint_pos, page, item_pos) = 1"""
 
-ORACLE["jsonld_urls_cards"] = CARDS + f"""SELECT page_id, card_pos AS pos,
-  '{SHOP}/products/handle-' || CAST(k AS VARCHAR) AS link FROM cards"""
+ORACLE["jsonld_urls"] = CARDS + f"""SELECT page_id, card_pos AS pos,
+  '{SHOP}/products/handle-' || CAST(k AS VARCHAR) || '?a=1&b=2' AS link FROM cards"""
 
 _SYNC = (_E1_HEAD + _E1_TAIL.rstrip() + _FEEDS_TAIL.rstrip() + feed_products_ctes("src1"))
 ORACLE["read_products_table"] = _SYNC + "SELECT id, title, brand FROM catalog WHERE source = 'src2'"
@@ -503,6 +526,23 @@ SELECT k, CASE
   ELSE CASE WHEN p_size <> 0 THEN {_F('p_size')} || 'CZK' END
   END AS sale FROM p"""
 
+def _page_rows(source_cte: str, external_id: str, price: str, description: str, order: str) -> str:
+    return f""",
+rows AS (SELECT sha256('{K.DEFAULT_SITE_SOURCE}:' || {external_id}) AS id, '{K.DEFAULT_SITE_SOURCE}' AS source, title, {description} AS description,
+  CAST(NULL AS VARCHAR) AS brand, image_url, product_url, false AS second_hand, {price} AS price, CAST(NULL AS VARCHAR) AS sale,
+  CAST(NULL AS VARCHAR) AS gender, 'clothing' AS category, CAST(NULL AS VARCHAR) AS size,
+  'merchant_name: Shop country: us' AS metadata_text, {order} AS place FROM {source_cte})
+SELECT {PRODUCT_COLS} FROM rows WHERE price IS NOT NULL QUALIFY row_number() OVER (PARTITION BY id ORDER BY place) = 1"""
+
+
+ORACLE["page_run"] = CARDS + """,
+titled AS (SELECT * REPLACE (coalesce(title, 'Product ' || card_id) AS title) FROM matched WHERE image_url IS NOT NULL)""" + _page_rows(
+    "titled", "card_id", f"{_F('price')} || 'USD'", "description", "[page_id, card_pos]")
+ORACLE["page_run_links"] = f"""WITH pp AS (SELECT p_partkey AS k, p_name AS title, '{SHOP}/products/handle-' || CAST(p_partkey AS VARCHAR) || '?v=1' AS product_url,
+  CASE WHEN p_partkey % 10 <> 0 THEN CAST(p_size AS VARCHAR) || ',50' END AS price_text,
+  'https://img.example/' || CAST(p_partkey AS VARCHAR) || '-e1.jpg' AS image_url FROM part)""" + _page_rows(
+    "pp", "product_url", "price_text", "CAST(NULL AS VARCHAR)", "[k]")
+
 ORACLE["run_sites"] = FEEDS + f""",
 with_site AS (SELECT *, 'Brand#' || CAST(endpoint_pos % 5 + 1 AS VARCHAR) AS site FROM usable),
 chosen AS (SELECT * FROM with_site WHERE lower(site) IN ('brand#1', 'brand#3', 'brand#5')

@@ -448,7 +448,7 @@ def _vec_cols(df, c="image_embedding"):
 def _upserted(spark, sf):
     from shelfline.operators.maintain import upsert_products
     part = FX.table(spark, sf, "part")
-    return upsert_products(FX.maintenance_target(part), FX.maintenance_batch(part))
+    return upsert_products(FX.maintenance_target(part), FX.maintenance_batch(part), order="pos")
 
 
 @query("upsert_products")
@@ -476,7 +476,7 @@ def q_pending_embeddings(spark, sf):
 def q_align_columns(spark, sf):
     from shelfline.operators.maintain import align_columns
     part = FX.table(spark, sf, "part")
-    a = FX.maintenance_batch(part).select("id", "source", "price", "embedding")
+    a = FX.maintenance_batch(part).filter("pos = 0").select("id", "source", "price", "embedding")
     k = F.col("p_partkey")
     b = part.filter(k % 2 == 1).select(F.concat(F.lit("P"), k.cast("string")).alias("id"),
                                        F.col("p_name").alias("title"),
@@ -487,10 +487,11 @@ def q_align_columns(spark, sf):
 
 @query("reset_vector_column")
 def q_reset_vector_column(spark, sf):
+    """Every value goes by default; ``keep_matching`` keeps those of the new width."""
     from shelfline.operators.maintain import reset_vector_column
-    e = FX.table(spark, sf, "embeddings")
-    out = reset_vector_column(e, "embedding", 768, keep_matching=True)
-    return out.select("vec_id", "label", F.col("embedding").isNull().alias("reset"))
+    e = FX.table(spark, sf, "embeddings").withColumn("kept", F.col("embedding"))
+    out = reset_vector_column(reset_vector_column(e, "embedding", 64), "kept", 64, keep_matching=True)
+    return out.select("vec_id", "label", F.col("embedding").isNull().alias("reset"), F.size("kept").alias("kept_width"))
 
 
 # ------------------------------------------------------------- page jobs
@@ -524,8 +525,9 @@ def q_page_links(spark, sf):
 
 @query("jsonld_urls")
 def q_jsonld_urls(spark, sf):
+    """ld+json item-list URLs of the card pages derived from ``part``, escapes decoded."""
     from shelfline.sources.pages import jsonld_urls
-    return jsonld_urls(_pages(spark, sf))
+    return jsonld_urls(_card_pages(spark, sf))
 
 
 @query("product_url_scan")
@@ -585,7 +587,7 @@ def page_card_counts(pages):
 
 @query("take_until_empty_page")
 def q_take_until_empty_page(spark, sf):
-    return D.take_until_empty_page(page_card_counts(_pages(spark, sf)), "site", "page", "n_items", 10)
+    return D.take_until_empty_page(page_card_counts(_pages(spark, sf)), "site", "page", "n_items")
 
 
 def _card_pages(spark, sf):
@@ -606,14 +608,31 @@ def q_embedded_products(spark, sf):
 
 @query("match_cards_to_embedded")
 def q_match_cards_to_embedded(spark, sf):
-    from shelfline.operators.maintain import match_cards_to_embedded
-    from shelfline.sources.pages import extract_cards, embedded_products
-    pages = _card_pages(spark, sf)
-    cards = extract_cards(pages, title_prefix=None)
-    out = match_cards_to_embedded(cards, embedded_products(pages),
-                                  ("title", "description", "price", "image_url"))
-    return out.select("page_id", "card_pos", "card_id", "title", "description",
-                      F.col("price").cast("double").alias("price"), "image_url")
+    from shelfline.sources.pages import match_cards_to_embedded
+    out = match_cards_to_embedded(_card_pages(spark, sf), title_prefix=None)
+    return out.select("page_id", "card_pos", "card_id", "title", "description", "price", "image_url")
+
+
+PRODUCT_PAGE_FIELDS = {
+    "title": r"(?is)<title\b[^>]*>(.*?)</title>",
+    "price": r'(?is)<div class="price"[^>]*>(.*?)</div>',
+    "image_url": r"""(?is)<img\s[^>]*src\s*=\s*["']([^"']*)["']""",
+}
+
+
+@query("page_run")
+def q_page_run(spark, sf):
+    """Category pages -> cards filled from embedded JSON -> product rows."""
+    from shelfline.plans.catalog import card_products
+    return flat_products(card_products(_card_pages(spark, sf), FEED_SITE, {"currency": "'USD'"}))
+
+
+@query("page_run_links")
+def q_page_run_links(spark, sf):
+    """Category pages -> links -> product pages -> product rows."""
+    from shelfline.plans.catalog import linked_products
+    part = FX.table(spark, sf, "part")
+    return flat_products(linked_products(FX.card_pages(part), FX.product_pages(part), FEED_SITE, PRODUCT_PAGE_FIELDS))
 
 
 def _card_inputs(spark, sf):
@@ -695,30 +714,44 @@ def q_valid_vectors(spark, sf):
 
 @query("cosine_topk")
 def q_cosine_topk(spark, sf):
-    from shelfline.operators.vectors import cosine_topk, label_centroids
+    from shelfline.operators.vectors import cosine_topk
     e = _embeddings(spark, sf)
-    out = cosine_topk(e, label_centroids(e), TOPK, id_col="vec_id", vec_col="embedding")
+    out = cosine_topk(e, FX.label_centroids(e), TOPK, id_col="vec_id", vec_col="embedding")
     return out.select("query_id", "vec_id", F.round("score", 5).alias("score"), "rank")
 
 
 @query("ivf_topk")
 def q_ivf_topk(spark, sf):
-    from shelfline.operators.vectors import build_ivf_index, ivf_topk, label_centroids
+    """Cells around the label means (ten, a bounded set), four probed per query."""
+    import numpy as np
+    from shelfline.operators.vectors import build_ivf_index, ivf_topk
     from shelfline.session import shared_dir
     e = _embeddings(spark, sf)
+    means = FX.label_centroids(e)
     path = shared_dir(spark, "ivf-index")
-    cents = build_ivf_index(e.select("vec_id", "embedding"), path, "embedding", lists=20)
-    index = spark.read.parquet(path)
-    out = ivf_topk(index, cents, label_centroids(e), TOPK, nprobe=4, id_col="vec_id")
+    cents = np.array([r["query_vec"] for r in means.orderBy("query_id").collect()])
+    build_ivf_index(e.select("vec_id", "embedding"), path, "embedding", centroids=cents)
+    out = ivf_topk(spark.read.parquet(path), cents, means, TOPK, nprobe=4, id_col="vec_id")
     return out.select("query_id", "vec_id", F.round("score", 5).alias("score"), "rank")
 
 
+def _letter_encoder():
+    """A plain encoder that SQL can restate: counts of four letters; it fails on a batch that holds an '@'."""
+    import numpy as np
+
+    def encode(texts):
+        if len(texts) > 1 and any("@" in t for t in texts):
+            raise ValueError("an address in the batch")
+        return np.array([[t.count(c) for c in "aeio"] for t in texts], dtype=np.float32)
+    return encode
+
+
 @query("embed_column")
 def q_embed_column(spark, sf):
-    from shelfline.operators.vectors import embed_column, hashing_encoder_factory
+    from shelfline.operators.vectors import embed_column
     d = FX.table(spark, sf, "documents").select("doc_id", "text")
-    out = embed_column(d, "text", hashing_encoder_factory(768), "embedding", 768)
-    return out.select("doc_id", F.when(F.col("embedding").isNotNull(), F.size("embedding")).alias("dim"))
+    out = embed_column(d, "text", lambda: _letter_encoder(), "embedding", 4)
+    return out.select("doc_id", *[F.element_at("embedding", i + 1).cast("double").alias(c) for i, c in enumerate("aeio")])
 
 
 # --------------------------------------------------------------- streaming
@@ -726,15 +759,13 @@ def q_embed_column(spark, sf):
 def _run_stream(spark, sf, with_pending=False):
     from shelfline.session import shared_dir
     from shelfline.streaming.upsert import stream_upsert
-    # Arrival files are written from the table as scanned (no spreading), so
-    # each arrival batch stays a few files.
-    ev = FX.events_with_gaps(spark.read.parquet(f"{sf.rstrip('/')}/events.parquet"))
+    ev = FX.events_with_gaps(FX.table(spark, sf, "events"))
     base = shared_dir(spark, "stream")
     FX.write_arrivals(ev, f"{base}/arrivals")
     table = stream_upsert(spark, f"{base}/arrivals", ev.schema, f"{base}/table", f"{base}/ckpt",
                           "user_id", ["ts", "event_id"],
                           pending_dir=f"{base}/pending" if with_pending else None,
-                          vector="value" if with_pending else None, max_files_per_trigger=8,
+                          vector="value" if with_pending else None, max_files_per_trigger=FX.ARRIVAL_FILES,
                           buckets=16)
     return table, base
 
@@ -749,7 +780,7 @@ def q_stream_upsert(spark, sf):
 def q_stream_pending_embeddings(spark, sf):
     from shelfline.streaming.upsert import read_pending
     _, base = _run_stream(spark, sf, with_pending=True)
-    return read_pending(spark, f"{base}/pending").select("user_id", "event_id", "epoch")
+    return read_pending(spark, f"{base}/pending").select("user_id", "event_id", F.col("epoch").cast("bigint").alias("epoch"))
 
 
 # ------------------------------------------------------------- E1 pipeline
@@ -821,24 +852,17 @@ def q_recent_products_table(spark, sf):
 
 @query("stream_feed_run")
 def q_stream_feed_run(spark, sf):
-    """Feed documents streamed in four arrival batches; equals the batch feed run."""
+    """Feed documents streamed in four arrivals, one micro-batch each; a later arrival of an id wins."""
     from shelfline.session import shared_dir
     from shelfline.streaming.upsert import stream_feed_run
     docs = _feeds(spark, sf)
     base = shared_dir(spark, "feed-stream")
     FX.write_arrivals(docs, f"{base}/arrivals", 4, order="endpoint_pos")
     table = stream_feed_run(spark, f"{base}/arrivals", docs.schema, f"{base}/table", f"{base}/ckpt",
-                            FEED_SITE, FX.FEED_MAPPING, buckets=16, max_files_per_trigger=4)
+                            FEED_SITE, FX.FEED_MAPPING, buckets=16, max_files_per_trigger=FX.ARRIVAL_FILES)
     return flat_products(table.read())
 
 
-@query("jsonld_urls_cards")
-def q_jsonld_urls_cards(spark, sf):
-    """ld+json item-list URLs on the card pages derived from ``part``."""
-    from shelfline.sources.pages import jsonld_urls
-    return jsonld_urls(_card_pages(spark, sf))
-
-
 @query("format_sale_variants")
 def q_format_sale_variants(spark, sf):
     """First truthy of sale / sale_price / salePrice (any JSON kind), formatted."""
@@ -864,10 +888,10 @@ def q_run_sites(spark, sf):
 @query("ivf_topk_all_cells")
 def q_ivf_topk_all_cells(spark, sf):
     """IVF search probing every cell: must equal the exact top-k."""
-    from shelfline.operators.vectors import build_ivf_index, ivf_topk, label_centroids
+    from shelfline.operators.vectors import build_ivf_index, ivf_topk
     from shelfline.session import shared_dir
     e = _embeddings(spark, sf)
     path = shared_dir(spark, "ivf-index")
     cents = build_ivf_index(e.select("vec_id", "embedding"), path, "embedding", lists=20)
-    out = ivf_topk(spark.read.parquet(path), cents, label_centroids(e), TOPK, nprobe=20, id_col="vec_id")
+    out = ivf_topk(spark.read.parquet(path), cents, FX.label_centroids(e), TOPK, nprobe=20, id_col="vec_id")
     return out.select("query_id", "vec_id", F.round("score", 5).alias("score"), "rank")

@@ -7,7 +7,6 @@ when it is unset, which happens in local tests.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -26,10 +25,10 @@ def get_spark(app: str = "shelfline", master: str | None = None,
         builder = builder.master(master)
     if driver_memory:
         builder = builder.config("spark.driver.memory", driver_memory)
-    cpus = os.cpu_count() or 8
+    if shuffle_partitions:  # else the cluster's own setting stands
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     builder = (
         builder
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions or cpus))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
@@ -44,15 +43,16 @@ def get_spark(app: str = "shelfline", master: str | None = None,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the cluster's checkpoint folder, creating a local one only if unset."""
+    """The cluster's checkpoint folder; a temporary one only for a ``local`` master."""
     conf = spark.conf.get("spark.checkpoint.dir", None)
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
     if conf:
         spark.sparkContext.setCheckpointDir(conf)
+    elif not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     else:
-        # Local runs only: nothing configured a shared folder.
         local = tempfile.mkdtemp(prefix="shelfline-ckpt-")
         spark.conf.set("spark.checkpoint.dir", local)
         spark.sparkContext.setCheckpointDir(local)

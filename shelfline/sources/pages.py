@@ -42,7 +42,7 @@ def element_regex(tag: str) -> str:
 
 
 def page_fields(pages: DataFrame, fields: dict, url: str = "url", html: str = "html",
-                image_field: str = "image_url") -> DataFrame:
+                image_field: str = "image_url", keep=()) -> DataFrame:
     """One row per page with a text value per field (missing -> '').
 
     ``fields`` maps a name to a regex whose group 1 is the element content (or
@@ -59,7 +59,7 @@ def page_fields(pages: DataFrame, fields: dict, url: str = "url", html: str = "h
             cols.append(F.when(N.is_allowed_image_url(raw), raw).otherwise(F.lit("")).alias(name))
         else:
             cols.append(F.coalesce(node_text(raw), F.lit("")).alias(name))
-    return pages.select("page_id", url, *cols)
+    return pages.select("page_id", url, *keep, *cols)
 
 
 def _attr(tag: Column, name: str) -> Column:
@@ -83,12 +83,20 @@ def page_links(pages: DataFrame, url: str = "url", html: str = "html", anchor: s
     return U.finish_dot_segments(out, "link", "_dots")
 
 
+JSONLD_BLOCK = r"(?is)<script[^>]*application/ld\+json[^>]*>(.*?)</script>"
+JSON_URL = r'"url"\s*:\s*("(?:[^"\\]|\\.)*")'
+
+
+def jsonld_strings(html: Column) -> Column:
+    """The string ``url`` values of a page's ld+json scripts, JSON escapes decoded."""
+    found = F.flatten(F.transform(F.regexp_extract_all(html, F.lit(JSONLD_BLOCK), 1),
+                                  lambda b: F.regexp_extract_all(b, F.lit(JSON_URL), 1)))
+    return F.filter(F.from_json(F.concat(F.lit("["), F.array_join(found, ","), F.lit("]")), "array<string>"), lambda u: u != "")
+
+
 def jsonld_urls(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     """Every string ``url`` inside ld+json scripts, resolved against the page."""
-    blocks = F.regexp_extract_all(
-        F.col(html), F.lit(r"(?is)<script[^>]*application/ld\+json[^>]*>(.*?)</script>"), 1)
-    found = F.flatten(F.transform(blocks, lambda b: F.regexp_extract_all(
-        b, F.lit(r'"url"\s*:\s*"([^"]*)"'), 1)))
+    found = jsonld_strings(F.col(html))
     out = pages.select("page_id", url, F.posexplode(found).alias("pos", "u"))
     out = out.select("page_id", F.col("pos").cast("bigint").alias("pos"),
                      U.join_url(F.col("u"), F.col(url)).alias("link"), U.has_dot_segments("u").alias("_dots"))
@@ -117,10 +125,6 @@ def product_url_scan(pages: DataFrame, pattern: str = r"c0p\d+", url: str = "url
     return U.finish_dot_segments(out, "link", "_dots")
 
 
-JSONLD_BLOCK = r"(?is)<script[^>]*application/ld\+json[^>]*>(.*?)</script>"
-JSON_URL = r'"url"\s*:\s*"([^"]*)"'
-
-
 def category_links(pages: DataFrame, pattern: str = r"c0p\d+", url: str = "url",
                    html: str = "html", anchor: str = ANCHOR) -> DataFrame:
     """Anchors, then ld+json URLs, then the pattern scan; ordered distinct per page.
@@ -132,8 +136,7 @@ def category_links(pages: DataFrame, pattern: str = r"c0p\d+", url: str = "url",
     h = F.col(html)
     attr_rx = rf"""(?:href|data-href|data-url)=["']([^"']*{pattern}[^"']*)"""
     text_rx = rf"""https?://[^\s"']*{pattern}[^\s"']*"""
-    jsonld = F.flatten(F.transform(F.regexp_extract_all(h, F.lit(JSONLD_BLOCK), 1),
-                                   lambda b: F.regexp_extract_all(b, F.lit(JSON_URL), 1)))
+    jsonld = jsonld_strings(h)
     cands = F.concat(_tagged(F.regexp_extract_all(h, F.lit(anchor), 0), src=0, branch=0),
                      _tagged(jsonld, src=1, branch=0),
                      _tagged(F.regexp_extract_all(h, F.lit(attr_rx), 1), src=2, branch=0),
@@ -175,14 +178,9 @@ def html_endpoints(pages: DataFrame, template: str, id_regex: str | None = None,
             cid = F.coalesce(cid, F.nullif(F.regexp_extract(u, id_regex, 1), F.lit("")))
         return cid
 
-    def ids_of_pattern(i: int, rx: str) -> Column:
-        offset = F.lit(i * 1_000_000).cast("bigint")
-        return F.transform(F.regexp_extract_all(h, F.lit(rx), 1),
-                           lambda x, j: F.struct(F.lit(0).alias("src"), (offset + j).alias("pos"),
-                                                 x.alias("raw")))
-
     h = F.col(html)
-    pattern_ids = F.concat(*[ids_of_pattern(i, rx) for i, rx in enumerate(K.HTML_CATEGORY_ID_PATTERNS)])
+    # Position among all pattern matches of the page, pattern by pattern.
+    pattern_ids = _tagged(F.concat(*[F.regexp_extract_all(h, F.lit(rx), 1) for rx in K.HTML_CATEGORY_ID_PATTERNS]), src=0)
     own = F.array(F.struct(F.lit(1).alias("src"), F.lit(0).cast("bigint").alias("pos"),
                            id_of(F.col(url)).alias("raw")))
     anchors = _tagged(F.regexp_extract_all(h, F.lit(ANCHOR), 0), src=2)
@@ -195,8 +193,8 @@ def html_endpoints(pages: DataFrame, template: str, id_regex: str | None = None,
         keep = keep & ((F.col("src") != 2) | F.col("_href").contains(link_filter))
     if "{category_id}" in template:
         keep = keep & F.col("cid").isNotNull()
-    else:
-        keep = keep & ((F.col("src") == 2) | F.col("cid").isNotNull())
+    else:  # without the placeholder only anchors give endpoints
+        keep = keep & (F.col("src") == 2)
     # {path} is the anchor's href, or the page URL for ids found on the page.
     path = F.when(F.col("src") == 2, F.col("_href")).otherwise(F.col(url))
     endpoint = (F.when(F.col("src") == 1, fill(F.col("cid"), path))
@@ -219,7 +217,33 @@ def url_contains_any(df: DataFrame, needles, column: str = "url") -> DataFrame:
 
 # ------------------------------------------------------- cards and JSON
 
-CARD = r'(?is)<div class="card"[^>]*>.*?</div>'
+#: The opening tag of a product container; a card reaches to the next one.
+CARD = r'(?is)<div class="card"[^>]*>'
+
+
+def card_fragments(html: Column, container: str = CARD) -> Column:
+    """The page cut at every container start, whatever is nested inside."""
+    mark = "\u0001"
+    return F.filter(F.split(F.regexp_replace(html, f"({container})", mark + "$1"), mark), lambda x, i: i > 0)
+
+
+def _open_tag(frag: Column) -> Column:
+    return F.regexp_extract(frag, r"^<[a-zA-Z][^>]*>", 0)
+
+
+def _card_url(frag: Column, page_url: Column, fields: dict) -> Column:
+    # Card links are joined to the page URL without collapsing dot segments.
+    if "product_url" in fields:
+        return _spec_column(fields["product_url"], frag, _open_tag(frag))
+    href = F.coalesce(_attr(frag, "href"), _attr(frag, ":href"))
+    return F.when(href.isNotNull(), U.join_url(href, page_url))
+
+
+def _card_id(frag: Column, product_url: Column) -> Column:
+    open_tag = _open_tag(frag)
+    testid = _attr(open_tag, "data-testid")
+    return F.coalesce(_attr(open_tag, "data-product-id"), F.when(testid.isNotNull(), U.card_product_id(testid)),
+                      U.product_handle(product_url))
 
 
 def _spec_column(spec: str, frag: Column, open_tag: Column) -> Column:
@@ -241,64 +265,81 @@ def _spec_column(spec: str, frag: Column, open_tag: Column) -> Column:
     return F.nullif(node_text(F.regexp_extract(frag, s, 1)), F.lit(""))
 
 
+PRICE_SPEC = r'(?is)<span class="price"[^>]*>(.*?)</span>'
+
+
 def extract_cards(pages: DataFrame, container: str = CARD, url: str = "url",
                   html: str = "html", title_prefix: str = "Product ",
                   fields: dict | None = None) -> DataFrame:
     """Product containers on category pages -> card rows.
 
-    id: ``data-product-id``, else a ``productCard-<n>`` testid, else the
+    ``container`` matches the opening tag of a card, which reaches to the next
+    one. id: ``data-product-id``, else a ``productCard-<n>`` testid, else the
     product handle of the link; url from the href; image made absolute and
     kept only if allowed; price = first number of the price element. Cards
     without id or allowed image are dropped; a missing title gets a default.
     ``fields`` adds or overrides text fields by spec (see ``_spec_column``);
     a ``product_url`` spec replaces the href, and its ``/products/`` handle
-    then fills a missing id.
+    then fills a missing id; a ``price`` spec names another price element.
     """
-    fields = dict(fields or {})
-    cards = pages.select("page_id", url, F.posexplode(F.regexp_extract_all(F.col(html), F.lit(container), 0))
-                         .alias("card_pos", "frag"))
-    # Staged projections: every regex over the fragment runs once per card.
-    open_tag = F.regexp_extract(F.col("frag"), r"^<[a-zA-Z][^>]*>", 0)
-    extra = {name: _spec_column(spec, F.col("frag"), open_tag).alias(f"_f_{name}")
-             for name, spec in fields.items()}
-    tags = cards.select(
-        "page_id", url, F.col("card_pos").cast("bigint").alias("card_pos"), *extra.values(),
-        open_tag.alias("_open"),
-        F.coalesce(_attr(F.col("frag"), "href"), _attr(F.col("frag"), ":href")).alias("_href"),
-        F.regexp_extract(F.col("frag"), r"<img\s[^>]*>", 0).alias("_img"),
-        F.regexp_extract(F.col("frag"), r'(?is)<span class="price"[^>]*>(.*?)</span>', 1).alias("_price"),
-        F.regexp_extract(F.col("frag"), r"(?is)<a\s[^>]*>(.*?)</a>", 1).alias("_title"))
-    # Card links are joined to the page URL without collapsing dot segments:
-    # this stage is close to the generated-method size limit.
-    href_url = F.when(F.col("_href").isNotNull(), U.join_url(F.col("_href"), F.col(url)))
-    if "product_url" in fields:
-        href_url = F.col("_f_product_url")
-    attrs = tags.select(
-        "page_id", url, "card_pos", "_price", "_title", *[f"_f_{n}" for n in fields],
-        _attr(F.col("_open"), "data-product-id").alias("_pid"),
-        _attr(F.col("_open"), "data-testid").alias("_testid"),
-        href_url.alias("product_url"),
-        F.coalesce(_attr(F.col("_img"), "src"), _attr(F.col("_img"), "data-src")).alias("_src"))
-    card_id = F.coalesce(F.col("_pid"),
-                         F.when(F.col("_testid").isNotNull(), U.card_product_id(F.col("_testid"))),
-                         U.product_handle(F.col("product_url")))
-    title = F.nullif(node_text(F.col("_title")), F.lit(""))
-    if "title" in fields:
-        title = F.col("_f_title")
-    others = [F.col(f"_f_{n}").alias(n) for n in fields if n not in ("product_url", "title")]
-    out = attrs.select("page_id", "card_pos", card_id.alias("card_id"), "product_url",
-                       U.absolute_image_src(F.col("_src"), F.col(url)).alias("_full"),
-                       N.parse_price_number(node_text(F.col("_price"))).alias("price"),
-                       title.alias("title"), *others)
-    out = out.withColumn("image_url", F.when(N.is_allowed_image_url("_full"), F.col("_full"))
-                         .otherwise(F.lit(""))).drop("_full")
-    out = out.select("page_id", "card_pos", "card_id", "product_url", "image_url", "price", "title",
-                     *[n for n in fields if n not in ("product_url", "title")])
-    out = out.filter(truthy("card_id") & truthy("image_url"))
+    cards = pages.select("page_id", url, F.posexplode(card_fragments(F.col(html), container)).alias("card_pos", "frag"))
+    return _finished(_card_rows(cards, url, dict(fields or {})), title_prefix)
+
+
+def _card_rows(cards: DataFrame, url: str, fields: dict, keep=()) -> DataFrame:
+    """Fragments (page_id, url, card_pos, frag) -> card fields, '' for an image that is not allowed."""
+    frag = F.col("frag")
+    staged = cards.select(
+        "page_id", url, F.col("card_pos").cast("bigint").alias("card_pos"), *keep, "frag",
+        _card_url(frag, F.col(url), fields).alias("product_url"),
+        F.regexp_extract(frag, r"<img\s[^>]*>", 0).alias("_img"),
+        N.parse_price_number(_spec_column(fields.get("price", PRICE_SPEC), frag, _open_tag(frag))).alias("price"),
+        (_spec_column(fields["title"], frag, _open_tag(frag)) if "title" in fields
+         else F.nullif(node_text(F.regexp_extract(frag, r"(?is)<a\s[^>]*>(.*?)</a>", 1)), F.lit(""))).alias("title"),
+        *[_spec_column(spec, frag, _open_tag(frag)).alias(n) for n, spec in fields.items() if n not in ("product_url", "title", "price")])
+    image = U.absolute_image_src(F.coalesce(_attr(F.col("_img"), "src"), _attr(F.col("_img"), "data-src")), F.col(url))
+    out = staged.withColumn("card_id", _card_id(F.col("frag"), F.col("product_url"))).withColumn("_full", image)
+    out = out.withColumn("image_url", F.when(N.is_allowed_image_url("_full"), F.col("_full")).otherwise(F.lit("")))
+    return out.select("page_id", "card_pos", *keep, "card_id", "product_url", "image_url", "price", "title",
+                      *[n for n in fields if n not in ("product_url", "title", "price")])
+
+
+def _finished(cards: DataFrame, title_prefix: str | None) -> DataFrame:
+    """Cards with an id and an allowed image; a missing title gets a default."""
+    out = cards.filter(truthy("card_id") & truthy("image_url"))
     if title_prefix is None:
         return out
-    return out.withColumn("title", F.coalesce(F.col("title"),
-                                              F.concat(F.lit(title_prefix), F.col("card_id"))))
+    return out.withColumn("title", F.coalesce(F.nullif(F.col("title"), F.lit("")), F.concat(F.lit(title_prefix), F.col("card_id"))))
+
+
+def match_cards_to_embedded(pages: DataFrame, container: str = CARD, url: str = "url", html: str = "html",
+                            title_prefix: str | None = "Product ", fields: dict | None = None,
+                            max_scripts: int | None = None) -> DataFrame:
+    """Cards whose missing fields come from the page's embedded JSON.
+
+    Cards and embedded products stand in the same row, so every card looks up
+    the first embedded product with its id inside that row: one scan, no join
+    and no shuffle. The image rule applies after the match, so a card whose
+    image is only in the JSON stays.
+    """
+    fields = dict(fields or {})
+    page = pages.select("page_id", F.col(url).alias("url"), card_fragments(F.col(html), container).alias("_cards"),
+                        embedded_array(F.col(html), F.col(url), max_scripts).alias("_embedded"))
+
+    def matched(frag: Column) -> Column:
+        cid = _card_id(frag, _card_url(frag, F.col("url"), fields))
+        first = F.get(F.filter("_embedded", lambda e: e["product_id"] == cid), F.lit(0))
+        return F.struct(frag.alias("frag"), first.alias("m"))
+
+    cards = page.select("page_id", "url", F.posexplode(F.transform("_cards", matched)).alias("card_pos", "c"))
+    rows = _card_rows(cards.select("page_id", "url", "card_pos", "c.frag", F.col("c.m").alias("_m")), "url", fields, keep=["_m"])
+    filled = {f: F.when(truthy(F.col(f)), F.col(f)).otherwise(F.col(f"_m.{f}")) for f in ("title", "image_url")}
+    filled["price"] = F.coalesce(F.col("price"), F.col("_m.price").cast("double"))
+    if "description" in rows.columns:
+        filled["description"] = F.when(truthy("description"), F.col("description")).otherwise(F.col("_m.description"))
+    else:
+        filled["description"] = F.col("_m.description")
+    return _finished(rows.withColumns(filled).drop("_m"), title_prefix)
 
 
 EMBEDDED_PRODUCT = (
@@ -327,24 +368,30 @@ def embedded_image_src(src, page_url) -> Column:
             .otherwise(F.lit("")))
 
 
-def embedded_products(pages: DataFrame, html: str = "html", max_scripts: int = 5,
+def embedded_products(pages: DataFrame, html: str = "html", max_scripts: int | None = None,
                       url: str = "url") -> DataFrame:
-    """Products inside JSON scripts of a page.
+    """One row per product of ``embedded_array``: page_id, spos (script), ppos (place in it), fields."""
+    return (pages.select("page_id", F.explode(embedded_array(F.col(html), F.col(url), max_scripts)).alias("e"))
+            .select("page_id", "e.*"))
+
+
+def embedded_array(html: Column, page: Column, max_scripts: int | None = None) -> Column:
+    """Products inside JSON scripts of a page, in order.
 
     Scripts typed ``application/json`` (or, on pages without any, scripts
     mentioning product/item) whose text is longer than 100 characters are
-    considered, the first ``max_scripts`` of them; an optional ``x =`` prefix
-    and ``;`` are cut. Products are read from the first non-empty list among
-    the fixed keys. Per product: the first truthy name; the detail
-    descriptions, else the top-level ones; the price from ``sizes[0]`` (minor
-    units), else a price object's sale/current/price/value, else a number,
-    else the first number in the text; the image from colour images, the
-    first media of the first media set, then the plain image fields and the
-    first of ``images``/``media`` (objects give url/src/large/medium), made
-    absolute and kept only if allowed.
+    considered (the first ``max_scripts`` of them, if given), from their first
+    ``{`` on; a trailing ``;`` is cut. Products are read from the first
+    non-empty list among the fixed keys. Per product: the first truthy name;
+    the detail descriptions, else the top-level ones; the price from
+    ``sizes[0]`` (minor units), else a price object's
+    sale/current/price/value, else a number, else the first number in the
+    text; the image from colour images, the first media of the first media
+    set, then the plain image fields and the first of ``images``/``media``
+    (objects give url/src/large/medium), made absolute and kept only if
+    allowed.
     """
-    # All scripts of a page live in one row, so choosing them is array work
-    # inside that row: no shuffle, no window.
+    # All scripts of a page live in one row: no shuffle, no window.
     def attrs(t):
         return F.lower(F.regexp_extract(t, r"(?is)^<script([^>]*)>", 1))
 
@@ -356,23 +403,26 @@ def embedded_products(pages: DataFrame, html: str = "html", max_scripts: int = 5
         return b.contains("product") | b.contains("item")
 
     # JSON-typed scripts win if the page has any; the length rule applies after.
-    tags = F.regexp_extract_all(F.col(html), F.lit(SCRIPT), 0)
+    tags = F.regexp_extract_all(html, F.lit(SCRIPT), 0)
     has_json = F.exists(tags, lambda t: attrs(t).contains("application/json"))
-    chosen_tags = F.filter(tags, lambda t: F.when(has_json, attrs(t).contains("application/json"))
-                           .otherwise(mentions(t)) & (F.length(body(t)) > 100))
-    picked = pages.select("page_id", url, F.slice(chosen_tags, 1, max_scripts).alias("_tags"))
-    s = picked.select("page_id", url, F.posexplode("_tags").alias("spos", "tag"))
-    s = s.select("page_id", url, "spos", body(F.col("tag")).alias("body"))
-    cleaned = F.when(F.col("body").rlike(r"^[^{]{0,50}="),
-                     F.regexp_replace(F.regexp_replace("body", r"^[^=]*=\s*", ""), r";\s*$", "")) \
-        .otherwise(F.col("body"))
+    chosen = F.filter(tags, lambda t: F.when(has_json, attrs(t).contains("application/json"))
+                      .otherwise(mentions(t)) & (F.length(body(t)) > 100))
+    if max_scripts is not None:
+        chosen = F.slice(chosen, 1, max_scripts)
     # One parse per script: every candidate list is a field of one struct.
     doc_schema = "struct<" + ",".join(f"{k}:{EMBEDDED_PRODUCT}" for k in K.EMBEDDED_JSON_KEYS) + ">"
-    parsed = s.select("page_id", url, "spos", F.from_json(cleaned, doc_schema).alias("_doc"))
-    chosen = F.coalesce(*[F.when(F.size(F.col(f"_doc.{k}")) > 0, F.col(f"_doc.{k}"))
-                          for k in K.EMBEDDED_JSON_KEYS])
-    prods = parsed.select("page_id", url, "spos", F.posexplode(chosen).alias("ppos", "p"))
-    p = F.col("p")
+
+    def products(tag, spos):
+        json = F.regexp_replace(F.regexp_extract(body(tag), r"(?s)\{.*", 0), r";\s*$", "")
+        lists = F.transform(F.array(F.from_json(json, doc_schema)), lambda doc: F.coalesce(
+            *[F.when(F.size(doc[k]) > 0, doc[k]) for k in K.EMBEDDED_JSON_KEYS]))[0]
+        return F.transform(lists, lambda p, ppos: embedded_product(p, page, spos, ppos))
+
+    return F.flatten(F.filter(F.transform(chosen, products), lambda x: x.isNotNull()))
+
+
+def embedded_product(p: Column, page: Column, spos: Column, ppos: Column) -> Column:
+    """The fields of one embedded product (see ``embedded_array``)."""
     d = p["detail"]
     pid = first_truthy(p["id"], p["productId"], p["product_id"], p["sku"])
     # Price: sizes[0] in minor units, else an object's first truthy number,
@@ -400,16 +450,13 @@ def embedded_products(pages: DataFrame, html: str = "html", max_scripts: int = 5
         return F.when(c.startswith("{"), first_truthy(o["url"], o["src"], o["large"], o["medium"])) \
             .otherwise(c)
 
-    page = F.col(url)
     resolved = F.transform(F.filter(cands, lambda c: truthy(c)),
                            lambda c: embedded_image_src(as_url(c), page))
     image = F.try_element_at(F.filter(resolved, lambda u: N.is_allowed_image_url(u)), F.lit(1))
-    return prods.select(
-        "page_id", (F.col("spos").cast("bigint") * 100000 + F.col("ppos")).alias("emb_pos"),
-        pid.alias("product_id"),
+    return F.struct(
+        spos.cast("bigint").alias("spos"), ppos.cast("bigint").alias("ppos"), pid.alias("product_id"),
         first_truthy(p["name"], p["title"], p["productName"], p["nameEn"]).alias("title"),
         F.coalesce(first_truthy(d["longDescription"], d["description"], d["shortDescription"]),
-                   first_truthy(p["description"], p["shortDescription"], p["longDescription"]))
-        .alias("description"),
+                   first_truthy(p["description"], p["shortDescription"], p["longDescription"])).alias("description"),
         F.when(price != 0, price).cast("string").alias("price"),
         image.alias("image_url"))

@@ -1,11 +1,9 @@
 """Sitemap expansion: breadth-first over a ``sitemaps(url, xml)`` table.
 
-Each level is a join of the frontier with the sitemap documents, an explode
-of their ``<loc>`` values, and an anti-join against URLs already seen. The
-loop runs at most ``max_nested`` times on the driver (a constant, not a
-data-sized loop); each level's frontier is written once as a Parquet table
-in the shared checkpoint folder and read back, so lineage stays short and a
-lost executor never forces earlier levels to be recomputed.
+The documents are parsed once into edges (url, pos, loc), written to the
+shared folder. Each level joins the frontier with the edges only and drops
+what was seen before; it ends when a level finds no new sitemap, so cycles
+end and no depth is cut off.
 """
 
 from __future__ import annotations
@@ -13,56 +11,58 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfline import constants as K
 from shelfline.functions.text import strip
 from shelfline.session import shared_dir
 from shelfline.sources.pages import unescape_entities
 
-LOC = r"<(?:[A-Za-z0-9_.-]+:)?loc>([^<]*)</(?:[A-Za-z0-9_.-]+:)?loc>"
+LOC = r"(?s)<(?:[A-Za-z0-9_.-]+:)?loc>\s*((?:<!\[CDATA\[.*?\]\]>|[^<])*)</(?:[A-Za-z0-9_.-]+:)?loc>"
+CDATA = r"(?s)^<!\[CDATA\[(.*?)\]\]>$"
 READABLE = r"</(?:[A-Za-z0-9_.-]+:)?(?:urlset|sitemapindex)>\s*$"
 
 
 def sitemap_locs(docs: DataFrame, xml: str = "xml") -> DataFrame:
-    """``loc`` values (any namespace prefix, e.g. ``image:loc``) of readable documents."""
+    """``loc`` values (any namespace prefix, e.g. ``image:loc``; CDATA as it stands) of readable documents."""
     readable = F.coalesce(F.col(xml).rlike(READABLE), F.lit(False))
     locs = F.when(readable, F.regexp_extract_all(F.col(xml), F.lit(LOC), 1))
-    out = docs.select("*", F.posexplode(locs).alias("pos", "_loc"))
-    return out.withColumn("loc", unescape_entities(strip("_loc"))).drop("_loc") \
-        .filter(F.col("loc") != "")
+    out = docs.select("*", F.posexplode(locs).alias("pos", "_loc")).withColumn("_loc", strip("_loc"))
+    loc = F.when(F.col("_loc").rlike(CDATA), strip(F.regexp_extract("_loc", CDATA, 1))).otherwise(unescape_entities("_loc"))
+    return out.withColumn("loc", loc).drop("_loc").filter(F.col("loc") != "")
 
 
-def expand_sitemaps(spark, sitemaps: DataFrame, roots: list[str] | DataFrame,
-                    max_nested: int = K.MAX_SITEMAP_DEPTH, checkpoint: bool = True) -> DataFrame:
-    """Page URLs reachable from the root sitemaps within ``max_nested`` levels.
+def expand_sitemaps(spark, sitemaps: DataFrame, roots: list[str] | DataFrame, max_nested: int | None = None) -> DataFrame:
+    """Page URLs reachable from the root sitemaps (within ``max_nested`` levels, if given).
 
     ``.xml`` locs are followed, other locs are results. Returns (url, depth,
     ord): each URL once, with the BFS position where it was first found.
     """
-    base = shared_dir(spark, "sitemap-bfs") if checkpoint else None
+    base = shared_dir(spark, "sitemap-bfs")
+
+    def written(df: DataFrame, name: str) -> DataFrame:
+        df.write.mode("overwrite").parquet(f"{base}/{name}")
+        return spark.read.parquet(f"{base}/{name}")
+
+    edges = written(sitemap_locs(sitemaps.select("url", "xml")).select(F.col("url").alias("parent"), F.col("pos").cast("int").alias("pos"), "loc"), "edges")
     if isinstance(roots, list):
-        frontier = spark.createDataFrame([(u, [i]) for i, u in enumerate(roots)],
-                                         "url string, ord array<int>")
+        frontier = spark.createDataFrame([(u, [i]) for i, u in enumerate(roots)], "url string, ord array<int>")
     else:
         frontier = roots.select("url", F.array(F.col("pos").cast("int")).alias("ord"))
     frontier = frontier.groupBy("url").agg(F.min("ord").alias("ord"))
     seen = frontier.select("url")
-    results = None
-    docs = sitemaps.select(F.col("url"), F.col("xml"))
-    for depth in range(max_nested):
-        fetched = frontier.join(docs, "url", "inner")
-        locs = sitemap_locs(fetched).select(
-            F.col("loc"), F.concat(F.col("ord"), F.array(F.col("pos").cast("int"))).alias("ord"))
-        is_xml = F.col("loc").endswith(".xml")
-        found = locs.filter(~is_xml).select(F.col("loc").alias("url"), F.lit(depth).alias("depth"), "ord")
+    results, depth = None, 0
+    while max_nested is None or depth < max_nested:
+        locs = frontier.join(edges, F.col("url") == F.col("parent")).select(
+            "loc", F.concat("ord", F.array("pos")).alias("ord"), F.col("loc").endswith(".xml").alias("nested"))
+        locs = written(locs, f"locs-{depth}")
+        found = locs.filter("not nested").select(F.col("loc").alias("url"), F.lit(depth).alias("depth"), "ord")
         results = found if results is None else results.unionByName(found)
-        if depth == max_nested - 1:
-            break  # the next frontier would never be fetched
-        nxt = (locs.filter(is_xml).groupBy(F.col("loc").alias("url")).agg(F.min("ord").alias("ord"))
-               .join(seen, "url", "left_anti"))
-        if base is not None:
-            nxt.write.mode("overwrite").parquet(f"{base}/level-{depth + 1}")
-            nxt = spark.read.parquet(f"{base}/level-{depth + 1}")
-        seen = seen.unionByName(nxt.select("url"))
-        frontier = nxt
+        depth += 1
+        frontier = (locs.filter("nested").groupBy(F.col("loc").alias("url")).agg(F.min("ord").alias("ord"))
+                    .join(seen, "url", "left_anti"))
+        frontier = written(frontier, f"level-{depth}")
+        if frontier.isEmpty():
+            break
+        seen = seen.unionByName(frontier.select("url"))
+    if results is None:
+        return frontier.select("url", F.lit(0).alias("depth"), "ord").limit(0)
     first = results.groupBy("url").agg(F.min(F.struct("depth", "ord")).alias("_f"))
     return first.select("url", F.col("_f.depth").alias("depth"), F.col("_f.ord").alias("ord"))

@@ -1,182 +1,162 @@
-"""Products table as Parquet snapshots in a shared folder.
-
-Parquet has no MERGE, so each change writes a new snapshot directory
-``snap-<version>``; the one being read is never overwritten. A snapshot is
-complete when Spark's ``_SUCCESS`` marker exists, so a job lost half-way
-leaves no visible partial version and a retry rewrites the same version.
+"""Products table as Parquet partitions behind a version pointer.
+
+Parquet has no MERGE. A change writes the partitions it touches once, into a
+folder of its own, then publishes a manifest that names the current folder of
+every partition. Publishing is one file rename, so readers see the table
+before or after a change, never between. Replaying a change gives the same
+table. Folders that neither the current nor the previous manifest names are
+removed once the change is published (a reader may still hold the previous).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-
-
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(conf), p, jvm
-
-
-class SnapshotTable:
-    def __init__(self, spark: SparkSession, path: str, partition_by: tuple = ()):
-        self.spark = spark
-        self.path = path.rstrip("/")
-        self.partition_by = list(partition_by)
+import json
 
-    def versions(self) -> list[int]:
-        fs, p, jvm = _fs(self.spark, self.path)
-        if not fs.exists(p):
-            return []
-        out = []
-        for st in fs.listStatus(p):
-            name = st.getPath().getName()
-            if name.startswith("snap-") and fs.exists(
-                    jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-                out.append(int(name[5:]))
-        return sorted(out)
-
-    def version_path(self, v: int) -> str:
-        return f"{self.path}/snap-{v:012d}"
-
-    def latest(self, before: int | None = None) -> int | None:
-        vs = [v for v in self.versions() if before is None or v < before]
-        return vs[-1] if vs else None
-
-    def read(self, before: int | None = None) -> DataFrame | None:
-        v = self.latest(before)
-        return None if v is None else self.spark.read.parquet(self.version_path(v))
-
-    def commit(self, df: DataFrame, version: int) -> None:
-        w = df.write.mode("overwrite")
-        if self.partition_by:
-            w = w.partitionBy(*self.partition_by)
-        w.parquet(self.version_path(version))
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 class BucketedTable:
     """A table partitioned by ``[scope,] bucket`` with ``bucket = pmod(xxhash64(key), buckets)``.
 
-    A change rewrites only the partitions its rows fall in: the merged rows of
-    those partitions are first written to a per-change staging folder (so the
-    table is never read and overwritten by the same job), then swapped in
-    with dynamic partition overwrite; touched partitions left empty are
-    removed. Merges are idempotent, so replaying a change after a failure
-    between the steps gives the same table. ``scope`` (e.g. ``source``) must
-    be determined by the key, which holds for ids hashed from the source.
+    ``scope`` (e.g. ``source``) must be determined by the key, which holds for
+    ids hashed from the source.
     """
 
-    def __init__(self, spark: SparkSession, path: str, key: str, buckets: int = 64,
-                 scope: str | None = None):
-        self.spark = spark
-        self.path = path.rstrip("/")
-        self.key = key
-        self.buckets = buckets
-        self.scope = scope
+    def __init__(self, spark: SparkSession, path: str, key: str, buckets: int = 64, scope: str | None = None):
+        self.spark, self.path = spark, path.rstrip("/")
+        self.key, self.buckets, self.scope = key, buckets, scope
         self.parts = ([scope] if scope else []) + ["bucket"]
+        self._jvm = spark.sparkContext._jvm
+        self._fs = self._path().getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        self._utils = self._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+
+    def _path(self, *names: str):
+        return self._jvm.org.apache.hadoop.fs.Path("/".join([self.path, *names]))
 
     def bucket_of(self):
-        from pyspark.sql import functions as F
         return F.pmod(F.xxhash64(F.col(self.key)), F.lit(self.buckets)).cast("int")
 
+    # ------------------------------------------------------------- manifest
+
+    def _versions(self) -> list[int]:
+        return sorted(int(s.getPath().getName().removeprefix("manifest-"))
+                      for s in self._fs.globStatus(self._path("manifest-*")) or [])
+
+    def _manifest(self, version: int) -> dict:
+        """{"schema": JSON, "parts": {partition folder: version folder}}: a line per partition, not per row."""
+        stream = self._fs.open(self._path(f"manifest-{version:012d}"))
+        try:
+            return json.loads(self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
+
+    def _current(self) -> dict | None:
+        versions = self._versions()
+        return self._manifest(versions[-1]) if versions else None
+
     def exists(self) -> bool:
-        fs, p, _ = _fs(self.spark, self.path)
-        return fs.exists(p)
+        return bool(self._versions())
+
+    # -------------------------------------------------------------- reading
 
     def read(self) -> DataFrame | None:
-        if not self.exists():
+        return self._rows(self._current())
+
+    def _rows(self, manifest: dict | None, folders=None) -> DataFrame | None:
+        """Rows of all or the named partitions; null where the table was never written."""
+        if manifest is None:
             return None
-        return self._scan().drop("bucket")
-
-    def _scan(self) -> DataFrame:
-        # Partitions written by different changes may carry different columns.
-        return self.spark.read.option("mergeSchema", "true").parquet(self.path)
-
-    def _partition_filter(self, touched):
-        from pyspark.sql import functions as F
-        cond = F.lit(False)
-        for t in touched:
-            c = F.lit(True)
-            for name, v in zip(self.parts, t):
-                c = c & (F.col(name).isNull() if v is None else (F.col(name) == F.lit(v)))
-            cond = cond | c
-        return cond
-
-    def _rewrite(self, touched, merged: DataFrame, change_id: int) -> None:
-        """Replace exactly the ``touched`` partitions with ``merged`` rows."""
-        staged = merged.withColumn("bucket", self.bucket_of())
-        staging = f"{self.path}__staging/change={change_id}"
-        staged.write.mode("overwrite").partitionBy(*self.parts).parquet(staging)
-        fs, _, jvm = _fs(self.spark, self.path)
-        utils = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
-        escape = utils.escapePathName
-        # Partitions the staging folder holds (listed, so an empty result is fine).
-        pattern = jvm.org.apache.hadoop.fs.Path(staging + "/" + "/".join(f"{p}=*" for p in self.parts))
-        written = set()
-        for st in fs.globStatus(pattern) or []:
-            segs = st.getPath().toString().rstrip("/").split("/")[-len(self.parts):]
-            vals = []
-            for p, seg in zip(self.parts, segs):
-                v = utils.unescapePathName(seg.split("=", 1)[1])
-                vals.append(None if v == "__HIVE_DEFAULT_PARTITION__" else (int(v) if p == "bucket" else v))
-            written.add(tuple(vals))
-        if written:
-            (self.spark.read.parquet(staging).write.mode("overwrite")
-             .option("partitionOverwriteMode", "dynamic").partitionBy(*self.parts).parquet(self.path))
-        for t in set(touched) - written:  # partitions the change emptied
-            sub = "/".join(f"{n}={'__HIVE_DEFAULT_PARTITION__' if v is None else escape(str(v))}"
-                           for n, v in zip(self.parts, t))
-            fs.delete(jvm.org.apache.hadoop.fs.Path(f"{self.path}/{sub}"), True)
+        schema = T.StructType.fromJson(manifest["schema"])
+        parts = manifest["parts"] if folders is None else {f: manifest["parts"][f] for f in folders if f in manifest["parts"]}
+        if not parts:
+            return self.spark.createDataFrame([], schema)
+        kinds = T.StructType([*schema.fields, T.StructField("bucket", T.IntegerType()), T.StructField("_v", T.StringType())])
+        rows = self.spark.read.schema(kinds).option("basePath", f"{self.path}/data").parquet(
+            *[f"{self.path}/data/_v={v}/{f}" for f, v in parts.items()])
+        return rows.select(*schema.names)
+
+    def _folder(self, values) -> str:
+        return "/".join(f"{n}={'__HIVE_DEFAULT_PARTITION__' if v is None else self._utils.escapePathName(str(v))}"
+                        for n, v in zip(self.parts, values))
+
+    # -------------------------------------------------------------- writing
+
+    def _publish(self, touched: list[str], rows: DataFrame, change_id: int) -> None:
+        """Write ``rows`` as the new content of exactly the ``touched`` partitions."""
+        versions = self._versions()
+        old = self._manifest(versions[-1]) if versions else {"parts": {}}
+        version = versions[-1] + 1 if versions else 1
+        name = f"{version}-{change_id}"
+        target = f"{self.path}/data/_v={name}"
+        # One task, and so one file, per partition; buckets split a hot scope.
+        (rows.withColumn("bucket", self.bucket_of()).repartition(*[F.col(p) for p in self.parts])
+         .write.mode("overwrite").partitionBy(*self.parts).parquet(target))
+        depth = len(self.parts)
+        written = ["/".join(s.getPath().toString().split("/")[-depth:])
+                   for s in self._fs.globStatus(self._path("data", f"_v={name}", *[f"{p}=*" for p in self.parts])) or []]
+        parts = {f: v for f, v in old["parts"].items() if f not in set(touched)} | dict.fromkeys(written, name)
+        known = T.StructType.fromJson(old["schema"]).fields if "schema" in old else []
+        fields = known + [f for f in rows.schema.fields if f.name not in {k.name for k in known}]
+        text = json.dumps({"schema": T.StructType([T.StructField(f.name, f.dataType, True) for f in fields]).jsonValue(), "parts": parts})
+        draft = self._path(f"_draft-{version:012d}-{change_id}")
+        stream = self._fs.create(draft, True)
+        try:
+            stream.write(bytearray(text.encode()))
+        finally:
+            stream.close()
+        if not self._fs.rename(draft, self._path(f"manifest-{version:012d}")):
+            raise RuntimeError(f"{self.path}: version {version} was published by another change")
+        self._clean(set(parts.values()) | set(old["parts"].values()), versions[:-1])
+
+    def _clean(self, used: set[str], outdated: list[int]) -> None:
+        for v in outdated:
+            self._fs.delete(self._path(f"manifest-{v:012d}"), False)
+        for s in self._fs.globStatus(self._path("data", "_v=*")) or []:
+            if s.getPath().getName().removeprefix("_v=") not in used:
+                self._fs.delete(s.getPath(), True)
 
     def stage(self, df: DataFrame, change_id: int, name: str = "batch") -> DataFrame:
-        """Write ``df`` once to this change's staging folder and read it back, so
-        the checks and joins of a change reuse it instead of recomputing it."""
-        path = f"{self.path}__staging/change={change_id}-{name}"
+        """Write ``df`` once beside the table and read it back, so the joins of a
+        change reuse it; ``unstage`` removes it."""
+        path = f"{self.path}/_staged-{change_id}-{name}"
         df.write.mode("overwrite").parquet(path)
-        return self.spark.read.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def unstage(self, change_id: int, name: str = "batch") -> None:
+        self._fs.delete(self._path(f"_staged-{change_id}-{name}"), True)
 
     def merge(self, batch: DataFrame, merge_fn, change_id: int) -> None:
         """Replace the touched partitions with ``merge_fn(current_rows_or_None, batch)``."""
         keyed = batch.withColumn("bucket", self.bucket_of())
-        touched = [tuple(r) for r in keyed.select(*self.parts).distinct().collect()]  # bounded
-        if not touched:
-            return
-        cur_rows = None
-        if self.exists():
-            cur_rows = self._scan().filter(self._partition_filter(touched)).drop("bucket")
-        self._rewrite(touched, merge_fn(cur_rows, batch), change_id)
+        touched = [self._folder(r) for r in keyed.select(*self.parts).distinct().collect()]  # at most scopes x buckets
+        if touched:
+            self._publish(touched, merge_fn(self._rows(self._current(), touched), batch), change_id)
 
     def replace_scope(self, value, fn, change_id: int) -> None:
         """Rewrite every partition of one scope value with ``fn(rows_of_that_scope)``."""
-        from pyspark.sql import functions as F
-        if not self.exists():
-            return
-        rows = self._scan().filter(F.col(self.scope) == F.lit(value))
-        touched = [tuple(r) for r in rows.select(*self.parts).distinct().collect()]  # bounded
+        manifest = self._current()
+        head = self._folder([value]) + "/"
+        touched = [f for f in (manifest or {"parts": {}})["parts"] if f.startswith(head)]
         if touched:
-            self._rewrite(touched, fn(rows.drop("bucket")), change_id)
+            self._publish(touched, fn(self._rows(manifest, touched)), change_id)
 
-    def delete_missing(self, value, keep_ids: DataFrame, change_id: int,
-                       max_broadcast_rows: int = 1_000_000) -> int:
+    def delete_missing(self, value, keep_ids: DataFrame, change_id: int) -> int:
         """Delete rows of one scope value whose key is not in ``keep_ids``.
 
-        Only partitions that actually lose rows are rewritten: the doomed
-        buckets come from an id-only scan of the scope (column-pruned), anti
-        joined with the kept ids. An empty ``keep_ids`` deletes nothing.
-        Returns the number of partitions rewritten.
+        Only partitions that lose rows are rewritten: an id-only scan of the
+        scope, anti-joined with the kept ids, names them. An empty ``keep_ids``
+        deletes nothing. Returns the number of partitions rewritten.
         """
-        from pyspark.sql import functions as F
-        from shelfline.operators.joins import bounded_rows
-        if not self.exists() or keep_ids.limit(1).count() == 0:
+        manifest = self._current()
+        if manifest is None or keep_ids.isEmpty():
             return 0
+        head = self._folder([value]) + "/"
+        scoped = self._rows(manifest, [f for f in manifest["parts"] if f.startswith(head)])
         ids = keep_ids.select(self.key)
-        side = F.broadcast(ids) if bounded_rows(ids, max_broadcast_rows) else ids
-        scoped = self._scan().filter(F.col(self.scope) == F.lit(value))
-        doomed = [tuple(r) for r in scoped.select(self.key, *self.parts).join(side, self.key, "left_anti")
-                  .select(*self.parts).distinct().collect()]  # bounded: <= buckets
-        if not doomed:
-            return 0
-        survivors = (self._scan().filter(self._partition_filter(doomed)).drop("bucket")
-                     .join(side, self.key, "left_semi"))
-        self._rewrite(doomed, survivors, change_id)
+        doomed = [self._folder(r) for r in scoped.join(ids, self.key, "left_anti").withColumn("bucket", self.bucket_of())
+                  .select(*self.parts).distinct().collect()]  # at most the buckets of the scope
+        if doomed:
+            self._publish(doomed, self._rows(manifest, doomed).join(ids, self.key, "left_semi"), change_id)
         return len(doomed)

@@ -1,28 +1,34 @@
 """Structured Streaming: keep the products table current as batches arrive.
 
 ``readStream`` over a folder of arriving Parquet files -> ``foreachBatch``:
-each micro-batch is de-duplicated (newest per key) and merged into a
-bucket-partitioned table (newest wins across batches). Only the buckets the
+each micro-batch is reduced to one row per key and upserted into a
+bucket-partitioned table (``upsert_products``: every column of the batch is
+taken, nulls included, columns it lacks are kept). Only the buckets the
 micro-batch touches are rewritten, so the work per batch follows the batch,
-not the table. The query's checkpoint keeps epoch ids stable across
-restarts and the merge is idempotent, so a replayed epoch is harmless.
+not the table. The query's checkpoint keeps epoch ids stable across restarts;
+a replayed epoch gives the same table and leaves its queue folder alone.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfline.operators.dedup import dedup_last
-from shelfline.operators.maintain import inserted_rows
+from shelfline.operators.maintain import inserted_rows, upsert_products
 from shelfline.sources.table import BucketedTable
 
 
-def merge_newest(current: DataFrame | None, batch: DataFrame, key, order) -> DataFrame:
-    """Union of table and batch, newest row per key (map-side combined)."""
-    both = batch if current is None else current.unionByName(batch.select(*current.columns))
-    return dedup_last(both, key, order)
+def upsert_newest(current: DataFrame | None, batch: DataFrame, key: str, order: list[str]) -> DataFrame:
+    """Upsert of one row per key; rows older than the table's are late and change nothing."""
+    if current is None:
+        return batch
+    known = current.select(key, F.struct(*order).alias("_known"))
+    fresh = (batch.join(known, key, "left").filter(F.col("_known").isNull() | (F.struct(*order) >= F.col("_known"))).drop("_known"))
+    return upsert_products(current, fresh, key, drop=())
 
 
 def newly_inserted_without_vector(current: DataFrame | None, batch: DataFrame, key: str,
@@ -33,6 +39,22 @@ def newly_inserted_without_vector(current: DataFrame | None, batch: DataFrame, k
     return fresh.filter(F.col(vector).isNull()).select(*cols)
 
 
+def _complete(spark: SparkSession, folder: str) -> bool:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/_SUCCESS")
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+
+
+def _run(spark: SparkSession, source_dir: str, schema: T.StructType, checkpoint_dir: str,
+         handle: Callable[[DataFrame, int], None], max_files_per_trigger: int | None) -> None:
+    """All files available now, ``max_files_per_trigger`` per micro-batch, then stop."""
+    reader = spark.readStream.schema(schema)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    q = (reader.parquet(source_dir).writeStream.foreachBatch(handle)
+         .option("checkpointLocation", checkpoint_dir).trigger(availableNow=True).start())
+    q.awaitTermination()
+
+
 def stream_upsert(spark: SparkSession, source_dir: str, schema: T.StructType, table_dir: str,
                   checkpoint_dir: str, key: str, order, pending_dir: str | None = None,
                   vector: str | None = None, max_files_per_trigger: int | None = None,
@@ -41,7 +63,8 @@ def stream_upsert(spark: SparkSession, source_dir: str, schema: T.StructType, ta
 
     With ``pending_dir`` and ``vector`` set, every epoch also writes the rows
     it inserts without a vector to ``pending_dir/epoch=<id>`` (the embedding
-    queue), computed against the table before the merge.
+    queue), before the merge. A complete epoch folder is never written again:
+    after the merge its rows would no longer count as new.
     """
     table = BucketedTable(spark, table_dir, key, buckets)
     order = list(order) if not isinstance(order, str) else [order]
@@ -49,20 +72,13 @@ def stream_upsert(spark: SparkSession, source_dir: str, schema: T.StructType, ta
     def handle(batch: DataFrame, epoch_id: int) -> None:
         deduped = table.stage(dedup_last(batch, key, order), epoch_id)
         if pending_dir and vector:
-            current = table.read()
-            pend = newly_inserted_without_vector(current, deduped, key, vector)
-            pend.write.mode("overwrite").parquet(f"{pending_dir.rstrip('/')}/epoch={epoch_id}")
-        table.merge(deduped, lambda cur, b: merge_newest(cur, b, key, order), epoch_id)
+            folder = f"{pending_dir.rstrip('/')}/epoch={epoch_id}"
+            if not _complete(spark, folder):
+                newly_inserted_without_vector(table.read(), deduped, key, vector).write.mode("overwrite").parquet(folder)
+        table.merge(deduped, lambda cur, b: upsert_newest(cur, b, key, order), epoch_id)
+        table.unstage(epoch_id)
 
-    reader = spark.readStream.schema(schema)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    q = (reader.parquet(source_dir).writeStream
-         .foreachBatch(handle)
-         .option("checkpointLocation", checkpoint_dir)
-         .trigger(availableNow=True)
-         .start())
-    q.awaitTermination()
+    _run(spark, source_dir, schema, checkpoint_dir, handle, max_files_per_trigger)
     return table
 
 
@@ -76,28 +92,18 @@ def stream_feed_run(spark: SparkSession, feed_dir: str, schema: T.StructType, ta
     """Feed documents arriving as files -> product rows -> the products table.
 
     Each micro-batch runs the feed pipeline (items, field map, gates, site
-    defaults, product rows, price gate, first row per id) and merges into a
-    table partitioned by (source, bucket), keeping the arrival order columns
-    so the first row per id in arrival order wins across micro-batches too:
-    the streamed table equals the batch run over the same documents.
+    defaults, product rows, price gate, first row per id) and is upserted into
+    a table partitioned by (source, bucket): a product sent again takes its
+    new values.
     """
     from shelfline.plans.catalog import ORDER, feed_products
-    from shelfline.operators.dedup import dedup_first
 
     table = BucketedTable(spark, table_dir, "id", buckets, scope="source")
 
-    def merge_first(cur, b):
-        both = b if cur is None else cur.unionByName(b.select(*cur.columns))
-        return dedup_first(both, "id", ORDER)
-
     def handle(batch: DataFrame, epoch_id: int) -> None:
-        products = table.stage(feed_products(batch, site, mapping), epoch_id)
-        table.merge(products, merge_first, epoch_id)
+        products = table.stage(feed_products(batch, site, mapping).drop(*ORDER), epoch_id)
+        table.merge(products, lambda cur, b: b if cur is None else upsert_products(cur, b), epoch_id)
+        table.unstage(epoch_id)
 
-    reader = spark.readStream.schema(schema)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    q = (reader.parquet(feed_dir).writeStream.foreachBatch(handle)
-         .option("checkpointLocation", checkpoint_dir).trigger(availableNow=True).start())
-    q.awaitTermination()
+    _run(spark, feed_dir, schema, checkpoint_dir, handle, max_files_per_trigger)
     return table

@@ -48,18 +48,21 @@ def test_sitemaps(spark):
         ("i.xml", "<urlset><url><loc>https://a/1?x=1&amp;y=2</loc><image:loc>https://a/i.jpg</image:loc></url>"
                   "<url><loc>r.xml</loc></url><url><loc>l.xml</loc></url></urlset>"),
         ("l.xml", "<urlset><url><loc>https://a/2</loc></url><url><loc>d.xml</loc></url><url><loc>https://a/1?x=1&amp;y=2</loc></url></urlset>"),
-        ("d.xml", "<urlset><url><loc>https://a/deep</loc></url></urlset>"),
+        ("d.xml", "<sitemapindex><sitemap><loc>e.xml</loc></sitemap></sitemapindex>"),
+        ("e.xml", "<urlset><url><loc><![CDATA[https://a/deep?x=1&y=<2>]]></loc></url><url><loc>\n https://a/last </loc></url></urlset>"),
         ("bad.xml", "<urlset><url><loc>https://a/broken"),
     ], "url string, xml string")
-    got = {r.url: r.depth for r in expand_sitemaps(spark, sm, ["r.xml"], checkpoint=False).collect()}
-    assert got == {"https://a/1?x=1&y=2": 1, "https://a/i.jpg": 1, "https://a/2": 2}
+    got = {r.url: r.depth for r in expand_sitemaps(spark, sm, ["r.xml"]).collect()}
+    assert got == {"https://a/1?x=1&y=2": 1, "https://a/i.jpg": 1, "https://a/2": 2, "https://a/deep?x=1&y=<2>": 4, "https://a/last": 4}
+    assert {r.url for r in expand_sitemaps(spark, sm, ["r.xml"], max_nested=3).collect()} == {"https://a/1?x=1&y=2", "https://a/i.jpg", "https://a/2"}
+    assert expand_sitemaps(spark, sm.limit(0), ["r.xml"]).count() == 0
 
 
 def test_card_field_specs(spark):
     html = ('<li class="card" data-code="77" data-testid="plp-productCard-77-select">'
             '<img src="//img.example/77-e1.jpg"><h3>Coat</h3></li>')
     pages = spark.createDataFrame([(1, "https://s.example/list", html)], "page_id long, url string, html string")
-    out = P.extract_cards(pages, container=r'(?is)<li class="card"[^>]*>.*?</li>', fields={
+    out = P.extract_cards(pages, container=r'(?is)<li class="card"[^>]*>', fields={
         "product_url": "'https://s.example/products/p-' + [data-code] + '.html' + [data-missing]",
         "brand": "'Shop'", "title": r"(?is)<h3>(.*?)</h3>"}).first()
     assert out.product_url == "https://s.example/products/p-77.html"
@@ -86,3 +89,44 @@ def test_embedded_product_shapes(spark):
     assert got["5"] == ("T", "L", "19.5", "https://s.example/img/5-s.jpg")
     assert got["6"] == ("N", None, "7.25", "https://cdn/6-e1.jpg")
     assert got["7"] == ("M", None, "12.0", "https://m/7-ult21.png")
+
+
+def test_nested_card_markup_and_price_spec(spark):
+    html = ('<div class="card" data-product-id="1"><div><div>x</div><a href="/p/1"><b>Coat</b></a></div>'
+            '<div><img src="//i/1-e1.jpg"></div><em class="now">12.50</em></div><p>between</p>'
+            '<div class="card" data-product-id="2"><a href="/p/2">Hat</a><img src="//i/2-s.jpg"></div>')
+    pages = spark.createDataFrame([(1, "https://s.example/list", html)], "page_id long, url string, html string")
+    got = {r.card_id: (r.title, r.price, r.product_url) for r in P.extract_cards(pages, fields={"price": r'(?is)<em class="now">(.*?)</em>'}).collect()}
+    assert got == {"1": ("Coat", 12.5, "https://s.example/p/1"), "2": ("Hat", None, "https://s.example/p/2")}
+
+
+def test_card_image_only_in_the_embedded_json_stays(spark):
+    html = ('<script type="application/json">{"pad":"' + "x" * 100 + '","products":[{"id":"9","name":"E","image":"https://i/9-e1.jpg","price":7},'
+            '{"id":"9","name":"second","image":"https://i/other-e1.jpg"}]}</script><div class="card" data-product-id="9"><img src="/no.jpg"></div>'
+            '<div class="card" data-product-id="8"><img src="/no.jpg"></div>')
+    pages = spark.createDataFrame([(1, "https://s.example/list", html)], "page_id long, url string, html string")
+    assert P.extract_cards(pages).count() == 0
+    got = P.match_cards_to_embedded(pages).collect()
+    assert [(r.card_id, r.title, r.image_url, r.price) for r in got] == [("9", "E", "https://i/9-e1.jpg", 7.0)]
+
+
+def test_all_scripts_and_long_assignments_are_read(spark):
+    pad = "x" * 100
+    html = "".join(f'<script type="application/json">window.{pad}{i} = {{"products":[{{"id":"{i}"}}]}};</script>' for i in range(7))
+    pages = spark.createDataFrame([(1, "https://s.example/list", html)], "page_id long, url string, html string")
+    assert sorted(r.product_id for r in P.embedded_products(pages).collect()) == [str(i) for i in range(7)]
+    assert P.embedded_products(pages, max_scripts=5).count() == 5
+
+
+def test_jsonld_escapes_are_decoded(spark):
+    html = '<script type="application/ld+json">{"url":"https:\\/\\/h\\/p?a=1\\u0026b=2","x":{"url":""},"y":{"url":7}}</script>'
+    pages = spark.createDataFrame([(1, "https://s.example/list", html)], "page_id long, url string, html string")
+    assert [r.link for r in P.jsonld_urls(pages).collect()] == ["https://h/p?a=1&b=2"]
+    assert "https://h/p?a=1&b=2" in [r.link for r in P.category_links(pages).collect()]
+
+
+def test_endpoint_template_without_an_id(spark):
+    html = 'categoryId: 77 <a href="/c/5">x</a>'
+    pages = spark.createDataFrame([(1, "https://s.example/category/9/products", html)], "page_id long, url string, html string")
+    got = [r.endpoint for r in P.html_endpoints(pages, "https://s.example/api{path}", r"/category/(\d+)/").collect()]
+    assert got == ["https://s.example/api/c/5?ajax=true"]

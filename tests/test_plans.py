@@ -15,9 +15,26 @@ def q(spark, name):
     return E.queries()[name](spark, SF)
 
 
-def test_bounded_upsert_never_shuffles_the_target(spark):
-    s = summarise(plan_text(q(spark, "upsert_products")))
-    assert s["shuffles"] == 0 and s["broadcasts"] >= 1
+def test_building_a_run_starts_no_job(spark):
+    from shelfline.operators.maintain import pending_embeddings
+    from shelfline.plans import fixtures as FX
+    from shelfline.plans.catalog import feed_run
+    from shelfline.plans.queries import FEED_SITE, catalog, raw
+    part = FX.table(spark, SF, "part")
+    feeds, table = FX.feeds(raw(spark, SF)), catalog(spark, SF).drop("endpoint_pos", "item_pos")
+    sc = spark.sparkContext
+    sc.setJobGroup("building", "")
+    try:
+        feed_run(feeds, FEED_SITE, FX.FEED_MAPPING, table=table, sync=True)
+        pending_embeddings(FX.maintenance_target(part), FX.maintenance_batch(part))
+        assert list(sc.statusTracker().getJobIdsForGroup("building")) == []
+    finally:
+        sc._jsc.sc().clearJobGroup()
+
+
+def test_cards_are_filled_without_a_join_in_one_scan(spark):
+    s = summarise(plan_text(q(spark, "match_cards_to_embedded")))
+    assert len(s["scans"]) == 1 and "Join" not in plan_text(q(spark, "match_cards_to_embedded"))
 
 
 def test_discovery_jobs_scan_html_once(spark):
@@ -42,9 +59,8 @@ def test_reads_prune_columns_and_partitions(spark):
     assert "EqualTo(o_orderstatus,F)" in s["scans"][0]["pushed"]
 
 
-def test_dedup_is_partially_aggregated(spark):
-    text = plan_text(q(spark, "dedup_first"))
-    assert "partial_min_by" in text
+def test_dedup_limits_each_key_before_the_exchange(spark):
+    assert "WindowGroupLimit" in plan_text(q(spark, "dedup_first")).split("Exchange", 1)[1]
 
 
 def test_no_python_in_normalisers(spark):

@@ -92,14 +92,28 @@ def test_bucketed_maintenance(spark, tmp_path):
     assert t.read().count() == 2
 
 
-def test_snapshot_table_versions(spark, tmp_path):
-    from shelfline.sources.table import SnapshotTable
-    t = SnapshotTable(spark, str(tmp_path / "snap"))
-    assert t.read() is None
-    t.commit(spark.createDataFrame([("a", 1)], "id string, v int"), 1)
-    t.commit(spark.createDataFrame([("a", 2)], "id string, v int"), 2)
-    assert t.versions() == [1, 2]
-    assert t.read().first().v == 2 and t.read(before=2).first().v == 1
+def test_one_file_per_partition_one_pointer_and_cleanup(spark, tmp_path):
+    import os
+    from shelfline.sources.table import BucketedTable
+    t = BucketedTable(spark, str(tmp_path / "t"), "id", buckets=4, scope="source")
+    schema = "id string, source string, v int"
+    for n in range(4):
+        df = spark.createDataFrame([(f"i{i}", f"s{i % 3}", n) for i in range(200)], schema).repartition(8)
+        t.merge(t.stage(df, n), lambda cur, b: b, n)
+        t.unstage(n)
+    assert t.read().count() == 200 and {r.v for r in t.read().collect()} == {3}
+    files = [os.path.join(d, f) for d, _, fs in os.walk(tmp_path / "t" / "data") for f in fs if f.endswith(".parquet")]
+    assert len(files) <= 2 * 12  # the current version and the one before
+    assert sorted(x for x in os.listdir(tmp_path / "t") if not x.startswith(".")) == ["data", "manifest-000000000003", "manifest-000000000004"]
+
+
+def test_readers_keep_their_version_until_the_pointer_moves(spark, tmp_path):
+    from shelfline.sources.table import BucketedTable
+    t = BucketedTable(spark, str(tmp_path / "t"), "id", buckets=2)
+    t.merge(spark.createDataFrame([("a", 1), ("b", 1)], "id string, v int"), lambda cur, b: b, 0)
+    before = t.read()
+    t.merge(spark.createDataFrame([("a", 2)], "id string, v int"), lambda cur, b: upsert_products(cur, b), 1)
+    assert rows(before) == [("a", 1), ("b", 1)] and rows(t.read()) == [("a", 2), ("b", 1)]
 
 
 def test_delete_missing_rewrites_only_losing_partitions(spark, tmp_path):
@@ -114,16 +128,31 @@ def test_delete_missing_rewrites_only_losing_partitions(spark, tmp_path):
     assert t.read().count() == 39
 
 
-def test_upsert_unbounded_path_matches_broadcast_path(spark):
-    bounded = rows(upsert_products(target(spark), batch(spark)))
-    shuffled = rows(upsert_products(target(spark), batch(spark), max_broadcast_rows=0))
-    assert bounded == shuffled
-
-
-def test_prune_unbounded_path_matches_broadcast_path(spark):
-    t = target(spark)
+def test_results_do_not_depend_on_the_join_strategy(spark):
+    """Broadcast or shuffled, with repeated ids on either side, the rows are the same."""
+    t = target(spark).union(spark.createDataFrame([("a", "s1", "A again", "7USD", [4.0])], target(spark).schema))
+    b = batch(spark).union(spark.createDataFrame([("a", "s1", "8USD", [1.0], None), (None, "s1", "1USD", None, None)], batch(spark).schema))
     ids = spark.createDataFrame([("a",), ("a",)], "id string")
-    assert rows(prune_missing(t, ids, "s1")) == rows(prune_missing(t, ids, "s1", max_broadcast_rows=0))
+
+    def outcome():
+        return (rows(upsert_products(t, b.withColumn("pos", F.monotonically_increasing_id()), order="pos").drop("title")),
+                rows(prune_missing(target(spark), ids, "s1")), rows(pending_embeddings(target(spark), b.withColumn("image_url", F.lit("u")))))
+
+    small = outcome()
+    assert [r[0] for r in small[0]] == ["a", "b", "c", "d"]
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert outcome() == small
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_repeated_batch_ids_are_inserted_once(spark):
+    b = spark.createDataFrame([("d", "s1", "1USD"), ("d", "s1", "2USD")], "id string, source string, price string")
+    assert upsert_products(target(spark), b).filter("id = 'd'").count() == 1
+    first = upsert_products(target(spark), b.withColumn("pos", F.substring("price", 1, 1)), order="pos").filter("id = 'd'").first()
+    assert first.price == "1USD" and "pos" not in first.asDict()
 
 
 _ids = st.sampled_from([f"i{n}" for n in range(12)])

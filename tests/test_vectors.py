@@ -66,3 +66,41 @@ def test_exclude_self(spark):
     assert all(r.query_id != r.id for r in out)
     assert sorted({r.query_id for r in out}) == sorted(r.query_id for r in q.collect())
     assert all(sum(1 for r in out if r.query_id == qid) == 3 for qid in {r.query_id for r in out})
+
+
+def test_one_bad_text_costs_only_its_own_vector(spark):
+    def factory():
+        def encode(texts):
+            if "bad" in texts:
+                raise ValueError("bad text")
+            return np.array([[len(t), 1] for t in texts], dtype=np.float32)
+        return encode
+    t = spark.createDataFrame([(1, "a"), (2, "bad"), (3, "ccc"), (4, "dd")], "id int, text string").coalesce(1)
+    got = {r.id: r.e for r in V.embed_column(t, "text", factory, "e", 2).collect()}
+    assert got == {1: [1.0, 1.0], 2: None, 3: [3.0, 1.0], 4: [2.0, 1.0]}
+
+
+def test_empty_queries_and_other_widths(spark, tmp_path):
+    df = corpus(spark, n=50, dim=8)
+    none = spark.createDataFrame([], "query_id long, query_vec array<double>")
+    assert V.cosine_topk(df, none, 3).count() == 0
+    cents = V.build_ivf_index(df, str(tmp_path / "ivf"), lists=4)
+    assert V.ivf_topk(spark.read.parquet(str(tmp_path / "ivf")), cents, none, 3).count() == 0
+    mixed = df.union(spark.createDataFrame([(900, [1.0]), (901, None), (902, [])], df.schema))
+    q = spark.createDataFrame([(0, [1.0] * 8), (1, [2.0]), (2, None)], "query_id long, query_vec array<double>")
+    got = V.cosine_topk(mixed, q, 2).collect()
+    assert sorted((r.query_id, r["rank"]) for r in got) == [(0, 1), (0, 2), (1, 1)]
+    assert [r.id for r in got if r.query_id == 1] == [900]
+
+
+def test_partial_rows_are_bounded_by_pieces(spark, monkeypatch):
+    """Each piece of the corpus passes on k rows per query, whatever its size."""
+    monkeypatch.setattr(V, "PIECE_ROWS", 500)
+    monkeypatch.setattr(V, "QUERY_BLOCK", 16)
+    seen = {}
+    final = V._final_topk
+    monkeypatch.setattr(V, "_final_topk", lambda partial, k, id_col: seen.setdefault("n", partial.count()) and final(partial, k, id_col))
+    df = corpus(spark, n=2000, dim=8)
+    q = df.limit(40).select(F.col("id").alias("query_id"), F.col("embedding").alias("query_vec"))
+    out = V.cosine_topk(df, q, 5)
+    assert out.count() == 200 and seen["n"] <= 5 * 40 * 4
