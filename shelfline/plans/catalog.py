@@ -2,8 +2,11 @@
 
 E1 (feed run): documents -> items -> field map -> gates -> site defaults ->
 product rows -> price gate -> first row per id [-> embed -> upsert -> prune].
-It is one lazy plan; the only shuffles are the de-dup aggregate and, when a
-table is given, the joins against the batch ids.
+It is one lazy plan, and building it starts no job; the only shuffles are the
+de-dup and, when a table is given, the joins against the batch ids.
+
+E2 (page run): category pages -> cards filled from embedded JSON, or links ->
+product pages -> page fields -> product rows -> price gate -> first row per id.
 """
 
 from __future__ import annotations
@@ -20,7 +23,8 @@ from shelfline.operators.reads import site_totals
 from shelfline.sources import feeds as FD
 from shelfline.sources import pages as PG
 
-ORDER = ["endpoint_pos", "page", "item_pos"]
+#: Arrival order, unique over documents: the endpoint (a path, where none is configured) parts documents of one position.
+ORDER = ["endpoint_pos", "endpoint", "page", "item_pos"]
 
 
 def feed_products(feeds: DataFrame, site: dict, mapping: dict, limit: int = 0,
@@ -141,6 +145,7 @@ def maintain_products(table, products: DataFrame, source: str, sync: bool = Fals
     table.merge(products, lambda cur, b: stamp(cur, b, run_ts), change_id)
     if sync:
         table.delete_missing(source, products.select("id"), change_id + 1)
+    table.unstage(change_id)
 
 
 def run_sites(feeds: DataFrame, sites: DataFrame, mapping: dict, requested: str = "all",
@@ -167,7 +172,7 @@ def run_sites(feeds: DataFrame, sites: DataFrame, mapping: dict, requested: str
     if limit:
         raw = D.limit_per_site(raw, limit, site="site", order=order)
     rows = RW.to_product_row(raw, keep=["site"] + order)
-    products = D.dedup_first(RW.price_gate(rows), "id", order).drop(*order)
+    products = D.dedup_first(RW.price_gate(rows), "id", ["site"] + order).drop(*order)
     totals = site_totals(products, "site")
     if table is not None and not dry_run:
         import datetime as _dt
@@ -178,4 +183,5 @@ def run_sites(feeds: DataFrame, sites: DataFrame, mapping: dict, requested: str
             # One prune per source of the chosen sites (a bounded config list).
             for (src,) in chosen.select("source").distinct().collect():
                 table.delete_missing(src, out.filter(F.col("source") == src).select("id"), change_id + 1)
+        table.unstage(change_id)
     return products, totals

@@ -468,9 +468,9 @@ prod AS (SELECT sha256({q(source + ':')} || external_id) AS id, {q(source)} AS s
     '{{id}}', seo_product_id), '{{discern_id}}', external_id) END AS product_url,
   false AS second_hand, {feed_price()} AS price, {FEED_SALE} AS sale,
   {S.gender('gender')} AS gender, {S.category('endpoint')} AS category, {FEED_SIZE} AS size,
-  'merchant_name: Shop country: w' AS metadata_text, endpoint_pos, page, item_pos FROM fp),
+  'merchant_name: Shop country: w' AS metadata_text, endpoint_pos, endpoint, page, item_pos FROM fp),
 feed_products AS (SELECT * FROM prod WHERE {truthy('price')}
-  QUALIFY row_number() OVER (PARTITION BY id ORDER BY endpoint_pos, page, item_pos) = 1)
+  QUALIFY row_number() OVER (PARTITION BY id ORDER BY endpoint_pos, endpoint, page, item_pos) = 1)
 """
 
 
@@ -503,7 +503,7 @@ ORACLE["feed_run_sync"] = (_E1_HEAD + _E1_TAIL.rstrip() + _FEEDS_TAIL.rstrip() +
 ORACLE["stream_feed_run"] = FEEDS + feed_products_ctes(K.DEFAULT_SITE_SOURCE) + f"""
 SELECT {PRODUCT_COLS} FROM prod WHERE {truthy('price')}
 QUALIFY row_number() OVER (PARTITION BY id ORDER BY floor(endpoint_pos * 4 / (SELECT max(endpoint_pos) + 1 FROM mapped)) DESC,
-  endpoint_pos, page, item_pos) = 1"""
+  endpoint_pos, endpoint, page, item_pos) = 1"""
 
 ORACLE["jsonld_urls"] = CARDS + f"""SELECT page_id, card_pos AS pos,
   '{SHOP}/products/handle-' || CAST(k AS VARCHAR) || '?a=1&b=2' AS link FROM cards"""
@@ -547,11 +547,11 @@ ORACLE["run_sites"] = FEEDS + f""",
 with_site AS (SELECT *, 'Brand#' || CAST(endpoint_pos % 5 + 1 AS VARCHAR) AS site FROM usable),
 chosen AS (SELECT * FROM with_site WHERE lower(site) IN ('brand#1', 'brand#3', 'brand#5')
   AND site IN (SELECT p_brand FROM part)),
-limited AS (SELECT * FROM chosen QUALIFY row_number() OVER (PARTITION BY site ORDER BY endpoint_pos, page, item_pos) <= 3),
+limited AS (SELECT * FROM chosen QUALIFY row_number() OVER (PARTITION BY site ORDER BY endpoint_pos, endpoint, page, item_pos) <= 3),
 priced AS (SELECT site, sha256(lower(replace(site, '#', '-')) || ':' || external_id) AS id,
-  {feed_price()} AS price, endpoint_pos, page, item_pos FROM limited),
+  {feed_price()} AS price, endpoint_pos, endpoint, page, item_pos FROM limited),
 firsts AS (SELECT * FROM priced WHERE {truthy('price')}
-  QUALIFY row_number() OVER (PARTITION BY id ORDER BY endpoint_pos, page, item_pos) = 1)
+  QUALIFY row_number() OVER (PARTITION BY id ORDER BY site, endpoint_pos, endpoint, page, item_pos) = 1)
 SELECT site, count(*) AS imported FROM firsts GROUP BY ROLLUP (site)"""
 
 ORACLE["ivf_topk_all_cells"] = ORACLE["cosine_topk"]

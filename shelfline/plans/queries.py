@@ -818,7 +818,7 @@ RUN_1, RUN_2 = "2024-01-01 00:00:00", "2024-02-01 00:00:00"
 def synced_table(spark, sf):
     """The F1 catalog persisted (run 1), then a src1 feed run with sync (run 2)."""
     import datetime as dt
-    from shelfline.plans.catalog import feed_products, maintain_products
+    from shelfline.plans.catalog import ORDER, feed_products, maintain_products
     from shelfline.session import shared_dir
     from shelfline.sources.table import BucketedTable
     table = BucketedTable(spark, shared_dir(spark, "products"), "id", buckets=16, scope="source")
@@ -826,7 +826,7 @@ def synced_table(spark, sf):
     maintain_products(table, initial, "src1", sync=False, change_id=0,
                       run_ts=dt.datetime.fromisoformat(RUN_1))
     run = feed_products(_feeds(spark, sf), dict(FEED_SITE, source="src1"), FX.FEED_MAPPING)
-    maintain_products(table, run.drop("endpoint_pos", "page", "item_pos"), "src1", sync=True, change_id=1,
+    maintain_products(table, run.drop(*ORDER), "src1", sync=True, change_id=1,
                       run_ts=dt.datetime.fromisoformat(RUN_2))
     return table
 

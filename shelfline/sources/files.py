@@ -30,7 +30,8 @@ def read_feed_documents(spark: SparkSession, paths, urls: DataFrame | None = Non
     """``feeds(endpoint, endpoint_pos, page, payload)`` from JSON files.
 
     ``urls`` (path, endpoint, endpoint_pos) maps files to their endpoints;
-    without it the file path is the endpoint and position 0.
+    without it the file path is the endpoint, and at position 0 all documents
+    arrive in the order of their paths.
     """
     docs = _whole_files(spark, paths).withColumnRenamed("value", "payload")
     if urls is not None:

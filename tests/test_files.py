@@ -29,3 +29,16 @@ def test_render_for_sink(spark):
     df = spark.createDataFrame([(["a", "b"], {"country": "us"})], "additional_images array<string>, metadata map<string,string>")
     r = render_for_sink(df).first()
     assert r.additional_images == '["a","b"]' and r.metadata == '{"country":"us"}'
+
+
+def test_documents_arrive_in_path_order(spark, tmp_path):
+    """Without configured endpoints the first path wins a repeated id, and a limit takes the first paths' items."""
+    from shelfline.plans.catalog import feed_products
+    from shelfline.plans.fixtures import FEED_MAPPING, SITE
+    from shelfline.sources.files import read_feed_documents
+    for name, price in (("b", "2"), ("a", "1"), ("c", "3")):
+        item = '{"id":"1","seo":{"discernProductId":"A"},"name":"n","price":"%s","xmedia":[{"url":"https://i/1-s.jpg"}]}' % price
+        (tmp_path / f"{name}.json").write_text('{"products":[' + item + "]}")
+    docs = read_feed_documents(spark, str(tmp_path))
+    assert [r.price for r in feed_products(docs, SITE, FEED_MAPPING).collect()] == ["1USD"]
+    assert [r.price for r in feed_products(docs, SITE, FEED_MAPPING, limit=1).collect()] == ["1USD"]
