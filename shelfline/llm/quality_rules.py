@@ -28,8 +28,9 @@ MAX_LOST = 0.5
 ADDED = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "lost_words", "base_failed", "kept", "clean_text")
 
 #: Line rules, plain enough to read alike in Java and RE2. A line fails if one finds a match.
-SHOUT = r"(?:[^\x20\x09-\x0D]+[!?]{2,}[\x20\x09-\x0D]+){4}"                # four words in a row that end in !! or ??
-NAVIGATION = r"(?:[^\x20\x09-\x0D]+[\x20\x09-\x0D]+[|»›•·][\x20\x09-\x0D]+){3}"  # a row of separated entries
+#: They begin with a rare character, so a text without it is passed over quickly.
+SHOUT = r"[!?]{2}[\x20\x09-\x0D]+(?:[^\x20\x09-\x0D]+[!?]{2}[\x20\x09-\x0D]+){2}[^\x20\x09-\x0D]+[!?]{2}"  # four words in a row that end in !! or ??
+NAVIGATION = r"(?:[|»›•·][\x20\x09-\x0D]+[^\x20\x09-\x0D]+[\x20\x09-\x0D]+){2}[|»›•·]"  # a row of separated entries
 BOILERPLATE = (r"(?i)\b(?:all rights reserved|cookie policy|accept (?:all )?cookies|we use cookies|privacy policy|terms of (?:use|service)"
                r"|click here|read more|sign up|log ?in to|subscribe to our|newsletter|enable javascript|javascript is (?:disabled|required)"
                r"|share (?:this|on) (?:facebook|twitter)|powered by wordpress|skip to (?:main )?content|back to top|lorem ipsum)\b")
@@ -42,10 +43,10 @@ def _let(value: Column, body) -> Column:
 
 
 def repeated_words(words: Column) -> Column:
-    """Words that stand in a three-word window held twice or more."""
+    """Words that stand in a three-word window held twice or more; ``words`` is a plain reference."""
     none = F.array().cast("array<bigint>")
-    hashes = _let(words, lambda w: F.when(F.size(w) >= 3, F.transform(
-        F.sequence(F.lit(0), F.size(w) - 3), lambda i: F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)))).otherwise(none))
+    hashes = F.when(F.size(words) >= 3, F.transform(
+        F.sequence(F.lit(0), F.size(words) - 3), lambda i: F.xxhash64(F.get(words, i), F.get(words, i + 1), F.get(words, i + 2)))).otherwise(none)
 
     def places(h: Column) -> Column:
         pairs = F.array_sort(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
@@ -67,20 +68,29 @@ def quality_rules(docs: DataFrame, min_words: int = MIN_WORDS, max_repeat_pct: i
     text = F.coalesce(F.col("text"), F.lit(""))
     lines = F.split(text, "\n")
 
-    def fails(line: Column) -> Column:
-        return line.rlike(SHOUT) | line.rlike(NAVIGATION) | line.rlike(BOILERPLATE)
-
-    spoken = F.filter(lines, lambda x: x.rlike(WORD))
-    out = docs.select(
-        "*",
-        F.regexp_count(text, F.lit(WORD)).cast("long").alias("n_words"),
-        (F.length(text) - F.regexp_count(text, F.lit(r"[\x20\x09-\x0D]"))).cast("long").alias("word_chars"),
-        F.regexp_count(text, F.lit(r"[#*$%&|<>]")).cast("long").alias("n_symbols"),
-        _let(spoken, lambda s: F.size(s) - F.size(F.array_distinct(s))).cast("long").alias("n_dup_lines"),
-        repeated_words(F.regexp_extract_all(text, F.lit(WORD), F.lit(0))).alias("n_repeat_words"),
-        F.regexp_count(F.array_join(F.filter(lines, fails), "\n"), F.lit(WORD)).cast("long").alias("lost_words"),
-        F.array_join(F.filter(lines, lambda x: ~fails(x)), "\n").alias("clean_text"),
-    )
-    out = out.withColumn("base_failed", (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat_pct * F.col("n_words")))
-    out = out.withColumn("kept", ~F.col("base_failed") & (F.col("lost_words") <= max_lost * F.col("n_words")))
-    return out.select(*docs.columns, *ADDED)
+    def fails(x: Column) -> Column:
+        return x.rlike(SHOUT) | x.rlike(NAVIGATION) | x.rlike(BOILERPLATE)
+
+    def verdict(w: Column) -> Column:
+        # Only a text in which a rule finds something can have a line that fails.
+        found = F.when(fails(text), F.transform(lines, lambda x: F.struct(x.alias("line"), fails(x).alias("bad"))))
+        spoken = F.filter(lines, lambda x: x.rlike(WORD))
+        n_words = F.size(w).cast("long")
+        counts = F.struct(
+            n_words.alias("n_words"),
+            (F.length(text) - F.regexp_count(text, F.lit(r"[\x20\x09-\x0D]"))).cast("long").alias("word_chars"),
+            F.regexp_count(text, F.lit(r"[#*$%&|<>]")).cast("long").alias("n_symbols"),
+            _let(spoken, lambda s: F.size(s) - F.size(F.array_distinct(s))).cast("long").alias("n_dup_lines"),
+            repeated_words(w).alias("n_repeat_words"),
+            _let(found, lambda f: F.struct(
+                F.coalesce(F.regexp_count(F.array_join(F.transform(F.filter(f, lambda x: x["bad"]), lambda x: x["line"]), "\n"), F.lit(WORD)),
+                           F.lit(0)).cast("long").alias("lost_words"),
+                F.coalesce(F.array_join(F.transform(F.filter(f, lambda x: ~x["bad"]), lambda x: x["line"]), "\n"), text).alias("clean_text"))).alias("lines"))
+        return _let(counts, lambda c: _let((c["n_words"] < min_words) | (100 * c["n_repeat_words"] > max_repeat_pct * c["n_words"]), lambda failed: F.struct(
+            *[c[x].alias(x) for x in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")],
+            c["lines"]["lost_words"].alias("lost_words"), failed.alias("base_failed"),
+            (~failed & (c["lines"]["lost_words"] <= max_lost * c["n_words"])).alias("kept"), c["lines"]["clean_text"].alias("clean_text"))))
+
+    # As a generator's output, so that a later filter on it does not work it out a second time.
+    words = F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
+    return docs.select("*", F.inline(F.transform(F.array(words), verdict))).select(*docs.columns, *ADDED)
