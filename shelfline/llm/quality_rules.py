@@ -29,12 +29,12 @@ ADDED = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
 
 #: Line rules, plain enough to read alike in Java and RE2. A line fails if one finds a match.
 #: They begin with a rare character, so a text without it is passed over quickly.
-SHOUT = r"[!?]{2}[\x20\x09-\x0D]+(?:[^\x20\x09-\x0D]+[!?]{2}[\x20\x09-\x0D]+){2}[^\x20\x09-\x0D]+[!?]{2}"  # four words in a row that end in !! or ??
+PUNCTUATION = r"[!?#*$%&]{2}[\x20\x09-\x0D]+(?:[^\x20\x09-\x0D]+[!?#*$%&]{2}[\x20\x09-\x0D]+){2}[^\x20\x09-\x0D]+[!?#*$%&]{2}"  # four words in a row that end in doubled marks
 NAVIGATION = r"(?:[|»›•·][\x20\x09-\x0D]+[^\x20\x09-\x0D]+[\x20\x09-\x0D]+){2}[|»›•·]"  # a row of separated entries
 BOILERPLATE = (r"(?i)\b(?:all rights reserved|cookie policy|accept (?:all )?cookies|we use cookies|privacy policy|terms of (?:use|service)"
                r"|click here|read more|sign up|log ?in to|subscribe to our|newsletter|enable javascript|javascript is (?:disabled|required)"
                r"|share (?:this|on) (?:facebook|twitter)|powered by wordpress|skip to (?:main )?content|back to top|lorem ipsum)\b")
-LINE_RULES = (SHOUT, NAVIGATION, BOILERPLATE)
+LINE_RULES = (PUNCTUATION, NAVIGATION, BOILERPLATE)
 
 
 def _let(value: Column, body) -> Column:
@@ -69,7 +69,7 @@ def quality_rules(docs: DataFrame, min_words: int = MIN_WORDS, max_repeat_pct: i
     lines = F.split(text, "\n")
 
     def fails(x: Column) -> Column:
-        return x.rlike(SHOUT) | x.rlike(NAVIGATION) | x.rlike(BOILERPLATE)
+        return x.rlike(PUNCTUATION) | x.rlike(NAVIGATION) | x.rlike(BOILERPLATE)
 
     def verdict(w: Column) -> Column:
         # Only a text in which a rule finds something can have a line that fails.
