@@ -232,7 +232,8 @@ def _scan(threshold: float):
 
 def _component_links(nodes: DataFrame, members: DataFrame, threshold: float) -> DataFrame:
     """(node, links) for all nodes of the components in ``members`` (node, root)."""
-    sizes = members.groupBy("root").agg(F.ceil(F.count("*") / SCAN).cast("int").alias("blocks"))
+    # Staged, so that the join with a large component's members is a plain one that Spark can split.
+    sizes = staged(members.groupBy("root").agg(F.ceil(F.count("*") / SCAN).cast("int").alias("blocks")), "sizes")
     blocked = members.join(sizes, "root").join(nodes, "node").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     # A block meets each block once; the smaller number is the left one.
     meets = blocked.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -293,7 +294,7 @@ def embedding_groups(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFr
     scanned = _component_links(nodes.select("node", "n", "dim", "vec"), saturated, threshold)
     listed = both.join(slim.select(F.col("node").alias("v"), "n"), "v").groupBy(F.col("u").alias("node")).agg(F.sum("n").alias("listed"))
     named = slim.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    least = named.groupBy("root").agg(F.min("least").alias("component_id"))
+    least = staged(named.groupBy("root").agg(F.min("least").alias("component_id")), "least")
     per_node = (named.join(least, "root").join(scanned, "node", "left").join(listed, "node", "left")
                 .select("node", (F.coalesce("links", "listed", F.lit(0)) + F.col("n") - 1).alias("n_links"), "component_id"))
     per_node = staged(per_node.join(nodes.select("node", "vec"), "node").drop("node"), "result")
