@@ -74,3 +74,11 @@ def replace_first(c, needle: str, repl: str) -> Column:
     head = c.substr(F.lit(1), pos - 1)
     tail = c.substr(pos + len(needle), F.length(c) + 1)
     return F.when(pos > 0, F.concat(head, F.lit(repl), tail)).otherwise(c)
+
+
+def compiled_apart(c) -> Column:
+    """The column, kept out of whole-stage code: a projection that holds it is
+    compiled by itself, in pieces. For wide projections whose fused code would
+    pass the JVM's 64 KB method limit, which Spark only finds out after it has
+    tried to compile it."""
+    return F.transform(F.array(col(c)), lambda x: x)[0]

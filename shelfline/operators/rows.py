@@ -1,7 +1,7 @@
 """Row operators: site defaults, the product projection, and row gates.
 
-``to_product_row`` is one ``select``: every normaliser is a Column
-expression, so the whole step fuses into a single codegen stage.
+``to_product_row`` is one ``select`` of compiled Column expressions. It is too
+wide to be fused with what stands around it, so it is compiled by itself.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from shelfline import constants as K
 from shelfline.functions import normalize as N
-from shelfline.functions.text import truthy, py_or, strip
+from shelfline.functions.text import compiled_apart, truthy, py_or, strip
 
 PRODUCT_COLUMNS = ["id", "source", "title", "description", "brand", "image_url",
                    "additional_images", "product_url", "affiliate_url", "second_hand",
@@ -116,7 +116,7 @@ def to_product_row(raw: DataFrame, keep: list[str] | None = None,
         from shelfline.operators.maintain import category_lookup
         base = category_lookup(stage, categories, out="_category")
     cols = [
-        pid.alias("id"),
+        compiled_apart(pid).alias("id"),
         source.alias("source"),
         N.clean_title(g("title")).alias("title"),
         N.clean_description(g("description")).alias("description"),
@@ -126,7 +126,7 @@ def to_product_row(raw: DataFrame, keep: list[str] | None = None,
         url.alias("product_url"),
         g("affiliate_url").alias("affiliate_url"),
         F.lit(False).alias("second_hand"),
-        price.alias("price"),
+        compiled_apart(price).alias("price"),
         sale.alias("sale"),
         N.normalize_gender(g("gender")).alias("gender"),
         category.alias("category"),

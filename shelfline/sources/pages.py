@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from shelfline import constants as K
 from shelfline.functions import normalize as N
 from shelfline.functions import urls as U
-from shelfline.functions.text import strip, truthy, first_truthy
+from shelfline.functions.text import compiled_apart, strip, truthy, first_truthy
 from shelfline.operators.dedup import ordered_distinct
 
 ANCHOR = r"<a\s[^>]*>"
@@ -291,14 +291,14 @@ def _card_rows(cards: DataFrame, url: str, fields: dict, keep=()) -> DataFrame:
     frag = F.col("frag")
     staged = cards.select(
         "page_id", url, F.col("card_pos").cast("bigint").alias("card_pos"), *keep, "frag",
-        _card_url(frag, F.col(url), fields).alias("product_url"),
+        compiled_apart(_card_url(frag, F.col(url), fields)).alias("product_url"),
         F.regexp_extract(frag, r"<img\s[^>]*>", 0).alias("_img"),
         N.parse_price_number(_spec_column(fields.get("price", PRICE_SPEC), frag, _open_tag(frag))).alias("price"),
         (_spec_column(fields["title"], frag, _open_tag(frag)) if "title" in fields
          else F.nullif(node_text(F.regexp_extract(frag, r"(?is)<a\s[^>]*>(.*?)</a>", 1)), F.lit(""))).alias("title"),
         *[_spec_column(spec, frag, _open_tag(frag)).alias(n) for n, spec in fields.items() if n not in ("product_url", "title", "price")])
     image = U.absolute_image_src(F.coalesce(_attr(F.col("_img"), "src"), _attr(F.col("_img"), "data-src")), F.col(url))
-    out = staged.withColumn("card_id", _card_id(F.col("frag"), F.col("product_url"))).withColumn("_full", image)
+    out = staged.withColumn("card_id", compiled_apart(_card_id(F.col("frag"), F.col("product_url")))).withColumn("_full", image)
     out = out.withColumn("image_url", F.when(N.is_allowed_image_url("_full"), F.col("_full")).otherwise(F.lit("")))
     return out.select("page_id", "card_pos", *keep, "card_id", "product_url", "image_url", "price", "title",
                       *[n for n in fields if n not in ("product_url", "title", "price")])
