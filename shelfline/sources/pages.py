@@ -289,14 +289,14 @@ def extract_cards(pages: DataFrame, container: str = CARD, url: str = "url",
 def _card_rows(cards: DataFrame, url: str, fields: dict, keep=()) -> DataFrame:
     """Fragments (page_id, url, card_pos, frag) -> card fields, '' for an image that is not allowed."""
     frag = F.col("frag")
-    staged = cards.select(
+    staged = _settled(cards.select(
         "page_id", url, F.col("card_pos").cast("bigint").alias("card_pos"), *keep, "frag",
         compiled_apart(_card_url(frag, F.col(url), fields)).alias("product_url"),
         F.regexp_extract(frag, r"<img\s[^>]*>", 0).alias("_img"),
         N.parse_price_number(_spec_column(fields.get("price", PRICE_SPEC), frag, _open_tag(frag))).alias("price"),
         (_spec_column(fields["title"], frag, _open_tag(frag)) if "title" in fields
          else F.nullif(node_text(F.regexp_extract(frag, r"(?is)<a\s[^>]*>(.*?)</a>", 1)), F.lit(""))).alias("title"),
-        *[_spec_column(spec, frag, _open_tag(frag)).alias(n) for n, spec in fields.items() if n not in ("product_url", "title", "price")])
+        *[_spec_column(spec, frag, _open_tag(frag)).alias(n) for n, spec in fields.items() if n not in ("product_url", "title", "price")]))
     image = U.absolute_image_src(F.coalesce(_attr(F.col("_img"), "src"), _attr(F.col("_img"), "data-src")), F.col(url))
     out = staged.withColumn("card_id", compiled_apart(_card_id(F.col("frag"), F.col("product_url")))).withColumn("_full", image)
     out = out.withColumn("image_url", F.when(N.is_allowed_image_url("_full"), F.col("_full")).otherwise(F.lit("")))
@@ -304,9 +304,16 @@ def _card_rows(cards: DataFrame, url: str, fields: dict, keep=()) -> DataFrame:
                       *[n for n in fields if n not in ("product_url", "title", "price")])
 
 
+def _settled(df: DataFrame) -> DataFrame:
+    """The same rows as a generator's output: filters and projections that
+    follow use the values, where Spark would otherwise copy the expressions
+    into each of them and work them out again."""
+    return df.select(F.inline(F.array(F.struct(*df.columns))))
+
+
 def _finished(cards: DataFrame, title_prefix: str | None) -> DataFrame:
     """Cards with an id and an allowed image; a missing title gets a default."""
-    out = cards.filter(truthy("card_id") & truthy("image_url"))
+    out = _settled(cards).filter(truthy("card_id") & truthy("image_url"))
     if title_prefix is None:
         return out
     return out.withColumn("title", F.coalesce(F.nullif(F.col("title"), F.lit("")), F.concat(F.lit(title_prefix), F.col("card_id"))))
@@ -327,8 +334,8 @@ def match_cards_to_embedded(pages: DataFrame, container: str = CARD, url: str =
                         embedded_array(F.col(html), F.col(url), max_scripts).alias("_embedded"))
 
     def matched(frag: Column) -> Column:
-        cid = _card_id(frag, _card_url(frag, F.col("url"), fields))
-        first = F.get(F.filter("_embedded", lambda e: e["product_id"] == cid), F.lit(0))
+        cid = F.array(_card_id(frag, _card_url(frag, F.col("url"), fields)))  # worked out once per card
+        first = F.transform(cid, lambda c: F.get(F.filter("_embedded", lambda e: e["product_id"] == c), F.lit(0)))[0]
         return F.struct(frag.alias("frag"), first.alias("m"))
 
     cards = page.select("page_id", "url", F.posexplode(F.transform("_cards", matched)).alias("card_pos", "c"))
@@ -391,34 +398,35 @@ def embedded_array(html: Column, page: Column, max_scripts: int | None = None) -
     (objects give url/src/large/medium), made absolute and kept only if
     allowed.
     """
-    # All scripts of a page live in one row: no shuffle, no window.
-    def attrs(t):
-        return F.lower(F.regexp_extract(t, r"(?is)^<script([^>]*)>", 1))
-
-    def body(t):
-        return strip(F.regexp_extract(t, r"(?is)^<script[^>]*>(.*)</script>$", 1))
-
-    def mentions(t):
-        b = F.lower(body(t))
-        return b.contains("product") | b.contains("item")
-
-    # JSON-typed scripts win if the page has any; the length rule applies after.
-    tags = F.regexp_extract_all(html, F.lit(SCRIPT), 0)
-    has_json = F.exists(tags, lambda t: attrs(t).contains("application/json"))
-    chosen = F.filter(tags, lambda t: F.when(has_json, attrs(t).contains("application/json"))
-                      .otherwise(mentions(t)) & (F.length(body(t)) > 100))
-    if max_scripts is not None:
-        chosen = F.slice(chosen, 1, max_scripts)
+    # All scripts of a page live in one row: no shuffle, no window. Each is
+    # taken apart once, into its attributes and its text.
+    def parts(tag):
+        text = strip(F.regexp_extract(tag, r"(?is)^<script[^>]*>(.*)</script>$", 1))
+        return F.struct(F.lower(F.regexp_extract(tag, r"(?is)^<script([^>]*)>", 1)).contains("application/json").alias("json"), text.alias("text"))
+
+    def mentions(text):
+        low = F.lower(text)
+        return low.contains("product") | low.contains("item")
+
     # One parse per script: every candidate list is a field of one struct.
     doc_schema = "struct<" + ",".join(f"{k}:{EMBEDDED_PRODUCT}" for k in K.EMBEDDED_JSON_KEYS) + ">"
 
-    def products(tag, spos):
-        json = F.regexp_replace(F.regexp_extract(body(tag), r"(?s)\{.*", 0), r";\s*$", "")
-        lists = F.transform(F.array(F.from_json(json, doc_schema)), lambda doc: F.coalesce(
+    def products(script, spos):
+        text = F.regexp_replace(F.regexp_extract(script["text"], r"(?s)\{.*", 0), r";\s*$", "")
+        lists = F.transform(F.array(F.from_json(text, doc_schema)), lambda doc: F.coalesce(
             *[F.when(F.size(doc[k]) > 0, doc[k]) for k in K.EMBEDDED_JSON_KEYS]))[0]
         return F.transform(lists, lambda p, ppos: embedded_product(p, page, spos, ppos))
 
-    return F.flatten(F.filter(F.transform(chosen, products), lambda x: x.isNotNull()))
+    def of_page(scripts):
+        # JSON-typed scripts win if the page has any; the length rule applies after.
+        has_json = F.exists(scripts, lambda s: s["json"])
+        chosen = F.filter(scripts, lambda s: F.when(has_json, s["json"]).otherwise(mentions(s["text"])) & (F.length(s["text"]) > 100))
+        if max_scripts is not None:
+            chosen = F.slice(chosen, 1, max_scripts)
+        return F.flatten(F.filter(F.transform(chosen, products), lambda x: x.isNotNull()))
+
+    scripts = F.transform(F.regexp_extract_all(html, F.lit(SCRIPT), 0), parts)
+    return F.transform(F.array(scripts), of_page)[0]
 
 
 def embedded_product(p: Column, page: Column, spos: Column, ppos: Column) -> Column:
