@@ -18,6 +18,14 @@ PRODUCT_COLUMNS = ["id", "source", "title", "description", "brand", "image_url",
                    "price", "sale", "gender", "category", "size", "metadata"]
 
 
+def settled(df: DataFrame) -> DataFrame:
+    """The same rows as a generator's output: filters and projections that
+    follow use the values, where Spark would otherwise copy the expressions
+    into each of them and work them out again. Columns that nothing reads are
+    not pruned through it."""
+    return df.select(F.inline(F.array(F.struct(*df.columns))))
+
+
 def _get(df: DataFrame, name: str, dtype: str = "string") -> Column:
     return F.col(name) if name in df.columns else F.lit(None).cast(dtype)
 
@@ -199,7 +207,7 @@ def product_key_text(products: DataFrame) -> Column:
     return F.concat_ws(":", F.col("source"), F.coalesce(F.col("product_url"), F.lit("None")))
 
 
-__all__ = ["apply_site_defaults", "to_product_row", "with_info_text", "price_gate",
+__all__ = ["settled", "apply_site_defaults", "to_product_row", "with_info_text", "price_gate",
            "required_fields_gate", "format_for_db", "pick_image", "PRODUCT_COLUMNS",
            "product_key_text", "render_for_sink"]
 

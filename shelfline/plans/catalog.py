@@ -43,7 +43,7 @@ def feed_products(feeds: DataFrame, site: dict, mapping: dict, limit: int = 0,
     order = [c for c in ORDER if c in raw.columns]
     if limit:
         raw = raw.orderBy(*order).limit(limit)
-    rows = RW.to_product_row(raw, keep=order)
+    rows = RW.settled(RW.to_product_row(raw, keep=order))
     return D.dedup_first(RW.price_gate(rows), "id", order)
 
 
@@ -75,7 +75,7 @@ def _page_tail(raw: DataFrame, site: dict, order: list[str], limit: int) -> Data
         raw = raw.orderBy(*order).limit(limit)
     if dict(raw.dtypes).get("price") == "double":  # a number, formatted with the currency
         raw = raw.withColumn("price", F.when(F.col("price").isNotNull(), F.struct(F.lit("DOUBLE").alias("kind"), F.col("price").cast("string").alias("raw"))))
-    rows = RW.to_product_row(raw, keep=order)
+    rows = RW.settled(RW.to_product_row(raw, keep=order))
     return D.dedup_first(RW.price_gate(rows), "id", order).drop(*order)
 
 
@@ -171,7 +171,7 @@ def run_sites(feeds: DataFrame, sites: DataFrame, mapping: dict, requested: str
     order = [c for c in ORDER if c in raw.columns]
     if limit:
         raw = D.limit_per_site(raw, limit, site="site", order=order)
-    rows = RW.to_product_row(raw, keep=["site"] + order)
+    rows = RW.settled(RW.to_product_row(raw, keep=["site"] + order))
     products = D.dedup_first(RW.price_gate(rows), "id", ["site"] + order).drop(*order)
     totals = site_totals(products, "site")
     if table is not None and not dry_run:

@@ -99,15 +99,19 @@ def read_feed_items(feeds: DataFrame, paths=None, schema: T.StructType = ITEM_SC
     keep = [c for c in feeds.columns if c != payload]
 
     def with_lists(df: DataFrame, item: T.StructType, name: str) -> DataFrame:
-        """The item lists of every path, as one array column."""
-        read = df.withColumn("_d", F.from_json(F.col(payload), document_schema(item)))
+        """The item lists of every path, as one array column; the document is read once (as a generator's output)."""
+        read = df.select("*", F.inline(F.array(F.from_json(F.col(payload), document_schema(item)))))
         fields = f"named_struct({', '.join(f"'{f}', x.{f}" for f in item.names)})"
         lists = F.array(*[F.expr(f"transform({p}, x -> if(x IS NULL, NULL, {fields}))") for p in paths])
-        return read.select(*df.columns, "_d.*").select(*df.columns, lists.alias(name))
+        return read.select(*df.columns, lists.alias(name))
 
     read = with_lists(feeds, schema, "_items")
     if typed:
         read = with_lists(read, T.StructType([T.StructField(f, T.VariantType()) for f in typed]), "_typed")
+    # Values from here on: the filter below would otherwise read every document again.
+    lists = [c for c in read.columns if c not in feeds.columns]
+    read = read.select(*feeds.columns, F.inline(F.array(F.struct(*lists))))
+
     def has_item(x):
         return x.isNotNull()  # a null item is null in both readings
 

@@ -16,6 +16,7 @@ from shelfline.functions import normalize as N
 from shelfline.functions import urls as U
 from shelfline.functions.text import compiled_apart, strip, truthy, first_truthy
 from shelfline.operators.dedup import ordered_distinct
+from shelfline.operators.rows import settled
 
 ANCHOR = r"<a\s[^>]*>"
 SCRIPT = r"(?is)<script([^>]*)>(.*?)</script>"
@@ -289,7 +290,7 @@ def extract_cards(pages: DataFrame, container: str = CARD, url: str = "url",
 def _card_rows(cards: DataFrame, url: str, fields: dict, keep=()) -> DataFrame:
     """Fragments (page_id, url, card_pos, frag) -> card fields, '' for an image that is not allowed."""
     frag = F.col("frag")
-    staged = _settled(cards.select(
+    staged = settled(cards.select(
         "page_id", url, F.col("card_pos").cast("bigint").alias("card_pos"), *keep, "frag",
         compiled_apart(_card_url(frag, F.col(url), fields)).alias("product_url"),
         F.regexp_extract(frag, r"<img\s[^>]*>", 0).alias("_img"),
@@ -304,16 +305,9 @@ def _card_rows(cards: DataFrame, url: str, fields: dict, keep=()) -> DataFrame:
                       *[n for n in fields if n not in ("product_url", "title", "price")])
 
 
-def _settled(df: DataFrame) -> DataFrame:
-    """The same rows as a generator's output: filters and projections that
-    follow use the values, where Spark would otherwise copy the expressions
-    into each of them and work them out again."""
-    return df.select(F.inline(F.array(F.struct(*df.columns))))
-
-
 def _finished(cards: DataFrame, title_prefix: str | None) -> DataFrame:
     """Cards with an id and an allowed image; a missing title gets a default."""
-    out = _settled(cards).filter(truthy("card_id") & truthy("image_url"))
+    out = settled(cards).filter(truthy("card_id") & truthy("image_url"))
     if title_prefix is None:
         return out
     return out.withColumn("title", F.coalesce(F.nullif(F.col("title"), F.lit("")), F.concat(F.lit(title_prefix), F.col("card_id"))))
