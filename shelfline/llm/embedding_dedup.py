@@ -7,10 +7,13 @@
 3. Rounds of local joins refine them: the neighbours of a node, forward and
    back, are compared with one another, and better pairs enter the lists
    (``K`` nearest of each node).
-4. A list that is full of links is saturated. The lists of its component are
+4. A link that a full list has no room for still joins its two nodes: before
+   a list is cut, each comparison passes on the links that span what it saw,
+   and each task a spanning forest of them.
+5. A list that is full of links is saturated. The lists of its component are
    enlarged to the whole component: its members are compared in blocks, and
    only the number of links of each node is passed on, no pair.
-5. Recall is audited by brute force: a bounded sample of ``AUDIT`` nodes as
+6. Recall is audited by brute force: a bounded sample of ``AUDIT`` nodes as
    queries against all nodes, in blocks. Below ``TARGET`` another set of
    tables and another round follow; it raises if recall stays below ``LEAST``.
 
@@ -34,7 +37,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfline.llm.common import shuffle_partitions, staged
-from shelfline.llm.components import components
+from shelfline.llm.components import UnionFind, components
 
 THRESHOLD = 0.95
 K = 10
@@ -94,6 +97,38 @@ def _pairs(u: list, v: list, sim: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(cat(u, np.int64)), pa.array(cat(v, np.int64)), pa.array(cat(sim, np.float64))], names=["u", "v", "sim"])
 
 
+def _hidden(linked: np.ndarray, passed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links (i, j) that span every group of ``linked``, if ``passed`` lacks some link both ways."""
+    none = np.zeros(0, np.int64)
+    if not (linked & ~(passed | passed.T)).any():
+        return none, none
+    seen, left, right = np.zeros(len(linked), bool), [], []
+    for start in range(len(linked)):
+        if seen[start]:
+            continue
+        seen[start] = True
+        todo = [start]
+        while todo:
+            i = todo.pop()
+            new = np.flatnonzero(linked[i] & ~seen)
+            if len(new):
+                seen[new] = True
+                left.append(np.full(len(new), i))
+                right.append(new)
+                todo += new.tolist()
+    return (np.concatenate(left), np.concatenate(right)) if left else (none, none)
+
+
+def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A spanning forest of a task's links."""
+    forest = UnionFind()
+    for batch in batches:
+        for a, b in zip(batch.column("u").to_pylist(), batch.column("v").to_pylist()):
+            forest.join(a, b)
+    stars = [(a, b) for a, b in forest.stars() if a != b]
+    yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in stars], pa.int64()), pa.array([b for _, b in stars], pa.int64())], names=["a", "b"])
+
+
 def _signed(tables: range, bits: int, seed: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -131,6 +166,12 @@ def _runs(threshold: float):
                 u.append(own[x:x + RUN][i])
                 v.append(own[x:x + RUN][near[ok]])
                 sim.append(value[ok])
+                passed = np.zeros(s.shape, bool)
+                passed[i, near[ok]] = True
+                i, j = _hidden(s >= threshold, passed)
+                u.append(own[x:x + RUN][i])
+                v.append(own[x:x + RUN][j])
+                sim.append(s[i, j])
         return _pairs(u, v, sim)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -156,6 +197,11 @@ def _local_join(threshold: float):
         for a, b in zip(starts[:-1], starts[1:]):
             m = np.stack(every[a:b])
             s = m @ m.T
+            np.fill_diagonal(s, -2)
+            i, j = _hidden(s >= threshold, s > worst[a:b][:, None])
+            u.append(nodes[a:b][i])
+            v.append(nodes[a:b][j])
+            sim.append(s[i, j])
             i, j = np.triu_indices(b - a, 1)
             value = s[i, j]
             for x, y in ((i, j), (j, i)):
@@ -198,16 +244,15 @@ def _first_lists(nodes: DataFrame, n: int, tables: range, threshold: float) -> D
     return dealt.mapInArrow(_runs(threshold), _LIST)
 
 
-def _refined(nodes: DataFrame, lists: DataFrame, threshold: float) -> DataFrame:
-    """Lists after one local join around every node."""
+def _joined(nodes: DataFrame, lists: DataFrame, threshold: float) -> DataFrame:
+    """Pairs found by one local join around every node."""
     worst = lists.groupBy("u").agg(F.when(F.count("*") >= K, F.min("sim")).otherwise(F.lit(-2.0)).alias("worst"))
     back = _top(lists.select(F.col("v").alias("u"), F.col("u").alias("v"), "sim"), "u", [F.col("sim").desc(), F.col("v")], K)
     members = lists.select("u", "v").union(back.select("u", "v")).union(lists.select("u", F.col("u").alias("v"))).distinct()
     members = members.select(F.col("u").alias("pivot"), F.col("v").alias("node"))
     full = members.join(nodes.select("node", "dim", "vec").join(worst.withColumnRenamed("u", "node"), "node", "left").fillna(-2.0, ["worst"]), "node")
     dealt = full.repartition(F.col("pivot")).sortWithinPartitions("pivot")
-    found = dealt.mapInArrow(_local_join(threshold), _LIST)
-    return _merged(lists.union(found))
+    return dealt.mapInArrow(_local_join(threshold), _LIST)
 
 
 def _scan(threshold: float):
@@ -276,13 +321,18 @@ def embedding_groups(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFr
     nodes = staged(rows.filter("vec is not null").groupBy("vec").agg(F.count("*").alias("n"), F.min("vec_id").alias("least"))
                    .select(F.monotonically_increasing_id().alias("node"), F.size("vec").alias("dim"), "vec", "n", "least"), "nodes")
     n = nodes.count()
-    lists, recall = None, 0.0
+    lists, spans, recall = None, None, 0.0
     for round_ in range(ROUNDS):
-        first = _first_lists(nodes, n, range(round_ * TABLES, (round_ + 1) * TABLES), threshold)
-        lists = _refined(nodes, _merged(first if lists is None else lists.union(first)), threshold)
+        first = staged(_first_lists(nodes, n, range(round_ * TABLES, (round_ + 1) * TABLES), threshold), "found")
+        lists = _merged(first if lists is None else lists.union(first))
+        joined = staged(_joined(nodes, lists, threshold), "found")
+        lists = _merged(lists.union(joined))
+        new = first.union(joined).filter(F.col("sim") >= threshold).select("u", "v").mapInArrow(_forest, "a long, b long")
         links = lists.filter(F.col("sim") >= threshold)
         both = staged(links.select("u", "v").union(links.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct(), "links")
-        roots = staged(components(both.select(F.col("u").alias("a"), F.col("v").alias("b"))), "roots")
+        edges = both.select(F.col("u").alias("a"), F.col("v").alias("b")).union(new)
+        roots = staged(components(edges if spans is None else edges.union(spans)), "roots")
+        spans = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
         full = links.groupBy("u").count().filter(F.col("count") >= K).select(F.col("u").alias("node"))
         saturated = staged(roots.join(roots.join(full, "node").select("root").distinct(), "root").select("node", "root"), "saturated")
         recall = _audit(nodes, n, both, saturated, threshold)

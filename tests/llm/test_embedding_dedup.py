@@ -67,3 +67,19 @@ def test_poor_recall_raises(spark, monkeypatch):
     monkeypatch.setattr(embedding_dedup, "ROUNDS", 1)
     with pytest.raises(RuntimeError, match="recall"):
         embedding_groups(spark.createDataFrame(vectors()[:50], SCHEMA))
+
+
+def twins(each: int = 40) -> list[tuple]:
+    """Two tight groups, too large for a list, joined by weaker links only; and plenty of pairs."""
+    rng = np.random.default_rng(5)
+    out = [rng.standard_normal(16) for _ in range(200)]
+    a, b = np.linalg.qr(rng.standard_normal((16, 2)))[0].T
+    for base in (a, 0.96 * a + 0.28 * b):
+        out += [base + 0.004 * rng.standard_normal(16) for _ in range(each)]
+    return [(i, [float(np.float32(x)) for x in v], 0) for i, v in enumerate(out)]
+
+
+def test_links_between_full_lists(spark):
+    data = twins()
+    got = {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in embedding_groups(spark.createDataFrame(data, SCHEMA)).collect()}
+    assert got == brute(data) and sum(x[0] >= 79 for x in got.values()) >= 60
