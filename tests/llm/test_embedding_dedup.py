@@ -83,3 +83,16 @@ def test_links_between_full_lists(spark):
     data = twins()
     got = {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in embedding_groups(spark.createDataFrame(data, SCHEMA)).collect()}
     assert got == brute(data) and sum(x[0] >= 79 for x in got.values()) >= 60
+
+
+def test_audit_is_not_filled_by_a_large_group(spark):
+    """Every link of a saturated group counts as found; the missed pairs still show."""
+    rng = np.random.default_rng(2)
+    group, base = rng.standard_normal(16), [rng.standard_normal(16) for _ in range(20)]
+    vectors_ = [group + 0.01 * rng.standard_normal(16) for _ in range(100)] + [x + 0.01 * rng.standard_normal(16) for x in base for _ in range(2)]
+    nodes = spark.createDataFrame([(i, 16, [float(x) for x in v]) for i, v in enumerate(vectors_)], "node long, dim int, vec array<float>")
+    saturated = spark.createDataFrame([(i, 0) for i in range(100)], "node long, root long")
+    half = spark.createDataFrame([(100 + i, 100 + (i ^ 1)) for i in range(20)], "u long, v long")
+    assert embedding_dedup._audit(nodes, 140, half, saturated, 0.95) == 0.5
+    every = spark.createDataFrame([(100 + i, 100 + (i ^ 1)) for i in range(40)], "u long, v long")
+    assert embedding_dedup._audit(nodes, 140, every, saturated, 0.95) == 1.0
