@@ -37,7 +37,8 @@ BASE_PHRASES = (
 
 _L = r"(?:licen[sc]e|licen[sc]ing)"
 _V = r"(?:v|version|ver)? ?"
-#: (label, keyword that every form holds, name as a regex over words, SPDX id as words)
+#: (label, keywords of which every form holds one, "|" between, name as a regex over words, SPDX id as words).
+#: A keyword of one word stands whole; one that ends in * may go on ("gpl*": gplv2).
 FAMILIES = (
     ("mit", "mit", rf"mit(?: x11| expat)? {_L}", "mit"),
     ("mit-0", "mit no attribution", rf"mit no attribution(?: {_L})?", "mit 0"),
@@ -48,8 +49,8 @@ FAMILIES = (
     ("gpl-2", "gnu general public", rf"gnu general public {_L} {_V}2(?: 0)?", "gpl 2 0"),
     ("gpl-3", "gnu general public", rf"gnu general public {_L} {_V}3(?: 0)?", "gpl 3 0"),
     ("gpl", "gnu general public", rf"gnu general public {_L}", "gpl"),
-    ("gpl-2", "gpl", r"(?:gnu )?gpl ?(?:v|version )? ?2(?: 0)?", "gpl 2 0 only"),
-    ("gpl-3", "gpl", r"(?:gnu )?gpl ?(?:v|version )? ?3(?: 0)?", "gpl 3 0 only"),
+    ("gpl-2", "gpl*", r"(?:gnu )?gpl ?(?:v|version )? ?2(?: 0)?", "gpl 2 0 only"),
+    ("gpl-3", "gpl*", r"(?:gnu )?gpl ?(?:v|version )? ?3(?: 0)?", "gpl 3 0 only"),
     ("lgpl-2", "gnu library general public", rf"gnu library general public {_L}(?: {_V}2(?: 0)?)?", "lgpl 2 0"),
     ("lgpl-2.1", "gnu lesser general public", rf"gnu lesser general public {_L} {_V}2 1", "lgpl 2 1"),
     ("lgpl-3", "gnu lesser general public", rf"gnu lesser general public {_L} {_V}3(?: 0)?", "lgpl 3 0"),
@@ -60,10 +61,10 @@ FAMILIES = (
     ("gfdl-1.2", "gnu free documentation", rf"gnu free documentation {_L} {_V}1 2", "gfdl 1 2"),
     ("gfdl-1.3", "gnu free documentation", rf"gnu free documentation {_L} {_V}1 3", "gfdl 1 3"),
     ("gfdl", "gnu free documentation", rf"gnu free documentation {_L}", "gfdl"),
-    ("bsd-2-clause", "bsd", rf"(?:bsd 2 clause|2 clause bsd|simplified bsd|freebsd)(?: {_L})?", "bsd 2 clause"),
+    ("bsd-2-clause", "bsd|freebsd", rf"(?:bsd 2 clause|2 clause bsd|simplified bsd|freebsd)(?: {_L})?", "bsd 2 clause"),
     ("bsd-3-clause", "bsd", rf"(?:bsd 3 clause|3 clause bsd|new bsd|modified bsd|revised bsd)(?: {_L})?", "bsd 3 clause"),
     ("bsd-4-clause", "bsd", rf"(?:bsd 4 clause|4 clause bsd|original bsd|old bsd)(?: {_L})?", "bsd 4 clause"),
-    ("0bsd", "bsd", rf"(?:zero clause bsd|bsd zero clause|0bsd)(?: {_L})?", "0bsd"),
+    ("0bsd", "bsd|0bsd", rf"(?:zero clause bsd|bsd zero clause|0bsd)(?: {_L})?", "0bsd"),
     ("bsd", "bsd", rf"bsd(?: style)? {_L}", "bsd"),
     ("mpl-1.0", "mozilla public", rf"mozilla public {_L} {_V}1 0", "mpl 1 0"),
     ("mpl-1.1", "mozilla public", rf"mozilla public {_L} {_V}1 1", "mpl 1 1"),
@@ -161,13 +162,14 @@ def rules() -> list[tuple[str, str, str, re.Pattern, int, float]]:
 
 @cache
 def gate() -> ahocorasick.Automaton:
-    """Keyword -> numbers of the rules it opens. Keywords stand as whole words."""
+    """Keyword -> numbers of the rules it opens."""
     by: dict[str, list[int]] = {}
     for i, rule in enumerate(rules()):
-        by.setdefault(rule[2], []).append(i)
+        for keyword in rule[2].split("|"):
+            by.setdefault(keyword, []).append(i)
     a = ahocorasick.Automaton()
     for keyword, numbers in by.items():
-        a.add_word(f" {keyword} " if " " not in keyword else f" {keyword}", numbers)
+        a.add_word(f" {keyword.rstrip('*')}" if " " in keyword or keyword.endswith("*") else f" {keyword} ", numbers)
     a.make_automaton()
     return a
 
@@ -177,11 +179,15 @@ def normalized(text: bytes | None) -> str:
     return " " + b" ".join((text or b"").translate(_TABLE).split()).decode("latin-1") + " "
 
 
+def opened(norm: str) -> list[int]:
+    """Numbers of the rules whose regex has to run on a normalized text."""
+    return sorted({i for _, numbers in gate().iter(norm) for i in numbers})
+
+
 def detect(norm: str) -> list[dict]:
     """The license intervals of a normalized text that no stronger one contains, in order of start."""
-    opened = sorted({i for _, numbers in gate().iter(norm) for i in numbers})
     found = []
-    for i in opened:
+    for i in opened(norm):
         rule, label, _, regex, priority, score = rules()[i]
         word, last = -1, 0
         for m in regex.finditer(norm):

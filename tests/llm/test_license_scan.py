@@ -3,7 +3,7 @@ import re
 import pytest
 from cases import clashing, rows, table
 
-from shelfline.llm.license_scan import BASE_PHRASES, base_places, detect, license_scan, normalized, rules
+from shelfline.llm.license_scan import BASE_PHRASES, base_places, detect, license_scan, normalized, opened, rules
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -73,3 +73,45 @@ def test_contained_weaker_matches_are_suppressed():
 def test_empty(spark):
     assert license_scan(table(spark, [])).count() == 0
     assert len(rules()) > 200
+
+
+def forms(parsed, most: int = 3) -> list[str]:
+    """Texts of a parsed regex in which each alternative and each optional part is taken and left out."""
+    out = [""]
+    for op, av in parsed:
+        op = str(op)
+        if op == "LITERAL":
+            own = [chr(av)]
+        elif op == "IN":
+            own = [chr(v if str(k) == "LITERAL" else v[0]) for k, v in av if str(k) in ("LITERAL", "RANGE")] or ["1"]
+        elif op == "BRANCH":
+            own = [x for alternative in av[1] for x in forms(alternative)]
+        elif op == "SUBPATTERN":
+            own = forms(av[3])
+        elif op in ("MAX_REPEAT", "MIN_REPEAT"):
+            own = [x * k for k in sorted({av[0], min(av[1], max(1, av[0]))}) for x in (forms(av[2]) if k else [""])]
+        elif op in ("ASSERT", "ASSERT_NOT"):
+            own = [""]
+        else:
+            own = ["x"]
+        n = max(len(own), len(out)) if len(own) * len(out) > 4000 else 0
+        out = [out[i % len(out)] + own[i % len(own)] for i in range(n)] if n else [a + b for a in out for b in own]
+    return list(dict.fromkeys(out))
+
+
+def test_gate_opens_every_rule_that_matches():
+    """Over every alternative of each regex, the gate opens the rule that matches it."""
+    tried = 0
+    for i, (rule, _, _, regex, _, _) in enumerate(rules()):
+        texts = [norm for x in forms(re._parser.parse(regex.pattern)) if regex.search(norm := normalized(x.encode()))]
+        assert texts, rule
+        tried += len(texts)
+        assert [x for x in texts if i not in opened(x)] == [], rule
+    assert tried > 2000
+
+
+@pytest.mark.parametrize(("text", "label"), [
+    ("licensed under GPLv2", "gpl-2"), ("under the GPL3", "gpl-3"), ("GNU GPLv3", "gpl-3"), ("GPL version 2", "gpl-2"),
+    ("FreeBSD License", "bsd-2-clause"), ("released under 0BSD", "0bsd"), ("zero clause BSD", "0bsd")])
+def test_names_written_as_one_word(text, label):
+    assert [d["label"] for d in detect(normalized(text.encode()))] == [label]
