@@ -1,9 +1,20 @@
 r"""Operator 5, quality rules (DataFrame functions only).
 
 Line-first cleaning: each line is held against a punctuation, a navigation
-and a boilerplate rule; failing lines are removed, and a document that loses
-more than ``max_lost`` of its words that way is rejected. A document is
-rejected as well if it has fewer than ``min_words`` words, or if over half of
+and a boilerplate rule, all by share, so that a long line is not lost for one
+phrase or one run of marks:
+
+- punctuation: four marked words (ending in two of ``!?#*$%&``) in a row, and
+  marked words make up a quarter;
+- navigation: a row of entries of one word, and separators and as many entries
+  make up a quarter of the words;
+- boilerplate: the phrases make up a quarter of the words, or the line holds
+  one and has at most ``SHORT_LINE`` words.
+
+The quarter is ``MIN_SHARE``.
+
+Failing lines are removed, and a document that loses more than ``max_lost`` of
+its words that way is rejected. A document is rejected as well if it has fewer than ``min_words`` words, or if over half of
 its words stand in three-word windows that it holds twice or more.
 
 Everything about a document is worked out inside its row: windows are sorted
@@ -27,8 +38,11 @@ MAX_REPEAT_PCT = 50
 MAX_LOST = 0.5
 ADDED = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "lost_words", "base_failed", "kept", "clean_text")
 
-#: Line rules, plain enough to read alike in Java and RE2. A line fails if one finds a match.
-#: They begin with a rare character, so a text without it is passed over quickly.
+#: Words of a line that fails if it holds a boilerplate phrase at all; share of the words that make a longer one fail.
+SHORT_LINE = 15
+MIN_SHARE = 0.25
+
+#: Single patterns, plain enough to read alike in Java and RE2: the SQL holds whole lines against them.
 PUNCTUATION = r"[!?#*$%&]{2}[\x20\x09-\x0D]+(?:[^\x20\x09-\x0D]+[!?#*$%&]{2}[\x20\x09-\x0D]+){2}[^\x20\x09-\x0D]+[!?#*$%&]{2}"  # four words in a row that end in doubled marks
 NAVIGATION = r"(?:[|»›•·][\x20\x09-\x0D]+[^\x20\x09-\x0D]+[\x20\x09-\x0D]+){2}[|»›•·]"  # a row of separated entries
 BOILERPLATE = (r"(?i)\b(?:all rights reserved|cookie policy|accept (?:all )?cookies|we use cookies|privacy policy|terms of (?:use|service)"
@@ -36,12 +50,30 @@ BOILERPLATE = (r"(?i)\b(?:all rights reserved|cookie policy|accept (?:all )?cook
                r"|share (?:this|on) (?:facebook|twitter)|powered by wordpress|skip to (?:main )?content|back to top|lorem ipsum)\b")
 LINE_RULES = (PUNCTUATION, NAVIGATION, BOILERPLATE)
 
+#: ASCII and general punctuation, arrows, shapes.
+_SYMBOL = r"!-/:-@\[-`{-~\u00A1-\u00A9\u00AB-\u00B1\u00B6-\u00B8\u00BB\u00BF\u00D7\u00F7\u2010-\u2027\u2030-\u205E\u2190-\u2BFF\u3001-\u3020"
+_IN, _OUT = r"(?<![^\x20\x09-\x0D])", r"(?![^\x20\x09-\x0D])"  # begin and end of a word
+MARKED = rf"{_IN}(?:[{_SYMBOL}]+|{WORD[:-1]}*[!?#*$%&]{{2}}){_OUT}"
+#: Stands wherever MARKED does; begins with a rare character.
+_MARK = rf"[!?#*$%&]{{2}}{_OUT}|{_IN}[{_SYMBOL}]+{_OUT}"
+SEPARATOR = rf"[|»›•·→]+|{_IN}[>/]{_OUT}"
+
 
 def _let(value: Column, body) -> Column:
     """``body(x)`` with ``value`` worked out once per row."""
     return F.transform(F.array(value), body)[0]
 
 
+def _fails(line: Column) -> Column:
+    """The three line rules. Shares are only worked out where a pattern finds something."""
+    words, marked = F.regexp_count(line, F.lit(WORD)), F.regexp_count(line, F.lit(MARKED))
+    separators = F.regexp_count(line, F.lit(SEPARATOR))
+    phrases = F.regexp_count(F.array_join(F.regexp_extract_all(line, F.lit(BOILERPLATE), F.lit(0)), " "), F.lit(WORD))
+    return ((line.rlike(PUNCTUATION) & (marked >= MIN_SHARE * words))
+            | (line.rlike(NAVIGATION) & (2 * separators >= MIN_SHARE * words))
+            | (line.rlike(BOILERPLATE) & ((words <= SHORT_LINE) | (phrases >= MIN_SHARE * words))))
+
+
 def repeated_words(words: Column) -> Column:
     """Words that stand in a three-word window held twice or more; ``words`` is a plain reference."""
     none = F.array().cast("array<bigint>")
@@ -68,12 +100,10 @@ def quality_rules(docs: DataFrame, min_words: int = MIN_WORDS, max_repeat_pct: i
     text = F.coalesce(F.col("text"), F.lit(""))
     lines = F.split(text, "\n")
 
-    def fails(x: Column) -> Column:
-        return x.rlike(PUNCTUATION) | x.rlike(NAVIGATION) | x.rlike(BOILERPLATE)
-
     def verdict(w: Column) -> Column:
-        # Only a text in which a rule finds something can have a line that fails.
-        found = F.when(fails(text), F.transform(lines, lambda x: F.struct(x.alias("line"), fails(x).alias("bad"))))
+        # Only a text in which a pattern finds something can have a line that fails.
+        found = F.when(text.rlike(_MARK) | text.rlike(SEPARATOR) | text.rlike(BOILERPLATE),
+                       F.transform(lines, lambda x: F.struct(x.alias("line"), _fails(x).alias("bad"))))
         spoken = F.filter(lines, lambda x: x.rlike(WORD))
         n_words = F.size(w).cast("long")
         counts = F.struct(

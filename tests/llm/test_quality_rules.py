@@ -52,3 +52,22 @@ def test_clashing_columns_and_empty(spark):
 def test_no_shuffle_and_no_python(spark):
     plan = quality_rules(table(spark, rows()))._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Python" not in plan
+
+
+PLAIN = " ".join(f"v{i}" for i in range(200))
+
+
+def passed(spark, lines: list[str]) -> list[str]:
+    """The lines that stay in a document of their own beside clean words."""
+    docs = [(i, PLAIN + "\n" + x, "en", "a", 1) for i, x in enumerate(lines)]
+    out = {r["doc_id"]: r["clean_text"] for r in quality_rules(table(spark, docs)).collect()}
+    return [x for i, x in enumerate(lines) if out[i] == PLAIN + "\n" + x]
+
+
+def test_long_clean_lines_that_mention_a_phrase(spark):
+    longs = [f"{PLAIN} read more about it in our newsletter {PLAIN.upper()}", f"{PLAIN} Wow!! Such!! Many!! Marks!! here",
+             f"{PLAIN} home | about | news | more and so on"]
+    out = quality_rules(table(spark, [(i, x, "en", "a", 1) for i, x in enumerate(longs)])).collect()
+    assert sorted((r["doc_id"], r["kept"], r["lost_words"], r["clean_text"]) for r in out) == [(i, True, 0, x) for i, x in enumerate(longs)]
+    dense = " ".join(["Read more", "Privacy policy", "Terms of use", "About the shop", "Click here now", "All rights reserved"] * 4)
+    assert passed(spark, ["Please read more here.", "Accept all cookies now.", dense]) == []
