@@ -4,10 +4,12 @@ Line-first cleaning: each line is held against a punctuation, a navigation
 and a boilerplate rule, all by share, so that a long line is not lost for one
 phrase or one run of marks:
 
-- punctuation: four marked words (ending in two of ``!?#*$%&``) in a row, and
-  marked words make up a quarter;
-- navigation: a row of entries of one word, and separators and as many entries
-  make up a quarter of the words;
+- punctuation: at least half of the words are marked (symbols only, or ending
+  in two of ``!?#*$%&``), and there are four of them, or the line is nothing
+  but four symbols or more; a quarter is enough where four stand in a row;
+- navigation: at least two separators, and at most ``MAX_ENTRY`` words an entry;
+  or a row of entries of one word, and separators and as many entries make up
+  a quarter of the words;
 - boilerplate: the phrases make up a quarter of the words, or the line holds
   one and has at most ``SHORT_LINE`` words.
 
@@ -41,6 +43,8 @@ ADDED = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
 #: Words of a line that fails if it holds a boilerplate phrase at all; share of the words that make a longer one fail.
 SHORT_LINE = 15
 MIN_SHARE = 0.25
+#: Words of an entry between separators, on average.
+MAX_ENTRY = 2.5
 
 #: Single patterns, plain enough to read alike in Java and RE2: the SQL holds whole lines against them.
 PUNCTUATION = r"[!?#*$%&]{2}[\x20\x09-\x0D]+(?:[^\x20\x09-\x0D]+[!?#*$%&]{2}[\x20\x09-\x0D]+){2}[^\x20\x09-\x0D]+[!?#*$%&]{2}"  # four words in a row that end in doubled marks
@@ -67,10 +71,12 @@ def _let(value: Column, body) -> Column:
 def _fails(line: Column) -> Column:
     """The three line rules. Shares are only worked out where a pattern finds something."""
     words, marked = F.regexp_count(line, F.lit(WORD)), F.regexp_count(line, F.lit(MARKED))
+    symbols = ~line.rlike(rf"[^{_SYMBOL}\x20\x09-\x0D]") & line.rlike(rf"(?:[{_SYMBOL}][\x20\x09-\x0D]*){{4}}")
     separators = F.regexp_count(line, F.lit(SEPARATOR))
+    entries = F.regexp_count(F.regexp_replace(line, SEPARATOR, " "), F.lit(WORD))
     phrases = F.regexp_count(F.array_join(F.regexp_extract_all(line, F.lit(BOILERPLATE), F.lit(0)), " "), F.lit(WORD))
-    return ((line.rlike(PUNCTUATION) & (marked >= MIN_SHARE * words))
-            | (line.rlike(NAVIGATION) & (2 * separators >= MIN_SHARE * words))
+    return ((line.rlike(_MARK) & ((marked >= 4) & ((2 * marked >= words) | (marked >= MIN_SHARE * words) & line.rlike(PUNCTUATION)) | symbols))
+            | (line.rlike(SEPARATOR) & (separators >= 2) & ((entries <= MAX_ENTRY * (separators + 1)) | (2 * separators >= MIN_SHARE * words) & line.rlike(NAVIGATION)))
             | (line.rlike(BOILERPLATE) & ((words <= SHORT_LINE) | (phrases >= MIN_SHARE * words))))
 
 

@@ -71,3 +71,11 @@ def test_long_clean_lines_that_mention_a_phrase(spark):
     assert sorted((r["doc_id"], r["kept"], r["lost_words"], r["clean_text"]) for r in out) == [(i, True, 0, x) for i, x in enumerate(longs)]
     dense = " ".join(["Read more", "Privacy policy", "Terms of use", "About the shop", "Click here now", "All rights reserved"] * 4)
     assert passed(spark, ["Please read more here.", "Accept all cookies now.", dense]) == []
+
+
+def test_lines_unlike_the_given_junk(spark):
+    bad = ["Home | About us | Contact us | Log in", "Home > Shop > Shoes", "Home / News / Sport", "Home|About us|Contact", "Start » Produkte » Große Schuhe",
+           "-----", "......", "=====", "$$ $$ $$ $$", ", . , . , .", "* * * * *", "Buy!! now!! best!! price!!", "\u2014\u2014\u2014\u2014", "~~~ *** ~~~"]
+    good = ['"No," he said. "Why?"', "x = y + z", "}", "Either and/or both, as 3 / 4 of them say.", "\u2022 one point of a list with some words", "Well... that is it!", "# A title",
+            "We saw it \u2013 and then \u2013 again, far away.", "If a > b then the first one of them is the larger and b > c holds as well."]
+    assert passed(spark, bad + good) == good
