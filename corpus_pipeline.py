@@ -15,7 +15,7 @@ from shelfline.llm.line_dedup import line_dedup
 from shelfline.llm.mixing import mix_sources
 from shelfline.llm.packing import pack_best_fit
 from shelfline.llm.quality_rules import quality_rules
-from shelfline.llm.simhash import keep_one, simhash_groups
+from shelfline.llm.simhash import keep_rows
 
 
 def _with_text(docs: DataFrame, text: str, columns: list[str]) -> DataFrame:
@@ -37,8 +37,9 @@ def lines_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays."""
-    return keep_one(docs, simhash_groups(docs))
+    """One document of each group of near copies stays; without a doc_id it gets a negative one from its text, so that its pieces can be told apart."""
+    own = -F.shiftrightunsigned(F.xxhash64("text"), 1) - 1
+    return keep_rows(docs).withColumn("doc_id", F.coalesce("doc_id", own)).select(*docs.columns)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -66,7 +66,8 @@ def _fingerprints(shingle: int, seed: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [fingerprint(t, shingle, seed) for t in batch.column("text").cast(pa.binary()).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array(np.array(found, np.uint64).view(np.int64))], names=["doc_id", "fp"])
+            ids = [x for x in batch.schema.names if x != "text"]
+            yield pa.RecordBatch.from_arrays([*[batch.column(x).cast(pa.int64()) for x in ids], pa.array(np.array(found, np.uint64).view(np.int64))], names=[*ids, "fp"])
     return run
 
 
@@ -203,10 +204,33 @@ def simhash_groups(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_
 
 
 def keep_one(docs: DataFrame, groups: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stand for their group: its least doc_id; of rows that repeat it, the least text."""
+    """The rows of ``docs`` that stand for their group: its least doc_id; of rows that repeat it, the least text.
+
+    For tables whose ids are unique: rows without a doc_id are not among them, rows that share one shrink to one. ``keep_rows`` loses neither.
+    """
     kept = groups.filter("doc_id = component_id").select("doc_id").distinct()
     one = Window.partitionBy("doc_id").orderBy("text")
     n = "_n"
     while n in docs.columns:
         n += "_"
     return docs.join(kept, "doc_id", "left_semi").withColumn(n, F.row_number().over(one)).filter(F.col(n) == 1).drop(n)
+
+
+def keep_rows(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, seed: int = SEED, node_limit: int = NODE_LIMIT) -> DataFrame:
+    """One row of each group of near copies, whatever its doc_id: the least (doc_id nulls last, text hash).
+
+    Groups are of fingerprints, so rows without a doc_id are linked like any other and rows that share one only if they are near copies.
+    """
+    text_hash = F.xxhash64("text")
+    prints = staged(docs.select("doc_id", text_hash.alias("key"), "text").mapInArrow(_fingerprints(shingle, seed), "doc_id long, key long, fp long"), "prints")
+    entries = staged(prints.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("first")), "entries")
+    roots = components(links(entries.select("fp", F.col("fp").alias("rep")), max_bits, node_limit))
+    named = entries.join(roots, entries["fp"] == roots["node"], "left").withColumn("group", F.coalesce("root", "fp"))
+    first = named.groupBy("group").agg(F.min("first").alias("first")).select(F.col("first.doc_id").alias("_doc_id"), F.col("first.key").alias("_key"))
+    n = "_n"
+    while n in docs.columns:
+        n += "_"
+    marked = docs.withColumn(n, text_hash)
+    first = first.withColumnsRenamed({"_doc_id": f"{n}doc_id", "_key": f"{n}key"})
+    kept = marked.join(first, marked["doc_id"].eqNullSafe(first[f"{n}doc_id"]) & (marked[n] == first[f"{n}key"]), "left_semi")
+    return kept.dropDuplicates(["doc_id", n]).drop(n)

@@ -7,7 +7,7 @@ import xxhash
 from cases import clashing, rows, table
 
 from shelfline.llm.components import components
-from shelfline.llm.simhash import keep_one, links, simhash_groups, trie_pairs
+from shelfline.llm.simhash import keep_one, keep_rows, links, simhash_groups, trie_pairs
 
 
 def brute_print(text: str | None) -> int:
@@ -102,3 +102,21 @@ def test_components(spark):
     nodes = sorted({x for e in plain for x in e})
     assert got == roots(plain, nodes)
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_keep_rows_loses_no_row_without_or_with_a_repeated_id(spark):
+    rng = random.Random(4)
+    texts = [" ".join(f"w{rng.randrange(3000)}" for _ in range(90)) for _ in range(9)]
+    data = [(None, texts[0]), (None, texts[1]), (None, texts[1]), (None, texts[2]), (4, texts[2]), (7, texts[3]), (7, texts[4]), (7, texts[4]),
+            (9, texts[5]), (8, texts[5]), (10, texts[6]), (None, texts[7])]
+    docs = clashing(table(spark, [(*r, "en", "a", 1) for r in data]))
+    kept = keep_rows(docs)
+    assert kept.columns == docs.columns
+    want = [(None, texts[0]), (None, texts[1]), (4, texts[2]), (7, texts[3]), (7, texts[4]), (8, texts[5]), (10, texts[6]), (None, texts[7])]
+    assert Counter((r["doc_id"], r["text"]) for r in kept.collect()) == Counter(want)
+    import corpus_pipeline
+    out = corpus_pipeline.simhash_stage(spark, docs, "").collect()
+    assert Counter(r["text"] for r in out) == Counter(t for _, t in want)
+    ids = Counter(r["doc_id"] for r in out)
+    assert ids.pop(7) == 2 and set(ids.values()) == {1} and None not in ids
+    assert keep_rows(table(spark, [])).count() == 0
