@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfline.llm import embedding_dedup, language_id, license_scan, line_dedup, mixing, packing, perplexity, quality_rules, simhash, substring_dedup, token_counts
+from shelfline.llm import divergence, embedding_dedup, language_id, license_scan, line_dedup, mixing, packing, perplexity, quality_rules, simhash, substring_dedup, token_counts
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -60,6 +60,10 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.source_divergence(_table(spark, sf_dir, "documents"))
+
+
 def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -68,4 +72,4 @@ def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY = {f.__name__: f for f in (op1_mix_sources, op2_line_dedup, op3_license_scan, op4_language_id, op5_quality_rules, op6_quality_classifier, op7_simhash_dedup, op8_embedding_dedup, op9_best_fit_packing, op10_substring_dedup,
-                                     op13_token_counts)}
+                                     op12_source_divergence, op13_token_counts)}
