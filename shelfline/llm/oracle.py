@@ -157,3 +157,29 @@ r AS (
   SELECT *, CAST(row_number() OVER (PARTITION BY part, lang, source ORDER BY value DESC, item) AS INTEGER) AS rank
   FROM (SELECT * FROM pair UNION ALL SELECT * FROM term))
 SELECT lang, source, part, item, value, rank FROM r WHERE part = 'pair' OR rank <= 10"""
+
+# CRC-32 by its definition: each byte is added, then eight times a bit is shifted out.
+_CRC = ("xor(list_reduce(flatten(list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: list_concat([ascii(c)::BIGINT], [-1, -1, -1, -1, -1, -1, -1, -1]))), "
+        "lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END, 4294967295::BIGINT), 4294967295::BIGINT)")
+
+ORACLE["op11_prefix_trie"] = rf"""
+WITH t AS (
+  SELECT conv_id, turn, md5(CAST(length(coalesce(role, '')) AS VARCHAR) || ':' || coalesce(role, '') || coalesce(text, '')) AS g,
+         CAST(strlen(coalesce(text, '')) AS BIGINT) AS b
+  FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, list(g ORDER BY turn NULLS FIRST, g) AS gs, list(b ORDER BY turn NULLS FIRST, g) AS bs, CAST({_CRC} % 9 AS BIGINT) AS h FROM t GROUP BY conv_id),
+r AS (
+  SELECT c.conv_id, list_concat(coalesce(f.gs[1:c.h], []), c.gs[c.h + 1:]) AS gs, list_concat(coalesce(f.bs[1:c.h], []), c.bs[c.h + 1:]) AS bs
+  FROM c LEFT JOIN c f ON f.conv_id = c.conv_id - c.conv_id % 5),
+p AS (SELECT conv_id, d, array_to_string(gs[1:d], '') AS k, CASE WHEN d > 0 THEN bs[d] ELSE 0 END AS b, d = len(gs) AS ends
+      FROM (SELECT *, unnest(range(0, len(gs) + 1)) AS d FROM r)),
+n AS (
+  SELECT k, d, min(conv_id) AS conv_id, count(*) AS n_convs, min(b) AS b,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+  FROM p GROUP BY k, d),
+kids AS (SELECT substr(k, 1, CAST(32 * (d - 1) AS INTEGER)) AS k, count(*) AS n_children FROM n WHERE d > 0 GROUP BY 1),
+whole AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN kids ON n.k = kids.k),
+up AS (SELECT substr(k, 1, CAST(32 * j AS INTEGER)) AS k, sum((n_convs - 1) * b) AS saved, count(*) FILTER (n_children = 0) AS n_leaves
+       FROM (SELECT *, unnest(range(0, d + 1)) AS j FROM whole) GROUP BY 1)
+SELECT w.conv_id, CAST(w.d AS BIGINT) AS depth, a.conv_id AS parent_conv_id, w.n_convs, w.n_children, up.n_leaves, CAST(up.saved AS BIGINT) AS saved_tokens, w.ends_sha256
+FROM whole w JOIN up ON w.k = up.k LEFT JOIN n a ON w.d > 0 AND a.k = substr(w.k, 1, CAST(32 * (w.d - 1) AS INTEGER))"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfline.llm import divergence, embedding_dedup, language_id, license_scan, line_dedup, mixing, packing, perplexity, quality_rules, simhash, substring_dedup, token_counts
+from shelfline.llm import divergence, embedding_dedup, language_id, license_scan, line_dedup, mixing, packing, perplexity, prefix_trie, quality_rules, simhash, substring_dedup, token_counts
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -60,6 +60,16 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversation c begins with the first h turns of c - c % 5 and goes on after its own first h; h = crc32(c) % 9."""
+    own = prefix_trie.sequences(_table(spark, sf_dir, "conversations"))
+    head = own.select(F.col("conv_id").alias("head_id"), F.slice("turns", 1, 8).alias("head"))
+    h = (F.crc32(F.col("conv_id").cast("string")) % 9).cast("int")
+    both = own.join(head, F.col("conv_id") - F.col("conv_id") % 5 == F.col("head_id"), "left")
+    turns = F.concat(F.slice(F.coalesce("head", F.slice("turns", 1, F.lit(0))), F.lit(1), h), F.slice("turns", h + 1, F.greatest(F.size("turns"), F.lit(1))))
+    return prefix_trie.prefix_trie(both.select("conv_id", turns.alias("turns")))
+
+
 def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.source_divergence(_table(spark, sf_dir, "documents"))
 
@@ -72,4 +82,4 @@ def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY = {f.__name__: f for f in (op1_mix_sources, op2_line_dedup, op3_license_scan, op4_language_id, op5_quality_rules, op6_quality_classifier, op7_simhash_dedup, op8_embedding_dedup, op9_best_fit_packing, op10_substring_dedup,
-                                     op12_source_divergence, op13_token_counts)}
+                                     op11_prefix_trie, op12_source_divergence, op13_token_counts)}
