@@ -1,65 +1,90 @@
 """Vector columns: batch embedding, width checks, exact and IVF cosine top-k.
 
-Corpus and queries meet by a grouping key (a block of queries, or a cell) and
-a salt that splits the corpus rows of a key into bounded pieces; each piece is
-one block product (numpy on Arrow tables) that passes on its k best rows per
-query, with rows tied with the k-th. Neither side passes through the driver,
-and no group holds more than ``PIECE_ROWS`` corpus rows and ``QUERY_BLOCK``
-queries (exact search) in expectation.
+Exact search never moves the corpus: the queries are dealt into blocks of at
+most ``QUERY_BYTES``, each block travels to the corpus tasks, and a task keeps
+the k best rows per query over all of its rows. An IVF index is a Parquet
+table partitioned by cell beside a small table of the cells (centroid, number
+of rows); a search joins the vectors with the probed cells on the partition
+column, so Spark prunes the scan to them, and rows and queries meet by (cell,
+salt) in bounded pieces.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import pyarrow.compute  # noqa: F401
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfline import constants as K
+from shelfline.session import shared_dir
 
-QUERY_BLOCK = 1024
+QUERY_BYTES = 32 << 20
 PIECE_ROWS = 16_384
 SIM_CELLS = 1 << 22  # rows x queries scored at once in a task (32 MB of doubles)
+#: Bytes and rows that an encoder gets at once.
+ENCODE_BYTES = 16 << 20
+ENCODE_ROWS = 1024
 
 
 # ------------------------------------------------------------- embedding
 
-def embed_column(df: DataFrame, column: str, encoder_factory: Callable[[], Callable],
-                 out: str = "embedding", dim: int = K.EMBEDDING_DIM) -> DataFrame:
-    """Encode ``column`` in Arrow batches; the encoder is built once per worker.
+def embed_column(df: DataFrame, column: str, encoder_factory: Callable[[], Callable], out: str = "embedding", dim: int = K.EMBEDDING_DIM,
+                 batch_bytes: int = ENCODE_BYTES, batch_rows: int = ENCODE_ROWS) -> DataFrame:
+    """Encode ``column`` (text, or image bytes in a binary column) in Arrow batches; the encoder is built once per worker.
 
-    ``encoder_factory()`` returns ``encode(list[str]) -> array (n, dim)``.
-    Blank input, an encoder error, or a vector of the wrong width gives null;
-    the row is always kept. A batch that fails is encoded text by text, so one
-    bad text costs only its own vector.
+    ``encoder_factory()`` returns ``encode(list[str] | list[bytes]) -> array
+    (n, dim)``; it gets at most ``batch_rows`` inputs of together about
+    ``batch_bytes`` at once. Blank or null input, an encoder error, or a vector
+    of the wrong width gives null; the row is always kept. A batch that fails
+    is halved until it succeeds, so odd input costs only its own vector.
     """
-    def vectors(encode, texts: list[str]):
+    binary = isinstance(df.schema[column].dataType, T.BinaryType)
+
+    def vectors(encode, inputs: list) -> list:
         try:
-            vecs = np.asarray(encode(texts), dtype=np.float32)
-            if vecs.shape == (len(texts), dim):
+            vecs = np.asarray(encode(inputs), dtype=np.float32)
+            if vecs.shape == (len(inputs), dim):
                 return list(vecs)
         except Exception:  # noqa: BLE001 - whatever the encoder raises, the row stays
             pass
-        return [None] if len(texts) == 1 else [v for t in texts for v in vectors(encode, [t])]
+        half = len(inputs) // 2
+        return vectors(encode, inputs[:half]) + vectors(encode, inputs[half:]) if half else [None]
 
-    @F.pandas_udf(T.ArrayType(T.FloatType()))
-    def _embed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def embed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encode = encoder_factory()
-        for s in batches:
-            texts = s.fillna("").astype(str)
-            keep = np.flatnonzero((texts.str.strip() != "").to_numpy())
-            vals = [None] * len(s)
-            if len(keep):
-                for j, v in zip(keep, vectors(encode, [texts.iloc[j] for j in keep])):
-                    vals[j] = v
-            yield pd.Series(vals, dtype=object)
+        for batch in batches:
+            found: list = [None] * len(batch)
+            places: list[int] = []
+            inputs: list = []
+            held = 0
+
+            def flush() -> None:
+                for at, v in zip(places, vectors(encode, inputs) if inputs else []):
+                    found[at] = v
+                places.clear()
+                inputs.clear()
+
+            for at, x in enumerate(batch):
+                x = x.as_py()
+                if not (x if binary else (x or "").strip()):
+                    continue
+                if held + len(x) > batch_bytes or len(inputs) == batch_rows:
+                    flush()
+                    held = 0
+                places.append(at)
+                inputs.append(x)
+                held += len(x)
+            flush()
+            yield pa.array(found, pa.list_(pa.float32()))
 
-    return df.withColumn(out, _embed(F.col(column)))
+    return df.withColumn(out, F.arrow_udf(embed, T.ArrayType(T.FloatType()))(F.col(column) if binary else F.col(column).cast("string")))
 
 
 def hashing_encoder_factory(dim: int = K.EMBEDDING_DIM, seed: int = 7):
@@ -99,32 +124,70 @@ def _normalise(m: np.ndarray) -> np.ndarray:
     return m / np.where(n == 0, 1.0, n)
 
 
+def _matrix(column: pa.ChunkedArray) -> np.ndarray:
+    """Unit rows of vectors of one width."""
+    return _normalise(pa.concat_arrays(c.flatten() for c in column.chunks).to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1))
+
+
+def _widths(column: pa.ChunkedArray) -> np.ndarray:
+    return pc.list_value_length(column).to_numpy()
+
+
+def _best(found: pa.Table, k: int, id_col: str) -> pa.Table:
+    """The k best rows of every query (column ``query``), ties by the smaller id."""
+    found = found.sort_by([("query", "ascending"), ("score", "descending"), (id_col, "ascending")])
+    query = found["query"].to_numpy()
+    place = np.arange(len(query))
+    first = np.maximum.accumulate(np.where(np.diff(query, prepend=-1) != 0, place, 0))
+    return found.filter(pa.array(place - first < k))
+
+
+def _product(rows: pa.Table, asked: dict[int, tuple[np.ndarray, np.ndarray]], k: int, best: pa.Table, id_col: str, vec_col: str) -> pa.Table:
+    """``best`` (query, id, score) after ``rows`` have been scored as well.
+
+    ``asked``: by width, the numbers and unit vectors of the queries.
+    """
+    widths = _widths(rows[vec_col])
+    for width, (numbers, vectors) in asked.items():
+        mine = rows.filter(pa.array(widths == width))
+        if not len(mine):
+            continue
+        m = _matrix(mine[vec_col])
+        step = max(1, SIM_CELLS // len(m))
+        for x in range(0, len(vectors), step):
+            sims = m @ vectors[x:x + step].T
+            kk = min(k, len(m))
+            least = np.partition(sims, len(m) - kk, axis=0)[len(m) - kk]
+            i, j = np.nonzero(sims >= least)
+            found = pa.table({"query": numbers[x + j], id_col: mine[id_col].take(pa.array(i)), "score": sims[i, j]})
+            best = _best(pa.concat_tables([best, found.cast(best.schema)]), k, id_col)
+    return best
+
+
+def _none(id_type: pa.DataType, id_col: str) -> pa.Table:
+    return pa.table({"query": pa.array([], pa.int64()), id_col: pa.array([], id_type), "score": pa.array([], pa.float64())})
+
+
+def _by_width(vectors: pa.ChunkedArray) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    widths = _widths(vectors)
+    return {int(w): (np.flatnonzero(widths == w), _matrix(vectors.filter(pa.array(widths == w)))) for w in np.unique(widths)}
+
+
+def _topk_schema(queries: DataFrame, query_id: str, corpus: DataFrame, id_col: str) -> T.StructType:
+    return T.StructType([T.StructField("query_id", queries.schema[query_id].dataType), T.StructField(id_col, corpus.schema[id_col].dataType),
+                         T.StructField("score", T.DoubleType())])
+
+
 def _partial_topk(corpus: DataFrame, queries: DataFrame, k: int, keys: list[str], id_col: str, vec_col: str,
                   query_id: str, query_vec: str) -> DataFrame:
     """Rows (query_id, id, score): the k best corpus rows per query and group of ``keys``."""
-    def matrix(column: pa.ChunkedArray) -> np.ndarray:
-        return _normalise(column.combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1))
-
     def score(rows: pa.Table, asked: pa.Table) -> pa.Table:
-        found = []
-        # Only vectors of one width can be compared.
-        widths = pa.compute.list_value_length(rows[vec_col]).to_numpy()
-        q_widths = pa.compute.list_value_length(asked[query_vec]).to_numpy()
-        for width in np.intersect1d(widths, q_widths):
-            mine, theirs = rows.filter(pa.array(widths == width)), asked.filter(pa.array(q_widths == width))
-            m, q = matrix(mine[vec_col]), matrix(theirs[query_vec])
-            for x in range(0, len(q), max(1, SIM_CELLS // max(1, len(m)))):
-                sims = m @ q[x:x + max(1, SIM_CELLS // max(1, len(m)))].T
-                kk = min(k, len(m))
-                kth = np.partition(sims, len(m) - kk, axis=0)[len(m) - kk]
-                i, j = np.nonzero(sims >= kth)
-                found.append(pa.table({"query_id": theirs[query_id].take(pa.array(j + x)), id_col: mine[id_col].take(pa.array(i)), "score": sims[i, j]}))
-        none = pa.table({"query_id": asked[query_id].slice(0, 0), id_col: rows[id_col].slice(0, 0), "score": pa.array([], pa.float64())})
-        return pa.concat_tables([none, *found])
-
-    schema = T.StructType([T.StructField("query_id", queries.schema[query_id].dataType), T.StructField(id_col, corpus.schema[id_col].dataType),
-                           T.StructField("score", T.DoubleType())])
-    return corpus.groupBy(*keys).cogroup(queries.groupBy(*keys)).applyInArrow(score, schema)
+        best = _none(rows.schema.field(id_col).type, id_col)
+        if len(rows) and len(asked):
+            best = _product(rows, _by_width(asked[query_vec]), k, best, id_col, vec_col)
+        return pa.table({"query_id": asked[query_id].take(best["query"]), id_col: best[id_col], "score": best["score"]})
+
+    return corpus.groupBy(*keys).cogroup(queries.groupBy(*keys)).applyInArrow(score, _topk_schema(queries, query_id, corpus, id_col))
 
 
 def _final_topk(partial: DataFrame, k: int, id_col: str) -> DataFrame:
@@ -147,17 +210,46 @@ def cosine_topk(corpus: DataFrame, queries: DataFrame, k: int = 10, id_col: str
     """Exact cosine top-k of every query over the corpus, as (query_id, id, score, rank).
 
     Null and empty vectors are excluded, a query meets only vectors of its own
-    width, and ties break on the smaller id. The queries are dealt into blocks;
-    the corpus goes to every block once.
+    width, and ties break on the smaller id. The queries' bytes are measured
+    first; a block of them is at most ``QUERY_BYTES``, so what goes to the
+    tasks is bounded. Each block is one scan of the corpus, whose vectors
+    never pass an exchange; only k rows per query leave a task. Several blocks
+    run one after the other, their results staged.
     """
+    spark = corpus.sparkSession
     rows = corpus.select(id_col, vec_col).filter(_usable(vec_col))
     asked = queries.select(query_id, query_vec).filter(_usable(query_vec))
-    blocks, pieces = _parts(asked.count(), QUERY_BLOCK), _parts(rows.count(), PIECE_ROWS)
-    rows = (rows.withColumn("_salt", F.pmod(F.xxhash64(id_col), F.lit(pieces)))
-            .withColumn("_key", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long")))))
-    asked = (asked.withColumn("_key", F.pmod(F.xxhash64(query_id), F.lit(blocks)))
-             .withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(pieces - 1).cast("long")))))
-    out = _partial_topk(rows, asked, k + 1 if exclude_self else k, ["_key", "_salt"], id_col, vec_col, query_id, query_vec)
+    most = k + 1 if exclude_self else k
+    measured = asked.agg(F.sum(F.size(query_vec) * 8 + 32)).first()[0] or 0
+    blocks = _parts(measured, QUERY_BYTES)
+    schema = _topk_schema(queries, query_id, corpus, id_col)
+
+    def searched(block: pa.Table) -> DataFrame:
+        held = spark.sparkContext.broadcast((block[query_id], _by_width(block[query_vec])))
+
+        def product(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            names, by_width = held.value
+            best = None
+            for batch in batches:
+                table = pa.Table.from_batches([batch])
+                best = _none(batch.schema.field(id_col).type, id_col) if best is None else best
+                best = _product(table, by_width, most, best, id_col, vec_col)
+            if best is not None and len(best):
+                yield from pa.table({"query_id": names.take(best["query"]), id_col: best[id_col], "score": best["score"]}).to_batches()
+
+        found = rows.mapInArrow(product, schema)
+        if blocks == 1:
+            return found
+        path = shared_dir(spark, "topk")
+        found.write.parquet(path)
+        held.unpersist()
+        return spark.read.schema(schema).parquet(path)
+
+    out = None
+    for b in range(blocks):
+        mine = asked if blocks == 1 else asked.filter(F.pmod(F.xxhash64(query_id, query_vec), F.lit(blocks)) == b)
+        found = searched(mine.toArrow())
+        out = found if out is None else out.unionByName(found)
     if exclude_self:
         out = out.filter(F.col("query_id") != F.col(id_col))
     return _final_topk(out, k, id_col)
@@ -165,15 +257,25 @@ def cosine_topk(corpus: DataFrame, queries: DataFrame, k: int = 10, id_col: str
 
 # ------------------------------------------------------------------ IVF
 
-def train_ivf(corpus: DataFrame, vec_col: str = "embedding", lists: int = K.IVF_LISTS,
-              seed: int = 1, max_iter: int = 20):
-    """K-means cells on L2-normalised vectors (cosine geometry). Returns the
-    centroid matrix (``lists`` x dim, bounded by ``lists``)."""
+class IvfIndex(NamedTuple):
+    """vectors: the corpus with its ``cell``, partitioned by it; cells: (cell, centroid, rows), one row per cell."""
+
+    vectors: DataFrame
+    cells: DataFrame
+
+
+def train_ivf(corpus: DataFrame, vec_col: str = "embedding", lists: int = K.IVF_LISTS, seed: int = 1, max_iter: int = 20, dim: int | None = None) -> np.ndarray:
+    """K-means cells on L2-normalised vectors (cosine geometry) of ``dim`` values (else of the most frequent width).
+
+    Returns the centroid matrix (``lists`` x dim, bounded by ``lists``).
+    """
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
 
-    vecs = corpus.filter(F.col(vec_col).isNotNull()).select(
-        array_to_vector(_normalised_col(vec_col)).alias("features"))
+    if dim is None:
+        widths = corpus.filter(_usable(vec_col)).groupBy(F.size(vec_col).alias("w")).count().orderBy(F.desc("count"), "w").first()
+        dim = widths["w"] if widths else 0
+    vecs = corpus.filter(F.size(vec_col) == dim).select(array_to_vector(_normalised_col(vec_col)).alias("features"))
     model = KMeans(k=lists, seed=seed, maxIter=max_iter, featuresCol="features").fit(vecs)
     return np.vstack([c for c in model.clusterCenters()])
 
@@ -184,43 +286,55 @@ def _normalised_col(vec_col: str):
     return F.transform(v, lambda x: F.when(norm > 0, x / norm).otherwise(x))
 
 
-def assign_cells(corpus: DataFrame, centroids: np.ndarray, vec_col: str = "embedding",
-                 cell_col: str = "cell") -> DataFrame:
-    """Nearest centroid per vector (broadcast centroids, Arrow batches)."""
+def assign_cells(corpus: DataFrame, centroids: np.ndarray, vec_col: str = "embedding", cell_col: str = "cell") -> DataFrame:
+    """Nearest centroid per vector (bounded centroids, Arrow batches); null for a vector of another width."""
+    cents = _normalise(np.asarray(centroids, dtype=np.float64))
+
+    def nearest(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            out = np.full(len(batch), -1, np.int32)
+            column = pa.chunked_array([batch])
+            ok = pc.list_value_length(batch).fill_null(-1).to_numpy() == cents.shape[1]
+            if ok.any():
+                out[ok] = np.argmax(_matrix(column.filter(pa.array(ok))) @ cents.T, axis=1)
+            yield pa.array(out, mask=~ok)
+
+    return corpus.withColumn(cell_col, F.arrow_udf(nearest, T.IntegerType())(F.col(vec_col)))
+
+
+def build_ivf_index(corpus: DataFrame, path: str, vec_col: str = "embedding", lists: int = K.IVF_LISTS, seed: int = 1, centroids: np.ndarray | None = None) -> IvfIndex:
+    """Write the index to ``path`` and return it; centroids are trained unless given.
+
+    Vectors of another width than the centroids' stay out. Rows are rebalanced
+    by cell: a cell of any size is split into files of Spark's advisory size.
+    """
     spark = corpus.sparkSession
-    cb = spark.sparkContext.broadcast(_normalise(np.asarray(centroids, dtype=np.float64)))
-
-    @F.pandas_udf("int")
-    def nearest(s: pd.Series) -> pd.Series:
-        out = np.full(len(s), -1, dtype=np.int32)
-        ok = s.notna().to_numpy()
-        if ok.any():
-            m = _normalise(np.vstack(s[ok].to_numpy()).astype(np.float64))
-            out[ok] = np.argmax(m @ cb.value.T, axis=1)
-        return pd.Series(out)
-
-    return corpus.withColumn(cell_col, F.when(F.col(vec_col).isNotNull(), nearest(F.col(vec_col))))
-
-
-def build_ivf_index(corpus: DataFrame, path: str, vec_col: str = "embedding",
-                    lists: int = K.IVF_LISTS, seed: int = 1, centroids: np.ndarray | None = None) -> np.ndarray:
-    """Write the corpus partitioned by cell (one file per cell and salt). Returns the centroids, trained unless given."""
-    cents = train_ivf(corpus, vec_col, lists, seed) if centroids is None else centroids
-    celled = assign_cells(corpus, cents, vec_col)
-    pieces = _parts(corpus.count(), len(cents) * PIECE_ROWS * 64)
-    salted = celled.repartition(F.col("cell"), F.floor(F.rand(seed) * pieces))
-    salted.write.mode("overwrite").partitionBy("cell").parquet(path)
-    return cents
-
-
-def ivf_topk(index: DataFrame, centroids: np.ndarray, queries: DataFrame, k: int = 10,
-             nprobe: int = 10, id_col: str = "id", vec_col: str = "embedding",
-             query_id: str = "query_id", query_vec: str = "query_vec",
-             cell_col: str = "cell") -> DataFrame:
+    cents = train_ivf(corpus, vec_col, lists, seed) if centroids is None else np.asarray(centroids, dtype=np.float64)
+    celled = assign_cells(corpus.filter(F.size(vec_col) == cents.shape[1]), cents, vec_col)
+    celled.hint("rebalance", "cell").write.mode("overwrite").partitionBy("cell").parquet(f"{path}/vectors")
+    vectors = spark.read.schema(T.StructType([*corpus.schema.fields, T.StructField("cell", T.IntegerType())])).parquet(f"{path}/vectors")
+    known = spark.createDataFrame([(i, [float(x) for x in c]) for i, c in enumerate(cents)], "cell int, centroid array<double>")
+    counts = vectors.groupBy("cell").agg(F.count("*").alias("rows"))
+    known.join(counts, "cell", "left").withColumn("rows", F.coalesce("rows", F.lit(0).cast("long"))).coalesce(1).write.mode("overwrite").parquet(f"{path}/cells")
+    return read_ivf_index(spark, path)
+
+
+def read_ivf_index(spark: SparkSession, path: str) -> IvfIndex:
+    return IvfIndex(spark.read.parquet(f"{path}/vectors"), spark.read.parquet(f"{path}/cells"))
+
+
+def ivf_topk(index: IvfIndex, queries: DataFrame, k: int = 10, nprobe: int = 10, id_col: str = "id", vec_col: str = "embedding",
+             query_id: str = "query_id", query_vec: str = "query_vec") -> DataFrame:
     """Approximate top-k: each query is compared only with the rows of its
-    ``nprobe`` nearest cells (all of them: exact). Queries and rows meet on the
-    cell; cells of more than ``PIECE_ROWS`` rows are split."""
-    cents = _normalise(np.asarray(centroids, dtype=np.float64))
+    ``nprobe`` nearest cells (all of them: exact).
+
+    The probed cells, one row each with their number of pieces, are joined to
+    the vectors on the partition column: one scan, pruned at run time to the
+    folders of those cells. Cells of more than ``PIECE_ROWS`` rows are split.
+    """
+    spark = queries.sparkSession
+    cells = index.cells.orderBy("cell").collect()  # one row per cell
+    cents = _normalise(np.array([c["centroid"] for c in cells], dtype=np.float64))
     probe = min(nprobe, len(cents))
 
     def probed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -230,10 +344,15 @@ def ivf_topk(index: DataFrame, centroids: np.ndarray, queries: DataFrame, k: int
                 yield batch.assign(_cells=[row.tolist() for row in near])
 
     asked = queries.select(query_id, query_vec).filter(F.size(query_vec) == cents.shape[1])
-    asked = asked.mapInPandas(probed, T.StructType([*asked.schema.fields, T.StructField("_cells", T.ArrayType(T.LongType()))]))
-    asked = asked.select(query_id, query_vec, F.explode("_cells").alias("_key"))
-    rows = index.select(id_col, vec_col, F.col(cell_col).cast("long").alias("_key")).filter(_usable(vec_col))
-    pieces = rows.groupBy("_key").agg(F.ceil(F.count("*") / PIECE_ROWS).alias("_pieces"))  # one row per cell
-    rows = rows.join(pieces, "_key").withColumn("_salt", F.pmod(F.xxhash64(id_col), F.col("_pieces"))).drop("_pieces")
-    asked = asked.join(pieces, "_key").withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_pieces") - 1))).drop("_pieces")
-    return _final_topk(_partial_topk(rows, asked, k, ["_key", "_salt"], id_col, vec_col, query_id, query_vec), k, id_col)
+    asked = asked.mapInPandas(probed, T.StructType([*asked.schema.fields, T.StructField("_cells", T.ArrayType(T.IntegerType()))]))
+    # Written once: the queries are needed twice, and a pruning filter must be plain to be shared with its join.
+    path = shared_dir(spark, "ivf-asked")
+    asked.select(query_id, query_vec, F.explode("_cells").alias("cell")).write.parquet(path)
+    asked = spark.read.parquet(path)
+    pieces = index.cells.filter("rows > 0").select("cell", F.ceil(F.col("rows") / PIECE_ROWS).alias("_pieces"))
+    wanted = pieces.join(asked.select("cell").distinct(), "cell", "left_semi")
+    # At most one row per cell of the index, which bounds the broadcast; the join on the partition column prunes the scan.
+    rows = index.vectors.select(id_col, vec_col, "cell").join(F.broadcast(wanted), "cell")
+    rows = rows.withColumn("_salt", F.pmod(F.xxhash64(id_col), F.col("_pieces"))).drop("_pieces")
+    asked = asked.join(pieces, "cell").withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_pieces") - 1))).drop("_pieces")
+    return _final_topk(_partial_topk(rows, asked, k, ["cell", "_salt"], id_col, vec_col, query_id, query_vec), k, id_col)

@@ -80,11 +80,16 @@ def _page_tail(raw: DataFrame, site: dict, order: list[str], limit: int) -> Data
 
 
 def embed_products(products: DataFrame, text_encoder_factory=None, image_encoder_factory=None,
-                   dim: int = 768) -> DataFrame:
+                   dim: int = 768, images: DataFrame | None = None) -> DataFrame:
     """Add ``info_embedding`` (encoder over ``build_info_text``) and
-    ``image_embedding`` (encoder over the cleaned image URL, only for URLs
-    that can be embedded). Runs after gate and de-dup, so each product is
-    encoded once; a failed or wrong-width vector is null and the row kept."""
+    ``image_embedding``, only for image URLs that can be embedded. Runs after
+    gate and de-dup, so each product is encoded once; a failed or wrong-width
+    vector is null and the row kept.
+
+    With ``images`` (image_url, content), as ``read_images`` gives them, the
+    image encoder gets the bytes of the cleaned URL: every image that a product
+    names is encoded once, and only its vector is joined to the products.
+    Without, it gets the cleaned URL itself."""
     from pyspark.sql import functions as F
     from shelfline.functions import normalize as N
     from shelfline.operators.vectors import embed_column
@@ -95,7 +100,13 @@ def embed_products(products: DataFrame, text_encoder_factory=None, image_encoder
     if image_encoder_factory is not None:
         out = out.withColumn("_img", F.when(N.is_embeddable_image_url("image_url"),
                                             N.clean_image_url("image_url")))
-        out = embed_column(out, "_img", image_encoder_factory, "image_embedding", dim).drop("_img")
+        if images is None:
+            return embed_column(out, "_img", image_encoder_factory, "image_embedding", dim).drop("_img")
+        named = out.select("_img").filter("_img is not null").distinct()
+        known = images.select(F.col("image_url").alias("_img"), "content").join(named, "_img", "left_semi")
+        known = known.groupBy("_img").agg(F.min_by("content", F.sha2("content", 256)).alias("content"))
+        known = embed_column(known, "content", image_encoder_factory, "image_embedding", dim).drop("content")
+        out = out.join(known, "_img", "left").drop("_img")
     return out
 
 

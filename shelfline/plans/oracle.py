@@ -426,6 +426,11 @@ SELECT query_id, vec_id, round(score, 5) AS score, rank FROM r WHERE rank <= 5""
 ORACLE["embed_column"] = "SELECT doc_id, " + ", ".join(
     f"CASE WHEN trim(text) <> '' THEN CAST(length(text) - length(replace(text, '{c}', '')) AS DOUBLE) END AS {c}" for c in "aeio") + " FROM documents"
 
+ORACLE["embed_image_bytes"] = "SELECT page_id, " + ", ".join(
+    f"CASE WHEN html <> '' AND page_id % 13 > 2 THEN CAST({x} AS DOUBLE) END AS {c}" for c, x in (
+        ("n_bytes", "strlen(html)"), ("n_lt", "length(html) - length(replace(html, '<', ''))"),
+        ("n_e", "length(html) - length(replace(html, 'e', ''))"), ("n_lf", "length(html) - length(replace(html, chr(10), ''))"))) + " FROM pages"
+
 # --------------------------------------------------------------- streaming
 ORACLE["stream_upsert"] = """SELECT user_id, event_id, ts, event_type,
   CASE WHEN event_id % 5 <> 0 THEN value END AS value FROM events

@@ -730,8 +730,8 @@ def q_ivf_topk(spark, sf):
     means = FX.label_centroids(e)
     path = shared_dir(spark, "ivf-index")
     cents = np.array([r["query_vec"] for r in means.orderBy("query_id").collect()])
-    build_ivf_index(e.select("vec_id", "embedding"), path, "embedding", centroids=cents)
-    out = ivf_topk(spark.read.parquet(path), cents, means, TOPK, nprobe=4, id_col="vec_id")
+    index = build_ivf_index(e.select("vec_id", "embedding"), path, "embedding", centroids=cents)
+    out = ivf_topk(index, means, TOPK, nprobe=4, id_col="vec_id")
     return out.select("query_id", "vec_id", F.round("score", 5).alias("score"), "rank")
 
 
@@ -754,6 +754,30 @@ def q_embed_column(spark, sf):
     return out.select("doc_id", *[F.element_at("embedding", i + 1).cast("double").alias(c) for i, c in enumerate("aeio")])
 
 
+def _byte_encoder():
+    """Length and counts of three bytes; content that begins with 0xFF is no picture, and fails whatever batch it is in."""
+    import numpy as np
+
+    def encode(contents):
+        if any(c[0] == 0xFF for c in contents):
+            raise ValueError("no picture")
+        return np.array([[len(c), c.count(b"<"), c.count(b"e"), c.count(b"\n")] for c in contents], dtype=np.float32)
+    return encode
+
+
+@query("embed_image_bytes")
+def q_embed_image_bytes(spark, sf):
+    """Bytes of the pages as image contents: some null, some empty, some that the encoder rejects."""
+    from shelfline.operators.vectors import embed_column
+    k, content = F.col("page_id"), F.encode("html", "UTF-8")
+    content = (F.when(k % 13 == 0, F.lit(None).cast("binary")).when(k % 13 == 1, F.lit(b""))
+               .when(k % 13 == 2, F.concat(F.lit(b"\xff\xd8"), content)).otherwise(content))
+    pages = FX.table(spark, sf, "pages").select("page_id", content.alias("image"))
+    out = embed_column(pages, "image", lambda: _byte_encoder(), "image_embedding", 4)
+    names = ("n_bytes", "n_lt", "n_e", "n_lf")
+    return out.select("page_id", *[F.element_at("image_embedding", i + 1).cast("double").alias(c) for i, c in enumerate(names)])
+
+
 # --------------------------------------------------------------- streaming
 
 def _run_stream(spark, sf, with_pending=False):
@@ -892,6 +916,6 @@ def q_ivf_topk_all_cells(spark, sf):
     from shelfline.session import shared_dir
     e = _embeddings(spark, sf)
     path = shared_dir(spark, "ivf-index")
-    cents = build_ivf_index(e.select("vec_id", "embedding"), path, "embedding", lists=20)
-    out = ivf_topk(spark.read.parquet(path), cents, FX.label_centroids(e), TOPK, nprobe=20, id_col="vec_id")
+    index = build_ivf_index(e.select("vec_id", "embedding"), path, "embedding", lists=20)
+    out = ivf_topk(index, FX.label_centroids(e), TOPK, nprobe=20, id_col="vec_id")
     return out.select("query_id", "vec_id", F.round("score", 5).alias("score"), "rank")

@@ -1,4 +1,4 @@
-"""File sources: raw feed documents, HTML pages and sitemaps as tables.
+"""File sources: raw feed documents, HTML pages, sitemaps and images as tables.
 
 Each file is one document (``wholetext``), which is the unit the original
 fetched per request; its path becomes the endpoint / URL unless a mapping
@@ -59,3 +59,20 @@ def read_sitemaps(spark: SparkSession, paths, urls: DataFrame | None = None) ->
     else:
         docs = docs.withColumn("url", F.col("path"))
     return docs.select("url", F.col("value").alias("xml"))
+
+
+def read_images(spark: SparkSession, paths, urls: DataFrame | None = None, max_bytes: int = 64 << 20) -> DataFrame:
+    """``images(image_url, length, content)`` from image files, for ``embed_column``.
+
+    ``urls`` (path, url) maps files to their URLs; without it the path stands
+    for the URL. The length limit is pushed into the scan: a file of over
+    ``max_bytes`` is listed with null content and never read; Spark lists no
+    empty file.
+    """
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
+    small = files.filter(F.col("length") <= max_bytes).select("path", "length", "content")
+    large = files.filter(F.col("length") > max_bytes).select("path", "length", F.lit(None).cast("binary").alias("content"))
+    found = small.unionByName(large).withColumn("path", _norm_path(F.col("path")))
+    found = _with_urls(found, urls) if urls is not None else found.withColumn("url", F.col("path"))
+    return found.select(F.col("url").alias("image_url"), "length", "content")
