@@ -14,6 +14,11 @@ def col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def once(value, body) -> Column:
+    """``body(x)`` with ``value`` worked out once per row, however often ``body`` uses it."""
+    return F.transform(F.array(col(value)), body)[0]
+
+
 def strip(c) -> Column:
     """``str.strip()``: remove leading/trailing Unicode whitespace."""
     return F.regexp_replace(col(c), r"(?U)^\s+|\s+$", "")

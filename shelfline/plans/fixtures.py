@@ -282,7 +282,8 @@ def card_pages(part: DataFrame) -> DataFrame:
     source (data attribute, test id, wishlist test id, link handle), the image
     (root-relative and disallowed, asset-relative, protocol-relative), the
     title (empty for every ninth) and the price (missing for every thirteenth),
-    and nest their markup. The embedded products stand in seven scripts, most
+    nest their markup, and vary quotes, case, classes and references; a
+    commented-out card follows each. The embedded products stand in seven scripts, most
     of them assigned to a long name; every fourteenth has the image that its
     card lacks. ld+json URLs are escaped.
     """
@@ -299,10 +300,13 @@ def card_pages(part: DataFrame) -> DataFrame:
            .when(k % 7 == 1, F.concat(F.lit("assets/"), ks, F.lit("-s.jpg")))
            .otherwise(F.concat(F.lit("//img.example/"), ks, F.lit("-e1.jpg"))))
     title = F.when(k % 9 == 0, F.lit("")).otherwise(F.col("p_name"))
-    card = F.concat(F.lit('<div class="card"'), id_attrs, F.lit('><a href="/products/handle-'), ks,
-                    F.lit('?v=1"><div><b>'), title, F.lit('</b></div></a><div class="media"><img src="'), img, F.lit('"></div>'),
-                    F.when(k % 13 == 0, F.lit("")).otherwise(F.concat(F.lit('<span class="price"><i>from</i> '), price, F.lit("</span>"))),
-                    F.lit("</div>"))
+    opening = F.when(k % 3 == 0, F.lit("<DIV title='a \"card\" > 1' CLASS='big card'")).otherwise(F.lit('<div class="card"'))
+    title = F.when(k % 11 == 0, F.concat(title, F.lit(" Caf&eacute; &#8364;"))).otherwise(title)
+    link = F.when(k % 4 == 0, F.concat(F.lit("<A HREF=/products/handle-"), ks, F.lit("?v=1>"))).otherwise(
+        F.concat(F.lit('<a title="it\'s" href="/products/handle-'), ks, F.lit('?v=1">')))
+    card = F.concat(opening, id_attrs, F.lit(">"), link, F.lit("<div><b>"), title, F.lit('</b></div></a><div class="media"><img alt="<card>" src="'), img, F.lit('"></div>'),
+                    F.when(k % 13 == 0, F.lit("")).otherwise(F.concat(F.lit("<span class='old price'><i>from</i> "), price, F.lit("</span>"))),
+                    F.lit('</div><!-- <div class="card" data-product-id="0"><img src="/0-s.jpg"></div> -->'))
     ld = F.concat(F.lit('{"position":'), ks, F.lit(',"item":{"url":"\\/products\\/handle-'), ks, F.lit('?a=1\\u0026b=2"}}'))
     emb = F.concat(F.lit('{"id":"'), ks, F.lit('","name":"Emb '), F.col("p_name"),
                    F.lit('","description":"'), F.col("p_type"), F.lit('","sizes":[{"price":"'),
@@ -327,6 +331,27 @@ def card_pages(part: DataFrame) -> DataFrame:
                     html.alias("html"))
 
 
+#: Markup by the quoting rules of HTML: any quotes, bare values, any case, comments and scripts, references. {k} is the page.
+AWKWARD_HEAD = """<!-- <title>no title</title><h1>no heading</h1> -->"""
+AWKWARD_TITLE = " Caf&eacute; &#233;&#xE9; &euro;5 &amp;eacute; &hellip;&nbsp;"
+AWKWARD_BODY = """<IMG ALT='a > "b"' SRC="//img.example/{k}'s-e1.jpg?x=1&amp;y=2">
+<A HREF=/bare/{k}?a=1&amp;b=2&copy=3>bare</A><a title="href='/no'" href="/p/Women's-{k}">apostrophe</a>
+<a data-href='/single/"{k}"' >single</a><!-- <a href="/hidden/{k}">hidden</a> -->
+<script>var s = "<a href='/js/{k}'>"; var categoryId = "77{k}";</script><a
+class=x data-url = '/spaced/Caf&eacute;/{k}'/>spaced</a><a href="">empty</a><abbr href="/abbr">no anchor</abbr>
+<a href='/en/9{k}?q="1"'>by path</a><a href=/list?page=5{k}&amp;x=1>by parameter</a><a href="https://other.example/category/8{k}/products">other</a>
+<script type="application/ld+json">{"url":"\\/ld\\/{k}?a=1\\u0026b=2","item":{"url":"https://other.example/L/{k}"}}</script>"""
+
+
+def awkward_pages(pages: DataFrame) -> DataFrame:
+    """The pages with such markup added; every third has its heading's tag in upper case."""
+    html = F.replace("html", F.lit("</title>"), F.lit(AWKWARD_TITLE + "</title>"))
+    upper = F.replace(F.replace(html, F.lit("<h1>"), F.lit("<H1 CLASS=top>")), F.lit("</h1>"), F.lit("</H1 >"))
+    html = F.when(F.col("page_id") % 3 == 0, upper).otherwise(html)
+    body = F.replace(F.lit(AWKWARD_BODY), F.lit("{k}"), F.col("page_id").cast("string"))
+    return pages.withColumn("html", F.concat(F.lit(AWKWARD_HEAD), html, body))
+
+
 def product_pages(part: DataFrame) -> DataFrame:
     """One page per part at the URL its card links to, with title, price and image."""
     k = F.col("p_partkey")

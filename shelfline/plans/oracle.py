@@ -24,6 +24,7 @@ ORACLE["price_gate"] = E1 + f"SELECT {PRODUCT_COLS} FROM gated"
 ORACLE["dedup_first"] = E1 + f"SELECT {PRODUCT_COLS} FROM catalog"
 
 from shelfline import constants as K  # noqa: E402
+from shelfline.plans import fixtures as FX  # noqa: E402
 from shelfline.plans import sqlfrag as S  # noqa: E402
 
 RAW = with_ctes(RAW_PRODUCTS)
@@ -261,56 +262,68 @@ ORACLE["reset_vector_column"] = """
 SELECT vec_id, label, true AS reset, CASE WHEN len(embedding) = 64 THEN 64 END AS kept_width FROM embeddings"""
 
 # -------------------------------------------------------------- page jobs
-from shelfline.plans.queries import PAGE_FIELDS, SCAN_PATTERN, HTML_TEMPLATE, HTML_ID_REGEX  # noqa: E402
+from shelfline.plans.queries import SCAN_PATTERN, HTML_TEMPLATE, HTML_ID_REGEX  # noqa: E402
 
 
 def _rx(r: str) -> str:
     return q(r)
 
 
-ORACLE["page_fields"] = f"""
-SELECT page_id, url,
-  coalesce({S.node_text(f"regexp_extract(html, {_rx(PAGE_FIELDS['title'])}, 1)")}, '') AS title,
-  coalesce({S.node_text(f"regexp_extract(html, {_rx(PAGE_FIELDS['description'])}, 1)")}, '') AS description,
-  '' AS price,
-  CASE WHEN {S.is_allowed_image(f"regexp_extract(html, {_rx(PAGE_FIELDS['image_url'])}, 1)")}
-       THEN regexp_extract(html, {_rx(PAGE_FIELDS['image_url'])}, 1) ELSE '' END AS image_url
-FROM pages"""
+AWKWARD = f"""ap AS (SELECT page_id, url, {q(FX.AWKWARD_HEAD)} || CASE WHEN page_id % 3 = 0 THEN replace(replace(h, '<h1>', '<H1 CLASS=top>'), '</h1>', '</H1 >') ELSE h END
+  || replace({q(FX.AWKWARD_BODY)}, '{{k}}', CAST(page_id AS VARCHAR)) AS html
+  FROM (SELECT page_id, url, replace(html, '</title>', {q(FX.AWKWARD_TITLE + "</title>")}) AS h FROM pages))"""
 
-ANCHORS = r"""WITH tags AS (SELECT page_id, url, unnest(regexp_extract_all(html, '<a\s[^>]*>', 0)) AS tag,
-  generate_subscripts(regexp_extract_all(html, '<a\s[^>]*>', 0), 1) - 1 AS pos FROM pages),
-h AS (SELECT page_id, url, pos, """ + f"""coalesce({S.attr('tag', 'href')}, {S.attr('tag', 'data-href')}, {S.attr('tag', 'data-url')}) AS href,
+_TITLE, _H1 = (f"regexp_extract({S.markup('html')}, '(?is)<{t}[^>]*>(.*?)</{t}\\s*>', 1)" for t in ("title", "h1"))
+_IMAGE = f"list_filter(list_transform({S.tags('html', 'img')}, lambda t: {S.attr('t', 'src')}), lambda x: x IS NOT NULL)[1]"
+ORACLE["page_fields"] = f"""WITH {AWKWARD}, f AS (
+SELECT page_id, url, coalesce({S.node_text(_TITLE)}, '') AS title, coalesce({S.node_text(_H1)}, '') AS description, '' AS price, {_IMAGE} AS img FROM ap)
+SELECT page_id, url, title, description, price, CASE WHEN {S.is_allowed_image('img')} THEN img ELSE '' END AS image_url FROM f"""
+
+ANCHORS = f"""WITH {AWKWARD}, tags AS (SELECT page_id, url, html, unnest({S.tags('html', 'a')}) AS tag,
+  generate_subscripts({S.tags('html', 'a')}, 1) - 1 AS pos FROM ap),
+h AS (SELECT page_id, url, pos, coalesce({S.attr('tag', 'href')}, {S.attr('tag', 'data-href')}, {S.attr('tag', 'data-url')}) AS href,
   {S.attr('tag', 'href')} AS href_only FROM tags),
-links AS (SELECT page_id, pos, {S.resolve_url(S.unescape('href'), 'url')} AS link FROM h
-  WHERE href IS NOT NULL AND {S.is_http(S.resolve_url(S.unescape('href'), 'url'))})
+links AS (SELECT page_id, pos, {S.resolve_url('href', 'url')} AS link FROM h
+  WHERE href IS NOT NULL AND {S.is_http(S.resolve_url('href', 'url'))})
 """
 ORACLE["page_links"] = ANCHORS + "SELECT page_id, pos, link FROM links"
 ORACLE["resolve_url"] = ANCHORS + f"SELECT page_id, pos, href_only AS href, {S.resolve_url('href_only', 'url')} AS resolved FROM h"
 ORACLE["ordered_distinct"] = ANCHORS + """SELECT link, page_id, pos FROM links
 QUALIFY row_number() OVER (PARTITION BY link ORDER BY page_id, pos) = 1"""
 
-_ATTR_RX = f"""(?:href|data-href|data-url)=["']([^"']*{SCAN_PATTERN}[^"']*)"""
+_QUOTED = r"""regexp_extract_all(html, '(?i:data-href|data-url|href)\s*=\s*(?:"[^"]*"|''[^'']*'')')"""
+_VALUES = rf"""list_filter(list_transform({_QUOTED}, lambda x: regexp_replace(regexp_replace(x, '^[^=]*=\s*.', ''), '.$', '')), lambda x: regexp_matches(x, '{SCAN_PATTERN}'))"""
 _TEXT_RX = f"""https?://[^\\s"']*{SCAN_PATTERN}[^\\s"']*"""
-SCAN = f"""scan_a AS (SELECT page_id, url, unnest(regexp_extract_all(html, {q(_ATTR_RX)}, 1)) AS u,
-  generate_subscripts(regexp_extract_all(html, {q(_ATTR_RX)}, 1), 1) - 1 AS pos FROM pages),
+SCAN = f"""scan_a AS (SELECT page_id, url, unnest({_VALUES}) AS u, generate_subscripts({_VALUES}, 1) - 1 AS pos FROM ap),
 scan_t AS (SELECT page_id, unnest(regexp_extract_all(html, {q(_TEXT_RX)}, 0)) AS link,
-  generate_subscripts(regexp_extract_all(html, {q(_TEXT_RX)}, 0), 1) - 1 AS pos FROM pages),
+  generate_subscripts(regexp_extract_all(html, {q(_TEXT_RX)}, 0), 1) - 1 AS pos FROM ap),
 scan AS (SELECT page_id, 0 AS branch, pos, {S.resolve_url('u', 'url')} AS link FROM scan_a
   UNION ALL SELECT page_id, 1 AS branch, pos, link FROM scan_t)
 """
-ORACLE["product_url_scan"] = "WITH " + SCAN + "SELECT page_id, branch, pos, link FROM scan"
-ORACLE["category_links"] = ANCHORS + "," + SCAN + """,
+ORACLE["product_url_scan"] = f"WITH {AWKWARD}, " + SCAN + "SELECT page_id, branch, pos, link FROM scan"
+ORACLE["category_links"] = ANCHORS + "," + SCAN + f""",
+ld AS (SELECT page_id, 0 AS pos, {S.resolve_url("'/ld/' || CAST(page_id AS VARCHAR) || '?a=1&b=2'", 'url')} AS link FROM ap
+  UNION ALL SELECT page_id, 1 AS pos, 'https://other.example/L/' || CAST(page_id AS VARCHAR) AS link FROM ap),
 allp AS (SELECT page_id, 0 AS src, 0 AS branch, pos, link FROM links
+  UNION ALL SELECT page_id, 1 AS src, 0 AS branch, pos, link FROM ld
   UNION ALL SELECT page_id, 2 AS src, branch, pos, link FROM scan)
 SELECT page_id, link, src, branch, pos FROM allp
 QUALIFY row_number() OVER (PARTITION BY page_id, link ORDER BY src, branch, pos) = 1"""
 
-_CID = (f"coalesce(nullif(regexp_extract(split_part(url, '#', 1), '[?&]page=([^&#]*)', 1), ''), "
-        f"nullif(regexp_extract(url, {q(HTML_ID_REGEX)}, 1), ''))")
-ORACLE["html_endpoints"] = f"""WITH own AS (SELECT page_id, {_CID} AS cid FROM pages),
-e AS (SELECT page_id, 1 AS src, CAST(0 AS BIGINT) AS pos, replace({q(HTML_TEMPLATE)}, '{{category_id}}', cid) AS endpoint
-  FROM own WHERE cid IS NOT NULL)
-SELECT endpoint, page_id, src, pos FROM e WHERE starts_with(endpoint, 'http')
+
+def _cid(u: str) -> str:
+    return (f"coalesce(nullif(regexp_extract(split_part({u}, '#', 1), '[?&]page=([^&#]*)', 1), ''), "
+            f"nullif(regexp_extract({u}, {q(HTML_ID_REGEX)}, 1), ''))")
+
+
+_IDS = " || ".join(f"regexp_extract_all(html, {q(rx)}, 1)" for rx in K.HTML_CATEGORY_ID_PATTERNS)
+ORACLE["html_endpoints"] = ANCHORS + f""",
+ids AS (SELECT page_id, 0 AS src, unnest({_IDS}) AS cid, generate_subscripts({_IDS}, 1) - 1 AS pos FROM ap
+  UNION ALL SELECT page_id, 1 AS src, {_cid('url')} AS cid, 0 AS pos FROM ap
+  UNION ALL SELECT page_id, 2 AS src, {_cid('href_only')} AS cid, pos FROM h WHERE href_only IS NOT NULL),
+e AS (SELECT page_id, src, CAST(pos AS BIGINT) AS pos, replace({q(HTML_TEMPLATE)}, '{{category_id}}', cid) AS u FROM ids WHERE cid IS NOT NULL),
+f AS (SELECT page_id, src, pos, CASE WHEN src = 1 THEN u ELSE {S.append_flag('u')} END AS endpoint FROM e)
+SELECT endpoint, page_id, src, pos FROM f WHERE starts_with(endpoint, 'http')
 QUALIFY row_number() OVER (PARTITION BY endpoint ORDER BY page_id, src, pos) = 1"""
 
 ORACLE["append_query_flag"] = f"SELECT page_id, {S.append_flag('url')} AS endpoint FROM pages"
@@ -336,7 +349,7 @@ cards AS (SELECT page_id, card_pos, k, p_name, p_type, cents,
   CASE WHEN k % 7 = 0 THEN NULL WHEN k % 7 = 1 THEN '{SHOP}/cards/assets/' || CAST(k AS VARCHAR) || '-s.jpg'
     ELSE 'https://img.example/' || CAST(k AS VARCHAR) || '-e1.jpg' END AS image_url,
   CASE WHEN k % 13 <> 0 THEN CAST(CAST(cents // 100 AS VARCHAR) || '.' || lpad(CAST(cents % 100 AS VARCHAR), 2, '0') AS DOUBLE) END AS price,
-  CASE WHEN k % 9 = 0 THEN NULL ELSE p_name END AS title,
+  nullif(CASE WHEN k % 9 = 0 THEN '' ELSE p_name END || CASE WHEN k % 11 <> 0 THEN '' WHEN k % 9 = 0 THEN 'Café €' ELSE ' Café €' END, '') AS title,
   CASE WHEN k % 14 = 0 THEN 'https://img.example/' || CAST(k AS VARCHAR) || '-e1.jpg' END AS emb_image,
   k % 5 IN (0, 3, 4) AS has_match FROM c),
 matched AS (SELECT page_id, card_pos, k, card_id, product_url, coalesce(title, CASE WHEN has_match THEN 'Emb ' || p_name END) AS title,

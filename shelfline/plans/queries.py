@@ -10,11 +10,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfline.functions import html as H
 from shelfline.functions import normalize as N
 from shelfline.operators import dedup as D
 from shelfline.operators import reads as R
 from shelfline.operators import rows as RW
 from shelfline.plans import fixtures as FX
+from shelfline.sources.pages import element_regex
 
 REGISTRY: dict = {}
 
@@ -496,12 +498,7 @@ def q_reset_vector_column(spark, sf):
 
 # ------------------------------------------------------------- page jobs
 
-PAGE_FIELDS = {
-    "title": r"(?is)<title\b[^>]*>(.*?)</title>",
-    "description": r"(?is)<h1\b[^>]*>(.*?)</h1>",
-    "price": None,
-    "image_url": r"""(?is)<img\s[^>]*src\s*=\s*["']([^"']*)["']""",
-}
+PAGE_FIELDS = {"title": element_regex("title"), "description": element_regex("h1"), "price": None, "image_url": ("img", "src")}
 SCAN_PATTERN = "[A-Z]"
 HTML_TEMPLATE = FX.SHOP + "/category/{category_id}/products"
 HTML_ID_REGEX = r"/(?:en|fr|de|es)/(\d+)"
@@ -511,16 +508,20 @@ def _pages(spark, sf):
     return FX.table(spark, sf, "pages")
 
 
+def _awkward_pages(spark, sf):
+    return FX.awkward_pages(_pages(spark, sf))
+
+
 @query("page_fields")
 def q_page_fields(spark, sf):
     from shelfline.sources.pages import page_fields
-    return page_fields(_pages(spark, sf), PAGE_FIELDS)
+    return page_fields(_awkward_pages(spark, sf), PAGE_FIELDS)
 
 
 @query("page_links")
 def q_page_links(spark, sf):
     from shelfline.sources.pages import page_links
-    return page_links(_pages(spark, sf))
+    return page_links(_awkward_pages(spark, sf))
 
 
 @query("jsonld_urls")
@@ -533,31 +534,30 @@ def q_jsonld_urls(spark, sf):
 @query("product_url_scan")
 def q_product_url_scan(spark, sf):
     from shelfline.sources.pages import product_url_scan
-    return product_url_scan(_pages(spark, sf), SCAN_PATTERN)
+    return product_url_scan(_awkward_pages(spark, sf), SCAN_PATTERN)
 
 
 @query("category_links")
 def q_category_links(spark, sf):
     from shelfline.sources.pages import category_links
-    return category_links(_pages(spark, sf), SCAN_PATTERN)
+    return category_links(_awkward_pages(spark, sf), SCAN_PATTERN)
 
 
 @query("html_endpoints")
 def q_html_endpoints(spark, sf):
     from shelfline.sources.pages import html_endpoints
-    return html_endpoints(_pages(spark, sf), HTML_TEMPLATE, HTML_ID_REGEX, "page")
+    return html_endpoints(_awkward_pages(spark, sf), HTML_TEMPLATE, HTML_ID_REGEX, "page")
 
 
 @query("resolve_url")
 def q_resolve_url(spark, sf):
     from shelfline.functions.urls import resolve_url
-    from shelfline.sources.pages import ANCHOR, _attr
-    p = _pages(spark, sf)
-    tags = p.select("page_id", "url", F.posexplode(F.regexp_extract_all("html", F.lit(ANCHOR), 0))
-                    .alias("pos", "tag"))
-    href = _attr(F.col("tag"), "href")
-    return tags.select("page_id", F.col("pos").cast("bigint").alias("pos"), href.alias("href"),
-                       resolve_url(href, F.col("url")).alias("resolved"))
+    from shelfline.sources.pages import ANCHOR
+    p = _awkward_pages(spark, sf)
+    tags = p.select("page_id", "url", F.posexplode(H.tags("html", ANCHOR)).alias("pos", "tag"))
+    href = H.attribute("tag", "href")
+    hrefs = RW.settled(tags.select("page_id", "url", F.col("pos").cast("bigint").alias("pos"), href.alias("href")))
+    return hrefs.select("page_id", "pos", "href", resolve_url("href", F.col("url")).alias("resolved"))
 
 
 @query("append_query_flag")
@@ -569,7 +569,7 @@ def q_append_query_flag(spark, sf):
 @query("ordered_distinct")
 def q_ordered_distinct(spark, sf):
     from shelfline.sources.pages import page_links
-    return D.ordered_distinct(page_links(_pages(spark, sf)), "link", ["page_id", "pos"])
+    return D.ordered_distinct(page_links(_awkward_pages(spark, sf)), "link", ["page_id", "pos"])
 
 
 @query("url_contains_any")
@@ -613,11 +613,7 @@ def q_match_cards_to_embedded(spark, sf):
     return out.select("page_id", "card_pos", "card_id", "title", "description", "price", "image_url")
 
 
-PRODUCT_PAGE_FIELDS = {
-    "title": r"(?is)<title\b[^>]*>(.*?)</title>",
-    "price": r'(?is)<div class="price"[^>]*>(.*?)</div>',
-    "image_url": r"""(?is)<img\s[^>]*src\s*=\s*["']([^"']*)["']""",
-}
+PRODUCT_PAGE_FIELDS = {"title": element_regex("title"), "price": H.element_regex(H.class_regex("div", "price"), "div"), "image_url": ("img", "src")}
 
 
 @query("page_run")

