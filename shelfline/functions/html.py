@@ -17,11 +17,11 @@ from functools import cache
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from shelfline.functions.text import col, strip
+from shelfline.functions.text import col, once, strip
 
 #: What holds no markup: comments (an open one reaches to the end), scripts and style sheets.
-UNMARKED = "(?i)" + "|".join([r"<!--[^-]*+(?:-(?!->)[^-]*+)*+(?:-->)?+", *[
-    rf"<{x}(?=[\s/>])[^<]*+(?:<(?!/{x}[\s/>])[^<]*+)*+(?:</{x}[^>]*+>)?+" for x in ("script", "style")]])
+UNMARKED = r"(?i:<(?:" + "|".join([r"!--[^-]*+(?:-(?!->)[^-]*+)*+(?:-->)?+", *[
+    rf"{x}(?=[\s/>])[^<]*+(?:<(?!/{x}[\s/>])[^<]*+)*+(?:</{x}[^>]*+>)?+" for x in ("script", "style")]]) + "))"
 _SEP, _NAME = r"[\s/=]*+", r"[^\s/>=]++"
 _VALUE = r"""(?:"[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+)"""
 _ATTRIBUTE = rf"{_NAME}(?:\s*+=\s*+{_VALUE}?+)?+"
@@ -32,12 +32,12 @@ TAG = rf"<[/!?]?[a-zA-Z](?:{_SEP}{_ATTRIBUTE})*+{_SEP}>"
 
 def markup(c) -> Column:
     """A page without comments, scripts and style sheets; what looks like them inside a tag stays."""
-    return F.regexp_replace(col(c), f"{UNMARKED}|({TAG})", "$1")
+    return F.regexp_replace(col(c), f"(?=<)(?:{UNMARKED}|({TAG}))", "$1")
 
 
 def tags(c, wanted: str) -> Column:
     """All tags of a page, in order, that are of a pattern (see ``tag_regex``)."""
-    every = F.regexp_extract_all(col(c), F.lit(f"{UNMARKED}|{TAG}"), 0)
+    every = F.regexp_extract_all(col(c), F.lit(f"(?=<)(?:{UNMARKED}|{TAG})"), 0)
     return F.filter(every, lambda t: t.rlike("^" + wanted))
 
 
@@ -69,7 +69,7 @@ def raw_attribute(tag, name: str, anywhere: bool = False) -> Column:
     """Value of a tag's attribute, as it stands; null if empty or absent. ``anywhere``: of the first tag in a text that has one."""
     key = re.escape(name)
     found = ("" if anywhere else "^") + rf"(?i:<[a-z][^\s/>]*+(?:{_SEP}(?!{key}[\s/>=]){_ATTRIBUTE})*+{_SEP}{key}\s*+=\s*+({_VALUE}))"
-    return F.nullif(F.regexp_replace(F.regexp_extract(col(tag), found, 1), r"""(?s)^(["'])(.*)\1$""", "$2"), F.lit(""))
+    return once(F.regexp_replace(F.regexp_extract(col(tag), found, 1), r"""(?s)^(["'])(.*)\1$""", "$2"), lambda v: F.when(v != "", v))
 
 
 def attribute(tag, *names: str, anywhere: bool = False) -> Column:
@@ -102,11 +102,11 @@ def _numbered(ref: Column) -> Column:
     base16 = F.conv(F.concat(F.lit("0"), short), 16, 10).cast("long")
     base10 = F.concat(F.lit("0"), short).try_cast("long")
     number = F.when(ref.rlike("^&#[xX]"), base16).otherwise(base10)
-    return F.transform(F.array(number), lambda n: F.coalesce(
+    return once(number, lambda n: F.coalesce(
         F.try_element_at(F.from_json(F.lit(_tables()[2]), "map<string,string>"), n.cast("string")),
         F.when(n.isNull() | (n > 0x10FFFF) | n.between(0xD800, 0xDFFF), F.lit("�"))
         .when(n.between(0xFDD0, 0xFDEF) | (n.bitwiseAND(0xFFFE) == 0xFFFE), F.lit(""))
-        .otherwise(F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32"))))[0]
+        .otherwise(F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32"))))
 
 
 def _named(ref: Column, in_attribute: bool) -> Column:
@@ -119,7 +119,7 @@ def _named(ref: Column, in_attribute: bool) -> Column:
         start = F.when(~rest.rlike("^[=A-Za-z0-9]"), start)
     # The whole name, else the longest one it begins with.
     values = F.transform(F.array(body, start), lambda n: F.try_element_at(F.try_element_at(table, F.substring(n, 1, 1)), n))
-    return F.transform(F.array(values), lambda v: F.coalesce(F.when(body.endswith(";") | ~F.lit(in_attribute), v[0]), F.concat(v[1], rest), ref))[0]
+    return once(values, lambda v: F.coalesce(F.when(body.endswith(";") | ~F.lit(in_attribute), v[0]), F.concat(v[1], rest), ref))
 
 
 def _decoded(c, in_attribute: bool) -> Column:
@@ -129,7 +129,7 @@ def _decoded(c, in_attribute: bool) -> Column:
         pieces = F.zip_with(F.split(text, _REFERENCE, -1), values, lambda p, v: F.concat(p, F.coalesce(v, F.lit(""))))
         return F.when(text.contains("&"), F.array_join(pieces, "")).otherwise(text)
 
-    return F.transform(F.array(col(c)), of)[0]  # the text is worked out once
+    return once(c, of)
 
 
 def unescape(c) -> Column:

@@ -39,7 +39,7 @@ def page_fields(pages: DataFrame, fields: dict, url: str = "url", html: str = "h
     regex whose group 1 is the value; an image that is not allowed is blanked.
     Comments, scripts and style sheets hold no fields.
     """
-    marked = pages.select("page_id", url, *keep, H.markup(html).alias("_markup"))
+    marked = settled(pages.select("page_id", url, *keep, H.markup(html).alias("_markup")))
     cols = []
     for name, spec in fields.items():
         if not spec:
@@ -51,7 +51,7 @@ def page_fields(pages: DataFrame, fields: dict, url: str = "url", html: str = "h
             value = F.regexp_extract("_markup", spec, 1)
             value = H.unescape_attribute(value) if name == image_field else H.node_text(value)
         if name == image_field:
-            cols.append(F.when(N.is_allowed_image_url(value), value).otherwise(F.lit("")).alias(name))
+            cols.append(once(value, lambda v: F.when(N.is_allowed_image_url(v), v).otherwise(F.lit(""))).alias(name))
         else:
             cols.append(F.coalesce(value, F.lit("")).alias(name))
     return marked.select("page_id", url, *keep, *cols)
