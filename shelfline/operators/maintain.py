@@ -8,7 +8,7 @@ Parquet has no MERGE, so an upsert produces a new snapshot:
 Every operator is one lazy plan of the same shape whatever the sizes: equi-joins
 against the batch's ids, which Spark broadcasts or shuffles by their measured
 bytes (AQE splits skewed keys). No job runs while a plan is built. Persisted
-tables apply these per partition through ``shelfline.sources.table.BucketedTable``.
+tables apply these per partition through ``shelfline.sources.table.PartitionedTable``.
 """
 
 from __future__ import annotations

@@ -20,6 +20,7 @@ from shelfline.operators import dedup as D
 from shelfline.operators import rows as RW
 from shelfline.operators.maintain import upsert_products, prune_missing
 from shelfline.operators.reads import site_totals
+from shelfline.session import written
 from shelfline.sources import feeds as FD
 from shelfline.sources import pages as PG
 
@@ -138,9 +139,8 @@ def stamp(cur: DataFrame | None, batch: DataFrame, run_ts) -> DataFrame:
     return merged.withColumn("created_at", F.coalesce(F.col("created_at"), ts))
 
 
-def maintain_products(table, products: DataFrame, source: str, sync: bool = False,
-                      change_id: int = 0, run_ts=None) -> None:
-    """Persist a run into a ``BucketedTable`` scoped by ``source``.
+def maintain_products(table, products: DataFrame, source: str, sync: bool = False, run_ts=None) -> None:
+    """Persist a run into a ``PartitionedTable`` scoped by ``source``.
 
     The upsert rewrites only the (source, bucket) partitions the products
     fall in; with ``sync`` the prune rewrites only those of ``source``'s
@@ -152,23 +152,21 @@ def maintain_products(table, products: DataFrame, source: str, sync: bool = Fals
     """
     import datetime as _dt
     run_ts = run_ts or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-    products = table.stage(products, change_id)  # computed once, reused below
-    table.merge(products, lambda cur, b: stamp(cur, b, run_ts), change_id)
-    if sync:
-        table.delete_missing(source, products.select("id"), change_id + 1)
-    table.unstage(change_id)
+    with written(products, "run") as run:
+        table.merge(run, lambda cur, b: stamp(cur, b, run_ts))
+        if sync:
+            table.delete_missing(source, run.select("id"))
 
 
 def run_sites(feeds: DataFrame, sites: DataFrame, mapping: dict, requested: str = "all",
-              limit: int = 0, table=None, sync: bool = False, dry_run: bool = False,
-              change_id: int = 0):
+              limit: int = 0, table=None, sync: bool = False, dry_run: bool = False):
     """Run the feed pipeline for the requested sites at once.
 
     ``feeds`` carries a ``site`` column naming its site's ``brand``; ``sites``
     is the config table (brand, source, merchant, country,
     product_url_template, ...). The first ``limit`` items per site are kept
     before the price gate and de-dup (0 = all). With a ``table``
-    (``BucketedTable`` scoped by source) the products are upserted and, with
+    (``PartitionedTable`` scoped by source) the products are upserted and, with
     ``sync``, each site's source is pruned to its current ids; ``dry_run``
     writes nothing. Returns (products, site_totals).
     """
@@ -188,11 +186,10 @@ def run_sites(feeds: DataFrame, sites: DataFrame, mapping: dict, requested: str
     if table is not None and not dry_run:
         import datetime as _dt
         run_ts = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-        out = table.stage(products.drop("site"), change_id)  # computed once, reused below
-        table.merge(out, lambda cur, b: stamp(cur, b, run_ts), change_id)
-        if sync:
-            # One prune per source of the chosen sites (a bounded config list).
-            for (src,) in chosen.select("source").distinct().collect():
-                table.delete_missing(src, out.filter(F.col("source") == src).select("id"), change_id + 1)
-        table.unstage(change_id)
+        with written(products.drop("site"), "run") as run:
+            table.merge(run, lambda cur, b: stamp(cur, b, run_ts))
+            if sync:
+                # One prune per source of the chosen sites (a bounded config list).
+                for (src,) in chosen.select("source").distinct().collect():
+                    table.delete_missing(src, run.filter(F.col("source") == src).select("id"))
     return products, totals

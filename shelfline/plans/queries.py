@@ -840,13 +840,13 @@ def synced_table(spark, sf):
     import datetime as dt
     from shelfline.plans.catalog import ORDER, feed_products, maintain_products
     from shelfline.session import shared_dir
-    from shelfline.sources.table import BucketedTable
-    table = BucketedTable(spark, shared_dir(spark, "products"), "id", buckets=16, scope="source")
+    from shelfline.sources.table import PartitionedTable
+    table = PartitionedTable(spark, shared_dir(spark, "products"), "id", buckets=16, scope="source")
     initial = catalog(spark, sf).drop("endpoint_pos", "item_pos")
-    maintain_products(table, initial, "src1", sync=False, change_id=0,
+    maintain_products(table, initial, "src1", sync=False,
                       run_ts=dt.datetime.fromisoformat(RUN_1))
     run = feed_products(_feeds(spark, sf), dict(FEED_SITE, source="src1"), FX.FEED_MAPPING)
-    maintain_products(table, run.drop(*ORDER), "src1", sync=True, change_id=1,
+    maintain_products(table, run.drop(*ORDER), "src1", sync=True,
                       run_ts=dt.datetime.fromisoformat(RUN_2))
     return table
 

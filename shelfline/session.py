@@ -9,8 +9,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def get_spark(app: str = "shelfline", master: str | None = None,
@@ -63,3 +65,26 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder under the shared checkpoint folder for written tables."""
     base = ensure_checkpoint_dir(spark)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def _file_system(spark: SparkSession, path: str):
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+
+
+def path_exists(spark: SparkSession, pattern: str) -> bool:
+    """Whether a path, or any that a pattern names, exists."""
+    files, place = _file_system(spark, pattern)
+    return bool(files.globStatus(place))
+
+
+@contextmanager
+def written(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """``df`` written once to the shared folder, for results that need it several times; removed when they are done."""
+    path = shared_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    try:
+        yield df.sparkSession.read.schema(df.schema).parquet(path)
+    finally:
+        files, place = _file_system(df.sparkSession, path)
+        files.delete(place, True)

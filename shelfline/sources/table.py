@@ -1,162 +1,103 @@
-"""Products table as Parquet partitions behind a version pointer.
-
-Parquet has no MERGE. A change writes the partitions it touches once, into a
-folder of its own, then publishes a manifest that names the current folder of
-every partition. Publishing is one file rename, so readers see the table
-before or after a change, never between. Replaying a change gives the same
-table. Folders that neither the current nor the previous manifest names are
-removed once the change is published (a reader may still hold the previous).
+"""A keyed table as plain partitioned Parquet, changed by Spark's own partition overwrite.
+
+The table is a folder of ``[scope=.../]bucket=...`` partitions that any reader
+of Parquet can use. A change computes the new rows of the partitions it
+touches and writes them with ``partitionOverwriteMode=dynamic``: Spark
+replaces exactly those partitions when the job commits. Changes are
+idempotent, so a change that failed or is replayed is simply run again. One
+writer at a time; a reader that must not see a change half way reads before
+or after it.
 """
 
 from __future__ import annotations
 
-import json
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shelfline.session import path_exists
+
 
-class BucketedTable:
+class PartitionedTable:
     """A table partitioned by ``[scope,] bucket`` with ``bucket = pmod(xxhash64(key), buckets)``.
 
-    ``scope`` (e.g. ``source``) must be determined by the key, which holds for
-    ids hashed from the source.
+    ``scope`` (e.g. ``source``, text) must be determined by the key, which
+    holds for ids hashed from the source. Columns that a change adds are null
+    in older rows.
     """
 
     def __init__(self, spark: SparkSession, path: str, key: str, buckets: int = 64, scope: str | None = None):
         self.spark, self.path = spark, path.rstrip("/")
         self.key, self.buckets, self.scope = key, buckets, scope
         self.parts = ([scope] if scope else []) + ["bucket"]
-        self._jvm = spark.sparkContext._jvm
-        self._fs = self._path().getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        self._utils = self._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
-
-    def _path(self, *names: str):
-        return self._jvm.org.apache.hadoop.fs.Path("/".join([self.path, *names]))
 
-    def bucket_of(self):
-        return F.pmod(F.xxhash64(F.col(self.key)), F.lit(self.buckets)).cast("int")
-
-    # ------------------------------------------------------------- manifest
+    def exists(self) -> bool:
+        return path_exists(self.spark, f"{self.path}/{self.parts[0]}=*")
 
-    def _versions(self) -> list[int]:
-        return sorted(int(s.getPath().getName().removeprefix("manifest-"))
-                      for s in self._fs.globStatus(self._path("manifest-*")) or [])
+    def _stored(self) -> DataFrame | None:
+        """All rows with their bucket; null where the table was never written."""
+        if not self.exists():
+            return None
+        schema = self.spark.read.option("mergeSchema", "true").parquet(self.path).schema
+        # The folders' names are not numbers or dates, whatever they look like.
+        kinds = {"bucket": T.IntegerType(), **({self.scope: T.StringType()} if self.scope else {})}
+        fields = [T.StructField(f.name, kinds.get(f.name, f.dataType), True) for f in schema.fields]
+        return self.spark.read.schema(T.StructType(fields)).parquet(self.path).filter(F.col(self.key).isNotNull())
 
-    def _manifest(self, version: int) -> dict:
-        """{"schema": JSON, "parts": {partition folder: version folder}}: a line per partition, not per row."""
-        stream = self._fs.open(self._path(f"manifest-{version:012d}"))
-        try:
-            return json.loads(self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
-        finally:
-            stream.close()
+    def read(self) -> DataFrame | None:
+        rows = self._stored()
+        return None if rows is None else rows.drop("bucket")
 
-    def _current(self) -> dict | None:
-        versions = self._versions()
-        return self._manifest(versions[-1]) if versions else None
+    def _with_bucket(self, rows: DataFrame) -> DataFrame:
+        return rows.withColumn("bucket", F.pmod(F.xxhash64(self.key), F.lit(self.buckets)).cast("int"))
 
-    def exists(self) -> bool:
-        return bool(self._versions())
+    def _place(self) -> Column:
+        """The partition as text; over partition columns only, so a filter on it prunes folders."""
+        return F.concat_ws("/", *[F.coalesce(F.col(p).cast("string"), F.lit("\0")) for p in self.parts])
 
-    # -------------------------------------------------------------- reading
+    def _places(self, rows: DataFrame) -> list[str]:
+        """Partitions that rows stand in: at most scopes x buckets, whatever the rows."""
+        return [r[0] for r in rows.select(self._place().alias("p")).distinct().collect()]
 
-    def read(self) -> DataFrame | None:
-        return self._rows(self._current())
+    def _replace(self, places: list[str], rows: DataFrame) -> None:
+        """Make ``rows`` the content of these partitions.
 
-    def _rows(self, manifest: dict | None, folders=None) -> DataFrame | None:
-        """Rows of all or the named partitions; null where the table was never written."""
-        if manifest is None:
-            return None
-        schema = T.StructType.fromJson(manifest["schema"])
-        parts = manifest["parts"] if folders is None else {f: manifest["parts"][f] for f in folders if f in manifest["parts"]}
-        if not parts:
-            return self.spark.createDataFrame([], schema)
-        kinds = T.StructType([*schema.fields, T.StructField("bucket", T.IntegerType()), T.StructField("_v", T.StringType())])
-        rows = self.spark.read.schema(kinds).option("basePath", f"{self.path}/data").parquet(
-            *[f"{self.path}/data/_v={v}/{f}" for f, v in parts.items()])
-        return rows.select(*schema.names)
-
-    def _folder(self, values) -> str:
-        return "/".join(f"{n}={'__HIVE_DEFAULT_PARTITION__' if v is None else self._utils.escapePathName(str(v))}"
-                        for n, v in zip(self.parts, values))
-
-    # -------------------------------------------------------------- writing
-
-    def _publish(self, touched: list[str], rows: DataFrame, change_id: int) -> None:
-        """Write ``rows`` as the new content of exactly the ``touched`` partitions."""
-        versions = self._versions()
-        old = self._manifest(versions[-1]) if versions else {"parts": {}}
-        version = versions[-1] + 1 if versions else 1
-        name = f"{version}-{change_id}"
-        target = f"{self.path}/data/_v={name}"
-        # One task, and so one file, per partition; buckets split a hot scope.
-        (rows.withColumn("bucket", self.bucket_of()).repartition(*[F.col(p) for p in self.parts])
-         .write.mode("overwrite").partitionBy(*self.parts).parquet(target))
-        depth = len(self.parts)
-        written = ["/".join(s.getPath().toString().split("/")[-depth:])
-                   for s in self._fs.globStatus(self._path("data", f"_v={name}", *[f"{p}=*" for p in self.parts])) or []]
-        parts = {f: v for f, v in old["parts"].items() if f not in set(touched)} | dict.fromkeys(written, name)
-        known = T.StructType.fromJson(old["schema"]).fields if "schema" in old else []
-        fields = known + [f for f in rows.schema.fields if f.name not in {k.name for k in known}]
-        text = json.dumps({"schema": T.StructType([T.StructField(f.name, f.dataType, True) for f in fields]).jsonValue(), "parts": parts})
-        draft = self._path(f"_draft-{version:012d}-{change_id}")
-        stream = self._fs.create(draft, True)
-        try:
-            stream.write(bytearray(text.encode()))
-        finally:
-            stream.close()
-        if not self._fs.rename(draft, self._path(f"manifest-{version:012d}")):
-            raise RuntimeError(f"{self.path}: version {version} was published by another change")
-        self._clean(set(parts.values()) | set(old["parts"].values()), versions[:-1])
-
-    def _clean(self, used: set[str], outdated: list[int]) -> None:
-        for v in outdated:
-            self._fs.delete(self._path(f"manifest-{v:012d}"), False)
-        for s in self._fs.globStatus(self._path("data", "_v=*")) or []:
-            if s.getPath().getName().removeprefix("_v=") not in used:
-                self._fs.delete(s.getPath(), True)
-
-    def stage(self, df: DataFrame, change_id: int, name: str = "batch") -> DataFrame:
-        """Write ``df`` once beside the table and read it back, so the joins of a
-        change reuse it; ``unstage`` removes it."""
-        path = f"{self.path}/_staged-{change_id}-{name}"
-        df.write.mode("overwrite").parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
-
-    def unstage(self, change_id: int, name: str = "batch") -> None:
-        self._fs.delete(self._path(f"_staged-{change_id}-{name}"), True)
-
-    def merge(self, batch: DataFrame, merge_fn, change_id: int) -> None:
-        """Replace the touched partitions with ``merge_fn(current_rows_or_None, batch)``."""
-        keyed = batch.withColumn("bucket", self.bucket_of())
-        touched = [self._folder(r) for r in keyed.select(*self.parts).distinct().collect()]  # at most scopes x buckets
-        if touched:
-            self._publish(touched, merge_fn(self._rows(self._current(), touched), batch), change_id)
-
-    def replace_scope(self, value, fn, change_id: int) -> None:
-        """Rewrite every partition of one scope value with ``fn(rows_of_that_scope)``."""
-        manifest = self._current()
-        head = self._folder([value]) + "/"
-        touched = [f for f in (manifest or {"parts": {}})["parts"] if f.startswith(head)]
-        if touched:
-            self._publish(touched, fn(self._rows(manifest, touched)), change_id)
-
-    def delete_missing(self, value, keep_ids: DataFrame, change_id: int) -> int:
+        Spark leaves a partition that gets no row as it was, so each also gets
+        a row without a key, which reading leaves out.
+        """
+        rows = self._with_bucket(rows)
+        empty = self.spark.createDataFrame([(p,) for p in places], "_p string")
+        at = F.split("_p", "/(?=[^/]*$)")
+        scope = {self.scope: F.when(at[0] != "\0", at[0])} if self.scope else {}
+        bucket = at[1] if self.scope else F.col("_p")
+        empty = empty.select(*[({**scope, "bucket": bucket.cast("int")}[f.name] if f.name in self.parts else F.lit(None)).cast(f.dataType).alias(f.name)
+                               for f in rows.schema.fields])
+        # Rebalanced: a large partition is written by several tasks, small ones share one.
+        (rows.unionByName(empty).hint("rebalance", *self.parts).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(*self.parts).parquet(self.path))
+
+    def merge(self, batch: DataFrame, merge_fn) -> None:
+        """Replace the partitions that the batch's keys fall in by ``merge_fn(current_rows_or_None, batch)``."""
+        places = self._places(self._with_bucket(batch))
+        if not places:
+            return
+        stored = self._stored()
+        current = None if stored is None else stored.filter(self._place().isin(places)).drop("bucket")
+        self._replace(places, merge_fn(current, batch))
+
+    def delete_missing(self, value: str, keep_ids: DataFrame) -> int:
         """Delete rows of one scope value whose key is not in ``keep_ids``.
 
         Only partitions that lose rows are rewritten: an id-only scan of the
         scope, anti-joined with the kept ids, names them. An empty ``keep_ids``
         deletes nothing. Returns the number of partitions rewritten.
         """
-        manifest = self._current()
-        if manifest is None or keep_ids.isEmpty():
+        stored = self._stored()
+        if stored is None or keep_ids.isEmpty():
             return 0
-        head = self._folder([value]) + "/"
-        scoped = self._rows(manifest, [f for f in manifest["parts"] if f.startswith(head)])
         ids = keep_ids.select(self.key)
-        doomed = [self._folder(r) for r in scoped.join(ids, self.key, "left_anti").withColumn("bucket", self.bucket_of())
-                  .select(*self.parts).distinct().collect()]  # at most the buckets of the scope
+        doomed = self._places(stored.filter(F.col(self.scope) == value).join(ids, self.key, "left_anti"))
         if doomed:
-            self._publish(doomed, self._rows(manifest, doomed).join(ids, self.key, "left_semi"), change_id)
+            left = stored.filter((F.col(self.scope) == value) & self._place().isin(doomed)).join(ids, self.key, "left_semi")
+            self._replace(doomed, left.drop("bucket"))
         return len(doomed)

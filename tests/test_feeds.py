@@ -102,7 +102,7 @@ def test_feed_run_embeds_after_gate_and_dedup(spark):
 
 def test_run_sites_limit_sync_totals(spark, tmp_path):
     from shelfline.plans.catalog import run_sites
-    from shelfline.sources.table import BucketedTable
+    from shelfline.sources.table import PartitionedTable
 
     def item(i, site):
         return ('{"id":"%d","name":"N%d","price":"%d,5","seo":{"discernProductId":"%s%d"},'
@@ -117,13 +117,13 @@ def test_run_sites_limit_sync_totals(spark, tmp_path):
                                   "brand string, source string, merchant string, country string")
     mapping = {"external_id": "seo.discernProductId", "title": "name", "price": "price",
                "currency": "'USD'", "image_url": ["try_element_at(xmedia, 1).url"]}
-    table = BucketedTable(spark, str(tmp_path / "t"), "id", buckets=4, scope="source")
+    table = PartitionedTable(spark, str(tmp_path / "t"), "id", buckets=4, scope="source")
     products, totals = run_sites(feeds, sites, mapping, "a, B", limit=2, table=table, sync=True)
     assert sorted((r.site or "", r.imported) for r in totals.collect()) == [("", 4), ("A", 2), ("B", 2)]
     assert sorted(r.source for r in table.read().collect()) == ["sa", "sa", "sb", "sb"]
     got = {r.title: (r.price, r.category) for r in products.collect() if r.site == "A"}
     assert got == {"N0": ("0.5USD", "coats"), "N1": ("1.5USD", "coats")}
-    _, totals = run_sites(feeds, sites, mapping, "B", limit=1, table=table, sync=True, change_id=5)
+    _, totals = run_sites(feeds, sites, mapping, "B", limit=1, table=table, sync=True)
     assert sorted(r.source for r in table.read().collect()) == ["sa", "sa", "sb"]
 
 

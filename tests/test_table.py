@@ -71,60 +71,71 @@ def test_ordered_distinct_first_positions(spark):
 
 def test_bucketed_maintenance(spark, tmp_path):
     from shelfline.plans.catalog import maintain_products
-    from shelfline.sources.table import BucketedTable
+    from shelfline.sources.table import PartitionedTable
     schema = "id string, source string, title string, price string"
     import datetime as dt
-    t = BucketedTable(spark, str(tmp_path / "t"), "id", buckets=4, scope="source")
+    t = PartitionedTable(spark, str(tmp_path / "t"), "id", buckets=4, scope="source")
     t0, t1 = dt.datetime(2024, 1, 1), dt.datetime(2024, 2, 1)
     maintain_products(t, spark.createDataFrame(
         [("a", "s1", "A", "1"), ("b", "s1", "B", "2"), ("c", "s2", "C", "3"), ("d", "s1", "D", "4")], schema), "s1",
         run_ts=t0)
     run = spark.createDataFrame([("a", "s1", "A2", "9"), ("e", "s1", "E", "5")], schema)
-    maintain_products(t, run, "s1", change_id=1, run_ts=t1)
+    maintain_products(t, run, "s1", run_ts=t1)
     stamps = {r.id: (r.created_at, r.last_seen) for r in t.read().collect()}
     assert stamps["a"] == (t0, t1) and stamps["e"] == (t1, t1) and stamps["c"] == (t0, t0)
     run = spark.createDataFrame([("a", "s1", "A2", "9")], schema)
-    maintain_products(t, run, "s1", sync=True, change_id=1, run_ts=t1)
+    maintain_products(t, run, "s1", sync=True, run_ts=t1)
     assert rows(t.read().select("id", "source", "title", "price")) == [("a", "s1", "A2", "9"), ("c", "s2", "C", "3")]
-    maintain_products(t, run, "s1", sync=True, change_id=1)  # replay of the same change
+    maintain_products(t, run, "s1", sync=True)  # replay of the same change
     assert rows(t.read().select("id", "source", "title", "price")) == [("a", "s1", "A2", "9"), ("c", "s2", "C", "3")]
-    maintain_products(t, spark.createDataFrame([], schema), "s1", sync=True, change_id=3)  # empty run
+    maintain_products(t, spark.createDataFrame([], schema), "s1", sync=True)  # empty run
     assert t.read().count() == 2
 
 
-def test_one_file_per_partition_one_pointer_and_cleanup(spark, tmp_path):
+def test_a_change_replaces_only_its_partitions(spark, tmp_path):
     import os
-    from shelfline.sources.table import BucketedTable
-    t = BucketedTable(spark, str(tmp_path / "t"), "id", buckets=4, scope="source")
+    from shelfline.sources.table import PartitionedTable
+    t = PartitionedTable(spark, str(tmp_path / "t"), "id", buckets=4, scope="source")
     schema = "id string, source string, v int"
-    for n in range(4):
-        df = spark.createDataFrame([(f"i{i}", f"s{i % 3}", n) for i in range(200)], schema).repartition(8)
-        t.merge(t.stage(df, n), lambda cur, b: b, n)
-        t.unstage(n)
-    assert t.read().count() == 200 and {r.v for r in t.read().collect()} == {3}
-    files = [os.path.join(d, f) for d, _, fs in os.walk(tmp_path / "t" / "data") for f in fs if f.endswith(".parquet")]
-    assert len(files) <= 2 * 12  # the current version and the one before
-    assert sorted(x for x in os.listdir(tmp_path / "t") if not x.startswith(".")) == ["data", "manifest-000000000003", "manifest-000000000004"]
 
-
-def test_readers_keep_their_version_until_the_pointer_moves(spark, tmp_path):
-    from shelfline.sources.table import BucketedTable
-    t = BucketedTable(spark, str(tmp_path / "t"), "id", buckets=2)
-    t.merge(spark.createDataFrame([("a", 1), ("b", 1)], "id string, v int"), lambda cur, b: b, 0)
-    before = t.read()
-    t.merge(spark.createDataFrame([("a", 2)], "id string, v int"), lambda cur, b: upsert_products(cur, b), 1)
-    assert rows(before) == [("a", 1), ("b", 1)] and rows(t.read()) == [("a", 2), ("b", 1)]
+    def files():
+        return {os.path.join(d, f) for d, _, fs in os.walk(tmp_path / "t") for f in fs if f.endswith(".parquet")}
+
+    for n in range(3):
+        t.merge(spark.createDataFrame([(f"i{i}", f"s{i % 3}", n) for i in range(200)], schema).repartition(8), lambda cur, b: b)
+    assert t.read().count() == 200 and {r.v for r in t.read().collect()} == {2}
+    before = files()
+    t.merge(spark.createDataFrame([("i0", "s0", 9)], schema), lambda cur, b: upsert_products(cur, b))
+    assert len(before - files()) == len(files() - before) == 1
+    assert t.read().count() == 200 and t.read().filter("v = 9").count() == 1
+    t.merge(spark.createDataFrame([], schema), lambda cur, b: b)
+    assert t.read().count() == 200
+
+
+def test_columns_may_be_added_and_scopes_look_like_anything(spark, tmp_path):
+    from shelfline.sources.table import PartitionedTable
+    t = PartitionedTable(spark, str(tmp_path / "t"), "id", buckets=2, scope="source")
+    assert t.read() is None and not t.exists()
+    names = ["007", "2024-01-01", "a/b=c", "", None, "true"]
+    t.merge(spark.createDataFrame([(f"i{i}", s) for i, s in enumerate(names)], "id string, source string"), lambda cur, b: b)
+    t.merge(spark.createDataFrame([("i0", "007", 5)], "id string, source string, price int"), lambda cur, b: upsert_products(cur, b))
+    got = {r.id: (r.source, r.price) for r in t.read().collect()}
+    assert got == {f"i{i}": (s or None, 5 if i == 0 else None) for i, s in enumerate(names)}  # '' and null share a folder
+    assert t.delete_missing("a/b=c", spark.createDataFrame([("other",)], "id string")) == 1
+    assert sorted(r.id for r in t.read().collect()) == ["i0", "i1", "i3", "i4", "i5"]  # a partition left empty
+    t.merge(spark.createDataFrame([("i2", "a/b=c", 1)], "id string, source string, price int"), lambda cur, b: upsert_products(cur, b))
+    assert t.read().count() == 6
 
 
 def test_delete_missing_rewrites_only_losing_partitions(spark, tmp_path):
-    from shelfline.sources.table import BucketedTable
-    t = BucketedTable(spark, str(tmp_path / "t"), "id", buckets=8, scope="source")
+    from shelfline.sources.table import PartitionedTable
+    t = PartitionedTable(spark, str(tmp_path / "t"), "id", buckets=8, scope="source")
     rows_ = [(f"i{n}", "s") for n in range(40)]
-    t.merge(spark.createDataFrame(rows_, "id string, source string"), lambda cur, b: b, 0)
+    t.merge(spark.createDataFrame(rows_, "id string, source string"), lambda cur, b: b)
     keep_all = spark.createDataFrame([(r[0],) for r in rows_], "id string")
-    assert t.delete_missing("s", keep_all, 1) == 0
+    assert t.delete_missing("s", keep_all) == 0
     keep = spark.createDataFrame([(r[0],) for r in rows_ if r[0] != "i7"], "id string")
-    assert t.delete_missing("s", keep, 2) == 1
+    assert t.delete_missing("s", keep) == 1
     assert t.read().count() == 39
 
 
