@@ -7,7 +7,7 @@ form; tests hold those against brute force.
 from __future__ import annotations
 
 from shelfline.llm.mixing import LEAST_QUALITY, MAX_EPOCHS, WEIGHTS
-from shelfline.llm.quality_rules import LINE_RULES, MAX_LOST, MAX_REPEAT_PCT, MIN_WORDS
+from shelfline.llm.quality_rules import BOILERPLATE, MAX_ENTRY, MAX_LOST, MAX_REPEAT_PCT, MIN_SHARE, MIN_WORDS, NAVIGATION, PUNCTUATION, SHORT_LINE, TABLE_HEAD, TABLE_ROW
 
 ORACLE: dict[str, str] = {}
 
@@ -70,7 +70,20 @@ SELECT doc_id, count(*) AS n_lines, CAST(sum(gone::INT) AS BIGINT) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
 FROM m GROUP BY doc_id"""
 
-_fails = " OR ".join(f"regexp_matches(line, {_q(r)})" for r in LINE_RULES)
+# The line rules by whole words: w are a line's words, b those left when its bars, arrows and points part words.
+_SYMBOLS = r"!-/:-@\[-`{-~\x{A1}-\x{A9}\x{AB}-\x{B1}\x{B6}-\x{B8}\x{BB}\x{BF}\x{D7}\x{F7}\x{2010}-\x{2027}\x{2030}-\x{205E}\x{2190}-\x{2BFF}\x{3001}-\x{3020}"
+_COUNTS = f"""len(w) AS words,
+  len(list_filter(w, lambda x: regexp_full_match(x, '[{_SYMBOLS}]+|(?s).*[!?#*$%&]{{2}}'))) AS marked,
+  NOT regexp_matches(line, '[^{_SYMBOLS} \\t\\n\\x0B\\f\\r]') AND len(regexp_extract_all(line, '[{_SYMBOLS}]')) >= 4 AND NOT regexp_matches(line, {_q(TABLE_HEAD)}) AS symbols,
+  len(regexp_extract_all(line, '[|»›•·→]+')) + len(list_filter(w, lambda x: x IN ('>', '/'))) AS separators,
+  len(b) - len(list_filter(w, lambda x: x IN ('>', '/'))) AS entries,
+  len(list_filter(b, lambda x: regexp_full_match(x, '[0-9.,:%+-]*[0-9][0-9.,:%+-]*'))) AS numbers,
+  len(regexp_extract_all(array_to_string(regexp_extract_all(line, {_q(BOILERPLATE)}), ' '), '{W}')) AS phrases,
+  regexp_matches(line, {_q(TABLE_ROW)}) OR regexp_matches(line, {_q(TABLE_HEAD)}) AS of_table"""
+_fails = f"""((marked >= 4 AND (2 * marked >= words OR marked >= {MIN_SHARE} * words AND regexp_matches(line, {_q(PUNCTUATION)})) AND NOT of_table) OR symbols
+  OR (separators >= 2 AND NOT of_table AND numbers < separators
+      AND (entries <= {MAX_ENTRY} * (separators + 1) OR 2 * separators >= {MIN_SHARE} * words AND regexp_matches(line, {_q(NAVIGATION)})))
+  OR (phrases > 0 AND (words <= {SHORT_LINE} OR phrases >= {MIN_SHARE} * words)))"""
 
 ORACLE["op5_quality_rules"] = rf"""
 WITH d AS (
@@ -81,10 +94,12 @@ win AS (
 rep AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS n FROM win) WHERE n >= 2),
 cov AS (SELECT doc_id, count(DISTINCT p) AS n_repeat_words FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM rep) GROUP BY doc_id),
 l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM d),
+lw AS (SELECT doc_id, line, regexp_extract_all(line, '{W}') AS w, regexp_extract_all(regexp_replace(line, '[|»›•·→]+', ' ', 'g'), '{W}') AS b FROM l),
+lc AS (SELECT doc_id, line, {_COUNTS} FROM lw),
 ls AS (
   SELECT doc_id, count(*) FILTER (regexp_matches(line, '{W}')) - count(DISTINCT line) FILTER (regexp_matches(line, '{W}')) AS n_dup_lines,
-         coalesce(sum(len(regexp_extract_all(line, '{W}'))) FILTER ({_fails}), 0) AS lost
-  FROM l GROUP BY doc_id),
+         coalesce(sum(words) FILTER ({_fails}), 0) AS lost
+  FROM lc GROUP BY doc_id),
 b AS (
   SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
          CAST(len(regexp_extract_all(text, '[#*$%&|<>]')) AS BIGINT) AS n_symbols, ls.n_dup_lines,

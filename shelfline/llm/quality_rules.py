@@ -7,9 +7,11 @@ phrase or one run of marks:
 - punctuation: at least half of the words are marked (symbols only, or ending
   in two of ``!?#*$%&``), and there are four of them, or the line is nothing
   but four symbols or more; a quarter is enough where four stand in a row;
-- navigation: at least two separators, and at most ``MAX_ENTRY`` words an entry;
-  or a row of entries of one word, and separators and as many entries make up
-  a quarter of the words;
+- navigation: at least two separators and fewer numbers than separators, and at
+  most ``MAX_ENTRY`` words an entry; or a row of entries of one word, and
+  separators and as many entries make up a quarter of the words. A line that
+  begins and ends with a bar is a row of a Markdown table and no navigation;
+  nor is the line of dashes and bars below its head punctuation;
 - boilerplate: the phrases make up a quarter of the words, or the line holds
   one and has at most ``SHORT_LINE`` words.
 
@@ -52,7 +54,6 @@ NAVIGATION = r"(?:[|»›•·][\x20\x09-\x0D]+[^\x20\x09-\x0D]+[\x20\x09-\x0D]+
 BOILERPLATE = (r"(?i)\b(?:all rights reserved|cookie policy|accept (?:all )?cookies|we use cookies|privacy policy|terms of (?:use|service)"
                r"|click here|read more|sign up|log ?in to|subscribe to our|newsletter|enable javascript|javascript is (?:disabled|required)"
                r"|share (?:this|on) (?:facebook|twitter)|powered by wordpress|skip to (?:main )?content|back to top|lorem ipsum)\b")
-LINE_RULES = (PUNCTUATION, NAVIGATION, BOILERPLATE)
 
 #: ASCII and general punctuation, arrows, shapes.
 _SYMBOL = r"!-/:-@\[-`{-~\u00A1-\u00A9\u00AB-\u00B1\u00B6-\u00B8\u00BB\u00BF\u00D7\u00F7\u2010-\u2027\u2030-\u205E\u2190-\u2BFF\u3001-\u3020"
@@ -61,6 +62,10 @@ MARKED = rf"{_IN}(?:[{_SYMBOL}]+|{WORD[:-1]}*[!?#*$%&]{{2}}){_OUT}"
 #: Stands wherever MARKED does; begins with a rare character.
 _MARK = rf"[!?#*$%&]{{2}}{_OUT}|{_IN}[{_SYMBOL}]+{_OUT}"
 SEPARATOR = rf"[|»›•·→]+|{_IN}[>/]{_OUT}"
+#: A word of digits and marks of numbers, with at least one digit.
+NUMBER = rf"{_IN}[0-9.,:%+-]*[0-9][0-9.,:%+-]*{_OUT}"
+TABLE_ROW = r"^[\x20\x09-\x0D]*\|.*\|[\x20\x09-\x0D]*$"
+TABLE_HEAD = r"^[\x20\x09-\x0D]*\|?(?:[\x20\x09-\x0D]*:?-+:?[\x20\x09-\x0D]*\|)+(?:[\x20\x09-\x0D]*:?-+:?)?[\x20\x09-\x0D]*$"
 
 
 def _let(value: Column, body) -> Column:
@@ -71,12 +76,13 @@ def _let(value: Column, body) -> Column:
 def _fails(line: Column) -> Column:
     """The three line rules. Shares are only worked out where a pattern finds something."""
     words, marked = F.regexp_count(line, F.lit(WORD)), F.regexp_count(line, F.lit(MARKED))
-    symbols = ~line.rlike(rf"[^{_SYMBOL}\x20\x09-\x0D]") & line.rlike(rf"(?:[{_SYMBOL}][\x20\x09-\x0D]*){{4}}")
+    symbols = ~line.rlike(rf"[^{_SYMBOL}\x20\x09-\x0D]") & line.rlike(rf"(?:[{_SYMBOL}][\x20\x09-\x0D]*){{4}}") & ~line.rlike(TABLE_HEAD)
     separators = F.regexp_count(line, F.lit(SEPARATOR))
-    entries = F.regexp_count(F.regexp_replace(line, SEPARATOR, " "), F.lit(WORD))
+    bare = F.regexp_replace(line, SEPARATOR, " ")
+    entries, numbers = F.regexp_count(bare, F.lit(WORD)), F.regexp_count(bare, F.lit(NUMBER))
     phrases = F.regexp_count(F.array_join(F.regexp_extract_all(line, F.lit(BOILERPLATE), F.lit(0)), " "), F.lit(WORD))
-    return ((line.rlike(_MARK) & ((marked >= 4) & ((2 * marked >= words) | (marked >= MIN_SHARE * words) & line.rlike(PUNCTUATION)) | symbols))
-            | (line.rlike(SEPARATOR) & (separators >= 2) & ((entries <= MAX_ENTRY * (separators + 1)) | (2 * separators >= MIN_SHARE * words) & line.rlike(NAVIGATION)))
+    return ((line.rlike(_MARK) & ((marked >= 4) & ((2 * marked >= words) | (marked >= MIN_SHARE * words) & line.rlike(PUNCTUATION)) & ~line.rlike(TABLE_HEAD) & ~line.rlike(TABLE_ROW) | symbols))
+            | (line.rlike(SEPARATOR) & (separators >= 2) & ~line.rlike(TABLE_ROW) & ~line.rlike(TABLE_HEAD) & (numbers < separators) & ((entries <= MAX_ENTRY * (separators + 1)) | (2 * separators >= MIN_SHARE * words) & line.rlike(NAVIGATION)))
             | (line.rlike(BOILERPLATE) & ((words <= SHORT_LINE) | (phrases >= MIN_SHARE * words))))
 
 
