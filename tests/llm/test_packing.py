@@ -4,7 +4,12 @@ from collections import defaultdict
 import numpy as np
 from cases import clashing, rows, table
 
-from shelfline.llm.packing import best_fit, pack_best_fit
+import itertools
+import random
+
+import pytest
+
+from shelfline.llm.packing import _filling, best_fit, pack_best_fit
 
 PERMITTED = (16, 64, 256)
 
@@ -42,3 +47,81 @@ def test_best_fit_prefers_the_fullest_bin():
 def test_empty(spark):
     assert pack_best_fit(table(spark, [])).count() == 0
     assert pack_best_fit(table(spark, [(1, None, None, None, None), (2, " ", None, None, None)])).count() == 0
+
+
+def cost(lengths: list[int], permitted: tuple[int, ...], bin_cost: int) -> int:
+    """Least cost of packing a few pieces: every way of splitting them into bins."""
+    best = 10**9
+
+    def go(i: int, bins: list[int]) -> None:
+        nonlocal best
+        if i == len(lengths):
+            best = min(best, sum(min(c for c in permitted if c >= b) + bin_cost for b in bins))
+            return
+        for k in range(len(bins)):
+            if bins[k] + lengths[i] <= permitted[-1]:
+                bins[k] += lengths[i]
+                go(i + 1, bins)
+                bins[k] -= lengths[i]
+        bins.append(lengths[i])
+        go(i + 1, bins)
+        bins.pop()
+
+    go(0, [])
+    return best
+
+
+def packed_cost(lengths: list[int], permitted: tuple[int, ...], bin_cost: int) -> int:
+    bins, offsets, final = best_fit(np.array(lengths), permitted, bin_cost)
+    held = np.bincount(bins, weights=lengths)
+    assert (held <= final).all()
+    return int(final.sum()) + bin_cost * len(final)
+
+
+def test_near_the_optimum():
+    rng = random.Random(6)
+    found, least = 0, 0
+    for _ in range(150):
+        permitted = tuple(sorted(rng.sample([8, 10, 12, 15, 16, 20, 32], 3)))
+        lengths = sorted((rng.randrange(1, permitted[-1] + 1) for _ in range(rng.randrange(1, 8))), reverse=True)
+        a, b = packed_cost(lengths, permitted, 2), cost(lengths, permitted, 2)
+        assert b <= a <= 1.4 * b, (lengths, permitted)
+        found, least = found + a, least + b
+    assert found <= 1.05 * least
+
+
+def test_lengths_are_chosen_jointly():
+    """A longer bin is opened only where the pieces that are left really fill it."""
+    lengths = np.full(2048, 330)
+    bins, _, final = best_fit(lengths, (1000, 1500), 16)
+    assert set(final.tolist()) <= {1000, 1500} and (final == 1000).sum() > 0.99 * len(final)
+    assert 1 - lengths.sum() / final.sum() < 0.02
+    lengths = np.array([700] * 500 + [330] * 1500)
+    bins, _, final = best_fit(lengths, (700, 1000, 1320), 16)
+    assert 1 - lengths.sum() / final.sum() < 0.02 and set(final.tolist()) == {700, 1320} or 1 - lengths.sum() / final.sum() < 0.04
+    single = best_fit(lengths, (1320,), 16)[2]
+    assert final.sum() < single.sum()
+
+
+def test_filling_is_that_of_a_plain_loop():
+    rng = random.Random(2)
+    for _ in range(300):
+        lengths = sorted((rng.randrange(1, 30) for _ in range(rng.randrange(1, 40))), reverse=True)
+        ends, at, space = [], rng.randrange(len(lengths) + 1), rng.randrange(0, 80)
+        for value, run in itertools.groupby(lengths):
+            ends.append((-value, (ends[-1][1] if ends else 0) + len(list(run))))
+        free = space
+        for x in lengths[at:]:
+            if x <= free:
+                free -= x
+        assert _filling(ends, at, space) == space - free
+
+
+@pytest.mark.parametrize("same", ["null ids", "equal rows"])
+def test_equal_ids_spread_over_groups(spark, same):
+    data = [(None, f"a b c {i}" if same == "null ids" else "a b c d", None, None, None) for i in range(3000)]
+    got = pack_best_fit(table(spark, data).repartition(3), PERMITTED, group_pieces=100).collect()
+    groups = defaultdict(int)
+    for r in got:
+        groups[r["bin_id"].split("-")[0]] += 1
+    assert sum(r["length"] for r in got) == 12000 and len(groups) == 30 and max(groups.values()) < 200
