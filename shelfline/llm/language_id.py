@@ -1,7 +1,7 @@
 """Operator 4, language identification by cross-parsing entropy.
 
 Training: per language a bounded sample of labelled text (``sample_docs``
-documents in order of a hash of their id, ``sample_chars`` letters and spaces
+documents in order of a hash of their row, ``sample_chars`` letters and spaces
 in all) becomes a suffix automaton, the minimal automaton of all substrings of
 the sample. Its transitions are laid out as one dense table for all languages.
 
@@ -30,7 +30,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -171,25 +171,28 @@ def _parser(samples: tuple[tuple[str, bytes], ...]) -> Parser:
 def learn(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_chars: int = SAMPLE_CHARS) -> tuple[tuple[str, bytes], ...]:
     """(language, sample) in code-point order, from rows (doc_id, text, lang).
 
-    A bounded sample: of each language the rows whose id hashes below a level
-    that lets about ``2 * sample_docs`` pass, and of those the ``sample_docs``
-    least; a piece of ``8 * sample_chars / sample_docs`` characters from the
-    middle of each, cut to ``sample_chars`` bytes in all.
+    A bounded sample: of each language the ``sample_docs`` distinct rows
+    (doc_id, text) that hash least. Rows above a level that lets about four
+    times as many pass are left out first, then a group limit leaves no task
+    more than ``sample_docs`` of a language. Of each row a piece of ``8 *
+    sample_chars / sample_docs`` characters from the middle, cut to
+    ``sample_chars`` bytes in all.
     """
     piece = 8 * sample_chars // sample_docs
-    rows = labelled.filter("lang is not null and text is not null")
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # a row per language
+    rows = labelled.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
+    rows = rows.select("lang", F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "text").alias("h"), "text")
+    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.approx_count_distinct("h").alias("n")).collect()}  # a row per language
     if not counts:
         return ()
-    level = F.create_map(*[x for lang, n in counts.items() for x in (F.lit(lang), F.lit(min(1.0, 2 * sample_docs / n)))])[F.col("lang")]
+    level = F.create_map(*[x for lang, n in counts.items() for x in (F.lit(lang), F.lit(min(1.0, 4 * sample_docs / max(1, n))))])[F.col("lang")]
     middle = F.greatest(F.lit(1), F.floor(F.length("text") / 2).cast("int") - piece // 2)
-    h = F.xxhash64(F.col("doc_id").cast("string"))
-    few = (rows.filter(h / 2.0**64 + 0.5 < level).select("lang", h.alias("h"), F.substring(F.col("text"), middle, F.lit(piece)).alias("text"))
-           .filter(F.col("text").rlike(r"\p{L}")).distinct().collect())  # 2 * sample_docs short pieces per language
+    least = Window.partitionBy("lang").orderBy("h")
+    # A language of few rows passes whole: the level only serves to sort less.
+    few = (rows.filter((F.col("h") / 2.0**64 + 0.5 < level) | (level >= 1.0)).groupBy("lang", "h").agg(F.min(F.substring(F.col("text"), middle, F.lit(piece))).alias("text"))
+           .withColumn("n", F.row_number().over(least)).filter(F.col("n") <= sample_docs).collect())  # sample_docs short pieces per language
     texts: dict[str, list[str]] = {lang: [] for lang in sorted(counts, key=lambda x: x.encode())}
-    for r in sorted(few, key=lambda r: (r["h"], r["text"])):
-        if len(texts[r["lang"]]) < sample_docs:
-            texts[r["lang"]].append(r["text"])
+    for r in sorted(few, key=lambda r: r["n"]):
+        texts[r["lang"]].append(r["text"])
     return tuple((lang, b" ".join(letters(t) for t in found)[:sample_chars]) for lang, found in texts.items() if found)
 
 

@@ -12,8 +12,9 @@ the excess is shared again by weight among the others until none is above.
 
 Defined results: a null or empty text has size 0 and takes nothing; an empty
 table gives an empty table; a null source is a source of its own, the last;
-rows that share a doc_id draw the same key and are taken or left together;
-the last document drawn is the one that brings the total nearest to the
+rows without a doc_id, or that share one, draw by their texts; rows equal in
+doc_id, text and source are taken or left together; the last document (or
+group of equal rows) drawn is the one that brings the total nearest to the
 budget. Columns of the input that clash with the added ones are replaced.
 """
 
@@ -40,9 +41,10 @@ def quality_of(text: Column, size: Column) -> Column:
     return F.greatest(F.lit(LEAST_QUALITY), F.least(F.lit(1.0), runs / F.greatest(size, F.lit(1))))
 
 
-def draw_key(doc_id: Column, quality: Column, seed: int) -> Column:
-    """-ln(u) / quality with u in (0, 1] from the first 52 bits of an MD5 of the id."""
-    bits = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit("")))), 1, 13), 16, 10)
+def draw_key(doc_id: Column, text: Column, quality: Column, seed: int) -> Column:
+    """-ln(u) / quality with u in (0, 1] from the first 52 bits of an MD5 of the id and the text."""
+    drawn = F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit("")), F.lit(":"), F.coalesce(text, F.lit("")))
+    bits = F.conv(F.substring(F.md5(drawn), 1, 13), 16, 10)
     u = (bits.cast("double") + 1) / F.lit(float(2**52))
     return -F.log(u) / quality
 
@@ -77,7 +79,7 @@ def mix_sources(docs: DataFrame, weights: tuple = WEIGHTS, max_epochs: int = MAX
     """``docs`` with size, source_size, target, copies (times the mix takes the document) and taken words."""
     docs = docs.drop(*ADDED)
     size = size_of(F.col("text"))
-    key = draw_key(F.col("doc_id"), quality_of(F.col("text"), size), seed)
+    key = draw_key(F.col("doc_id"), F.col("text"), quality_of(F.col("text"), size), seed)
     drawn = staged(docs.select("doc_id", "source", size.alias("size"), key.alias("key")), "keys")
     sources = drawn.groupBy("source").agg(F.sum("size").alias("source_size"))
     targets = source_targets(sources, weights, max_epochs)
@@ -86,9 +88,11 @@ def mix_sources(docs: DataFrame, weights: tuple = WEIGHTS, max_epochs: int = MAX
         F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).alias("epochs"))
         .withColumn("rest", F.col("target") - F.col("epochs") * F.col("source_size")), "plan")
     order = [F.col("key").asc(), F.col("doc_id").asc_nulls_first()]
-    before = running_totals(drawn, order, {"before": F.col("size")}, ["source"])
+    # Equal rows, however many, are one entry of the order.
+    entries = drawn.filter("size > 0").groupBy("source", "key", "doc_id").agg(F.sum("size").alias("words"))
+    before = running_totals(entries, order, {"before": F.col("words")}, ["source"])
     cut = (before.join(plan, F.col("source").eqNullSafe(F.col("_source")))
-           .filter((F.col("rest") > 0) & (F.col("before") + F.col("size") / 2 <= F.col("rest")))
+           .filter((F.col("rest") > 0) & (F.col("before") + F.col("words") / 2 <= F.col("rest")))
            .groupBy(F.col("source").alias("_cut_source")).agg(F.max(F.struct("key", "doc_id")).alias("cut"), F.lit(True).alias("drawn")))
     plan = staged(plan.join(cut, F.col("_source").eqNullSafe(F.col("_cut_source")), "left").drop("_cut_source"), "cuts")
     mine = F.struct(key.alias("key"), F.col("doc_id"))

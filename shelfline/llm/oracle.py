@@ -22,12 +22,12 @@ _weights = " ".join(f"WHEN {i} THEN {w}" for i, w in enumerate(WEIGHTS))
 
 ORACLE["op1_mix_sources"] = rf"""
 WITH d AS (
-  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '{W}')) AS BIGINT) AS size,
+  SELECT doc_id, source, text, CAST(len(regexp_extract_all(coalesce(text, ''), '{W}')) AS BIGINT) AS size,
          len(regexp_extract_all(coalesce(text, ''), '\p{{L}}{{2,}}')) AS runs
   FROM documents),
 k AS (
   SELECT doc_id, source, size,
-         -ln((CAST(('0x' || substr(md5('1:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 13)) AS BIGINT)::DOUBLE + 1) / 4503599627370496.0)
+         -ln((CAST(('0x' || substr(md5('1:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || coalesce(text, '')), 1, 13)) AS BIGINT)::DOUBLE + 1) / 4503599627370496.0)
          / greatest({LEAST_QUALITY}::DOUBLE, least(1.0::DOUBLE, runs::DOUBLE / greatest(size, 1))) AS key
   FROM d),
 s AS (
@@ -49,13 +49,15 @@ t AS (
   FROM f, l),
 e AS (
   SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS epochs FROM t),
+g AS (SELECT source, key, doc_id, sum(size) AS words FROM k GROUP BY source, key, doc_id),
+b AS (
+  SELECT *, coalesce(sum(words) OVER (PARTITION BY source ORDER BY key, doc_id NULLS FIRST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM g),
 c AS (
-  SELECT k.*, e.source_size, e.target, e.epochs, e.target - e.epochs * e.source_size AS rest,
-         coalesce(sum(k.size) OVER (PARTITION BY k.source ORDER BY k.key, k.doc_id NULLS FIRST
-                                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
-  FROM k JOIN e ON k.source IS NOT DISTINCT FROM e.source)
+  SELECT k.*, b.words, b.before, e.source_size, e.target, e.epochs, e.target - e.epochs * e.source_size AS rest
+  FROM k JOIN e ON k.source IS NOT DISTINCT FROM e.source
+  JOIN b ON k.source IS NOT DISTINCT FROM b.source AND k.key = b.key AND k.doc_id IS NOT DISTINCT FROM b.doc_id)
 SELECT doc_id, size, source_size, target,
-       CAST(CASE WHEN size = 0 THEN 0 ELSE size * (epochs + CASE WHEN rest > 0 AND before + size / 2 <= rest THEN 1 ELSE 0 END) END AS BIGINT) AS taken
+       CAST(CASE WHEN size = 0 THEN 0 ELSE size * (epochs + CASE WHEN rest > 0 AND before + words / 2 <= rest THEN 1 ELSE 0 END) END AS BIGINT) AS taken
 FROM c"""
 
 ORACLE["op2_line_dedup"] = r"""

@@ -15,10 +15,14 @@ one in ``HOLD_OUT``, kept back for the thresholds.
    same order (quantised to 1/1024 bit). A word that stands everywhere is one
    entry per block. Each block then adds up its documents.
 
-A document is kept if its bits per byte lie at most ``slack + SHORT /
-sqrt(bytes)`` bits above the quantile of held-out trusted documents of its
-language and size (powers of four); languages or sizes with under ``LEAST_HELD`` held-out documents use
-the language's, then everyone's quantile.
+A document is kept if its bits per byte are at most the quantile of held-out
+trusted documents of its language and size (powers of four); languages or
+sizes with under ``LEAST_HELD`` held-out documents use the language's, then
+everyone's quantile. Few rows tell little about a quantile near one, so it is
+the larger of two estimates from the same rows: their own quantile, and that
+of a normal distribution with their mean and, for a text of n bytes, their
+deviation per byte divided by the root of n (a mean over few bytes spreads
+the more the fewer they are).
 
 Defined results: a null or empty text has no perplexity and is not kept; null
 languages form one language; without trusted text nothing is scored or kept,
@@ -30,6 +34,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
@@ -42,10 +47,9 @@ from shelfline.llm.common import by_shard, staged
 ORDER = 5
 HOLD_OUT = 5
 QUANTILE = 0.995
-SLACK = 0.15
-#: The mean over few bytes spreads the more the fewer they are.
-SHORT = 3.0
 LEAST_HELD = 50
+#: A doc_id's rows are dealt over so many blocks by their texts, so that one that many rows share is no hot key.
+SPREAD = 8
 #: Odd counts of counts (tiny corpora) can give discounts of zero, which leave no mass to back off; 0.5 stands for undefined ones.
 LEAST_DISCOUNT = 0.05
 BLOCK_BYTES = 32 << 20
@@ -248,9 +252,14 @@ def perplexity(docs: DataFrame, trusted: DataFrame, order: int = ORDER, block_by
     """(doc_id, lang, n_bytes, bits): bits per byte of each row of ``docs`` under a model of the ``trusted`` ids."""
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(LEAST_BLOCKS, -(-int(size) // block_bytes))
-    block = F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(blocks))
+    # A row without a doc_id goes by its text alone; trusted ids go wherever their rows may.
+    text_hash = F.xxhash64("text")
+    own = F.coalesce(F.col("doc_id").cast("long"), text_hash)
+    block = F.pmod(F.xxhash64(own, F.pmod(text_hash, F.lit(SPREAD))), F.lit(blocks))
     by_block = docs.select("doc_id", "lang", "text", block.alias("_block")).repartition(F.col("_block")).groupBy("_block")
-    marked = trusted.select("doc_id", block.alias("_block")).distinct().groupBy("_block")
+    places = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SPREAD - 1).cast("long")))
+    marked = trusted.filter("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), places.alias("_n"))
+    marked = marked.select("doc_id", F.pmod(F.xxhash64("doc_id", "_n"), F.lit(blocks)).alias("_block")).distinct().groupBy("_block")
     counts = staged(by_block.cogroup(marked).applyInArrow(_count(order), "g long, n long").groupBy("g").agg(F.sum("n").alias("n")), "counts")
     model, unseen = kneser_ney(counts, order)
     n = model.count()
@@ -264,14 +273,19 @@ def perplexity(docs: DataFrame, trusted: DataFrame, order: int = ORDER, block_by
     return by_block.cogroup(told).applyInArrow(_score(order, shards, unseen), "doc_id long, lang string, n_bytes long, bits double")
 
 
-def quality_classifier(docs: DataFrame, trusted: DataFrame, order: int = ORDER, quantile: float = QUANTILE, slack: float = SLACK) -> DataFrame:
+def quality_classifier(docs: DataFrame, trusted: DataFrame, order: int = ORDER, quantile: float = QUANTILE) -> DataFrame:
     """One row per row of ``docs``: doc_id, lang, perplexity (per byte), threshold, kept."""
     scored = staged(perplexity(docs, trusted, order), "scores").withColumn("class", F.floor(F.log2(F.greatest("n_bytes", F.lit(1))) / 2))
     held = scored.join(trusted.select("doc_id").distinct(), "doc_id", "left_semi").filter(F.crc32(F.col("doc_id").cast("string")) % HOLD_OUT == 0).filter("bits is not null")
 
+    z = NormalDist().inv_cdf(quantile)
+
     def most(groups: list[str], name: str) -> DataFrame:
-        return held.groupBy(*[F.col(g).alias(f"{name}_{g}") for g in groups]).agg(
-            F.when(F.count("*") >= LEAST_HELD, F.percentile_approx("bits", quantile, 10000)).alias(name))
+        n, mean = F.col("n_bytes"), F.avg("bits")
+        # Mean of n (bits - mean)^2, the variance of one byte.
+        per_byte = F.avg(n * F.col("bits") * F.col("bits")) - 2 * mean * F.avg(n * F.col("bits")) + mean * mean * F.avg(n)
+        told = F.struct(F.percentile_approx("bits", quantile, 10000).alias("quantile"), mean.alias("mean"), F.sqrt(F.greatest(per_byte, F.lit(0.0))).alias("deviation"))
+        return held.groupBy(*[F.col(g).alias(f"{name}_{g}") for g in groups]).agg(F.when(F.count("*") >= LEAST_HELD, told).alias(name))
 
     out = scored
     for name, groups in (("own", ["lang", "class"]), ("language", ["lang"])):
@@ -279,7 +293,8 @@ def quality_classifier(docs: DataFrame, trusted: DataFrame, order: int = ORDER,
         if "class" in groups:
             on = on & (F.col("class") == F.col(f"{name}_class"))
         out = out.join(staged(most(groups, name), name), on, "left")
-    everyone = most([], "everyone").first()["everyone"]  # one row
-    out = out.withColumn("threshold", F.coalesce("own", "language", F.lit(everyone).cast("double")) + slack + SHORT / F.sqrt(F.greatest("n_bytes", F.lit(1))))
+    out = out.join(staged(most([], "everyone"), "everyone"), F.lit(True), "left")  # one row
+    out = out.withColumn("q", F.coalesce("own", "language", "everyone"))
+    out = out.withColumn("threshold", F.greatest(F.col("q.quantile"), F.col("q.mean") + z * F.col("q.deviation") / F.sqrt(F.greatest("n_bytes", F.lit(1)))))
     kept = F.col("bits").isNotNull() & (F.col("bits") <= F.coalesce("threshold", F.col("bits")))
     return out.select("doc_id", "lang", F.pow(F.lit(2.0), "bits").alias("perplexity"), F.pow(F.lit(2.0), "threshold").alias("threshold"), kept.alias("kept"))

@@ -195,27 +195,20 @@ def links(reps: DataFrame, max_bits: int = MAX_BITS, node_limit: int = NODE_LIMI
 
 
 def simhash_groups(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, seed: int = SEED, node_limit: int = NODE_LIMIT) -> DataFrame:
-    """One row per row of ``docs``: doc_id, fingerprint (16 hex digits), component_id."""
+    """One row per row of ``docs``: doc_id, fingerprint (16 hex digits), component_id (the least doc_id of the component; null if none has one).
+
+    Fingerprints are linked, whatever ids hold them, so rows without a doc_id carry links like any other.
+    """
     prints = staged(docs.select("doc_id", "text").mapInArrow(_fingerprints(shingle, seed), "doc_id long, fp long"), "prints")
     reps = staged(prints.groupBy("fp").agg(F.min("doc_id").alias("rep")), "reps")
-    roots = components(links(reps.filter("rep is not null"), max_bits, node_limit))
-    named = reps.join(roots, reps["rep"] == roots["node"], "left").select("fp", F.coalesce("root", "rep").alias("component_id"))
+    roots = components(links(reps.select("fp", F.col("fp").alias("rep")), max_bits, node_limit))
+    linked = staged(reps.join(roots, reps["fp"] == roots["node"]).select("fp", "rep", "root"), "linked")
+    least = linked.groupBy("root").agg(F.min("rep").alias("component_id"))
+    named = reps.join(linked.join(least, "root").select("fp", F.col("component_id"), F.lit(True).alias("of")), "fp", "left")
+    named = named.select("fp", F.when(F.col("of"), F.col("component_id")).otherwise(F.col("rep")).alias("component_id"))
     return prints.join(named, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, groups: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stand for their group: its least doc_id; of rows that repeat it, the least text.
-
-    For tables whose ids are unique: rows without a doc_id are not among them, rows that share one shrink to one. ``keep_rows`` loses neither.
-    """
-    kept = groups.filter("doc_id = component_id").select("doc_id").distinct()
-    one = Window.partitionBy("doc_id").orderBy("text")
-    n = "_n"
-    while n in docs.columns:
-        n += "_"
-    return docs.join(kept, "doc_id", "left_semi").withColumn(n, F.row_number().over(one)).filter(F.col(n) == 1).drop(n)
-
-
 def keep_rows(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, seed: int = SEED, node_limit: int = NODE_LIMIT) -> DataFrame:
     """One row of each group of near copies, whatever its doc_id: the least (doc_id nulls last, text hash).
 

@@ -97,3 +97,28 @@ def test_nothing_learned_and_empty(spark):
 def test_sample_is_bounded(spark, docs):
     samples = learn(table(spark, corpus()), sample_docs=docs, sample_chars=1000)
     assert all(len(s) <= 1000 for _, s in samples)
+
+
+@pytest.mark.parametrize("ids", ["null", "repeated"])
+def test_languages_without_ids_of_their_own_are_learned(spark, ids):
+    """A language whose rows have no doc_id, or share one, is learned from as many of them as any other."""
+    rng = random.Random(8)
+    data = [(None if ids == "null" else 5, speak(rng, "aa", 12), "aa", "s", None) for _ in range(1500)] + [(i, speak(rng, "bb", 12), "bb", "s", None) for i in range(100)]
+    data += [(None, "ión las que " * 5, "cc", "s", None)] * 1200  # one row, many times
+    samples = learn(table(spark, data))
+    assert [lang for lang, _ in samples] == ["aa", "bb", "cc"]
+    sizes = {lang: len(s) for lang, s in samples}
+    assert sizes["aa"] > sizes["bb"] and sizes["cc"] < 100
+    again = learn(table(spark, data).repartition(5))
+    assert again == samples
+    test = [(i, speak(rng, lang, 20), None, "s", None) for i, lang in enumerate(["aa", "bb"] * 20)]
+    got = {r["doc_id"]: r["lang_pred"] for r in language_id(table(spark, test), samples).collect()}
+    assert all(got[i] == ["aa", "bb"][i % 2] for i in got)
+
+
+def test_the_sample_is_bounded(spark):
+    rng = random.Random(9)
+    data = [(i, speak(rng, "aa", 30), "aa", "s", None) for i in range(400)]
+    (lang, sample), = learn(table(spark, data), sample_docs=7, sample_chars=500)
+    assert lang == "aa" and 0 < len(sample) <= 500
+    assert learn(table(spark, [])) == () and learn(table(spark, [(1, "123", "aa", "s", None), (2, None, "bb", "s", None)])) == ()

@@ -80,7 +80,9 @@ def test_junk_is_told_from_prose(spark):
     kept = {r["doc_id"]: r["kept"] for r in out}
     assert len(out) == len(kept) == len(clean + junk + odd)
     assert sum(kept[i] for i in range(600)) >= 597 and not any(kept[1000 + i] for i in range(50))
-    assert not kept[2000] and not kept[2001] and kept[2002]
+    assert not kept[2000] and not kept[2001]
+    few = next(r for r in out if r["doc_id"] == 2002)  # no held-out rows of its language: everyone's, for a text of its bytes
+    assert few["threshold"] > max(r["threshold"] for r in out if r["doc_id"] < 600) and few["kept"] == (few["perplexity"] <= few["threshold"])
     assert all(r["perplexity"] is None or 1 <= r["perplexity"] for r in out)
 
 
@@ -89,3 +91,44 @@ def test_empty(spark):
     assert quality_classifier(table(spark, []), none).count() == 0
     got = quality_classifier(table(spark, rows()), none).collect()
     assert len(got) == len(rows()) and not any(r["kept"] for r in got)
+
+
+def test_a_third_without_an_id_and_one_shared_by_many(spark):
+    """Such rows are scored as any other, and dealt over many blocks."""
+    from shelfline.llm import perplexity as module
+    data = [(None if i % 3 == 0 else 3 if i % 3 == 1 else r[0], *r[1:]) for i, r in enumerate(r for r in rows() if len(r[1] or "") < 5000)]
+    trusted = [r[0] for r in data if r[0] is not None and r[0] % 2 == 0] + [3]
+    train = [r[1] for r in data if r[0] in trusted and zlib.crc32(str(r[0]).encode()) % HOLD_OUT]
+    model = Brute(train, 3)
+    df = perplexity(table(spark, data), spark.createDataFrame([(x,) for x in trusted] + [(None,)], "doc_id long"), 3, block_bytes=500)
+    got = sorted(((str(r["doc_id"]), r["bits"] if r["bits"] is not None else -1.0) for r in df.collect()))
+    want = sorted(((str(r[0]), b if (b := model.bits(r[1])) is not None else -1.0) for r in data))
+    assert [d for d, _ in got] == [d for d, _ in want] and [b for _, b in got] == pytest.approx([b for _, b in want], abs=0.01)
+    assert module.SPREAD > 1
+
+
+def test_threshold_is_the_quantile(spark):
+    """Of the held-out trusted rows of a language and size: the larger of their own quantile and the normal one."""
+    from statistics import NormalDist, mean
+
+    from shelfline.llm.perplexity import LEAST_HELD
+    rng = random.Random(13)
+    data = [(i, " ".join(rng.choice(["the", "an", "ing", "on"]) for _ in range(60)), ["en", "de"][i % 5 == 0], "s", None) for i in range(900)]
+    docs, trusted = table(spark, data), spark.createDataFrame([(i,) for i in range(900)], "doc_id long")
+    bits = {r["doc_id"]: (r["lang"], r["n_bytes"], r["bits"]) for r in perplexity(docs, trusted).collect()}
+    out = {r["doc_id"]: r for r in quality_classifier(docs, trusted, quantile=0.9).collect()}
+    held = defaultdict(list)
+    for i, (lang, n, b) in bits.items():
+        if zlib.crc32(str(i).encode()) % HOLD_OUT == 0:
+            held[lang, int(math.log2(n) / 2)].append((b, n))
+    key = max(held, key=lambda k: len(held[k]))
+    x = sorted(held[key])
+    assert len(x) >= LEAST_HELD
+    own, m = x[math.ceil(0.9 * len(x)) - 1][0], mean(b for b, _ in x)
+    deviation = math.sqrt(mean(n * (b - m) ** 2 for b, n in x))
+    of_key = [(i, n) for i, (lang, n, _) in bits.items() if (lang, int(math.log2(n) / 2)) == key]
+    assert len(of_key) > 100
+    for i, n in of_key:
+        want = max(own, m + NormalDist().inv_cdf(0.9) * deviation / math.sqrt(n))
+        assert math.log2(out[i]["threshold"]) == pytest.approx(want, abs=1e-6)
+        assert out[i]["kept"] == (out[i]["perplexity"] <= out[i]["threshold"])

@@ -7,7 +7,7 @@ import xxhash
 from cases import clashing, rows, table
 
 from shelfline.llm.components import components
-from shelfline.llm.simhash import keep_one, keep_rows, links, simhash_groups, trie_pairs
+from shelfline.llm.simhash import keep_rows, links, simhash_groups, trie_pairs
 
 
 def brute_print(text: str | None) -> int:
@@ -51,13 +51,38 @@ def test_null_ids_and_empty(spark):
     assert simhash_groups(table(spark, [])).count() == 0
 
 
-def test_keep_one(spark):
-    docs = clashing(table(spark, rows()))
-    kept = keep_one(docs, simhash_groups(docs))
-    assert kept.columns == docs.columns
-    ids = [r["doc_id"] for r in kept.collect()]
-    assert len(ids) == len(set(ids))
-    assert set(ids) == {r["component_id"] for r in simhash_groups(docs).collect() if r["component_id"] is not None}
+def test_links_through_rows_without_an_id(spark):
+    """Two documents that only a row without a doc_id connects are one component, as are rows that none has."""
+    rng = random.Random(12)
+    base = [f"w{rng.randrange(500)}" for _ in range(120)]
+    texts = [" ".join(base)]
+    for _ in range(120):
+        words = list(base)
+        for _ in range(rng.randrange(1, 4)):
+            words[rng.randrange(len(words))] = f"x{rng.randrange(500)}"
+        texts.append(" ".join(words))
+    prints = [brute_print(t) for t in texts]
+
+    def apart(i, j):
+        return (prints[i] ^ prints[j]).bit_count()
+
+    a, b, c = next((a, b, c) for b in range(len(texts)) for a in range(len(texts)) for c in range(a)
+                   if 0 < apart(a, b) <= 2 and 0 < apart(b, c) <= 2 and apart(a, c) > 2)
+    data = [(7, texts[a]), (None, texts[b]), (4, texts[c]), (None, "all by itself here"), (None, None), (9, "another one by itself")]
+    got = Counter((r["doc_id"], r["component_id"]) for r in simhash_groups(table(spark, [(*r, "en", "a", 1) for r in data])).collect())
+    assert got == Counter([(7, 4), (None, 4), (4, 4), (None, None), (None, None), (9, 9)])
+
+
+def test_a_third_without_an_id(spark):
+    data = [(None if i % 3 == 0 else r[0], *r[1:]) for i, r in enumerate(rows())]
+    prints = [brute_print(r[1]) for r in data]
+    at = roots([(i, j) for i in range(len(data)) for j in range(i) if (prints[i] ^ prints[j]).bit_count() <= 2], list(range(len(data))))
+    least = {}
+    for i, r in enumerate(data):
+        if r[0] is not None:
+            least[at[i]] = min(least.get(at[i], r[0]), r[0])
+    want = Counter((r[0], f"{prints[i]:016x}", least.get(at[i])) for i, r in enumerate(data))
+    assert Counter(tuple(r) for r in simhash_groups(table(spark, data)).select("doc_id", "fingerprint", "component_id").collect()) == want
 
 
 def near(rng: random.Random, groups: int, each: int, flips: int) -> list[int]:
