@@ -64,7 +64,7 @@ SCALE = 1_000_000_000
 #: Postings of a shard, at the least and at the most; between them four per pair of sources.
 SHARD_POSTINGS = (4096, 4_000_000)
 #: Terms that a task counts before it sends them on.
-FLUSH_TERMS = 500_000
+FLUSH_TERMS = 300_000
 #: Values that are worked out at once.
 LANES = 1 << 20
 #: Bytes of a text: letters stay, lower-cased, as do all bytes of non-ASCII characters; all else parts terms.
@@ -77,10 +77,13 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     found: dict[tuple[bytes, bytes], tuple[Counter, Counter]] = {}
     held = 0
 
-    def portion() -> pa.RecordBatch:
-        rows = [(*group, term, n, docs[term]) for group, (uses, docs) in found.items() for term, n in uses.items()]
-        rows += [(*group, None, 0, 0) for group in found]
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), _COUNTED.types)], schema=_COUNTED)
+    def portion() -> Iterator[pa.RecordBatch]:
+        while found:
+            (lang, source), (uses, docs) = found.popitem()
+            n = len(uses) + 1
+            columns = [[lang] * n, [source] * n, [*uses, None], [*uses.values(), 0], [*map(docs.__getitem__, uses), 0]]
+            del uses, docs
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, _COUNTED.types)], schema=_COUNTED)
 
     for batch in batches:
         langs, sources = batch.column("lang").to_pylist(), batch.column("source").to_pylist()
@@ -94,10 +97,9 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             docs.update(set(terms))
             held += len(uses)
             if held > FLUSH_TERMS:
-                yield portion()
-                found, held = {}, 0
-    if found:
-        yield portion()
+                yield from portion()
+                held = 0
+    yield from portion()
 
 
 def term_counts(docs: DataFrame) -> DataFrame:
