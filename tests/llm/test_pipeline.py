@@ -4,6 +4,7 @@ from cases import rows, table
 from test_quality_rules import JUNK
 
 import corpus_pipeline
+from pyspark.sql import functions as F
 from shelfline.llm.common import staged
 
 
@@ -39,3 +40,14 @@ def test_entry_adds_the_queries():
     names = set(entry.queries())
     assert {f"op{n}" for n in range(1, 11)} <= {x.split("_")[0] for x in names} and "pipeline" in names
     assert set(entry.oracle_sql()) <= names
+
+
+def test_extra_columns_keep_their_values(spark, tmp_path):
+    """Columns named like those the operators add, use or drop come out of each stage as they went in."""
+    from cases import clashing
+    docs = clashing(table(spark, rows(n=60))).withColumn("_block", F.lit("mine")).withColumn("copy", F.col("doc_id")).withColumn("a.b", F.lit(1))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = staged(stage(spark, docs, str(tmp_path)), name)
+        assert out.columns == docs.columns and dict(out.dtypes) == dict(docs.dtypes), name
+        assert out.count() > 0 and out.filter("kept <> 'mine' or _block <> 'mine' or n_words <> 'mine' or copies <> 'mine' or `a.b` <> 1 or not copy <=> if(doc_id < 0, null, doc_id)").count() == 0, name
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path)).count() > 0
