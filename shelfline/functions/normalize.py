@@ -78,6 +78,13 @@ def variant_kind(v) -> Column:
     return F.regexp_extract(F.schema_of_variant(col(v)), "^[A-Z]+", 0)
 
 
+def kind_of_text(text) -> Column:
+    """The kind of a JSON value that is no string, by its text."""
+    t = col(text)
+    return (F.when(t.startswith("{"), F.lit("OBJECT")).when(t.startswith("["), F.lit("ARRAY")).when(t.isin("true", "false"), F.lit("BOOLEAN"))
+            .when(t.rlike(r"^-?[0-9]{1,18}$"), F.lit("BIGINT")).when(t.contains("e") | t.contains("E"), F.lit("DOUBLE")).otherwise(F.lit("DECIMAL")))
+
+
 def json_value(variant, raw) -> Column:
     """The JSON value of a field read both as a variant and as text; null and missing are null."""
     raw = col(raw)

@@ -8,15 +8,14 @@ Catalyst sees one projection and no Python runs per row.
 
 from __future__ import annotations
 
-import json
+import re
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfline.functions import normalize as N
-from shelfline.functions.text import truthy, strip
+from shelfline.functions.text import once, strip, truthy
 from shelfline.functions import urls as U
 from shelfline.operators.dedup import ordered_distinct
 
@@ -85,44 +84,57 @@ ITEM_PATHS = [
 ]
 
 
+#: Put before the text of a typed field's string, so that it is known from a number or an object once it is read.
+_MARK = "\u0001"
+
+
+def _names(t: T.DataType) -> set[str]:
+    """Names of all fields below a type."""
+    if isinstance(t, T.ArrayType):
+        return _names(t.elementType)
+    if isinstance(t, T.MapType):
+        return _names(t.valueType)
+    return {x for f in t.fields for x in {f.name} | _names(f.dataType)} if isinstance(t, T.StructType) else set()
+
+
+def _typed_value(raw: Column) -> Column:
+    """A marked field's text as a JSON value."""
+    plain = F.replace(raw, F.lit("\\u0001"), F.lit(""))  # marks of fields inside an object, as its text spells them
+    return once(plain, lambda text: F.when(raw.startswith(_MARK), F.struct(F.lit("STRING").alias("kind"), F.substr(raw, F.lit(2)).alias("raw"))).when(
+        raw.isNotNull(), F.struct(N.kind_of_text(text).alias("kind"), text.alias("raw"))))
+
+
 def read_feed_items(feeds: DataFrame, paths=None, schema: T.StructType = ITEM_SCHEMA,
                     payload: str = "payload", typed=TYPED_FIELDS) -> DataFrame:
     """One row per item at the first path giving a non-empty list, per document.
 
     ``schema`` is the item's; fields named in ``typed`` become JSON values
-    (``struct<kind, raw>``), for which the document is read a second time with
-    only those fields as variants. Keeps the document's other columns and adds
-    ``item_pos`` and ``item``.
+    (``struct<kind, raw>``). Every document is parsed once, each typed field
+    as its text: objects keep the order of their keys and numbers their
+    digits, which a variant does not. Strings among them are marked in the
+    document before it is parsed. No field inside another may have a typed
+    name. Keeps the document's other columns and adds ``item_pos`` and ``item``.
     """
     paths = paths or ITEM_PATHS
     typed = [f.name for f in schema.fields if f.name in typed]
+    if deeper := {n for f in schema.fields if f.name not in typed for n in _names(f.dataType)} & set(typed):
+        raise ValueError(f"typed fields that the schema also has inside others: {sorted(deeper)}")
     keep = [c for c in feeds.columns if c != payload]
-
-    def with_lists(df: DataFrame, item: T.StructType, name: str) -> DataFrame:
-        """The item lists of every path, as one array column; the document is read once (as a generator's output)."""
-        read = df.select("*", F.inline(F.array(F.from_json(F.col(payload), document_schema(item)))))
-        fields = f"named_struct({', '.join(f"'{f}', x.{f}" for f in item.names)})"
-        lists = F.array(*[F.expr(f"transform({p}, x -> if(x IS NULL, NULL, {fields}))") for p in paths])
-        return read.select(*df.columns, lists.alias(name))
-
-    read = with_lists(feeds, schema, "_items")
+    text = F.col(payload)
     if typed:
-        read = with_lists(read, T.StructType([T.StructField(f, T.VariantType()) for f in typed]), "_typed")
-    # Values from here on: the filter below would otherwise read every document again.
-    lists = [c for c in read.columns if c not in feeds.columns]
-    read = read.select(*feeds.columns, F.inline(F.array(F.struct(*lists))))
+        text = F.regexp_replace(text, rf'(?<!\\)"({"|".join(map(re.escape, typed))})"\s*:\s*"', r'"$1":"\\u0001')
+    # Values from here on (a generator's output): what follows would otherwise parse every document again.
+    read = feeds.select(*keep, F.inline(F.array(F.from_json(text, document_schema(schema)))))
+    fields = f"named_struct({', '.join(f"'{f}', x.{f}" for f in schema.names)})"
+    lists = F.array(*[F.expr(f"transform({p}, x -> if(x IS NULL, NULL, {fields}))") for p in paths])
 
-    def has_item(x):
-        return x.isNotNull()  # a null item is null in both readings
+    def chosen(found: Column) -> Column:
+        present = F.transform(found, lambda x: F.filter(x, lambda i: i.isNotNull()))
+        return F.get(F.filter(present, lambda x: F.size(x) > 0), F.lit(0))
 
-    chosen = F.array_position(F.transform("_items", lambda x: F.coalesce(F.size(F.filter(x, has_item)) > 0, F.lit(False))), True)
-    picked = read.withColumn("_at", chosen.cast("int")).filter("_at > 0")
-    items = F.element_at("_items", F.col("_at"))
-    if typed:
-        items = F.zip_with(items, F.element_at("_typed", F.col("_at")), lambda x, t: F.when(has_item(x), F.struct(
-            *[(N.json_value(t[f], x[f]) if f in typed else x[f]).alias(f) for f in schema.names])))
-    out = picked.select(*keep, F.posexplode(F.filter(items, has_item)).alias("item_pos", "item"))
-    return out.withColumn("item_pos", F.col("item_pos").cast("bigint"))
+    out = read.select(*keep, F.posexplode(once(lists, chosen)).alias("item_pos", "item"))
+    item = F.struct(*[(_typed_value(F.col("item")[f]) if f in typed else F.col("item")[f]).alias(f) for f in schema.names])
+    return out.select(*keep, F.col("item_pos").cast("bigint").alias("item_pos"), item.alias("item"))
 
 
 def _expr_types(df: DataFrame, exprs) -> dict:
@@ -287,36 +299,39 @@ def category_endpoints(categories: DataFrame, template: str, payload: str = "pay
     return ordered_distinct(both, "url", [doc, "branch", "pos"], group=[])
 
 
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def json_ids(payloads: pd.Series) -> pd.Series:
-    """Distinct all-digit ``id`` values at any depth, a node's before its children's; malformed text has none."""
-    def walk(node, found: dict) -> None:
-        if isinstance(node, dict):
-            cid = node.get("id")
-            if isinstance(cid, (int, str)) and str(cid).strip().isdigit():
-                found.setdefault(str(cid).strip())
-            node = node.values()
-        elif not isinstance(node, list):
-            return
-        for child in node:
-            walk(child, found)
+_TOKEN = r'"(?:[^"\\]|\\.)*+"|[{}\[\]:,]|[^\s{}\[\]:,"]++'
+
+
+def json_ids(payload) -> Column:
+    """Distinct all-digit ``id`` values at any depth, a node's before its children's; malformed text has none.
+
+    A walk that meets a node before its children meets objects in the order in
+    which they begin, so the ids are sorted by where their object begins. One
+    pass over the document's tokens keeps the places of the open brackets.
+    """
+    def of(t: Column) -> Column:
+        def step(seen: Column, i: Column) -> Column:
+            token = F.get(t, i)
+            digits = F.regexp_extract(F.get(t, i + 2), r'^"?\s*(\p{Nd}+)\s*"?$', 1)
+            is_id = (token == '"id"') & (F.get(t, i + 1) == ":") & (digits != "")
+            opened = F.when(token.isin("{", "["), F.concat(seen["opened"], F.array(i))).when(
+                token.isin("}", "]"), F.slice(seen["opened"], 1, F.size(seen["opened"]) - 1)).otherwise(seen["opened"])
+            ids = F.when(is_id, F.concat(seen["ids"], F.array(F.struct(F.element_at(seen["opened"], -1).alias("at"), digits.alias("id"))))).otherwise(seen["ids"])
+            return F.struct(opened.alias("opened"), ids.alias("ids"))
 
-    def ids(text):
-        found: dict = {}
-        try:
-            walk(json.loads(text), found)
-        except (TypeError, ValueError, RecursionError):
-            return []
-        return list(found)
+        none = F.struct(F.array().cast("array<int>").alias("opened"), F.array().cast("array<struct<at:int,id:string>>").alias("ids"))
+        return F.aggregate(F.sequence(F.lit(0), F.size(t) - 1), none, step, lambda seen: F.array_distinct(F.transform(F.array_sort(seen["ids"]), lambda x: x["id"])))
 
-    return payloads.map(ids)
+    text = F.col(payload) if isinstance(payload, str) else payload
+    tokens = F.when(F.try_parse_json(text).isNotNull(), F.regexp_extract_all(text, F.lit(_TOKEN), 0))
+    return once(tokens, lambda t: F.when(F.size(t) > 0, of(t)).otherwise(F.array().cast("array<string>")))
 
 
 def category_ids_recursive(docs: DataFrame, template: str, payload: str = "payload",
                            doc: str = "doc") -> DataFrame:
     """Every distinct all-digit ``id`` anywhere in the JSON document, in the order
     of a walk that meets a node before its children, templated."""
-    out = docs.select(doc, F.posexplode(json_ids(F.col(payload))).alias("pos", "cid")).withColumn("pos", F.col("pos").cast("bigint"))
+    out = docs.select(doc, F.posexplode(json_ids(payload)).alias("pos", "cid")).withColumn("pos", F.col("pos").cast("bigint"))
     return out.select(doc, "pos", F.replace(F.lit(template), F.lit("{id}"), F.col("cid")).alias("url"))
 
 

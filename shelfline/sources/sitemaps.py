@@ -1,9 +1,12 @@
 """Sitemap expansion: breadth-first over a ``sitemaps(url, xml)`` table.
 
-The documents are parsed once into edges (url, pos, loc), written to the
-shared folder. Each level joins the frontier with the edges only and drops
-what was seen before; it ends when a level finds no new sitemap, so cycles
-end and no depth is cut off.
+The documents are parsed once into edges (parent, pos, loc), written to the
+shared folder apart by whether they lead to another sitemap. Levels only join
+the few edges that do: each joins its frontier with them, drops what was seen
+before and writes the next frontier. They end when a level finds no new
+sitemap, so cycles end and no depth is cut off. The page edges, by far the
+most, meet the sitemaps of all levels in one join at the end, and are
+shuffled once.
 """
 
 from __future__ import annotations
@@ -36,33 +39,29 @@ def expand_sitemaps(spark, sitemaps: DataFrame, roots: list[str] | DataFrame, ma
     ord): each URL once, with the BFS position where it was first found.
     """
     base = shared_dir(spark, "sitemap-bfs")
-
-    def written(df: DataFrame, name: str) -> DataFrame:
-        df.write.mode("overwrite").parquet(f"{base}/{name}")
-        return spark.read.parquet(f"{base}/{name}")
-
-    edges = written(sitemap_locs(sitemaps.select("url", "xml")).select(F.col("url").alias("parent"), F.col("pos").cast("int").alias("pos"), "loc"), "edges")
+    edges = sitemap_locs(sitemaps.select("url", "xml")).select(
+        F.col("url").alias("parent"), F.col("pos").cast("int").alias("pos"), "loc", F.col("loc").endswith(".xml").alias("nested"))
+    edges.write.partitionBy("nested").parquet(f"{base}/edges")
+    kinds = edges.schema
+    edges = spark.read.schema(kinds).parquet(f"{base}/edges")
     if isinstance(roots, list):
         frontier = spark.createDataFrame([(u, [i]) for i, u in enumerate(roots)], "url string, ord array<int>")
     else:
         frontier = roots.select("url", F.array(F.col("pos").cast("int")).alias("ord"))
-    frontier = frontier.groupBy("url").agg(F.min("ord").alias("ord"))
-    seen = frontier.select("url")
-    results, depth = None, 0
-    while max_nested is None or depth < max_nested:
-        locs = frontier.join(edges, F.col("url") == F.col("parent")).select(
-            "loc", F.concat("ord", F.array("pos")).alias("ord"), F.col("loc").endswith(".xml").alias("nested"))
-        locs = written(locs, f"locs-{depth}")
-        found = locs.filter("not nested").select(F.col("loc").alias("url"), F.lit(depth).alias("depth"), "ord")
-        results = found if results is None else results.unionByName(found)
+    level = frontier.groupBy("url").agg(F.min("ord").alias("ord")).withColumn("depth", F.lit(0))
+    reached, depth = level, 0
+    while max_nested is None or depth + 1 < max_nested:
+        found = level.join(edges.filter("nested"), F.col("url") == F.col("parent")).select(F.col("loc").alias("url"), F.concat("ord", F.array("pos")).alias("ord"))
+        found = found.groupBy("url").agg(F.min("ord").alias("ord")).join(reached.select("url"), "url", "left_anti")
         depth += 1
-        frontier = (locs.filter("nested").groupBy(F.col("loc").alias("url")).agg(F.min("ord").alias("ord"))
-                    .join(seen, "url", "left_anti"))
-        frontier = written(frontier, f"level-{depth}")
-        if frontier.isEmpty():
+        path = f"{base}/level={depth}"
+        found.withColumn("depth", F.lit(depth)).write.parquet(path)
+        level = spark.read.schema(level.schema).parquet(path)
+        if level.isEmpty():
             break
-        seen = seen.unionByName(frontier.select("url"))
-    if results is None:
-        return frontier.select("url", F.lit(0).alias("depth"), "ord").limit(0)
-    first = results.groupBy("url").agg(F.min(F.struct("depth", "ord")).alias("_f"))
+        reached = reached.unionByName(level)
+    if max_nested == 0:
+        reached = reached.limit(0)
+    pages = reached.join(edges.filter("not nested"), F.col("url") == F.col("parent")).select(F.col("loc").alias("url"), F.struct("depth", F.concat("ord", F.array("pos")).alias("ord")).alias("_f"))
+    first = pages.groupBy("url").agg(F.min("_f").alias("_f"))
     return first.select("url", F.col("_f.depth").alias("depth"), F.col("_f.ord").alias("ord"))

@@ -2,6 +2,9 @@
 
 from pyspark.sql import functions as F
 
+import pytest
+from pyspark.sql import types as T
+
 from shelfline.operators import rows as RW
 from shelfline.operators.maintain import categories_table, category_lookup
 from shelfline.sources import feeds as FD
@@ -186,3 +189,84 @@ def test_category_ids_meet_a_node_before_its_children(spark):
     assert [r.url for r in got] == ["u1", "u7", "u8"]
     items = spark.createDataFrame([(0, '{"data":{"list":["http://a",{"id":5}]}}')], "doc int, payload string")
     assert [r.url for r in FD.category_endpoints(items, "http://u/{id}", items_path="$.data.list").orderBy("pos").collect()] == ["http://a", "http://u/5"]
+
+
+def walked(text: str) -> list[str]:
+    """Brute force: a walk through the parsed document, a node's id before its children's."""
+    import json
+    found: dict = {}
+
+    def walk(node):
+        if isinstance(node, dict):
+            cid = node.get("id")
+            if isinstance(cid, (int, str)) and str(cid).strip().isdigit():
+                found.setdefault(str(cid).strip())
+            node = node.values()
+        elif not isinstance(node, list):
+            return
+        for child in node:
+            walk(child)
+
+    try:
+        walk(json.loads(text))
+    except ValueError:
+        return []
+    return list(found)
+
+
+def test_ids_at_any_depth_are_those_of_a_walk(spark):
+    import json
+    import random
+    rng = random.Random(3)
+
+    def value(depth: int):
+        kind = rng.randrange(5, 9) if depth > 7 else rng.randrange(9) if depth else rng.randrange(5)
+        if kind < 5:
+            return [rng.randrange(40), str(rng.randrange(40)), f" {rng.randrange(40)} ", rng.choice(["x\"{id", None, True, -3, 1.5, "id", "12a", "", ":", "a:1,\"id\":7"]), "id"][kind]
+        if kind == 5:
+            return [value(depth - 1) for _ in range(rng.randrange(4))]
+        names = ["id", "z", "a", "children", "id", "m\"n", "url"]
+        return {rng.choice(names): value(depth - 1) for _ in range(rng.randrange(5))}
+
+    texts = [json.dumps(value(10), ensure_ascii=rng.random() < 0.5, indent=rng.choice([None, 1])) for _ in range(1500)]
+    texts += ["{bad", "", "[]", "3", '"id"', '{"id":5', None, '{"id" : "7" , "x":[{"id":\t8}]}', "[" * 30 + '{"id":1}' + "]" * 30]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    got = {r.i: r.ids for r in df.select("i", FD.json_ids("t").alias("ids")).collect()}
+    for i, t in enumerate(texts):
+        assert (got[i] or []) == (walked(t) if t is not None else []), t
+    assert sum(len(x or []) > 3 for x in got.values()) > 50
+
+
+def test_no_python_in_category_documents(spark):
+    from shelfline.plans.explain import plan_text, summarise
+    docs_ = spark.createDataFrame([(1, '{"items":[],"a":{"id":3}}')], "doc int, payload string")
+    assert not summarise(plan_text(FD.category_endpoints(docs_, "https://s/{id}")))["python"]
+    assert [r.url for r in FD.category_endpoints(docs_, "https://s/{id}").collect()] == ["https://s/3"]
+
+
+def test_typed_fields_are_read_in_one_parse(spark):
+    items = [
+        '{"id":"1","price":"12,50","sale":9.0,"sizes":["S",4],"size":"{\\"a\\":1}"}',
+        '{"id":"2","price" : {"USD":"20.50","CZK":7,"price":"x","a":{"sale":"y"}},"sale":null,"sizes":[],"size":""}',
+        '{"id":"3","price":[{"price":"0","currency":"usd"}],"sale":true,"name":"says \\"price\\":\\"5\\" and \\\\","size":12345678901234567890}',
+        '{"id":"4","price":1e3,"sale":-2,"salePrice":"\\u0001x","description":"\\"sale\\":\\"1\\""}',
+    ]
+    feed = spark.createDataFrame([(1, '{"products":[null,' + ",".join(items) + "]}"), (2, "{bad"), (3, None), (4, '{"products":[null]}')], "endpoint_pos int, payload string")
+    read = FD.read_feed_items(feed)
+    plan = read._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1
+    got = {r["item"]["id"]: r["item"] for r in read.collect()}
+    assert sorted(got) == ["1", "2", "3", "4"]
+
+    def of(i, name):
+        v = got[i][name]
+        return v and (v["kind"], v["raw"])
+
+    assert [of("1", n) for n in ("price", "sale", "sizes", "size")] == [("STRING", "12,50"), ("DECIMAL", "9.0"), ("ARRAY", '["S",4]'), ("STRING", '{"a":1}')]
+    assert [of("2", n) for n in ("price", "sale", "sizes", "size")] == [("OBJECT", '{"USD":"20.50","CZK":7,"price":"x","a":{"sale":"y"}}'), None, ("ARRAY", "[]"), ("STRING", "")]
+    assert [of("3", n) for n in ("price", "sale", "size")] == [("ARRAY", '[{"price":"0","currency":"usd"}]'), ("BOOLEAN", "true"), ("DECIMAL", "12345678901234567890")]
+    assert got["3"]["name"] == 'says "price":"5" and \\' and got["4"]["description"] == '"sale":"1"'
+    assert [of("4", n) for n in ("price", "sale", "salePrice")] == [("DECIMAL", "1000.0"), ("BIGINT", "-2"), ("STRING", "\x01x")]
+    nested = T.StructType([T.StructField("id", T.StringType()), T.StructField("price", T.StringType()), T.StructField("detail", T.StructType([T.StructField("price", T.StringType())]))])
+    with pytest.raises(ValueError):
+        FD.read_feed_items(feed, ["products"], nested)
