@@ -51,6 +51,17 @@ FAMILIES = (
     ("gpl", "gnu general public", rf"gnu general public {_L}", "gpl"),
     ("gpl-2", "gpl*", r"(?:gnu )?gpl ?(?:v|version )? ?2(?: 0)?", "gpl 2 0 only"),
     ("gpl-3", "gpl*", r"(?:gnu )?gpl ?(?:v|version )? ?3(?: 0)?", "gpl 3 0 only"),
+    ("lgpl-2.1", "lgpl*", r"(?:gnu )?lgpl ?(?:v|version )? ?2 1", "lgpl 2 1 only"),
+    ("lgpl-2", "lgpl*", r"(?:gnu )?lgpl ?(?:v|version )? ?2(?: 0)?(?! 1)", "lgpl 2 0 only"),
+    ("lgpl-3", "lgpl*", r"(?:gnu )?lgpl ?(?:v|version )? ?3(?: 0)?", "lgpl 3 0 only"),
+    ("agpl-3", "agpl*", r"(?:gnu )?agpl ?(?:v|version )? ?3(?: 0)?", "agpl 3 0 only"),
+    ("mpl-1.1", "mpl*", r"mpl ?(?:v|version )? ?1 1", "mpl 1 1 only"),
+    ("mpl-2", "mpl*", r"mpl ?(?:v|version )? ?2(?: 0)?", "mpl 2 0 no copyleft exception"),
+    ("epl-2", "epl*", r"epl ?(?:v|version )? ?2(?: 0)?", "epl 2 0 only"),
+    ("apache-2", "apache*", r"apache ?(?:v|version )? ?2 0", "apache 2 0 only"),
+    ("mit", "mit", r"mit licen[sc]ed", "mit modern variant"),
+    ("apache-2", "apache", r"apache licen[sc]ed", "apache 2"),
+    ("bsd", "bsd", r"bsd licen[sc]ed", "bsd"),
     ("lgpl-2", "gnu library general public", rf"gnu library general public {_L}(?: {_V}2(?: 0)?)?", "lgpl 2 0"),
     ("lgpl-2.1", "gnu lesser general public", rf"gnu lesser general public {_L} {_V}2 1", "lgpl 2 1"),
     ("lgpl-3", "gnu lesser general public", rf"gnu lesser general public {_L} {_V}3(?: 0)?", "lgpl 3 0"),
@@ -124,18 +135,23 @@ PASSAGES = (
     ("mit", "permission is hereby granted", r"permission is hereby granted free of charge to any person obtaining a copy of this software"),
     ("isc", "permission to use copy modify", r"permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted"),
     ("bsd", "redistribution and use in source", r"redistribution and use in source and binary forms with or without modification are permitted"),
-    ("bsd-3-clause", "neither the name of", r"neither the name of (?:\S+ ){1,12}nor the names of its contributors may be used to endorse"),
+    ("bsd-3-clause", "neither the name of", r"neither the name of (?:[^ ]+ ){1,12}nor the names of its contributors may be used to endorse"),
     ("bsd-4-clause", "all advertising materials", r"all advertising materials mentioning features or use of this software must display"),
     ("apache-2", "you may not use this file except", r"you may not use this file except in compliance with the license"),
     ("gpl", "this program is free software", r"this program is free software you can redistribute it and or modify it under the terms of the gnu general public license"),
     ("lgpl", "this library is free software", r"this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license"),
+    ("gpl-2", "either version 2 of the", rf"(?:(?:under )?the terms of the )?gnu general public {_L} as published by the free software foundation either version 2 of the {_L}(?: or at your option any later version)?"),
+    ("gpl-3", "either version 3 of the", rf"(?:(?:under )?the terms of the )?gnu general public {_L} as published by the free software foundation either version 3 of the {_L}(?: or at your option any later version)?"),
+    ("lgpl-2.1", "either version 2 1 of the", rf"(?:(?:under )?the terms of the )?gnu lesser general public {_L} as published by the free software foundation either version 2 1 of the {_L}(?: or at your option any later version)?"),
+    ("lgpl-3", "either version 3 of the", rf"(?:(?:under )?the terms of the )?gnu lesser general public {_L} as published by the free software foundation either version 3 of the {_L}(?: or at your option any later version)?"),
+    ("agpl-3", "either version 3 of the", rf"(?:(?:under )?the terms of the )?gnu affero general public {_L} as published by the free software foundation either version 3 of the {_L}(?: or at your option any later version)?"),
     ("mpl-2", "this source code form is subject", r"this source code form is subject to the terms of the mozilla public license v 2 0"),
     ("zlib", "this software is provided as is", r"this software is provided as is without any express or implied warranty in no event will the authors be held liable"),
     ("unlicense", "free and unencumbered software", r"this is free and unencumbered software released into the public domain"),
     ("bsl-1", "permission is hereby granted", r"permission is hereby granted free of charge to any person or organization obtaining a copy of the software"),
     ("cc0-1", "waived all copyright", r"(?:has|have) waived all copyright and related or neighboring rights"),
     ("public-domain", "public domain", r"(?:released|dedicated|placed) (?:in|in ?to|to) the public domain"),
-    ("proprietary", "proprietary and confidential", r"(?:unauthorized copying of this file \S.{0,60}? )?proprietary and confidential"),
+    ("proprietary", "proprietary and confidential", r"(?:unauthorized copying of this file [^ ].{0,60}? )?proprietary and confidential"),
 )
 #: How a family's name is met: (form, regex around the name, priority, confidence).
 FORMS = (
@@ -145,6 +161,8 @@ FORMS = (
     ("name", r"{name}", 1, 0.7),
 )
 SPDX = ("spdx", r"spdx license identifier {spdx}(?: or later| only)?", 4, 1.0)
+#: A field of a manifest or a readme.
+FIELD = ("field", r"licen[sc]e (?:type )?{spdx}", 2, 0.85)
 
 
 @cache
@@ -156,8 +174,11 @@ def rules() -> list[tuple[str, str, str, re.Pattern, int, float]]:
             out.append((f"{form}:{label}", label, keyword, around.replace("{name}", name), priority, score))
         form, around, priority, score = SPDX
         out.append((f"{form}:{label}", label, "spdx license identifier", around.replace("{spdx}", spdx), priority, score))
+        form, around, priority, score = FIELD
+        opening = "|".join(f"{field} {spdx}" for field in ("license", "licence", "license type", "licence type"))
+        out.append((f"{form}:{label}", label, opening, around.replace("{spdx}", spdx), priority, score))
     out += [(f"passage:{label}", label, keyword, regex, 3, 0.9) for label, keyword, regex in PASSAGES]
-    return [(rule, label, keyword, re.compile(rf"(?<!\S){regex}(?!\S)"), priority, score) for rule, label, keyword, regex, priority, score in out]
+    return [(rule, label, keyword, re.compile(rf"(?<![^ ]){regex}(?![^ ])"), priority, score) for rule, label, keyword, regex, priority, score in out]
 
 
 @cache
@@ -175,7 +196,7 @@ def gate() -> ahocorasick.Automaton:
 
 
 def normalized(text: bytes | None) -> str:
-    """The words of a text between single spaces; one character for each byte."""
+    """The words of a text between single spaces; one character for each byte, so only the plain space parts words (bytes 85 and A0 are parts of letters)."""
     return " " + b" ".join((text or b"").translate(_TABLE).split()).decode("latin-1") + " "
 
 

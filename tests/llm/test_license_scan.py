@@ -115,3 +115,35 @@ def test_gate_opens_every_rule_that_matches():
     ("FreeBSD License", "bsd-2-clause"), ("released under 0BSD", "0bsd"), ("zero clause BSD", "0bsd")])
 def test_names_written_as_one_word(text, label):
     assert [d["label"] for d in detect(normalized(text.encode()))] == [label]
+
+
+NOTICE = """{what} is free software; you can redistribute it and/or modify it under the terms of the {name} as published by the
+Free Software Foundation; either version {version} of the License, or (at your option) any later version."""
+
+
+@pytest.mark.parametrize("text, labels", [
+    ("Neither the name of Università di Pisa nor the names of its contributors may be used to endorse", {"bsd-3-clause"}),
+    ("Neither the name of Škoda à la carte nor the names of its contributors may be used to endorse", {"bsd-3-clause"}),
+    ("voilàmit license and mit", set()), ("Šmit license", set()), ("the mit licenseà", set()), ("the mit license à", {"mit"}),
+    ("LGPL v2.1", {"lgpl-2.1"}), ("LGPLv2.1+", {"lgpl-2.1"}), ("LGPLv2 only", {"lgpl-2"}), ("licensed under AGPLv3", {"agpl-3"}), ("MPL 2.0", {"mpl-2"}), ("Apache 2.0", {"apache-2"}),
+    ("MIT licensed", {"mit"}), ("License: MIT", {"mit"}), ("license = Apache-2.0", {"apache-2"}), ("Licence type: BSD-3-Clause", {"bsd-3-clause"}), ("GPLv3", {"gpl-3"}),
+    (NOTICE.format(what="This program", name="GNU General Public License", version="2"), {"gpl-2", "gpl"}),
+    (NOTICE.format(what="Foo", name="GNU General Public License", version="3"), {"gpl-3"}),
+    (NOTICE.format(what="This library", name="GNU Lesser General Public License", version="2.1"), {"lgpl-2.1", "lgpl"}),
+    (NOTICE.format(what="Bar", name="GNU Affero General Public License", version="3"), {"agpl-3"}),
+    ("The Apache web server, version 2 of it, and 2 licenses", set()), ("a mit of license", set()), ("epl 2 teams", {"epl-2"}),
+])
+def test_short_names_notices_and_other_alphabets(text, labels):
+    found = {d["label"] for d in detect(normalized(text.encode()))}
+    assert found == labels
+
+
+def test_bytes_of_letters_are_no_spaces():
+    """No rule takes a byte of a non-ASCII letter for white space: inside a word with such letters none matches, beside one all do."""
+    for rule, _, _, regex, _, _ in rules():
+        assert not any(x in regex.pattern for x in (r"\s", r"\S", r"\b", r"\w")), rule
+        form = next(f for f in forms(re._parser.parse(regex.pattern)) if regex.fullmatch(f))
+        for word in ("voilà", "Š", "\u0085\u00a0", "字\u3000"):
+            assert not regex.match(normalized((word + form).encode()), 1), (rule, form)
+            beside = normalized(f"{word} {form} {word}".encode())
+            assert any(form in m[0] for m in regex.finditer(beside)), (rule, form)
