@@ -1,8 +1,10 @@
 """Connected components by alternating large-star and small-star rounds.
 
 Every round is a partial aggregate (the least neighbour of each node) and an
-equi-join of the edges with it; no neighbour list is ever gathered, so a node
-of any degree spreads over tasks. Rounds are staged, about log(n) of them.
+equi-join of the edges with it; no neighbour list is ever gathered. The least
+neighbours are staged before the join, so both of its sides are plain
+shuffles: the edges of a node of any degree are a skewed key that Spark splits
+over tasks. Rounds are staged, about log(n) of them.
 """
 
 from __future__ import annotations
@@ -42,10 +44,10 @@ class UnionFind:
 def _starred(edges: DataFrame) -> DataFrame:
     """One large-star and one small-star round over edges (a > b)."""
     both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+    least = staged(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), "least")
     large = edges.select(F.col("b").alias("a"), F.col("a").alias("b")).join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-    large = large.filter("a != b").distinct()
-    least = large.groupBy("a").agg(F.min("b").alias("m"))
+    large = staged(large.filter("a != b").distinct(), "large")
+    least = staged(large.groupBy("a").agg(F.min("b").alias("m")), "least")
     small = large.join(least, "a").filter("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return small.union(least.select("a", F.col("m").alias("b"))).distinct()
 

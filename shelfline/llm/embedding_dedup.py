@@ -16,10 +16,12 @@
 6. Recall is audited by brute force: a bounded sample of ``AUDIT`` nodes as
    queries against all nodes, in blocks. It is the lower of two figures: the
    mean over nodes of the share of their links that were found, and that share
-   over the links that no saturated component holds. Another set of tables and
-   another round follow until it meets ``TARGET`` and neither the components
-   nor the links outside saturated ones change; it raises if recall is still
-   below ``TARGET`` after ``ROUNDS``.
+   over the links that no saturated component holds. Links inside saturated
+   components are counted where they are found; only others leave a task.
+   Rounds, each with another set of tables, go on until recall meets
+   ``TARGET`` and neither the components nor the links outside saturated ones
+   change. Should that take more than ``ROUNDS``, the rest is exact: all nodes
+   are compared in blocks like the members of one component.
 
 Links are pairs with a cosine of ``threshold`` or more in double precision,
 none below it. Components come from a distributed search over them.
@@ -37,7 +39,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, GroupedData, Window
 from pyspark.sql import functions as F
 
 from shelfline.llm.common import shuffle_partitions, staged
@@ -49,7 +51,7 @@ K = 10
 FAR = 3
 RUN = 192
 TABLES = 8
-ROUNDS = 6
+ROUNDS = 8
 AUDIT = 1024
 TARGET = 0.98
 SCAN = 1024
@@ -278,44 +280,70 @@ def _scan(threshold: float):
     return scan
 
 
-def _component_links(nodes: DataFrame, members: DataFrame, threshold: float) -> DataFrame:
-    """(node, links) for all nodes of the components in ``members`` (node, root)."""
+def _spanning(threshold: float):
+    """Links that span what one pair of blocks holds."""
+    def span(t: pa.Table) -> pa.Table:
+        nodes, dims = t["node"].to_numpy(), t["dim"].to_numpy()
+        a, b = [], []
+        for d in np.unique(dims).tolist():
+            at = np.flatnonzero(dims == d)
+            m = _matrix(t["vec"].take(pa.array(at)))
+            i, j = _hidden(m @ m.T >= threshold, np.zeros((len(at), len(at)), bool))
+            a.append(nodes[at][i])
+            b.append(nodes[at][j])
+        return pa.table({"a": pa.array(np.concatenate(a), pa.int64()), "b": pa.array(np.concatenate(b), pa.int64())})
+    return span
+
+
+def _meetings(nodes: DataFrame, members: DataFrame) -> GroupedData:
+    """Pairs of blocks of each component in ``members`` (node, root); a block meets each block once, the smaller number is the left one."""
     # Staged, so that the join with a large component's members is a plain one that Spark can split.
     sizes = staged(members.groupBy("root").agg(F.ceil(F.count("*") / SCAN).cast("int").alias("blocks")), "sizes")
     blocked = members.join(sizes, "root").join(nodes, "node").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    # A block meets each block once; the smaller number is the left one.
     meets = blocked.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    pairs = meets.select("root", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"), (F.col("own") <= F.col("other")).alias("left"), "node", "n", "dim", "vec")
-    return pairs.groupBy("root", "a", "b").applyInArrow(_scan(threshold), "node long, links long").groupBy("node").agg(F.sum("links").alias("links"))
+    return meets.select("root", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"), (F.col("own") <= F.col("other")).alias("left"),
+                        "node", "n", "dim", "vec").groupBy("root", "a", "b")
+
+
+def _component_links(nodes: DataFrame, members: DataFrame, threshold: float) -> DataFrame:
+    """(node, links) for all nodes of the components in ``members`` (node, root)."""
+    return _meetings(nodes, members).applyInArrow(_scan(threshold), "node long, links long").groupBy("node").agg(F.sum("links").alias("links"))
 
 
 def _audit(nodes: DataFrame, n: int, edges: DataFrame, saturated: DataFrame, threshold: float) -> float:
     """Share of the links of a bounded sample of nodes that were found: the mean over nodes, or over the links outside saturated components if that is lower."""
-    sample = nodes.filter(F.xxhash64("node") / 2.0**64 + 0.5 < min(1.0, AUDIT / max(1, n))).select("node", "dim", "vec").limit(2 * AUDIT).collect()
+    rooted = nodes.select("node", "dim", "vec").join(saturated.select("node", "root"), "node", "left").withColumn("root", F.coalesce("root", F.lit(-1).cast("long")))
+    sample = rooted.filter(F.xxhash64("node") / 2.0**64 + 0.5 < min(1.0, AUDIT / max(1, n))).limit(2 * AUDIT).collect()
     if not sample:
         return 1.0
-    queries = {d: (np.array([r["node"] for r in sample if r["dim"] == d], np.int64), _matrix(pa.array([r["vec"] for r in sample if r["dim"] == d])))
-               for d in {r["dim"] for r in sample}}
+    queries = {d: (np.array([r["node"] for r in sample if r["dim"] == d], np.int64), np.array([r["root"] for r in sample if r["dim"] == d], np.int64),
+                   _matrix(pa.array([r["vec"] for r in sample if r["dim"] == d]))) for d in {r["dim"] for r in sample}}
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Links outside saturated components, and per query, as v = -1, the number of those inside."""
+        inside = {d: np.zeros(len(ids), np.int64) for d, (ids, _, _) in queries.items()}
         for batch in batches:
-            dims, nodes_ = batch.column("dim").to_numpy(), batch.column("node").to_numpy()
-            for d, (ids, q) in queries.items():
+            dims, nodes_, roots = (batch.column(c).to_numpy() for c in ("dim", "node", "root"))
+            for d, (ids, own, q) in queries.items():
                 at = np.flatnonzero(dims == d)
                 if len(at):
-                    i, j = np.nonzero(_matrix(batch.column("vec").take(pa.array(at))) @ q.T >= threshold)
-                    off = nodes_[at][i] != ids[j]
-                    yield _pairs([ids[j][off]], [nodes_[at][i][off]], [np.ones(off.sum())])
-
-    true = nodes.select("node", "dim", "vec").mapInArrow(search, _LIST).select("u", "v")
-    listed = true.join(edges.select("u", "v", F.lit(True).alias("listed")), ["u", "v"], "left")
-    for side in ("u", "v"):
-        listed = listed.join(saturated.select(F.col("node").alias(side), F.col("root").alias(f"root_{side}")), side, "left")
-    inside = F.coalesce(F.col("root_u") == F.col("root_v"), F.lit(False))
-    listed = listed.select("u", inside.alias("inside"), F.coalesce("listed", F.lit(False)).alias("listed"))
-    per_node = listed.groupBy("u").agg(F.avg((F.col("inside") | F.col("listed")).cast("int")).alias("share"),
-                                       F.sum((~F.col("inside")).cast("int")).alias("outside"), F.sum((~F.col("inside") & F.col("listed")).cast("int")).alias("found"))
-    mean, outside, found = per_node.agg(F.avg("share"), F.sum("outside"), F.sum("found")).first()
+                    hit = _matrix(batch.column("vec").take(pa.array(at))) @ q.T >= threshold
+                    hit &= nodes_[at][:, None] != ids
+                    within = hit & (roots[at][:, None] == own) & (own >= 0)
+                    inside[d] += within.sum(0)
+                    i, j = np.nonzero(hit & ~within)
+                    yield _pairs([ids[j]], [nodes_[at][i]], [np.ones(len(i))])
+        for d, (ids, _, _) in queries.items():
+            some = inside[d] > 0
+            yield _pairs([ids[some]], [np.full(some.sum(), -1)], [inside[d][some].astype(np.float64)])
+
+    true = staged(rooted.mapInArrow(search, _LIST), "audit")
+    listed = true.filter("v >= 0").join(edges.select("u", "v", F.lit(True).alias("listed")), ["u", "v"], "left")
+    listed = listed.groupBy("u").agg(F.count("*").alias("outside"), F.count("listed").alias("found"))
+    within = true.filter("v < 0").groupBy("u").agg(F.sum("sim").alias("inside"))
+    per_node = listed.join(within, "u", "full").fillna(0, ["outside", "found", "inside"])
+    share = (F.col("inside") + F.col("found")) / (F.col("inside") + F.col("outside"))
+    mean, outside, found = per_node.agg(F.avg(share), F.sum("outside"), F.sum("found")).first()
     return 1.0 if mean is None else min(mean, found / outside if outside else 1.0)
 
 
@@ -328,6 +356,7 @@ def embedding_groups(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFr
                    .select(F.monotonically_increasing_id().alias("node"), F.size("vec").alias("dim"), "vec", "n", "least"), "nodes")
     n = nodes.count()
     lists, spans, seen = None, None, None
+    settled = False
     for round_ in range(ROUNDS):
         first = staged(_first_lists(nodes, n, range(round_ * TABLES, (round_ + 1) * TABLES), threshold), "found")
         lists = _merged(first if lists is None else lists.union(first))
@@ -344,11 +373,13 @@ def embedding_groups(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFr
         recall = _audit(nodes, n, both, saturated, threshold)
         outside = both.join(saturated.select(F.col("node").alias("u")), "u", "left_anti")
         now = [df.agg(F.count("*"), F.bit_xor(F.xxhash64(*df.columns))).first() for df in (roots, saturated, outside)]
-        if recall >= TARGET and now == seen:
+        if settled := recall >= TARGET and now == seen:
             break
         seen = now
-    if recall < TARGET:
-        raise RuntimeError(f"recall {recall:.3f} after {ROUNDS} rounds; raise ROUNDS or TABLES")
+    if not settled:
+        saturated = nodes.select("node", F.lit(0).cast("long").alias("root"))
+        spans = _meetings(nodes.select("node", "n", "dim", "vec"), saturated).applyInArrow(_spanning(threshold), "a long, b long")
+        roots = staged(components(spans), "roots")
     slim = nodes.select("node", "n", "least")
     scanned = _component_links(nodes.select("node", "n", "dim", "vec"), saturated, threshold)
     listed = both.join(slim.select(F.col("node").alias("v"), "n"), "v").groupBy(F.col("u").alias("node")).agg(F.sum("n").alias("listed"))

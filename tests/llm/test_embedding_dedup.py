@@ -62,11 +62,33 @@ def test_empty_and_single(spark):
     assert [(r["n_links"], r["component_id"], r["kept"]) for r in got] == [(0, 4, True)]
 
 
-def test_poor_recall_raises(spark, monkeypatch):
-    monkeypatch.setattr(embedding_dedup, "_audit", lambda *a: 0.5)
+@pytest.mark.parametrize("recall", [0.5, 1.0])
+def test_what_does_not_settle_ends_exactly(spark, monkeypatch, recall):
+    """Poor recall, or components that still change after the last round: blocks of all nodes give every link."""
+    monkeypatch.setattr(embedding_dedup, "_audit", lambda *a: recall)
     monkeypatch.setattr(embedding_dedup, "ROUNDS", 1)
-    with pytest.raises(RuntimeError, match="recall"):
-        embedding_groups(spark.createDataFrame(vectors()[:50], SCHEMA))
+    monkeypatch.setattr(embedding_dedup, "SCAN", 100)
+    data = vectors()[:500] + ODD
+    got = {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in embedding_groups(spark.createDataFrame(data, SCHEMA)).collect()}
+    assert got == brute(data)
+
+
+def test_audit_counts_inside_links_in_place(spark):
+    """Only links outside saturated components leave a task; the figure is that of all links."""
+    from pyspark.sql import Row
+    rng = np.random.default_rng(3)
+    base = rng.standard_normal(8)
+    vecs = [base + 0.01 * rng.standard_normal(8) for _ in range(60)] + [rng.standard_normal(8) for _ in range(20)]
+    vecs += [vecs[60] * 1.5, vecs[61] * 2.0]
+    nodes = spark.createDataFrame([Row(node=i, dim=8, vec=[float(x) for x in v]) for i, v in enumerate(vecs)])
+    saturated = spark.createDataFrame([(i, 0) for i in range(60)], "node long, root long")
+    listed = [(60, 80), (80, 60)]  # of the two pairs outside, one was found
+    edges = spark.createDataFrame(listed, "u long, v long")
+    assert embedding_dedup._audit(nodes, len(vecs), edges, saturated, 0.95) == pytest.approx(0.5)
+    edges = spark.createDataFrame([*listed, (61, 81), (81, 61)], "u long, v long")
+    assert embedding_dedup._audit(nodes, len(vecs), edges, saturated, 0.95) == pytest.approx(1.0)
+    none = saturated.limit(0)
+    assert embedding_dedup._audit(nodes, len(vecs), edges, none, 0.95) < 0.1
 
 
 def twins(each: int = 40) -> list[tuple]:
