@@ -6,7 +6,8 @@ touches and writes them with ``partitionOverwriteMode=dynamic``: Spark
 replaces exactly those partitions when the job commits. Changes are
 idempotent, so a change that failed or is replayed is simply run again. One
 writer at a time; a reader that must not see a change half way reads before
-or after it.
+or after it. ``_schema`` beside the partitions is an empty Parquet table with
+all columns so far, so that no reader has to merge the schemas of all files.
 """
 
 from __future__ import annotations
@@ -31,18 +32,18 @@ class PartitionedTable:
         self.key, self.buckets, self.scope = key, buckets, scope
         self.parts = ([scope] if scope else []) + ["bucket"]
 
+    def _schema(self) -> T.StructType | None:
+        path = f"{self.path}/_schema"
+        return self.spark.read.parquet(path).schema if path_exists(self.spark, f"{path}/_SUCCESS") else None
+
     def exists(self) -> bool:
-        return path_exists(self.spark, f"{self.path}/{self.parts[0]}=*")
+        return self._schema() is not None
 
     def _stored(self) -> DataFrame | None:
         """All rows with their bucket; null where the table was never written."""
-        if not self.exists():
-            return None
-        schema = self.spark.read.option("mergeSchema", "true").parquet(self.path).schema
-        # The folders' names are not numbers or dates, whatever they look like.
-        kinds = {"bucket": T.IntegerType(), **({self.scope: T.StringType()} if self.scope else {})}
-        fields = [T.StructField(f.name, kinds.get(f.name, f.dataType), True) for f in schema.fields]
-        return self.spark.read.schema(T.StructType(fields)).parquet(self.path).filter(F.col(self.key).isNotNull())
+        schema = self._schema()
+        # The schema tells the kinds of the partition columns, whatever the folders' names look like.
+        return None if schema is None else self.spark.read.schema(schema).parquet(self.path).filter(F.col(self.key).isNotNull())
 
     def read(self) -> DataFrame | None:
         rows = self._stored()
@@ -72,6 +73,10 @@ class PartitionedTable:
         bucket = at[1] if self.scope else F.col("_p")
         empty = empty.select(*[({**scope, "bucket": bucket.cast("int")}[f.name] if f.name in self.parts else F.lit(None)).cast(f.dataType).alias(f.name)
                                for f in rows.schema.fields])
+        known = self._schema()
+        names = set(known.names) if known else set()
+        if new := [f for f in rows.schema.fields if f.name not in names]:
+            self.spark.createDataFrame([], T.StructType([*(known.fields if known else []), *new])).write.mode("overwrite").parquet(f"{self.path}/_schema")
         # Rebalanced: a large partition is written by several tasks, small ones share one.
         (rows.unionByName(empty).hint("rebalance", *self.parts).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(*self.parts).parquet(self.path))
