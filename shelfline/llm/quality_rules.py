@@ -59,9 +59,9 @@ BOILERPLATE = (r"(?i)\b(?:all rights reserved|cookie policy|accept (?:all )?cook
 _SYMBOL = r"!-/:-@\[-`{-~\u00A1-\u00A9\u00AB-\u00B1\u00B6-\u00B8\u00BB\u00BF\u00D7\u00F7\u2010-\u2027\u2030-\u205E\u2190-\u2BFF\u3001-\u3020"
 _IN, _OUT = r"(?<![^\x20\x09-\x0D])", r"(?![^\x20\x09-\x0D])"  # begin and end of a word
 MARKED = rf"{_IN}(?:[{_SYMBOL}]+|{WORD[:-1]}*[!?#*$%&]{{2}}){_OUT}"
-#: Stands wherever MARKED does; begins with a rare character.
-_MARK = rf"[!?#*$%&]{{2}}{_OUT}|{_IN}[{_SYMBOL}]+{_OUT}"
-SEPARATOR = rf"[|»›•·→]+|{_IN}[>/]{_OUT}"
+#: Both begin with a rare character and look back from there, so that most places of a text are passed at one glance. Stands wherever MARKED does:
+_MARK = rf"[!?#*$%&]{{2}}{_OUT}|[{_SYMBOL}](?<![^\x20\x09-\x0D][{_SYMBOL}])[{_SYMBOL}]*{_OUT}"
+SEPARATOR = rf"[|»›•·→]+|[>/](?<![^\x20\x09-\x0D][>/]){_OUT}"
 #: A word of digits and marks of numbers, with at least one digit.
 NUMBER = rf"{_IN}[0-9.,:%+-]*[0-9][0-9.,:%+-]*{_OUT}"
 TABLE_ROW = r"^[\x20\x09-\x0D]*\|.*\|[\x20\x09-\x0D]*$"
@@ -120,7 +120,7 @@ def quality_rules(docs: DataFrame, min_words: int = MIN_WORDS, max_repeat_pct: i
         n_words = F.size(w).cast("long")
         counts = F.struct(
             n_words.alias("n_words"),
-            (F.length(text) - F.regexp_count(text, F.lit(r"[\x20\x09-\x0D]"))).cast("long").alias("word_chars"),
+            F.length(F.array_join(w, "")).cast("long").alias("word_chars"),
             F.regexp_count(text, F.lit(r"[#*$%&|<>]")).cast("long").alias("n_symbols"),
             _let(spoken, lambda s: F.size(s) - F.size(F.array_distinct(s))).cast("long").alias("n_dup_lines"),
             repeated_words(w).alias("n_repeat_words"),
